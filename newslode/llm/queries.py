@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, simhash, token_count
+from . import decontaminate, language, line_dedup, quality_crf, simhash, token_count, toxicity
 from .common import table
 
 
@@ -27,10 +27,22 @@ def tokenizer_pattern() -> str:
     return public_tokenizers.PATTERN
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), held=(5, 0), threshold=0.5)
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(table(spark, sf_dir, "documents"), min_chars=40, min_docs=5).drop("drops")
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_crf.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), held=(4, 2), threshold=0.7)
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"), held=(4, 2))
+
+
 def op8_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.token_counts(spark, table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_pattern(), limit=512)
 
@@ -40,7 +52,20 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-QUERIES = {"op3_line_dedup": op3_line_dedup, "op8_token_count": op8_token_count, "op9_simhash": op9_simhash}
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=13)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+QUERIES = {
+    "op2_toxicity": op2_toxicity,
+    "op3_line_dedup": op3_line_dedup,
+    "op6_quality": op6_quality,
+    "op7_language": op7_language,
+    "op8_token_count": op8_token_count,
+    "op9_simhash": op9_simhash,
+    "op10_decontamination": op10_decontamination,
+}
 
 _BLANK = r"chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
