@@ -144,7 +144,8 @@ def dropped_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> Da
 def with_drops(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
     """The rows of docs with the column drops (null: none)."""
     own = docs.withColumn("row", F.xxhash64(F.col("text").cast("string")))
-    found = dropped_lines(docs, min_chars, min_docs).select(F.col("doc_id").alias("drop_id"), F.col("row").alias("drop_row"), "drops")
+    # Always a merge join: the drops grow with the documents, and the plan shall not change with the size.
+    found = dropped_lines(docs, min_chars, min_docs).select(F.col("doc_id").alias("drop_id"), F.col("row").alias("drop_row"), "drops").hint("merge")
     return own.join(found, (own.doc_id == found.drop_id) & (own.row == found.drop_row), "left").drop("drop_id", "drop_row", "row")
 
 
