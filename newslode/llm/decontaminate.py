@@ -255,13 +255,10 @@ def find(docs: DataFrame, benchmark: DataFrame, size: int = 13, block_bytes: int
     """
     spark = docs.sparkSession
     rows = text_rows(docs).withColumn("row", F.xxhash64("text"))
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text IS NOT NULL AND item_id IS NOT NULL")
-    size_now = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    n = max(1, -(-size_now // block_bytes))
+    items, n = blocks_of(benchmark, block_bytes)
     found = []
     for k in range(n):
-        own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).collect()
-        block = spark.sparkContext.broadcast(Phrases([tuple(r) for r in own], size))
+        block = spark.sparkContext.broadcast(phrases_of(items, k, n, size))
         found.append(rows.mapInArrow(finder(block), HITS))
     if n == 1:
         return found[0]
@@ -296,9 +293,37 @@ def report(docs: DataFrame, benchmark: DataFrame, size: int = 13, block_bytes: i
     return find(docs, benchmark, size, block_bytes).mapInArrow(run, "doc_id long, row long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, spans array<array<int>>")
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, size: int = 13) -> DataFrame:
-    """docs without the contaminated ones. Their ids are the small side of an anti join; rows with a null id stay."""
-    bad = report(docs, benchmark, size).where("contaminated").select("doc_id", "row").distinct()
+def blocks_of(benchmark: DataFrame, block_bytes: int) -> tuple[DataFrame, int]:
+    """Items with an id and a text, and the number of blocks that hold about block_bytes each."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text IS NOT NULL AND item_id IS NOT NULL")
+    size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    return items, max(1, -(-size // block_bytes))
+
+
+def phrases_of(items: DataFrame, k: int, n: int, size: int) -> Phrases:
+    """The k-th of n blocks: a bounded number of bytes, dealt by hash."""
+    return Phrases([tuple(r) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).collect()], size)
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, size: int = 13, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """docs without the contaminated rows, in which at least a twentieth of the words is hit.
+
+    With one block rows are judged where they are; with several, the contaminated rows' ids and
+    text hashes are taken out by an anti join (rows with a null id stay then).
+    """
+    items, n = blocks_of(benchmark, block_bytes)
+    if n == 1:
+        block = docs.sparkSession.sparkContext.broadcast(phrases_of(items, 0, 1, size))
+        at, to = docs.columns.index("text"), byte_table(SEPARATORS)
+
+        def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches(it):
+                data, offsets = buffer_of(b.column(at))
+                words, _, hit, doc = shard_hits(to[data], offsets, block.value)
+                hits = np.bincount(doc, weights=hit, minlength=b.num_rows)
+                yield b.filter(pa.array((hits == 0) | (20 * hits < words)))
+
+        return docs.mapInArrow(run, docs.schema)
+    bad = report(docs, benchmark, size, block_bytes).where("contaminated").select(F.col("doc_id").alias("__bad"), F.col("row").alias("__bad_row")).distinct().hint("merge")
     own = docs.withColumn("__row", F.xxhash64(F.col("text").cast("string")))
-    bad = bad.select(F.col("doc_id").alias("__bad"), F.col("row").alias("__bad_row"))
     return own.join(bad, (own.doc_id == bad["__bad"]) & (own["__row"] == bad["__bad_row"]), "left_anti").select(*docs.columns)

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, line_dedup, quality_crf, simhash, token_count, toxicity
+from . import bpe, decontaminate, language, line_dedup, quality_crf, simhash, token_count, toxicity, weighted_sampling
 from .common import table
 
 
@@ -27,6 +27,10 @@ def tokenizer_pattern() -> str:
     return public_tokenizers.PATTERN
 
 
+def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(spark, table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_multi_50k.tiktoken"), tokenizer_pattern())
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), held=(5, 0), threshold=0.5)
 
@@ -35,6 +39,10 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(table(spark, sf_dir, "documents"), min_chars=40, min_docs=5).drop("drops")
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weighted_sampling.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_crf.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), held=(4, 2), threshold=0.7)
 
@@ -58,8 +66,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_byte_bpe": op1_byte_bpe,
     "op2_toxicity": op2_toxicity,
     "op3_line_dedup": op3_line_dedup,
+    "op5_fingerprints": op5_fingerprints,
     "op6_quality": op6_quality,
     "op7_language": op7_language,
     "op8_token_count": op8_token_count,

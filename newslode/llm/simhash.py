@@ -272,6 +272,5 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """docs without all but the smallest doc_id of each component; rows with a null id stay."""
-    kept = near_duplicates(docs).where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    known = docs.where(F.col("doc_id").isNotNull())
-    return known.join(kept, "doc_id", "left_semi").unionByName(docs.where(F.col("doc_id").isNull())).select(*docs.columns)
+    gone = near_duplicates(docs).where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone_id")).distinct()
+    return docs.join(gone.hint("merge"), docs.doc_id == gone.gone_id, "left_anti").select(*docs.columns)
