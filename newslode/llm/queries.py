@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, language, line_dedup, quality_crf, simhash, token_count, toxicity, weighted_sampling
+from . import bpe, decontaminate, language, license_scan, line_dedup, quality_crf, simhash, token_count, toxicity, weighted_sampling
 from .common import table
 
 
@@ -39,6 +39,10 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(table(spark, sf_dir, "documents"), min_chars=40, min_docs=5).drop("drops")
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted_sampling.fingerprints(table(spark, sf_dir, "documents"))
 
@@ -69,6 +73,7 @@ QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_toxicity": op2_toxicity,
     "op3_line_dedup": op3_line_dedup,
+    "op4_license_scan": op4_license_scan,
     "op5_fingerprints": op5_fingerprints,
     "op6_quality": op6_quality,
     "op7_language": op7_language,
