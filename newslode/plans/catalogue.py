@@ -1,3 +1,613 @@
-"""Catalogue of queries and their SQL."""
+"""Queries over the given tables, each with its SQL where SQL can say it.
+
+The tables hold invented words, so the queries use the lexicon that was made for them.
+"""
+
+from __future__ import annotations
+
+from dataclasses import replace
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from ..config import FIXTURE, Config
+from ..functions import dates as T
+from ..functions import html as H
+from ..functions import lexicon as L
+from ..functions import text as X
+from ..functions import url as U
+from ..operators import acceptance as A
+from ..operators import discovery as D
+from ..operators import ranking as R
+from ..operators import sinks
+from ..operators import summary as S
+from ..sources import registry
+from ..streaming import audit
+
+CFG = Config(lexicon=FIXTURE)
 QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, url, title, body, norm_url of the pages."""
+    return table(spark, sf_dir, "pages").select("page_id", "url", H.title_tag("html").alias("title"), H.article_text("html").alias("body"), U.normalize_url("url").alias("norm_url"))
+
+
+def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, source, title (first line), body (the rest) of the documents."""
+    x = X.text("text")
+    return table(spark, sf_dir, "documents").select("doc_id", "source", "lang", F.substring_index(x, "\n", 1).alias("title"), F.when(F.contains(x, F.lit("\n")), F.expr("substring(coalesce(text, ''), instr(coalesce(text, ''), '\n') + 1)")).otherwise("").alias("body"))
+
+
+# --- SQL parts -------------------------------------------------------------------------------------------------------
+
+
+def q(t: str) -> str:
+    return "'" + t.replace("'", "''") + "'"
+
+
+def s_sum(x: str, terms, points: int = 1) -> str:
+    return "(" + " + ".join(f"CASE WHEN contains({x}, {q(t)}) THEN {points} ELSE 0 END" for t in terms) + ")" if terms else "0"
+
+
+def s_any(x: str, terms) -> str:
+    return "(" + " OR ".join(f"contains({x}, {q(t)})" for t in terms) + ")" if terms else "false"
+
+
+def s_space(x: str) -> str:
+    return rf"trim(regexp_replace(coalesce({x}, ''), '\s+', ' ', 'g'))"
+
+
+def s_norm(u: str) -> str:
+    return f"regexp_replace(regexp_replace(coalesce({u}, ''), '[?#].*$', ''), '/+$', '')"
+
+
+def s_host(u: str) -> str:
+    return rf"lower(regexp_extract(coalesce({u}, ''), '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1))"
+
+
+def s_path(u: str) -> str:
+    return rf"lower(regexp_extract(coalesce({u}, ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1))"
+
+
+def s_relevance(t: str, b: str, lex=FIXTURE) -> str:
+    t, b = f"lower({t})", f"lower({b})"
+    both = f"({t} || chr(10) || {b})"
+    return f"({s_sum(t, lex.primary, 5)} + {s_sum(b, lex.primary, 3)} + {s_sum(t, lex.broad, 3)} + {s_sum(b, lex.broad, 2)} + {s_sum(both, lex.analysis)} - {s_sum(both, lex.negative, 5)})"
+
+
+def s_scope(blob: str, lex=FIXTURE) -> str:
+    (_, wa), (_, wb) = list(lex.targets.items())
+    a, b = s_any(blob, wa), s_any(blob, wb)
+    return f"CASE WHEN {a} AND {b} THEN 'Copper, Aluminum' WHEN {a} THEN 'Copper' WHEN {b} THEN 'Aluminum' WHEN {s_any(blob, lex.broad)} THEN 'Broad Metals' ELSE 'Unknown' END"
+
+
+# Spark, RE2 and Python agree on what a word's edge is only between ASCII letters; the queries that need
+# words use this form in both engines.
+EDGE = "(^|[^a-z0-9_])({0})($|[^a-z0-9_])"
+
+
+def s_target(x: str, lex=FIXTURE) -> str:
+    return "(" + " OR ".join(f"regexp_matches({x}, {q(EDGE.format(w))})" for w in lex.primary) + ")"
+
+
+def target(x):
+    out = F.lit(False)
+    for w in FIXTURE.primary:
+        out = out | F.regexp_like(x, F.lit(EDGE.format(w)))
+    return out
+
+
+PAGES = rf"""
+pages_t AS (
+    SELECT page_id, url, {s_space("regexp_extract(html, '<title>([^<]*)</title>', 1)")} AS title,
+           {s_space("regexp_replace(regexp_extract(html, '<article>((?s:.)*)</article>', 1), '<[^>]*>', ' ', 'g')")} AS body, {s_norm("url")} AS norm_url
+    FROM pages
+)"""
+DOCS = r"""
+docs_t AS (
+    SELECT doc_id, source, lang, split_part(coalesce(text, ''), chr(10), 1) AS title,
+           CASE WHEN contains(text, chr(10)) THEN substr(text, instr(text, chr(10)) + 1) ELSE '' END AS body
+    FROM documents
+)"""
+LINKS = rf"""
+links_t AS (
+    SELECT url AS listing_url, i - 1 AS ord, regexp_extract(a[i], '<a href="([^"]*)">', 1) AS href, {s_space("regexp_extract(a[i], '>([^<]*)</a>', 1)")} AS anchor
+    FROM (SELECT url, regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>') AS a FROM pages), unnest(generate_series(1, len(a))) AS s(i)
+), links_u AS (
+    SELECT listing_url, ord, anchor, regexp_extract(listing_url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) || href AS url FROM links_t
+)"""
+
+
+# --- URL and text ----------------------------------------------------------------------------------------------------
+
+
+@query(rf"""
+SELECT page_id, {s_norm("url")} AS norm_url, {s_host("url")} AS host,
+       (len(parts) = 0 OR (len(parts) <= 2 AND parts[-1] IN ({", ".join(q(w) for w in U.SECTION_WORDS)}))) AS is_section
+FROM (SELECT *, list_filter(string_split({s_path("url")}, '/'), lambda p: p <> '') AS parts FROM pages)""")
+def url_normalize(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", U.normalize_url("url").alias("norm_url"), U.host_of("url").alias("host"), U.section_page("url").alias("is_section"))
+
+
+@query(rf"""
+SELECT page_id, regexp_matches(url, '^https?:') AND rtrim(p, '/') <> '' AND NOT {s_any("rtrim(p, '/')", U.BAD_PATHS)} AS is_article,
+       suffix(p, '.pdf') AS is_pdf, {s_any("p", U.REPORT_PATHS)} AS is_report, {s_any(f"lower({s_norm('url')})", U.NON_CONTENT)} AS is_non_content
+FROM (SELECT *, {s_path("url")} AS p FROM pages)""")
+def url_article_filter(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", U.looks_like_article("url").alias("is_article"), U.looks_like_pdf("url").alias("is_pdf"), U.looks_like_report("url").alias("is_report"), U.non_content("url").alias("is_non_content"))
+
+
+@query(rf"""
+SELECT listing_url, count(*) AS n FROM (
+    SELECT rtrim(regexp_replace(url, '[?#].*$', '') || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END, '/') AS listing_url
+    FROM (SELECT url, list_filter(string_split(regexp_extract(url, '\?([^#]*)', 1), '&'), lambda kv: lower(split_part(kv, '=', 1)) IN ({", ".join(q(k) for k in U.PAGE_KEYS)})) AS kept FROM pages)
+) GROUP BY 1""")
+def url_listing_key(spark, sf_dir):
+    return table(spark, sf_dir, "pages").groupBy(U.listing_url("url").alias("listing_url")).agg(F.count("*").alias("n"))
+
+
+@query(rf"""
+SELECT doc_id, length({s_space("text")}) AS n_clean,
+       CASE WHEN length({s_space("text")}) <= 80 THEN {s_space("text")} ELSE rtrim(CASE WHEN contains(left({s_space("text")}, 80), ' ') THEN regexp_replace(left({s_space("text")}, 80), ' [^ ]*$', '') ELSE left({s_space("text")}, 80) END) || '...' END AS teaser,
+       CASE WHEN length(text) <= 60 THEN text ELSE regexp_replace(left(text, 60), '\s+$', '') || '...' END AS cut
+FROM documents WHERE text IS NOT NULL""")
+def text_normalize(spark, sf_dir):
+    return table(spark, sf_dir, "documents").where("text IS NOT NULL").select("doc_id", F.length(X.normalize_space("text")).alias("n_clean"), X.truncate_text("text", 80).alias("teaser"), X.truncate("text", 60).alias("cut"))
+
+
+@query(rf"""
+SELECT doc_id, len(s) AS n_sentences, coalesce(s[1], '') AS first_sentence FROM (
+    SELECT doc_id, list_filter(list_transform(string_split(regexp_replace(coalesce(text, ''), '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)), lambda x: {s_space("x")}), lambda x: x <> '') AS s FROM documents)""")
+def text_sentences(spark, sf_dir):
+    s = X.sentences("text")
+    return table(spark, sf_dir, "documents").select("doc_id", F.size(s).alias("n_sentences"), F.coalesce(F.get(s, F.lit(0)), F.lit("")).alias("first_sentence"))
+
+
+@query("""SELECT doc_id, left(sha256(lower(trim(coalesce(source, ''))) || '||' || lower(trim(coalesce(lang, ''))) || '||' || lower(trim(CAST(doc_id AS VARCHAR)))), 40) AS unique_key FROM documents""")
+def unique_key(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", X.stable_key("source", "lang", "doc_id").alias("unique_key"))
+
+
+@query(rf"""WITH {DOCS} SELECT doc_id, len(p) AS n_points, coalesce(p[1], '') AS first_point FROM (
+    SELECT doc_id, list_filter(list_distinct_kept, lambda x: x <> '') AS p FROM (
+        SELECT doc_id, list_reduce(list_prepend(CAST([] AS VARCHAR[]), list_transform(list_transform(string_split(trim(body), chr(10)), lambda x: {s_space("regexp_replace(x, '^[-*•· ]+', '')")}), lambda x: [x])), lambda a, b: CASE WHEN list_contains(a, b[1]) OR b[1] = '' THEN a ELSE list_concat(a, b) END) AS list_distinct_kept FROM docs_t))
+    WHERE len(p) > 0""")
+def structured_points(spark, sf_dir):
+    p = X.structured_points("body")
+    return docs(spark, sf_dir).select("doc_id", F.size(p).alias("n_points"), F.coalesce(F.get(p, F.lit(0)), F.lit("")).alias("first_point")).where("n_points > 0")
+
+
+@query(None)
+def merged_blocks(spark, sf_dir):
+    """Both ways of merging title, body and first paragraph."""
+    rows = docs(spark, sf_dir)
+    return rows.select("doc_id", F.length(X.merge_blocks("title", "body", F.substring_index("body", "\n", 1), mode="first_wins")).alias("first_wins"), F.length(X.merge_blocks("title", "body", F.substring_index("body", "\n", 1))).alias("longest_wins"))
+
+
+@query(r"""
+SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE strftime(o_orderdate, '%Y-%m-%d') || 'T00:00:00+00:00' END AS published_at,
+       CASE WHEN o_orderkey % 7 = 0 THEN 999 ELSE abs(date_diff('day', DATE '1995-06-17', CAST(o_orderdate AS DATE))) END AS days
+FROM orders""")
+def date_parse(spark, sf_dir):
+    """Dates written in four forms, and one that is none, read back."""
+    d = F.col("o_orderdate")
+    k = F.col("o_orderkey") % 7
+    raw = F.when(k == 0, "March 2026").when(k <= 2, F.date_format(d, "yyyy-MM-dd")).when(k <= 4, F.date_format(d, "MMMM d, yyyy")).otherwise(F.date_format(d, "d MMM yyyy"))
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", T.parse_iso(raw).alias("published_at"))
+    return rows.withColumn("days", T.days_from("published_at", "1995-06-17"))
+
+
+# --- Lexicon scores --------------------------------------------------------------------------------------------------
+
+
+@query(rf"""WITH {PAGES}, scored AS (SELECT *, {s_relevance("title", "body")} AS score FROM pages_t)
+SELECT norm_url, arg_max(page_id, CAST(score AS BIGINT) * 1000000000 - page_id) AS page_id, arg_max(title, CAST(score AS BIGINT) * 1000000000 - page_id) AS title, max(score) AS score
+FROM scored WHERE score > 0 GROUP BY norm_url ORDER BY score DESC, norm_url LIMIT 200""")
+def pages_relevance_topk(spark, sf_dir):
+    """Flagship: the most relevant pages, one of each normalised url."""
+    rows = pages(spark, sf_dir).withColumn("score", L.relevance("title", "body", FIXTURE)).where("score > 0")
+    best = R.dedupe_by_url(rows, "norm_url", "score", "page_id")
+    return best.select("norm_url", "page_id", "title", "score").orderBy(F.col("score").desc(), "norm_url").limit(200)
+
+
+@query(rf"""WITH {DOCS} SELECT doc_id, {s_relevance("title", "body")} AS score,
+    {s_sum("lower(title)", FIXTURE.direct, 4)} + {s_sum("lower(body)", FIXTURE.direct, 2)} + {s_sum("lower(title || chr(10) || body)", FIXTURE.analysis)} - {s_sum("lower(title || chr(10) || body)", FIXTURE.negative, 5)} AS legacy_score FROM docs_t""")
+def doc_relevance_score(spark, sf_dir):
+    return docs(spark, sf_dir).select("doc_id", L.relevance("title", "body", FIXTURE).alias("score"), L.relevance_legacy("title", "body", FIXTURE).alias("legacy_score"))
+
+
+@query(rf"""WITH {DOCS} SELECT scope, count(*) AS n, count_if(named) AS n_named FROM (
+    SELECT {s_scope("lower(title || chr(10) || body)")} AS scope, {s_target("lower(title || chr(10) || body)")} AS named FROM docs_t) GROUP BY scope""")
+def doc_scope(spark, sf_dir):
+    blob = F.lower(F.concat("title", F.lit("\n"), "body"))
+    return docs(spark, sf_dir).select(L.scope("title", "body", FIXTURE).alias("scope"), target(blob).alias("named")).groupBy("scope").agg(F.count("*").alias("n"), F.count_if("named").alias("n_named"))
+
+
+@query(rf"""WITH {DOCS} SELECT doc_id, c AS has_context, c AND t AS strong FROM (
+    SELECT doc_id, {s_any(f"lower({s_space('body')})", FIXTURE.intelligence + FIXTURE.structure)} AS c, {s_target(f"lower({s_space('body')})")} AS t FROM docs_t)""")
+def doc_market_context(spark, sf_dir):
+    c, t = L.market_context("body", FIXTURE), target(F.lower(X.normalize_space("body")))
+    return docs(spark, sf_dir).select("doc_id", c.alias("has_context"), (c & t).alias("strong"))
+
+
+BULL, BEAR = ("the", "eren"), ("and", "tion", "wh")
+RULES = ((("thble", "ndin"), "Supply outlook"), (("erti", "eaux"), "Demand outlook"), (("sch",), "Trade and policy"))
+
+
+@query(rf"""WITH {DOCS} SELECT doc_id, CASE WHEN u > d THEN 'Bullish' WHEN d > u THEN 'Bearish' WHEN u > 0 THEN 'Mixed' ELSE 'Neutral' END AS stance, theme, section FROM (
+    SELECT doc_id, {s_sum("lower(body)", BULL)} AS u, {s_sum("lower(body)", BEAR)} AS d,
+        CASE {" ".join(f"WHEN {s_any('lower(title || chr(32) || body)', t)} THEN {q(n)}" for t, n in RULES)} ELSE 'General market commentary' END AS theme,
+        CASE WHEN {s_any("lower(body)", L.C.DIGEST_INVENTORY)} THEN 'inventory' WHEN {s_any("lower(body)", L.C.DIGEST_PRICE)} THEN 'price' WHEN {s_any("lower(body)", L.C.DIGEST_OUTLOOK)} THEN 'outlook' ELSE 'drivers' END AS section FROM docs_t)""")
+def doc_stance_theme(spark, sf_dir):
+    return docs(spark, sf_dir).select("doc_id", L.stance("body", BULL, BEAR).alias("stance"), L.theme("title", "body", RULES).alias("theme"), L.digest_section("body", F.lit(""), F.lit("")).alias("section"))
+
+
+@query(None)
+def doc_topic_match(spark, sf_dir):
+    rows = docs(spark, sf_dir).withColumn("scope", L.scope("title", "body", FIXTURE)).withColumn("hint", F.lit(""))
+    return rows.select("doc_id", L.topic_matches("title", F.lit(""), "body", "hint", "scope", CFG).alias("topic"), L.content_matches("title", "body", F.lit(""), F.lit("html"), CFG).alias("content"), L.topic_matches_legacy("title", "body", "scope", FIXTURE).alias("topic_legacy"))
+
+
+LATTICE = "CASE r WHEN 'All' THEN true WHEN 'Copper' THEN s IN ('Copper', 'Copper, Aluminum') WHEN 'Aluminum' THEN s IN ('Aluminum', 'Copper, Aluminum') WHEN 'Broad Metals' THEN s = 'Broad Metals' ELSE s IN ('Copper', 'Aluminum', 'Copper, Aluminum') END"
+
+
+@query(rf"""WITH {DOCS}, scoped AS (SELECT {s_scope("lower(title || chr(10) || body)")} AS s FROM docs_t),
+asked AS (SELECT * FROM (VALUES ('All'), ('Copper'), ('Aluminum'), ('Broad Metals'), ('Copper, Aluminum')) AS v(r))
+SELECT r AS requested, count_if({LATTICE}) AS n FROM scoped, asked GROUP BY r""")
+def scope_lattice(spark, sf_dir):
+    scoped = docs(spark, sf_dir).groupBy(L.scope("title", "body", FIXTURE).alias("scope")).agg(F.count("*").alias("m"))
+    asked = F.explode(F.array(*[F.lit(a) for a in ("all", "copper", "aluminium", "broad-metals", "Copper, Aluminum")]))
+    rows = scoped.select("scope", "m", asked.alias("raw")).withColumn("requested", L.normalize_scope("raw"))
+    return rows.groupBy("requested").agg(F.sum(F.when(L.scope_matches("requested", "scope"), F.col("m")).otherwise(0)).alias("n"))
+
+
+# --- Links and candidates --------------------------------------------------------------------------------------------
+
+
+@query(rf"""WITH {LINKS} SELECT listing_url, ord, url, anchor FROM links_u""")
+def page_links(spark, sf_dir):
+    return D.links(table(spark, sf_dir, "pages"))
+
+
+@query(None)
+def page_links_parsed(spark, sf_dir):
+    return D.parsed_links(table(spark, sf_dir, "pages")).select("listing_url", "ord", "url", "anchor", F.length("snippet").alias("n_snippet"))
+
+
+def s_candidate(t: str, u: str) -> str:
+    blob = f"lower({t} || '  ' || {u})"
+    return rf"""(CASE WHEN {s_target(blob)} THEN 6 ELSE -4 END + {s_sum(blob, FIXTURE.analysis, 2)} + CASE WHEN {s_any(blob, FIXTURE.intelligence + FIXTURE.structure)} THEN 2 ELSE 0 END - {s_sum(blob, FIXTURE.negative, 5)}
+    + CASE WHEN {s_any(s_path(u), U.REPORT_PATHS)} THEN 2 ELSE 0 END + CASE WHEN suffix({s_path(u)}, '.pdf') THEN -2 ELSE 1 END + CASE WHEN regexp_matches({u}, '/(20\d{{2}})/(\d{{1,2}})/(\d{{1,2}})/') THEN 2 ELSE 0 END
+    - CASE WHEN len(list_filter(string_split({s_path(u)}, '/'), lambda p: p <> '')) <= 2 AND coalesce(list_filter(string_split({s_path(u)}, '/'), lambda p: p <> '')[-1], 'news') IN ({", ".join(q(w) for w in U.SECTION_WORDS)}) THEN 6 ELSE 0 END)"""
+
+
+@query(rf"""WITH {LINKS} SELECT listing_url, ord, {s_candidate("anchor", "url")} AS score FROM links_u""")
+def candidate_score(spark, sf_dir):
+    return D.links(table(spark, sf_dir, "pages")).select("listing_url", "ord", L.candidate_score("anchor", "url", F.lit(""), CFG).alias("score"))
+
+
+def link_candidates(spark, sf_dir) -> DataFrame:
+    rows = D.links(table(spark, sf_dir, "pages")).withColumn("score", L.candidate_score("anchor", "url", F.lit(""), CFG))
+    ord_ = F.concat_ws("#", "listing_url", F.lpad(F.col("ord").cast("string"), 6, "0"))
+    return rows.select("url", "listing_url", F.col("anchor").alias("title_hint"), F.lit("").alias("snippet_hint"), F.lit("").alias("published_hint"), F.lit("listing").alias("method"), "score", F.xxhash64(ord_).alias("ord"), ord_.alias("ord_text"))
+
+
+@query(rf"""WITH {LINKS}, c AS (SELECT url, anchor, {s_candidate("anchor", "url")} AS score FROM links_u)
+SELECT url, max(score) AS score, max(length(anchor)) AS n_title, count(*) AS n FROM c GROUP BY url""")
+def candidate_merge(spark, sf_dir):
+    """The merged candidate of each url, with how many there were."""
+    found = link_candidates(spark, sf_dir)
+    merged = R.merge_candidates(found).select("url", "score", F.length("title_hint").alias("n_title"))
+    return merged.join(found.groupBy("url").agg(F.count("*").alias("n")), "url")
+
+
+@query(rf"""WITH {LINKS}, c AS (SELECT {s_host("url")} AS host, {s_candidate("anchor", "url")} AS score FROM links_u)
+SELECT host, count(*) AS n, count_if(score >= 2) AS n_strong, count_if(score < 0) AS n_weak FROM c GROUP BY host""")
+def method_counts(spark, sf_dir):
+    rows = link_candidates(spark, sf_dir)
+    return rows.groupBy(U.host_of("url").alias("host")).agg(F.count("*").alias("n"), F.count_if(F.col("score") >= 2).alias("n_strong"), F.count_if(F.col("score") < 0).alias("n_weak"))
+
+
+@query(rf"""WITH {DOCS}, s AS (SELECT doc_id, source, {s_relevance("title", "body")} AS score FROM docs_t),
+r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY score DESC, doc_id) AS rank FROM s) SELECT source, rank, doc_id, score FROM r WHERE rank <= 10""")
+def per_source_topk(spark, sf_dir):
+    rows = docs(spark, sf_dir).select("doc_id", "source", L.relevance("title", "body", FIXTURE).alias("score"))
+    return R.top_per(rows, ["source"], [F.col("score").desc(), F.col("doc_id")], 10).select("source", "rank", "doc_id", "score")
+
+
+@query(rf"""WITH {DOCS}, s AS (SELECT doc_id, source, {s_relevance("title", "body")} AS score, doc_id % 5 = 0 AS is_pdf FROM docs_t),
+o AS (SELECT *, row_number() OVER w AS place, score >= 8 AS strong, coalesce(sum(CAST(score >= 8 AS INT)) OVER (PARTITION BY source ORDER BY is_pdf, score DESC, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+      FROM s WINDOW w AS (PARTITION BY source ORDER BY is_pdf, score DESC, doc_id)),
+k AS (SELECT *, row_number() OVER (PARTITION BY source, strong, is_pdf ORDER BY place) AS turn, sum(CAST(strong AND NOT is_pdf AS INT)) OVER (PARTITION BY source) AS html
+      FROM o WHERE before < 12 AND (strong OR score >= 4)),
+b AS (SELECT *, CASE WHEN strong AND NOT is_pdf AND turn <= 9 THEN 1 WHEN NOT strong AND NOT is_pdf THEN 2 WHEN strong AND is_pdf AND html < 9 THEN 3 WHEN NOT strong AND is_pdf THEN 4 END AS bucket FROM k),
+r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY bucket, place) AS list_rank FROM b WHERE bucket IS NOT NULL)
+SELECT source AS source_name, doc_id, bucket, list_rank, score FROM r WHERE list_rank <= 18""")
+def shortlist(spark, sf_dir):
+    rows = docs(spark, sf_dir).select(F.col("source").alias("source_name"), F.col("doc_id").cast("string").alias("url"), "doc_id", L.relevance("title", "body", FIXTURE).alias("score"), (F.col("doc_id") % 5 == 0).alias("is_pdf"), F.lit(False).alias("is_report"), F.col("doc_id").alias("ord"))
+    return R.shortlist(rows, F.col("score"), cap=12, limit=18, threshold=8, backfill=4).select("source_name", "doc_id", "bucket", "list_rank", "score")
+
+
+@query(None)
+def shortlist_scores(spark, sf_dir):
+    listed, score = A.shortlist_score(CFG)
+    return link_candidates(spark, sf_dir).select("listing_url", "ord_text", listed.alias("listed"), score.alias("score"))
+
+
+@query(None)
+def fast_prefilter(spark, sf_dir):
+    sources = registry.fixture(spark).withColumn("host", F.explode("allowed_hosts"))
+    rows = link_candidates(spark, sf_dir).withColumn("host", F.explode(U.host_suffixes("url"))).join(F.broadcast(sources), "host").withColumn("p", A.fast_prefilter(CFG))
+    rows = X.bind(rows, p=F.col("p"))
+    return rows.groupBy("source_name", "p.accepted", F.array_join("p.reasons", ",").alias("reasons")).agg(F.count("*").alias("n"), F.sum("p.score").alias("score"))
+
+
+@query(rf"""WITH {DOCS}, s AS (SELECT doc_id, source, {s_relevance("title", "body")} AS score FROM docs_t),
+r AS (SELECT *, score >= 10 AS ok, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS candidate_rank FROM s),
+k AS (SELECT *, coalesce(sum(CAST(ok OR score >= 6 AS INT)) OVER (PARTITION BY source ORDER BY candidate_rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM r)
+SELECT source AS source_name, doc_id, ok AS accepted FROM k WHERE ok OR (score >= 6 AND before < 6)""")
+def prefilter_floor(spark, sf_dir):
+    rows = docs(spark, sf_dir).select(F.col("source").alias("source_name"), "doc_id", L.relevance("title", "body", FIXTURE).alias("score"))
+    rows = rows.withColumn("accepted", F.col("score") >= 10).withColumn("candidate_rank", F.row_number().over(Window.partitionBy("source_name").orderBy("doc_id")))
+    return R.prefilter_floor(rows).select("source_name", "doc_id", "accepted")
+
+
+@query(rf"""WITH {DOCS}, s AS (SELECT doc_id, source, {s_relevance("title", "body")} AS score, doc_id % 5 = 0 AS is_pdf FROM docs_t), a AS (SELECT *, score >= 14 AS ok FROM s),
+h AS (SELECT source, count(*) AS n FROM a WHERE ok AND NOT is_pdf GROUP BY source)
+SELECT a.source AS source_name, doc_id, is_pdf FROM a LEFT JOIN h ON a.source = h.source WHERE NOT is_pdf OR coalesce(n, 0) < 2""")
+def html_first_phase(spark, sf_dir):
+    rows = docs(spark, sf_dir).select(F.col("source").alias("source_name"), "doc_id", (F.col("doc_id") % 5 == 0).alias("is_pdf"), (L.relevance("title", "body", FIXTURE) >= 14).alias("accepted"))
+    return R.html_first(rows, 6).select("source_name", "doc_id", "is_pdf")
+
+
+@query(rf"""WITH RECURSIVE e AS (SELECT DISTINCT o_custkey AS src, CAST(o_custkey * 7 % 1500 + 1 AS BIGINT) AS dst FROM orders),
+t AS (SELECT DISTINCT o_custkey AS url, 0 AS depth FROM orders WHERE o_custkey < 20 UNION SELECT e.dst, t.depth + 1 FROM t JOIN e ON t.url = e.src WHERE t.depth < 2)
+SELECT url, min(depth) AS depth FROM t GROUP BY url""")
+def traversal(spark, sf_dir):
+    """Pages reached in two steps; customers stand for pages, since the test pages don't link to each other."""
+    orders = table(spark, sf_dir, "orders")
+    edges = orders.select(F.col("o_custkey").alias("src"), (F.col("o_custkey") * 7 % 1500 + 1).alias("dst")).distinct()
+    return D.reachable(edges, orders.where("o_custkey < 20").select(F.col("o_custkey").alias("url")), 2)
+
+
+@query(rf"""SELECT page_id, {s_host("url")} AS host, a.h AS allowed_host FROM pages, (VALUES ('example.com'), ('ththre.example.com'), ('example.net')) AS a(h)
+WHERE {s_host("url")} = a.h OR suffix({s_host("url")}, '.' || a.h)""")
+def host_suffix_join(spark, sf_dir):
+    hosts = spark.createDataFrame([("example.com",), ("ththre.example.com",), ("example.net",)], "allowed_host string")
+    return D.host_join(table(spark, sf_dir, "pages"), hosts).select("page_id", U.host_of("url").alias("host"), "allowed_host")
+
+
+@query("""SELECT n_name AS name, v.k AS key FROM nation, (VALUES ('IN'), ('united'), ('an'), ('FRANCE and more')) AS v(k) WHERE contains(lower(n_name), lower(v.k)) OR contains(lower(v.k), lower(n_name))""")
+def alias_join(spark, sf_dir):
+    terms = spark.createDataFrame([("IN",), ("united",), ("an",), ("FRANCE and more",)], "key string")
+    return D.alias_join(table(spark, sf_dir, "nation").select(F.col("n_name").alias("name")), terms)
+
+
+@query(rf"""WITH h AS (SELECT DISTINCT {s_host("url")} AS host FROM pages) SELECT provider, host, term, 'site:' || host || ' ' || term || ' April 7, 2026' AS query
+FROM h, (VALUES ('google'), ('bing')) AS p(provider), (VALUES ('thor'), ('erin')) AS t(term)""")
+def search_requests(spark, sf_dir):
+    hosts = table(spark, sf_dir, "pages").select(U.host_of("url").alias("host")).distinct()
+    two = lambda c, *v: spark.createDataFrame([(x,) for x in v], f"{c} string")
+    return D.search_requests(two("provider", "google", "bing"), hosts, two("term", "thor", "erin"), "2026-04-07").select("provider", "host", "term", "query")
+
+
+# --- Evidence and summaries ------------------------------------------------------------------------------------------
+
+_E = S.FIXTURE_EVIDENCE
+SENT = rf"""
+sent_t AS (SELECT doc_id, i AS pos, s[i] AS sentence, {s_sum("lower(s[i])", _E[0], 3)} + {s_sum("lower(s[i])", _E[1], 2)} + {s_sum("lower(s[i])", _E[2])} + {s_sum("lower(s[i])", _E[3])} AS score
+    FROM (SELECT doc_id, list_filter(list_transform(string_split(regexp_replace(coalesce(text, ''), '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)), lambda x: {s_space("x")}), lambda x: x <> '') AS s FROM documents), unnest(generate_series(1, len(s))) AS u(i)),
+best_t AS (SELECT doc_id, max(score) AS score, min(pos) AS pos, arg_min(sentence, pos) AS sentence FROM sent_t WHERE score > 0 GROUP BY doc_id, lower(sentence)),
+rank_t AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, pos) AS rank FROM best_t)"""
+
+
+@query(rf"""WITH {SENT} SELECT doc_id, rank, sentence, score FROM rank_t WHERE rank <= 8""")
+def evidence_sentences(spark, sf_dir):
+    return S.evidence_rows(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text", 8, _E)
+
+
+@query(rf"""WITH {SENT} SELECT doc_id, string_agg(sentence, ' ' ORDER BY rank) AS synopsis, count(*) AS n FROM rank_t WHERE rank <= 5 GROUP BY doc_id""")
+def evidence_synopsis(spark, sf_dir):
+    """The array form of the same selection: no shuffle, the document's own row."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", S.evidence_sentences("text", 5, _E).alias("e"))
+    return rows.where(F.size("e") > 0).select("doc_id", F.array_join("e", " ").alias("synopsis"), F.size("e").cast("long").alias("n"))
+
+
+@query(rf"""SELECT doc_id, len(p) AS n_all, array_to_string(CASE WHEN len(p) <= 4 THEN p ELSE k END, chr(10)) AS kept FROM (
+    SELECT doc_id, p, list_reduce(list_prepend(CAST([] AS VARCHAR[]), list_transform(list_concat(p[1:2], p[-2:]), lambda x: [x])), lambda a, b: CASE WHEN list_contains(list_transform(a, lambda y: lower(y)), lower(b[1])) THEN a ELSE list_concat(a, b) END) AS k
+    FROM (SELECT doc_id, list_filter(list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: {s_space("x")}), lambda x: x <> '') AS p FROM documents))""")
+def key_paragraphs(spark, sf_dir):
+    ps = F.filter(F.transform(F.split(X.text("text"), "\n"), X.normalize_space), lambda p: p != "")
+    return table(spark, sf_dir, "documents").select("doc_id", F.size(ps).alias("n_all"), F.array_join(R.first_paragraphs("text"), "\n").alias("kept"))
+
+
+@query(None)
+def rule_summary(spark, sf_dir):
+    rows = docs(spark, sf_dir).select("doc_id", S.rule_summary("title", "body", _E).alias("s"))
+    return rows.select("doc_id", "s.theme", "s.stance", F.length("s.synopsis").alias("n_synopsis"), F.size("s.key_points").alias("n_points"), F.array_join("s.risk_flags", ";").alias("risks"), F.array_join("s.watch_items", ";").alias("watch"))
+
+
+def articles(spark, sf_dir) -> DataFrame:
+    """Documents in the place of articles."""
+    return docs(spark, sf_dir).select(
+        F.col("source").alias("source_name"), F.concat(F.lit("https://example.com/"), F.col("doc_id").cast("string")).alias("source_url"), "title", F.lit("").alias("author"), F.lit("2026-04-07T00:00:00+00:00").alias("published_at"), F.col("body").alias("body_text"), L.scope("title", "body", FIXTURE).alias("scope"),
+        F.array(F.concat(F.lit("lang:"), F.col("lang"))).alias("warnings"), "doc_id", L.relevance("title", "body", FIXTURE).alias("score"),
+    )
+
+
+def brief_table(spark, sf_dir) -> DataFrame:
+    rows = X.bind(articles(spark, sf_dir), summary=S.rule_summary("title", "body_text", _E)).withColumn("mode", F.lit("rule"))
+    return S.brief_rows(rows, "run-1", "2026-04-07T06:00:00+00:00", CFG)
+
+
+@query(rf"""WITH {DOCS} SELECT CASE WHEN title = '' THEN coalesce(source, '') || ' Analyst Brief' WHEN length(title) <= 250 THEN title ELSE regexp_replace(left(title, 250), '\s+$', '') || '...' END AS Title, '2026-04-07' AS BriefDate,
+    'https://example.com/' || doc_id AS SourceUrl, {s_scope("lower(title || chr(10) || body)")} AS Metal,
+    CASE WHEN length(body) <= 12000 THEN body ELSE regexp_replace(left(body, 12000), '\s+$', '') || '...' END AS RawExcerpt,
+    left(sha256(lower(trim('https://example.com/' || doc_id)) || '||' || lower(trim(title)) || '||' || '2026-04-07t00:00:00+00:00'), 40) AS UniqueKey FROM docs_t""")
+def brief_rows(spark, sf_dir):
+    return brief_table(spark, sf_dir).select("Title", "BriefDate", "SourceUrl", "Metal", "RawExcerpt", "UniqueKey")
+
+
+KEYED = "keyed AS (SELECT doc_id, left(sha256(lower(trim(coalesce(source, ''))) || '||' || lower(trim(coalesce(lang, '')))), 40) AS k, lang FROM documents), held AS (SELECT DISTINCT k FROM keyed WHERE lang = 'en'), firsts AS (SELECT k, min(doc_id) AS doc_id FROM keyed GROUP BY k)"
+
+
+def keyed(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    rows = table(spark, sf_dir, "documents").select("doc_id", "lang", X.stable_key("source", "lang").alias("UniqueKey"), F.col("doc_id").alias("ord"))
+    return rows, rows.where("lang = 'en'").select("UniqueKey")
+
+
+@query(f"""WITH {KEYED} SELECT k AS "UniqueKey", doc_id FROM firsts WHERE k NOT IN (SELECT k FROM held)""")
+def sink_new_rows(spark, sf_dir):
+    return sinks.new_rows(*keyed(spark, sf_dir)).select("UniqueKey", "doc_id")
+
+
+@query(f"""WITH {KEYED} SELECT keyed.k AS "UniqueKey", keyed.doc_id FROM keyed WHERE NOT EXISTS (SELECT 1 FROM firsts f WHERE f.k = keyed.k AND f.doc_id = keyed.doc_id AND f.k NOT IN (SELECT k FROM held))""")
+def sink_duplicates(spark, sf_dir):
+    return sinks.duplicate_rows(*keyed(spark, sf_dir)).select("UniqueKey", "doc_id")
+
+
+@query(f"""WITH {KEYED} SELECT n AS created, t - n AS skipped, t AS total FROM (SELECT count(*) AS n FROM firsts WHERE k NOT IN (SELECT k FROM held)), (SELECT count(*) AS t FROM keyed)""")
+def sink_counters(spark, sf_dir):
+    rows, existing = keyed(spark, sf_dir)
+    return sinks.counters(sinks.new_rows(rows, existing), sinks.duplicate_rows(rows, existing))
+
+
+@query(None)
+def digest_groups(spark, sf_dir):
+    rows = brief_table(spark, sf_dir).withColumn("ord", F.xxhash64("UniqueKey"))
+    return S.digest_groups(rows).select("label", "section", "place", "text", "source", "url")
+
+
+@query(rf"""WITH {DOCS}, s AS (SELECT doc_id, {s_relevance("title", "body")} AS score, doc_id % 3 = 0 AS dated FROM docs_t)
+SELECT CAST(doc_id AS VARCHAR) AS source_url, CASE WHEN dated THEN '' ELSE '2026-04-0' || (doc_id % 9 + 1) END AS published_at, score FROM s ORDER BY published_at DESC, score DESC, source_url LIMIT 40""")
+def final_order(spark, sf_dir):
+    rows = docs(spark, sf_dir).select(F.col("doc_id").cast("string").alias("source_url"), F.when(F.col("doc_id") % 3 == 0, "").otherwise(F.concat(F.lit("2026-04-0"), (F.col("doc_id") % 9 + 1).cast("string"))).alias("published_at"), L.relevance("title", "body", FIXTURE).alias("score"))
+    return R.final_order(rows, 40)
+
+
+@query(rf"""WITH {PAGES}, v AS (SELECT norm_url, page_id, {s_relevance("title", "body")} AS r, length(body) AS n FROM pages_t)
+SELECT norm_url, max(page_id) AS page_id FROM v JOIN (SELECT norm_url, max(r * 1000000 + n) AS m FROM v GROUP BY norm_url) USING (norm_url) WHERE r * 1000000 + n = m GROUP BY norm_url""")
+def better_page(spark, sf_dir):
+    rows = pages(spark, sf_dir).withColumn("r", L.relevance("title", "body", FIXTURE))
+    return R.better_page(rows, "norm_url", F.struct(F.col("r").alias("a"), F.length("body").alias("b")), "page_id").select("norm_url", "page_id")
+
+
+@query(r"""SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, event_type AS first_kind FROM events""")
+def warnings_map(spark, sf_dir):
+    """Key and value warnings read back by their first key."""
+    k = F.get_json_object("props", "$.k")
+    w = F.array(F.concat(F.lit("k:"), k), F.concat(F.lit("kind:"), F.col("event_type")), F.lit("kind:later"), F.lit("plain"))
+    return table(spark, sf_dir, "events").select("event_id", sinks.warning_value(w, "k").cast("long").alias("k"), sinks.warning_value(w, "kind").alias("first_kind"))
+
+
+# --- Pages: quality, type, verification, acceptance ------------------------------------------------------------------
+
+
+@query(rf"""WITH {PAGES} SELECT p.page_id, CAST(4 + CASE WHEN title <> '' THEN 3 ELSE 0 END + least(4, length(html) // 1200) + least(4, length(body) // 600) + CASE WHEN length(body) >= 120 THEN 2 ELSE 0 END
+    - CASE WHEN {s_any(f"lower({s_space('html')})", L.C.BLOCK_PHRASES)} THEN 6 ELSE 0 END AS INTEGER) AS quality FROM pages_t p JOIN pages USING (page_id)""")
+def page_quality(spark, sf_dir):
+    rows = table(spark, sf_dir, "pages").withColumn("title", H.title_tag("html")).withColumn("body", H.article_text("html")).withColumn("status", F.lit(200))
+    return rows.select("page_id", A.page_quality("status", "html", "body", "title", "article", 120).alias("quality"))
+
+
+@query(None)
+def page_metrics(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", H.narrative_metrics("html").alias("m")).select("page_id", "m.*")
+
+
+@query(None)
+def page_type(spark, sf_dir):
+    from . import engine
+
+    rows = engine.extract(table(spark, sf_dir, "pages"), CFG)
+    rows = rows.select("source_url", A.page_type("title", "body_text", F.col("source_url"), CFG, F.col("metrics"), H.quote_signal("title", "body_text", "source_url")).alias("page_type"))
+    return rows.groupBy("page_type").agg(F.count("*").alias("n"))
+
+
+def page_config() -> Config:
+    return replace(CFG, target_date="2026-04-07", run_date="2026-04-07")
+
+
+def dated_pages(spark, sf_dir) -> DataFrame:
+    """Pages of which two thirds were listed as of today."""
+    return table(spark, sf_dir, "pages").withColumn("published_hint", F.when(F.col("page_id") % 3 > 0, "2 hours ago").otherwise(""))
+
+
+@query(None)
+def page_verification(spark, sf_dir):
+    from . import engine
+
+    rows = engine.verified(engine.with_source(engine.extract(dated_pages(spark, sf_dir), page_config()), registry.fixture(spark)), page_config())
+    v = "verification"
+    return rows.select("source_url", "source_name", f"{v}.has_target_metal", f"{v}.has_market_context", f"{v}.has_valid_same_day_date", f"{v}.page_type", f"{v}.score", f"{v}.confidence", F.array_join(f"{v}.reject_reasons", ",").alias("rejects"))
+
+
+@query(None)
+def article_acceptance(spark, sf_dir):
+    from . import engine
+
+    rows = engine.judge(dated_pages(spark, sf_dir), registry.fixture(spark), page_config())
+    return rows.select("source_url", "source_name", "acceptance.accepted", "acceptance.score", F.array_join("acceptance.reasons", ",").alias("reasons"), "relevance.should_summarize", F.col("relevance.scope").alias("relevant_scope"))
+
+
+@query(None)
+def daily_run(spark, sf_dir):
+    """The whole run over the pages: brief rows of accepted articles."""
+    from . import engine
+
+    found = engine.articles(dated_pages(spark, sf_dir), registry.fixture(spark), replace(page_config(), max_articles_total=1000, per_source_limit=200))
+    return engine.briefs(found, page_config(), "run-1", "2026-04-07T06:00:00+00:00", _E).select("UniqueKey", "Title", "SourceName", "SourceUrl", "Metal", "Theme", "Stance")
+
+
+# --- Events: the batch form of the streams ----------------------------------------------------------------------------
+
+
+@query("""SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2""")
+def events_daily(spark, sf_dir):
+    return audit.daily(table(spark, sf_dir, "events"), "ts", "event_type")
+
+
+@query("""SELECT user_id, event_type, min(event_id) AS event_id, count(*) AS n FROM events GROUP BY 1, 2""")
+def events_dedup(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    first = R.best_by(events.select("user_id", "event_type", "event_id"), ["user_id", "event_type"], [-F.col("event_id")])
+    return first.join(events.groupBy("user_id", "event_type").agg(F.count("*").alias("n")), ["user_id", "event_type"])
+
+
+@query("""WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM events),
+s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g)
+SELECT user_id, min(ts) AS started, max(ts) + INTERVAL 30 MINUTE AS ended, count(*) AS n FROM s GROUP BY user_id, k""")
+def events_sessions(spark, sf_dir):
+    return audit.sessions(table(spark, sf_dir, "events"), "user_id", "ts").select("user_id", "started", "ended", "n")
+
+
+@query("""SELECT CASE WHEN grouping(event_type) = 1 THEN 'all' ELSE event_type END AS stage, CASE WHEN grouping(d) = 1 THEN NULL ELSE d END AS day, count(*) AS n, count_if(value > 50) AS n_high
+FROM (SELECT event_type, CAST(ts AS DATE) AS d, value FROM events) GROUP BY ROLLUP (event_type, d)""")
+def audit_rollup(spark, sf_dir):
+    """An extension: counts by stage and day, with totals."""
+    rows = table(spark, sf_dir, "events").select("event_type", F.to_date("ts").alias("day"), "value")
+    out = rows.rollup("event_type", "day").agg(F.count("*").alias("n"), F.count_if(F.col("value") > 50).alias("n_high"), F.grouping("event_type").alias("g"))
+    return out.select(F.when(F.col("g") == 1, "all").otherwise(F.col("event_type")).alias("stage"), "day", "n", "n_high")
+
+
+@query("""SELECT u.event_type AS stage, count(DISTINCT user_id) AS users, count(*) AS n FROM events u GROUP BY 1""")
+def audit_funnel(spark, sf_dir):
+    """An extension: how many come to each stage."""
+    return table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("stage")).agg(F.countDistinct("user_id").alias("users"), F.count("*").alias("n"))
