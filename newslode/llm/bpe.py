@@ -23,11 +23,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import hex_digest, text_rows, texts_of
+from .common import batches, hex_digest, text_rows, texts_of
 from .pretokens import words_of
 
 #: Words that every task knows, and documents (about) in which they are counted. They change the cost, never the result.
-FREQUENT, COUNT_DOCS = 131_072, 20_000
+FREQUENT, COUNT_DOCS = 262_144, 30_000
 #: Characters of a chunk; a longer text is a chunk of its own.
 CHUNK_CHARS = 1_000_000
 #: Bytes of a word beyond which the fold, whose cost grows with their square, gives way to a heap.
@@ -138,13 +138,9 @@ def frequent_words(docs: DataFrame, pattern: str, literal: Column, most: int, co
     return [(r.word, list(r.ids)) for r in top.select("word", let(literal, lambda ranks: encode_word(F.col("word"), ranks)).alias("ids")).collect()]
 
 
-class Known:
-    """Ids of the frequent words, end to end."""
-
-    def __init__(self, rows: list[tuple[str, list[int]]]):
-        self.number = {w: i for i, (w, _) in enumerate(rows)}
-        self.size = np.array([len(x) for _, x in rows], np.int64)
-        self.ids = np.array([i for _, x in rows for i in x], np.int32)
+def end_to_end(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of some words, and how many each has."""
+    return np.array([i for x in lists for i in x], np.int32), np.array([len(x) for x in lists], np.int64)
 
 
 def gather(codes: np.ndarray, flat: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -163,18 +159,21 @@ def encode(spark: SparkSession, docs: DataFrame, path: str, pattern: str, freque
     """
     ranks = load_ranks(path)
     literal = rank_map(ranks)
-    known = spark.sparkContext.broadcast(Known(frequent_words(docs, pattern, literal, frequent, count_docs)))
+    words = frequent_words(docs, pattern, literal, frequent, count_docs)
+    # Two broadcasts, each for one kind of task: a worker holds no more than it needs.
+    numbers = spark.sparkContext.broadcast({w: i for i, (w, _) in enumerate(words)})
+    known_ids = spark.sparkContext.broadcast(end_to_end([x for _, x in words]))
     table = spark.sparkContext.broadcast(ranks)
 
     def split(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, number = words_of(pattern), known.value.number
+        words, number = words_of(pattern), numbers.value
         base = len(number)
 
         def chunk(ids: list, sizes: list, codes: list, rare: dict) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([ids], pa.list_(pa.int64())), pa.array([np.array(sizes, np.int64).tobytes()]), pa.array([np.concatenate([np.zeros(0, np.int32), *codes]).astype(np.int32).tobytes()]), pa.array([list(rare)], pa.list_(pa.string()))], names=["docs", "sizes", "codes", "rare"])
 
         ids, sizes, codes, rare, chars = [], [], [], {}, 0
-        for b in it:
+        for b in batches(it, 4_000_000):
             for doc, text in zip(b.column("doc_id").to_pylist(), texts_of(b.column("text")), strict=True):
                 if ids and chars + len(text) > CHUNK_CHARS:
                     yield chunk(ids, sizes, codes, rare)
@@ -193,12 +192,13 @@ def encode(spark: SparkSession, docs: DataFrame, path: str, pattern: str, freque
             yield chunk(ids, sizes, codes, rare)
 
     def assemble(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        k = known.value
+        known_flat, known_size = known_ids.value
         for b in it:
-            for doc, sizes, codes, rare, found in zip(*(b.column(c).to_pylist() for c in ("docs", "sizes", "codes", "rare", "found")), strict=True):
+            for n in range(b.num_rows):  # a chunk at a time, so that no more than one is unpacked
+                doc, sizes, codes, rare, found = (b.column(c)[n].as_py() for c in ("docs", "sizes", "codes", "rare", "found"))
                 found = [x if x is not None else encode_long(w.encode(), table.value) for w, x in zip(rare, found, strict=True)]
-                size = np.concatenate([k.size, np.array([len(x) for x in found], np.int64)])
-                flat = np.concatenate([k.ids, np.array([i for x in found for i in x], np.int32)])
+                own_flat, own_size = end_to_end(found)
+                size, flat = np.concatenate([known_size, own_size]), np.concatenate([known_flat, own_flat])
                 word = np.frombuffer(codes, np.int32)
                 doc_of = np.repeat(np.arange(len(doc)), np.frombuffer(sizes, np.int64))
                 many = np.bincount(doc_of, weights=size[word], minlength=len(doc)).astype(np.int64)
@@ -219,6 +219,13 @@ def pieces_of(path: str) -> list[bytes]:
     return out
 
 
+def decoded_rows(b: pa.RecordBatch, ids: int, table: list[bytes]) -> Iterator[tuple[list[int], bytes]]:
+    """ids and bytes of each row, unpacked row by row."""
+    for n in range(b.num_rows):
+        own = b.column(ids)[n].as_py() or []
+        yield own, b"".join(map(table.__getitem__, own))
+
+
 def decode(spark: SparkSession, encoded: DataFrame, path: str) -> DataFrame:
     """encoded and a column decoded (binary): the pieces of ids, concatenated. Null ids give empty bytes."""
     pieces = spark.sparkContext.broadcast(pieces_of(path))
@@ -226,25 +233,22 @@ def decode(spark: SparkSession, encoded: DataFrame, path: str) -> DataFrame:
     schema = ", ".join(f"`{n}` {t}" for n, t in encoded.dtypes) + ", decoded binary"
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pieces.value
         for b in it:
-            found = [b"".join(map(table.__getitem__, x or ())) for x in b.column(columns.index("ids")).to_pylist()]
+            found = [data for _, data in decoded_rows(b, columns.index("ids"), pieces.value)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, pa.binary())], names=[*columns, "decoded"])
 
     return encoded.mapInArrow(run, schema)
 
 
-def digests(decoded: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256."""
+def round_trip(spark: SparkSession, docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """Encode and decode every row of docs: doc_id, n_tokens, ids_sha256, decoded_sha256."""
+    pieces = spark.sparkContext.broadcast(pieces_of(path))
+    kinds = [pa.int64(), pa.string(), pa.string()]
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
-            ids = b.column("ids").to_pylist()
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([len(x) for x in ids], pa.int64()), pa.array([hex_digest(",".join(map(str, x)).encode()) for x in ids], pa.string()), pa.array([hex_digest(x) for x in b.column("decoded").to_pylist()], pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return decoded.select("doc_id", "ids", "decoded").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+            found = [(len(ids), hex_digest(",".join(map(str, ids)).encode()), hex_digest(data)) for ids, data in decoded_rows(b, 1, pieces.value)]
+            cols = [pa.array([x[i] for x in found], t) for i, t in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([b.column(0), *cols], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-
-def round_trip(spark: SparkSession, docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """Encode, decode and digest every row of docs."""
-    return digests(decode(spark, encode(spark, docs, path, pattern), path))
+    return encode(spark, docs, path, pattern).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
