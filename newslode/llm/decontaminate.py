@@ -324,6 +324,6 @@ def clean(docs: DataFrame, benchmark: DataFrame, size: int = 13, block_bytes: in
                 yield b.filter(pa.array((hits == 0) | (20 * hits < words)))
 
         return docs.mapInArrow(run, docs.schema)
-    bad = report(docs, benchmark, size, block_bytes).where("contaminated").select(F.col("doc_id").alias("__bad"), F.col("row").alias("__bad_row")).distinct().hint("merge")
-    own = docs.withColumn("__row", F.xxhash64(F.col("text").cast("string")))
-    return own.join(bad, (own.doc_id == bad["__bad"]) & (own["__row"] == bad["__bad_row"]), "left_anti").select(*docs.columns)
+    bad = report(docs, benchmark, size, block_bytes).where("contaminated").select(F.col("doc_id").alias("__newslode_bad"), F.col("row").alias("__newslode_bad_row")).distinct().hint("merge")
+    own = docs.withColumn("__newslode_row", F.xxhash64(F.col("text").cast("string")))
+    return own.join(bad, (F.col("doc_id") == F.col("__newslode_bad")) & (F.col("__newslode_row") == F.col("__newslode_bad_row")), "left_anti").select(*docs.columns)

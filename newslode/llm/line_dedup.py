@@ -26,6 +26,8 @@ from .common import SPACE, hex_digest, partitions_for, stash, text_rows, texts_o
 LINES = pa.schema([("key", pa.binary()), ("doc_id", pa.int64()), ("row", pa.int64()), ("at", pa.list_(pa.int32()))])
 PARTS = pa.schema([("key", pa.binary()), ("doc_id", pa.int64()), ("row", pa.int64()), ("at", pa.list_(pa.int32())), ("kind", pa.int32()), ("n", pa.int64())])
 DROP, OPEN, SUMMARY = 0, 1, 2
+#: Names that no input column has.
+ROW, KEY, KEY_ROW, DROPS = (f"__newslode_{n}" for n in ("row", "key", "key_row", "drops"))
 
 
 def line_key(line: str) -> str:
@@ -142,11 +144,11 @@ def dropped_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> Da
 
 
 def with_drops(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
-    """The rows of docs with the column drops (null: none)."""
-    own = docs.withColumn("row", F.xxhash64(F.col("text").cast("string")))
+    """The rows of docs with the column DROPS (null: none)."""
+    own = docs.withColumn(ROW, F.xxhash64(F.col("text").cast("string")))
     # Always a merge join: the drops grow with the documents, and the plan shall not change with the size.
-    found = dropped_lines(docs, min_chars, min_docs).select(F.col("doc_id").alias("drop_id"), F.col("row").alias("drop_row"), "drops").hint("merge")
-    return own.join(found, (own.doc_id == found.drop_id) & (own.row == found.drop_row), "left").drop("drop_id", "drop_row", "row")
+    found = dropped_lines(docs, min_chars, min_docs).select(F.col("doc_id").alias(KEY), F.col("row").alias(KEY_ROW), F.col("drops").alias(DROPS)).hint("merge")
+    return own.join(found, (F.col("doc_id") == F.col(KEY)) & (F.col(ROW) == F.col(KEY_ROW)), "left").drop(KEY, KEY_ROW, ROW)
 
 
 def kept_text(text: str | None, drops: bytes | None) -> tuple[str | None, int, int]:
@@ -169,7 +171,7 @@ def report(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame
             cols = [b.column("doc_id").to_pylist(), [x[1] for x in found], [x[2] for x in found], [hex_digest(x[0].encode()) for x in found], drops]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
 
-    return with_drops(text_rows(docs), min_chars, min_docs).select("doc_id", "text", "drops").mapInArrow(digest, "doc_id long, n_lines long, n_dropped long, kept_sha256 string, drops binary")
+    return with_drops(text_rows(docs), min_chars, min_docs).select("doc_id", "text", F.col(DROPS).alias("drops")).mapInArrow(digest, "doc_id long, n_lines long, n_dropped long, kept_sha256 string, drops binary")
 
 
 def dedup(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
@@ -181,7 +183,7 @@ def dedup(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
         return text.combine(drops, lambda t, d: kept_text(t, d)[0])
 
     out = with_drops(docs, min_chars, min_docs)
-    out = out.withColumn("text", F.when(F.col("drops").isNull(), F.col("text")).otherwise(cut("text", "drops")))
+    out = out.withColumn("text", F.when(F.col(DROPS).isNull(), F.col("text")).otherwise(cut("text", DROPS)))
     if "n_chars" in names:
-        out = out.withColumn("n_chars", F.when(F.col("drops").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+        out = out.withColumn("n_chars", F.when(F.col(DROPS).isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
     return out.select(*names)

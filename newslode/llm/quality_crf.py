@@ -67,7 +67,8 @@ def line_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
     steps = odd > np.array([0.4, 0.01, 0.01, 0.03, 0.25, 0.2])
     own = np.concatenate([np.ones((len(start), 1)), odd, curved, steps, np.stack([share[POINT], share[BLANK]], 1)], 1)
     first = np.zeros(len(start), bool)
-    first[np.concatenate([np.zeros(1, np.int64), np.cumsum(per_doc)[:-1]])] = True
+    if len(start):
+        first[np.concatenate([np.zeros(1, np.int64), np.cumsum(per_doc)[:-1]])] = True
     last = np.roll(first, -1)
     near = np.concatenate([curved, steps], 1)
     before, after = np.roll(near, 1, 0), np.roll(near, -1, 0)

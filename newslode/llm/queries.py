@@ -88,7 +88,7 @@ _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 ORACLE_SQL = {
     "op3_line_dedup": f"""
         WITH lines AS (
-            SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS at
+            SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
             FROM documents
         ), keyed AS (SELECT *, translate(trim(line, {_BLANK}), {_LOWER}) AS key FROM lines),
         lost AS (
@@ -97,6 +97,6 @@ ORACLE_SQL = {
             SELECT k.*, l.key IS NOT NULL AND k.doc_id <> l.keeper AS drop_it FROM keyed k LEFT JOIN lost l ON k.key = l.key
         )
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE drop_it) AS n_dropped,
-               sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (WHERE NOT drop_it), '')) AS kept_sha256
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT drop_it), '')) AS kept_sha256
         FROM judged GROUP BY doc_id""",
 }

@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from .common import partitions_for, stash, text_rows, texts_of
 
 SEED = 42
+#: A name that no input column has.
+GONE = "__newslode_gone"
 #: Generator polynomials of the binary Golay code (23, 12) and the Hamming code (15, 11) (fixed values).
 GOLAY, HAMMING = 0b110001110101, 0b10011
 BLOCKS = ((0, 23, GOLAY, 11, 3), (23, 23, GOLAY, 11, 3), (46, 15, HAMMING, 4, 1))
@@ -272,5 +274,5 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """docs without all but the smallest doc_id of each component; rows with a null id stay."""
-    gone = near_duplicates(docs).where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone.hint("merge"), docs.doc_id == gone.gone_id, "left_anti").select(*docs.columns)
+    gone = near_duplicates(docs).where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(GONE)).distinct()
+    return docs.join(gone.hint("merge"), F.col("doc_id") == F.col(GONE), "left_anti").select(*docs.columns)
