@@ -24,12 +24,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_own_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; only where none is named, one of our own."""
+    """The folder all executors share, by spark.checkpoint.dir; only where a session names none, as in tests, one of our own."""
     known = spark.conf.get("spark.checkpoint.dir", None)
     if not known:
-        known = "file://" + tempfile.mkdtemp(prefix="newslode-shared-")
-        spark.conf.set("spark.checkpoint.dir", known)
+        app = spark.sparkContext.applicationId
+        known = _own_dirs.setdefault(app, "") or "file://" + tempfile.mkdtemp(prefix="spark-newslode-")
+        _own_dirs[app] = known
     return known.rstrip("/")
 
 
