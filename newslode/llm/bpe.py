@@ -3,7 +3,7 @@
 A word's merges are a fold of Spark's higher-order functions: the state is the
 places where the word is cut and the rank of each adjacent pair of pieces, a
 step joins the leftmost pair of lowest rank, and ranks are read from a literal map
-(an array of hash buckets, since Spark searches a plain map from end to end).
+(a hash table of two choices, since Spark searches a plain map from end to end).
 Only distinct words are folded: first the most frequent words of a sample, FREQUENT at
 most, which every task then knows; of all other words, those of each chunk of documents,
 in the chunk's own row. No shuffle is needed and any words give the same ids.
@@ -32,7 +32,7 @@ FREQUENT, COUNT_DOCS = 262_144, 30_000
 CHUNK_CHARS = 1_000_000
 #: Bytes of a word beyond which the fold, whose cost grows with their square, gives way to a heap.
 LONG_WORD = 1_000
-BUCKET_BITS = 16
+SLOT_BITS = 17
 NONE = 2**31 - 1
 
 
@@ -41,15 +41,28 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f.read().splitlines())}
 
 
+def two_slots(h: int) -> tuple[int, int]:
+    mask = (1 << SLOT_BITS) - 1
+    return h & mask, (h >> 24) & mask
+
+
 def rank_map(ranks: dict[bytes, int]) -> Column:
-    """The ranks as a literal: for each hash of the bytes a bucket of keys and ranks."""
-    buckets: list[tuple[list, list]] = [([], []) for _ in range(1 << BUCKET_BITS)]
+    """The ranks as a literal: slots that hold a piece's 64-bit hash and its rank; each piece lies in one of its two slots."""
+    mask = (1 << SLOT_BITS) - 1
+    keys, values = [0] * (mask + 1), [NONE] * (mask + 1)
     for piece, rank in ranks.items():
-        k, r = buckets[xxhash.xxh64_intdigest(piece, 42) & ((1 << BUCKET_BITS) - 1)]  # as Spark's xxhash64
-        k.append(base64.b64encode(piece).decode())
-        r.append(rank)
-    text = json.dumps([{"k": k, "r": r} for k, r in buckets], separators=(",", ":"))
-    return F.from_json(F.lit(text), "array<struct<k:array<binary>,r:array<int>>>")
+        h, r = xxhash.xxh64_intdigest(piece, 42), rank  # as Spark's xxhash64
+        at = two_slots(h)[0]
+        for _ in range(1000):  # who lies there moves to the other slot
+            keys[at], h, values[at], r = h, keys[at], r, values[at]
+            if not h:
+                break
+            first, second = two_slots(h)
+            at = second if at == first else first
+        else:
+            raise ValueError("the table is too full")
+    signed = [h - (1 << 64) if h >> 63 else h for h in keys]
+    return F.from_json(F.lit(json.dumps({"h": signed, "r": values}, separators=(",", ":"))), "struct<h:array<bigint>,r:array<int>>")
 
 
 def let(value: Column, body) -> Column:
@@ -62,8 +75,10 @@ def encode_word(word: Column, ranks: Column) -> Column:
     data = word.cast("binary")
 
     def rank(x: Column) -> Column:
-        found = lambda v: let(F.element_at(ranks, F.xxhash64(v).bitwiseAND(F.lit((1 << BUCKET_BITS) - 1)).cast("int") + 1), lambda b: F.get(b["r"], F.array_position(b["k"], v).cast("int") - 1))
-        return F.coalesce(let(x, found), F.lit(NONE))
+        """Equal hashes are taken for equal pieces: by chance one lookup in 10**14 errs, and the word's ids then decode to other bytes."""
+        slot = lambda h, shift: F.shiftrightunsigned(h, shift).bitwiseAND(F.lit((1 << SLOT_BITS) - 1)).cast("int") if shift else h.bitwiseAND(F.lit((1 << SLOT_BITS) - 1)).cast("int")
+        found = lambda h: F.when(F.get(ranks["h"], slot(h, 0)) == h, F.get(ranks["r"], slot(h, 0))).when(F.get(ranks["h"], slot(h, 24)) == h, F.get(ranks["r"], slot(h, 24))).otherwise(F.lit(NONE))
+        return let(F.xxhash64(x), found)
 
     def piece(b: Column, start: Column, end: Column) -> Column:
         return F.substring(b, start + 1, end - start)
@@ -116,8 +131,8 @@ def encode_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[word[i : end[i]]] for i in range(n) if alive[i]]
 
 
-def frequent_words(docs: DataFrame, pattern: str, literal: Column, most: int, count_docs: int) -> list[tuple[str, list[int]]]:
-    """The most frequent words of a sample of documents and their ids, folded by Spark; most rows at most reach the driver."""
+def frequent_words(docs: DataFrame, pattern: str, literal: Column, most: int, count_docs: int) -> pa.Table:
+    """word, ids: the most frequent words of a sample of documents, folded by Spark; `most` rows at most reach the driver, in Arrow's few MB."""
     total = docs.count()
     sample = text_rows(docs).where((F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)) * F.lit(total) < count_docs)
 
@@ -135,7 +150,7 @@ def frequent_words(docs: DataFrame, pattern: str, literal: Column, most: int, co
 
     words = sample.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).where(F.octet_length("word") <= 64)
     top = words.orderBy(F.col("n").desc(), "word").limit(most).repartition(max(8, docs.sparkSession.sparkContext.defaultParallelism), "word")
-    return [(r.word, list(r.ids)) for r in top.select("word", let(literal, lambda ranks: encode_word(F.col("word"), ranks)).alias("ids")).collect()]
+    return top.select("word", let(literal, lambda ranks: encode_word(F.col("word"), ranks)).alias("ids")).toArrow()
 
 
 def end_to_end(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
@@ -161,8 +176,10 @@ def encode(spark: SparkSession, docs: DataFrame, path: str, pattern: str, freque
     literal = rank_map(ranks)
     words = frequent_words(docs, pattern, literal, frequent, count_docs)
     # Two broadcasts, each for one kind of task: a worker holds no more than it needs.
-    numbers = spark.sparkContext.broadcast({w: i for i, (w, _) in enumerate(words)})
-    known_ids = spark.sparkContext.broadcast(end_to_end([x for _, x in words]))
+    numbers = spark.sparkContext.broadcast({w: i for i, w in enumerate(words.column("word").to_pylist())})
+    lists = words.column("ids").combine_chunks()
+    known_ids = spark.sparkContext.broadcast((lists.flatten().to_numpy(zero_copy_only=False).astype(np.int32), np.diff(lists.offsets.to_numpy()).astype(np.int64)))
+    del words, lists
     table = spark.sparkContext.broadcast(ranks)
 
     def split(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,9 +212,12 @@ def encode(spark: SparkSession, docs: DataFrame, path: str, pattern: str, freque
         known_flat, known_size = known_ids.value
         for b in it:
             for n in range(b.num_rows):  # a chunk at a time, so that no more than one is unpacked
-                doc, sizes, codes, rare, found = (b.column(c)[n].as_py() for c in ("docs", "sizes", "codes", "rare", "found"))
-                found = [x if x is not None else encode_long(w.encode(), table.value) for w, x in zip(rare, found, strict=True)]
-                own_flat, own_size = end_to_end(found)
+                doc, sizes, codes = (b.column(c)[n].as_py() for c in ("docs", "sizes", "codes"))
+                found = b.column("found")[n].values
+                if found.null_count:
+                    own_flat, own_size = end_to_end([x if x is not None else encode_long(w.encode(), table.value) for w, x in zip(b.column("rare")[n].as_py(), found.to_pylist(), strict=True)])
+                else:
+                    own_flat, own_size = found.flatten().to_numpy(zero_copy_only=False).astype(np.int32), np.diff(found.offsets.to_numpy()).astype(np.int64)
                 size, flat = np.concatenate([known_size, own_size]), np.concatenate([known_flat, own_flat])
                 word = np.frombuffer(codes, np.int32)
                 doc_of = np.repeat(np.arange(len(doc)), np.frombuffer(sizes, np.int64))
@@ -221,8 +241,12 @@ def pieces_of(path: str) -> list[bytes]:
 
 def decoded_rows(b: pa.RecordBatch, ids: int, table: list[bytes]) -> Iterator[tuple[list[int], bytes]]:
     """ids and bytes of each row, unpacked row by row."""
-    for n in range(b.num_rows):
-        own = b.column(ids)[n].as_py() or []
+    lists = b.column(ids)
+    flat, valid = lists.flatten().to_numpy(zero_copy_only=False), lists.is_valid().to_numpy(zero_copy_only=False)
+    many = np.where(valid, np.diff(lists.offsets.to_numpy()), 0)
+    end = np.cumsum(many)
+    for a, z in zip((end - many).tolist(), end.tolist()):
+        own = flat[a:z].tolist()
         yield own, b"".join(map(table.__getitem__, own))
 
 
@@ -246,8 +270,9 @@ def round_trip(spark: SparkSession, docs: DataFrame, path: str, pattern: str) ->
     kinds = [pa.int64(), pa.string(), pa.string()]
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shown = [str(i) for i in range(len(pieces.value))].__getitem__
         for b in it:
-            found = [(len(ids), hex_digest(",".join(map(str, ids)).encode()), hex_digest(data)) for ids, data in decoded_rows(b, 1, pieces.value)]
+            found = [(len(ids), hex_digest(",".join(map(shown, ids)).encode()), hex_digest(data)) for ids, data in decoded_rows(b, 1, pieces.value)]
             cols = [pa.array([x[i] for x in found], t) for i, t in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([b.column(0), *cols], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
