@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, batches, buffer_of, byte_table, held_out, rows_of, spans, word_hashes
+from .common import SPACE, batches, buffer_of, byte_table, held_out, spans, word_hashes
 from .labels import labelled_sample
 
 #: Labelled rows of each class, and characters of each, from which the field is trained.

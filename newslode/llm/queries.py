@@ -85,6 +85,8 @@ QUERIES = {
 _BLANK = r"chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
+_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
 ORACLE_SQL = {
     "op3_line_dedup": f"""
         WITH lines AS (
@@ -99,4 +101,18 @@ ORACLE_SQL = {
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE drop_it) AS n_dropped,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT drop_it), '')) AS kept_sha256
         FROM judged GROUP BY doc_id""",
+    "op10_decontamination": rf"""
+        WITH dw AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '{_WORD}') AS w FROM documents),
+        bw AS (SELECT item_id, regexp_extract_all(translate(text, {_LOWER}), '{_WORD}') AS w FROM benchmark WHERE text IS NOT NULL),
+        bwin AS (
+            SELECT DISTINCT item_id, least(13, len(w)) AS l, array_to_string(w[i:i + least(13, len(w)) - 1], ' ') AS g
+            FROM bw, unnest(generate_series(1, len(w) - least(13, len(w)) + 1)) AS s(i) WHERE len(w) > 0
+        ), ls AS (SELECT DISTINCT l FROM bwin),
+        dwin AS (SELECT doc_id, l, i, array_to_string(w[i:i + l - 1], ' ') AS g FROM dw, ls, unnest(generate_series(1, len(w) - l + 1)) AS s(i)),
+        occ AS (SELECT DISTINCT doc_id, l, i, item_id FROM dwin JOIN bwin USING (l, g)),
+        hit AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(generate_series(i, i + l - 1)) AS p FROM occ) GROUP BY doc_id),
+        its AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM occ) GROUP BY doc_id)
+        SELECT dw.doc_id, len(w) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(its.n, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+               coalesce(hit.n, 0) > 0 AND 20 * coalesce(hit.n, 0) >= len(w) AS contaminated
+        FROM dw LEFT JOIN hit ON dw.doc_id = hit.doc_id LEFT JOIN its ON dw.doc_id = its.doc_id""",
 }

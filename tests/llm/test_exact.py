@@ -239,7 +239,9 @@ COLS = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 def test_decontamination(spark, odd, docs, empty, data):
     bench = spark.read.parquet(f"{data}/benchmark.parquet")
     items = [(r.item_id, r.text) for r in bench.collect()]
-    assert keyed(queries.op10_decontamination(spark, data), *COLS) == contamination_expected(texts(docs), items)
+    found = queries.op10_decontamination(spark, data)
+    assert keyed(found, *COLS) == contamination_expected(texts(docs), items)
+    assert rows(found) == sql_rows(queries.ORACLE_SQL["op10_decontamination"], data)[1]
     short = [(900, "brown FOX"), (901, "over the"), (902, ""), (903, None), (904, "naïve"), (905, "word"), (906, "the quick brown fox jumps over the lazy dog again and again short the quick")]
     more = bench.unionByName(spark.createDataFrame(short, "item_id long, text string"))
     want = contamination_expected(texts(odd), items + short)

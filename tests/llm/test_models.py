@@ -6,7 +6,6 @@ import re
 
 import numpy as np
 import pyarrow as pa
-import pytest
 from pyspark.sql import functions as F
 
 from newslode.llm import language, license_scan, quality_crf, queries, toxicity, weighted_sampling
