@@ -30,6 +30,8 @@ WORD = re.compile(rb"[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 SEPARATORS = bytes([*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)])
 #: Benchmark text in one broadcast.
 BLOCK_BYTES = 4_000_000
+#: Bytes of text in a shard.
+SHARD_BYTES = 5_000_000
 #: A suffix position is kept for each of so many positions of a shard's sequence.
 SAMPLE = 8
 
@@ -212,7 +214,7 @@ def finder(block):
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         phrases = block.value
-        for b in batches(it):
+        for b in batches(it, SHARD_BYTES):
             data, offsets = buffer_of(b.column("text"))
             words, pairs, hit, doc = shard_hits(to[data], offsets, phrases)
             n = b.num_rows
@@ -317,7 +319,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, size: int = 13, block_bytes: in
         at, to = docs.columns.index("text"), byte_table(SEPARATORS)
 
         def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches(it):
+            for b in batches(it, SHARD_BYTES):
                 data, offsets = buffer_of(b.column(at))
                 words, _, hit, doc = shard_hits(to[data], offsets, block.value)
                 hits = np.bincount(doc, weights=hit, minlength=b.num_rows)
