@@ -25,6 +25,8 @@ HIDDEN, WIDTH = 8, 8  # states of a direction; numbers of a word's and of an n-g
 WORD_BITS, GRAM_BITS, GRAMS = 13, 14, (3, 4, 5)
 #: Labelled rows of each class, and characters of each, for training; rounds and windows of a step.
 TRAIN_ROWS, TRAIN_CHARS, ROUNDS, STEP = 2_000, 20_000, 12, 64
+#: Bytes of text, and windows, that a task holds at once.
+SLICE_BYTES, SLICE_WINDOWS = 4_000_000, 2_048
 #: Words are what stands between ASCII white space and punctuation.
 SEPARATORS = bytes([*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)])
 TABLE = byte_table(SEPARATORS)
@@ -122,7 +124,7 @@ class Network:
         place = np.where(mask > 0, which[np.minimum(first[:, None] + t, max(len(which) - 1, 0))] if len(which) else 0, 0)
         return (table[place] if len(table) else np.zeros((*place.shape, 6 * HIDDEN), np.float32)), mask, place
 
-    def logits(self, w: Words, first: np.ndarray, size: np.ndarray, chunk: int = 4096) -> np.ndarray:
+    def logits(self, w: Words, first: np.ndarray, size: np.ndarray, chunk: int = SLICE_WINDOWS) -> np.ndarray:
         """Of every window."""
         table = self.vectors(w) @ self.inp + self.bias
         out = np.zeros(len(first), np.float32)
@@ -239,7 +241,7 @@ def score(docs: DataFrame, labels: DataFrame, held: tuple[int, int] = (5, 0), th
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = network.value
-        for b in batches(it, 8_000_000):
+        for b in batches(it, SLICE_BYTES):
             w, per_doc = tokens(b.column("text"))
             first, size, doc = windows(per_doc)
             logit = net.logits(w, first, size).astype(np.float64)
@@ -259,7 +261,7 @@ def clean(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFra
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = network.value
-        for b in batches(it, 8_000_000):
+        for b in batches(it, SLICE_BYTES):
             w, per_doc = tokens(b.column(at).cast(pa.string()))
             first, size, doc = windows(per_doc)
             logit = net.logits(w, first, size).astype(np.float64)
