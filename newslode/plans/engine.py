@@ -71,13 +71,13 @@ def judge(pages: DataFrame, sources: DataFrame, cfg: Config) -> DataFrame:
 
 
 def articles(pages: DataFrame, sources: DataFrame, cfg: Config, scope: str = "All") -> DataFrame:
-    """Accepted articles: capped by source, the best of each url, gated, in scope, in order."""
+    """Accepted articles: the best of each url, gated, in scope, capped by source, in order. The cap counts only what may be published."""
     rows = judge(pages, sources, cfg).where("acceptance.accepted").withColumn("score", F.col("acceptance.score")).withColumn("norm_url", U.normalize_url("source_url"))
-    rows = R.top_per(rows, ["source_name"], [F.col("score").desc(), F.col("source_url")], cfg.per_source_limit * cfg.headroom, "ord")
-    rows = R.dedupe_by_url(rows)
+    rows = R.top_per(rows, ["norm_url"], [F.col("score").desc(), F.col("source_url"), F.col("source_name")], 1, "ord").drop("ord")
     gate = F.col("relevance.should_summarize")
-    rows = rows.where(F.coalesce(gate, F.lit(cfg.on_error == "keep")))
-    return R.final_order(rows.where(L.scope_matches(F.lit(scope), "scope")), cfg.max_articles_total)
+    rows = rows.where(F.coalesce(gate, F.lit(cfg.on_error == "keep"))).where(L.scope_matches(F.lit(scope), "scope"))
+    rows = R.top_per(rows, ["source_name"], [F.col("score").desc(), F.col("source_url")], cfg.per_source_limit * cfg.headroom, "ord")
+    return R.final_order(rows, cfg.max_articles_total)
 
 
 def briefs(rows: DataFrame, cfg: Config, run_id: str, generated_at: str, lists=S.EVIDENCE) -> DataFrame:

@@ -123,6 +123,21 @@ def test_hard_rejects(spark, change, code):
     assert not r.acceptance.accepted and code in r.acceptance.reject_reasons and code in HARD_REJECTS
 
 
+def story_pages(spark, paths, body=BODY):
+    page = "<html><head><title>Copper market update</title></head><body><article>" + "".join(f"<p>{body}</p>" for _ in range(5)) + "</article></body></html>"
+    return spark.createDataFrame([(f"https://example.com/2026/04/07/{p}", page, "Copper market update", "today", "") for p in paths], "url string, html string, title_hint string, published_hint string, snippet_hint string")
+
+
+def test_variants_of_one_url_take_one_place(spark):
+    """More variants of one page than the cap of its source."""
+    cfg = Config(lexicon=PRODUCTION)
+    most = cfg.per_source_limit * cfg.headroom
+    pages = story_pages(spark, [*(f"a-story?x={i:02}" for i in range(most + 4)), "b-story"])
+    src = registry.fixture(spark).where("source_name = 'news'").withColumn("source_role", F.lit("narrative_news"))
+    got = engine.articles(pages, src, cfg)
+    assert sorted(r.source_url.split("/")[-1] for r in got.collect()) == ["a-story?x=00", "b-story"]
+
+
 def test_breaker_steps():
     import pandas as pd
 
