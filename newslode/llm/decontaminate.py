@@ -39,8 +39,11 @@ SAMPLE = 8
 class Phrases:
     """The windows of a block of benchmark items."""
 
-    def __init__(self, items: list[tuple[int, str]], size: int):
-        words = [(i, WORD.findall(t.encode().lower())) for i, t in items]
+    def __init__(self, items: list[tuple[int | None, str]], size: int):
+        # Items go by number; their ids, one of which may be null, come back at the end.
+        ids = sorted({i for i, _ in items}, key=lambda i: (i is None, i or 0))
+        self.ids, place = pa.array(ids, pa.int64()), {i: n for n, i in enumerate(ids)}
+        words = [(place[i], WORD.findall(t.encode().lower())) for i, t in items]
         vocabulary = sorted({w for _, ws in words for w in ws})
         number = {w: n for n, w in enumerate(vocabulary, 1)}
         held: dict[tuple[int, ...], set[int]] = defaultdict(set)
@@ -160,7 +163,7 @@ class FMIndex:
 
 
 def shard_hits(low: np.ndarray, offsets: np.ndarray, phrases: Phrases) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Words per document; (document, item) of every occurring window; hit words as an array over all words; the document of each word."""
+    """Words per document; (document, number of the item) of every occurring window; hit words as an array over all words; the document of each word."""
     start, end = spans(low, offsets)
     n_docs = len(offsets) - 1
     doc = rows_of(start, offsets)
@@ -231,7 +234,7 @@ def finder(block):
             item_edges = np.concatenate([np.zeros(1, np.int64), np.cumsum(np.bincount(pairs[:, 0], minlength=n))]).astype(np.int32)
             as_list = lambda v, e: pa.ListArray.from_arrays(pa.array(e), pa.array(v))
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("row"), pa.array(words), as_list((first - before[doc[first]]).astype(np.int32), edges), as_list((last + 1 - before[doc[last]]).astype(np.int32), edges), as_list(pairs[:, 1], item_edges)],
+                [b.column("doc_id"), b.column("row"), pa.array(words), as_list((first - before[doc[first]]).astype(np.int32), edges), as_list((last + 1 - before[doc[last]]).astype(np.int32), edges), pa.ListArray.from_arrays(pa.array(item_edges), phrases.ids.take(pa.array(pairs[:, 1])))],
                 names=["doc_id", "row", "n_words", "begin", "until", "items"],
             )
 
@@ -253,7 +256,7 @@ def find(docs: DataFrame, benchmark: DataFrame, size: int = 13, block_bytes: int
     """doc_id, row (hash of the text), n_words, begin and until (spans in words), items, for each row of docs.
 
     Null and empty texts have no words and no hits; an item without words has
-    no window; repeated rows each return; ids may be null; other columns play no part.
+    no window; repeated rows each return; ids of documents and items may be null; other columns play no part.
     """
     spark = docs.sparkSession
     rows = text_rows(docs).withColumn("row", F.xxhash64("text"))
@@ -275,7 +278,10 @@ def find(docs: DataFrame, benchmark: DataFrame, size: int = 13, block_bytes: int
 
 
 def report(docs: DataFrame, benchmark: DataFrame, size: int = 13, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, begin, until; a row for each row of docs."""
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, begin, until; a row for each row of docs.
+
+    Items without an id count as one item, which has no part in the digest.
+    """
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         empty = hex_digest(b"")
@@ -285,9 +291,10 @@ def report(docs: DataFrame, benchmark: DataFrame, size: int = 13, block_bytes: i
             for doc, row, words, begin, until, items in zip(*cols, strict=True):
                 merged = merge_spans(begin, until) if begin else []
                 hit = sum(y - x for x, y in merged)
-                names = sorted({str(i) for i in items}) if items else []
+                distinct = set(items) if items else set()
+                names = sorted(str(i) for i in distinct if i is not None)
                 digest = hex_digest(",".join(names).encode()) if names else empty
-                for c, v in zip(out, (doc, row, words, hit, len(names), digest, hit > 0 and 20 * hit >= words, [list(x) for x in merged]), strict=True):
+                for c, v in zip(out, (doc, row, words, hit, len(distinct), digest, hit > 0 and 20 * hit >= words, [list(x) for x in merged]), strict=True):
                     c.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names=["doc_id", "row", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans"])
 
@@ -296,8 +303,8 @@ def report(docs: DataFrame, benchmark: DataFrame, size: int = 13, block_bytes: i
 
 
 def blocks_of(benchmark: DataFrame, block_bytes: int) -> tuple[DataFrame, int]:
-    """Items with an id and a text, and the number of blocks that hold about block_bytes each."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text IS NOT NULL AND item_id IS NOT NULL")
+    """Items with a text, and the number of blocks that hold about block_bytes each."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text IS NOT NULL")
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     return items, max(1, -(-size // block_bytes))
 
@@ -311,7 +318,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, size: int = 13, block_bytes: in
     """docs without the contaminated rows, in which at least a twentieth of the words is hit.
 
     With one block rows are judged where they are; with several, the contaminated rows' ids and
-    text hashes are taken out by an anti join (rows with a null id stay then).
+    text hashes are taken out by an anti join. Null ids are equal in it, so the result is the same.
     """
     items, n = blocks_of(benchmark, block_bytes)
     if n == 1:
@@ -328,4 +335,4 @@ def clean(docs: DataFrame, benchmark: DataFrame, size: int = 13, block_bytes: in
         return docs.mapInArrow(run, docs.schema)
     bad = report(docs, benchmark, size, block_bytes).where("contaminated").select(F.col("doc_id").alias("__newslode_bad"), F.col("row").alias("__newslode_bad_row")).distinct().hint("merge")
     own = docs.withColumn("__newslode_row", F.xxhash64(F.col("text").cast("string")))
-    return own.join(bad, (F.col("doc_id") == F.col("__newslode_bad")) & (F.col("__newslode_row") == F.col("__newslode_bad_row")), "left_anti").select(*docs.columns)
+    return own.join(bad, F.col("doc_id").eqNullSafe(F.col("__newslode_bad")) & (F.col("__newslode_row") == F.col("__newslode_bad_row")), "left_anti").select(*docs.columns)

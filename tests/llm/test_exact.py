@@ -3,7 +3,9 @@
 import collections
 import hashlib
 
+import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from compare import rows, sql_rows
@@ -254,6 +256,24 @@ def test_decontamination(spark, odd, docs, empty, data):
         assert kept.columns == odd.columns and {r.doc_id for r in kept.collect()} - {None} == {i for i, _ in texts(odd) if i is not None} - bad
 
 
+def test_decontamination_without_ids(spark):
+    """Rows and items without an id, in one block and in several."""
+    passage = "alpha beta gamma delta epsilon"
+    docs = spark.createDataFrame([(None, f"{passage} one"), (None, "a clean row of other words"), (1, f"{passage} two"), (2, "zeta eta theta"), (3, "another clean row")], "doc_id long, text string")
+    items = spark.createDataFrame([(None, passage), (None, "beta gamma"), (7, passage), (None, "zeta eta theta"), (8, "nowhere " * 40)], "item_id long, text string")
+    con = duckdb.connect()
+    for name, df in (("documents", docs.where("doc_id IS NOT NULL")), ("benchmark", items)):
+        con.register(name, pa.Table.from_pylist([r.asDict() for r in df.collect()]))
+    sql = con.execute(queries.ORACLE_SQL["op10_decontamination"])
+    place = [[d[0] for d in sql.description].index(c) for c in ("doc_id", *COLS)]
+    want = sorted(tuple(r[i] for i in place) for r in sql.fetchall())
+    for block in (4_000_000, 40):
+        found = keyed(decontaminate.report(docs, items, block_bytes=block), *COLS)
+        assert sorted(x for x in found if x[0] is not None) == want
+        assert sorted(x[1:] for x in found if x[0] is None) == [(6, 0, 0, sha(""), False), (6, 5, 2, sha("7"), True)]
+        assert sorted(r.text for r in decontaminate.clean(docs, items, block_bytes=block).collect()) == ["a clean row of other words", "another clean row"]
+
+
 def test_fm_index():
     g = np.random.default_rng(2)
     for n, v in ((0, 3), (1, 3), (50, 2), (400, 5)):
