@@ -1,10 +1,10 @@
-"""Licence scans: a trained paragraph classifier confirmed by template comparison.
+"""Licence scans: a trained paragraph classifier, with template comparison as a second opinion.
 
 A paragraph (a line) is the set of its word n-grams, one to three words long,
-that training has seen; a logistic regression over them gives each licence family, and the
-class unknown, a probability. A family counts only above a level set on paragraphs without
-a licence, so few of these pass; a template of the family then has to cover enough of its own words
-in the paragraph for the prediction to be confirmed.
+that training has seen; a logistic regression over them gives each licence family, licences of no
+listed family (`unknown`) and paragraphs without a licence (`none`) a probability. A family or `unknown`
+counts above a level set on paragraphs without a licence, so few of these pass. Each such prediction is
+reported; it is confirmed if a template of its family covers enough of its own words in the paragraph.
 """
 
 from __future__ import annotations
@@ -48,19 +48,45 @@ TEMPLATES = {
     "mpl": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "Licensed under the MPL 2.0."],
     "reserved": ["All rights reserved.", "Copyright 2020 Example. All rights reserved.", "No part of this publication may be reproduced without the prior written permission of the publisher."],
 }
-UNKNOWN = "unknown"
+#: Names, headings and identifiers of each family, templates as well.
+NAMES = {
+    "apache": ["Apache License", "Apache License, Version 2.0, January 2004", "Apache 2.0 License", "License: Apache 2.0", "SPDX-License-Identifier: Apache-2.0"],
+    "bsd": ["BSD License", "BSD 3-Clause License", "BSD 2-Clause License", "The 3-Clause BSD License", "License: BSD", "SPDX-License-Identifier: BSD-3-Clause", "SPDX-License-Identifier: BSD-2-Clause"],
+    "cc-by": ["CC BY 4.0", "Creative Commons Attribution 4.0 International", "License: CC BY 4.0", "SPDX-License-Identifier: CC-BY-4.0"],
+    "cc-by-nc": ["CC BY-NC 4.0", "Creative Commons Attribution-NonCommercial 4.0 International", "License: CC BY-NC 4.0", "SPDX-License-Identifier: CC-BY-NC-4.0"],
+    "cc-by-sa": ["CC BY-SA 4.0", "Creative Commons Attribution-ShareAlike 4.0 International", "License: CC BY-SA 4.0", "SPDX-License-Identifier: CC-BY-SA-4.0"],
+    "cc0": ["CC0 1.0 Universal", "License: CC0", "SPDX-License-Identifier: CC0-1.0"],
+    "gpl": ["GNU General Public License", "GNU General Public License, Version 3, 29 June 2007", "GNU GPL", "GPLv3", "GPLv2", "License: GPLv3", "Licensed under the GPLv3", "Licensed under the GPL", "GPL version 3", "GNU GPL, version 2 or later", "SPDX-License-Identifier: GPL-3.0-or-later", "SPDX-License-Identifier: GPL-2.0-only"],
+    "lgpl": ["GNU Lesser General Public License", "GNU LGPL", "LGPLv3", "License: LGPLv3", "Licensed under the LGPLv3", "SPDX-License-Identifier: LGPL-2.1-or-later", "SPDX-License-Identifier: LGPL-3.0-only"],
+    "mit": ["MIT License", "The MIT License", "License: MIT", "SPDX-License-Identifier: MIT"],
+    "mpl": ["Mozilla Public License", "Mozilla Public License Version 2.0", "MPL 2.0", "License: MPL 2.0", "SPDX-License-Identifier: MPL-2.0"],
+}
+TEMPLATES = {k: v + NAMES.get(k, []) for k, v in TEMPLATES.items()}
+UNKNOWN, NONE = "unknown", "none"
+#: Notices of licences of no listed family (for training; nothing confirms them).
+UNLISTED = [
+    "Licensed under the Eclipse Public License, version 2.0.", "Eclipse Public License", "SPDX-License-Identifier: EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License",
+    "Released under the zlib License.", "SPDX-License-Identifier: Zlib", "Distributed under the Boost Software License, Version 1.0.", "SPDX-License-Identifier: BSL-1.0", "Licensed under the ISC License.", "SPDX-License-Identifier: ISC",
+    "Licensed under the Artistic License 2.0.", "SPDX-License-Identifier: Artistic-2.0", "Licensed under the EUPL 1.2.", "European Union Public License", "Released under the Unlicense.", "Licensed under the Common Development and Distribution License.",
+    "This software is licensed under the terms of the Example Software License.", "Licensed under the Example Community License Agreement.", "Use of this software is governed by the license agreement.", "This work is licensed under the Example Open License.",
+    "Licensed under the Example Public License 1.0.", "Distributed under the Example Public License, version 1.2.", "This library is licensed under the Example License.", "SPDX-License-Identifier: Example-1.0",
+    "See the LICENSE file for the license terms.", "You may use, copy, modify and distribute this software under the following license terms.", "License: proprietary", "SPDX-License-Identifier: LicenseRef-Proprietary",
+]
 #: Paragraphs that speak of licences and grant none (for training).
 NEAR_MISSES = [
     "The driver has to show a license to the officer.", "He was released on bail under the terms of the court.", "This work is about the public version of the story.", "All rights come with duties.",
     "The software is free of charge for all students.", "A license was issued to the general store in 2020.", "The library was reserved for all members.", "MIT is a university.", "The Apache helicopter is licensed for export.",
-    "Permission was granted by the mayor.", "The right of reply is reserved for members of the house.", "Creative people in common rooms.", "The mozilla fox runs in the wood.", "The version 2.0 of the file is here.",
+    "The restaurant lost its license to sell wine.", "Drivers renew a license under the new rules.", "The public library is in the general store.", "The general public may visit the house.", "The terms of the agreement were kept secret.",
+    "Er kam mit dem Zug und ging mit der Tochter.", "Das Haus mit Garten.", "mit", "Permission was granted by the mayor.", "The right of reply is reserved for members of the house.", "Creative people in common rooms.", "The mozilla fox runs in the wood.", "The version 2.0 of the file is here.",
 ]
 SEPARATORS = bytes([*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)])
 TABLE = byte_table(SEPARATORS)
-#: Documents (about) whose paragraphs train and calibrate the class unknown; variants of each template; share of unknown paragraphs that may pass.
+#: Documents (about) whose paragraphs train and calibrate the class none; variants of each template; share of paragraphs without a licence that may pass.
 TRAIN_DOCS, TRAIN_CHARS, VARIANTS, PASS = 400, 20_000, 40, 1e-3
 #: Of a template's words, the share that has to stand in the paragraph, in order of pairs.
 COVER = 0.7
+#: From this share on a paragraph is no example of the class none: it may be a notice in other words.
+UNSURE = 0.3
 
 
 def words_of(text: str) -> list[str]:
@@ -73,13 +99,13 @@ def grams_of(words: list[str]) -> set[tuple[str, ...]]:
 
 
 def variants(texts: list[str], filler: list[str], g: np.random.Generator) -> list[list[str]]:
-    """Each text whole, and with words lost, changed years and foreign words around it."""
+    """Each text whole, and with words lost (of under five none: one word left alone may be any word), changed years and foreign words around it."""
     out = []
     for t in texts:
         own = words_of(t)
         out.append(own)
         for _ in range(VARIANTS):
-            kept = [w for w in own if g.random() > 0.1] or own
+            kept = [w for w in own if len(own) < 5 or g.random() > 0.1] or own
             kept = [str(g.integers(1, 30)) if w.isdigit() and g.random() < 0.5 else w for w in kept]
             if filler:
                 a, b = g.integers(0, 12, 2)
@@ -93,14 +119,15 @@ class Classifier:
 
     def __init__(self, paragraphs: list[str], seed: int = 5):
         g = np.random.default_rng(seed)
-        self.classes = [*sorted(TEMPLATES), UNKNOWN]
+        self.classes = [*sorted(TEMPLATES), UNKNOWN, NONE]
+        examples = TEMPLATES | {UNKNOWN: UNLISTED}
         other = [words_of(p) for p in paragraphs]
         filler = sorted({w for ws in other[:200] for w in ws})[:2000]
-        rows = [(ws, k) for k, c in enumerate(self.classes[:-1]) for ws in variants(TEMPLATES[c], filler, g)]
-        known = sorted({x for ws, _ in rows for x in grams_of(ws) if not set(x) & set(filler)} | {x for t in sum(TEMPLATES.values(), []) for x in grams_of(words_of(t))})
-        # Paragraphs in which a template stands are no examples of the class unknown.
-        self.pairs = {c: [set(zip(w, w[1:])) for w in map(words_of, ts)] for c, ts in TEMPLATES.items()}
-        plain = [ws for ws in other if not any(self.covered(ws, c) >= COVER for c in TEMPLATES)]
+        rows = [(ws, k) for k, c in enumerate(self.classes[:-1]) for ws in variants(examples[c], filler, g)]
+        known = sorted({x for ws, _ in rows for x in grams_of(ws) if not set(x) & set(filler)} | {x for t in sum(examples.values(), NEAR_MISSES) for x in grams_of(words_of(t))})
+        # Paragraphs in which a good part of a template or a notice stands are no examples of the class none.
+        self.pairs = {c: [(set(zip(w, w[1:])), set(w)) for w in map(words_of, ts)] for c, ts in examples.items()}
+        plain = [ws for ws in other if not any(self.covered(ws, c) >= UNSURE for c in examples)]
         half = len(plain) // 2
         rows += [(ws, len(self.classes) - 1) for ws in plain[:half]] + [(ws, len(self.classes) - 1) for ws in variants(NEAR_MISSES, filler, g)]
         number = {x: i for i, x in enumerate(known)}
@@ -138,9 +165,9 @@ class Classifier:
         return p / p.sum()
 
     def covered(self, words: list[str], family: str) -> float:
-        """The largest share of a template's word pairs that stand in the paragraph."""
-        own = set(zip(words, words[1:]))
-        return max((len(own & t) / len(t) for t in self.pairs[family] if t), default=0.0)
+        """The largest share of a template's word pairs (of its word, if it has but one) that stand in the paragraph."""
+        own, single = set(zip(words, words[1:])), set(words)
+        return max((len(own & t) / len(t) if t else float(w <= single) for t, w in self.pairs[family]), default=0.0)
 
     def lookup(self) -> None:
         """Sorted tables for whole batches: words by hash, pairs and triples of them by number."""
@@ -197,8 +224,9 @@ SCAN = "doc_id long, n_paragraphs long, n_licensed long, family string, families
 
 
 def scan(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
-    """doc_id, n_paragraphs, n_licensed, family (of the surest paragraph, `none` without one), families (all, sorted, joined by
-    commas), score (of the surest), confirmed (a template confirms it), for each row of docs.
+    """doc_id, n_paragraphs, n_licensed, family (of the surest paragraph, confirmed ones first, `none` without one), families (all, sorted,
+    joined by commas), score (of that paragraph), confirmed (a template confirms it), for each row of docs. Family `unknown`, which
+    nothing confirms, is a licence of no listed family.
 
     Null and empty texts are one empty paragraph without a licence; ties go to the first family by name, then the first paragraph.
     """
@@ -218,17 +246,17 @@ def scan(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
             line = np.searchsorted(line_start, start, side="right") - 1 if len(start) else np.zeros(0, np.int64)
             p = c.probabilities(low, start, end, line, len(line_start))
             kind, best = p[:, :-1].argmax(1), p[:, :-1].max(1)
-            hit = np.flatnonzero((best >= c.level) & (kind != len(c.classes) - 1))
+            hit = np.flatnonzero(best >= c.level)
             held: dict[int, list] = {}
             for i in hit.tolist():
                 words = words_of(bytes(data[line_start[i] : line_end[i]]).decode(errors="replace"))
                 family = c.classes[kind[i]]
-                if (cover := c.covered(words, family)) >= COVER / 2:
-                    held.setdefault(int(doc_of[i]), []).append((-round(float(best[i]), 9), family, cover >= COVER))
+                confirmed = family != UNKNOWN and c.covered(words, family) >= COVER
+                held.setdefault(int(doc_of[i]), []).append((-round(float(best[i]), 9), family, confirmed))
             out: tuple[list, ...] = ([], [], [], [], [])
             for d in range(b.num_rows):
                 found = sorted(held.get(d, []), key=lambda x: (not x[2], x[0], x[1]))
-                top = found[0] if found else (0.0, "none", False)
+                top = found[0] if found else (0.0, NONE, False)
                 for col, x in zip(out, (len(found), top[1], ",".join(sorted({x[1] for x in found})), -top[0], top[2]), strict=True):
                     col.append(x)
             kinds = [pa.int64(), pa.string(), pa.string(), pa.float64(), pa.bool_()]

@@ -130,6 +130,19 @@ def test_licences(spark, odd, empty, docs, data):
     assert [r.family for r in license_scan.scan(docs.select("doc_id", "text").where("doc_id < 0").unionByName(other)).orderBy("doc_id").collect()] == ["bsd", "none", "reserved"]
 
 
+def test_licence_wordings(spark, docs):
+    """Wordings that no template holds word for word, licences of no listed family, and words that only look like them."""
+    want = [
+        ("MIT License", "mit"), ("Available under the MIT licence terms", "mit"), ("# SPDX-License-Identifier: MIT", "mit"), ("// SPDX-License-Identifier: Apache-2.0", "apache"), ("This project uses the Apache 2 license", "apache"),
+        ("GNU GENERAL PUBLIC LICENSE", "gpl"), ("Licensed under the GPLv3", "gpl"), ("Licensed under GPL version 2", "gpl"), ("Licensed under the Foobar Public License 1.3.", "unknown"), ("This library is licensed under the Sleepycat License.", "unknown"),
+        ("Keit mit das enge und mit der aubezu.", "none"), ("MIT is a university.", "none"),
+    ]
+    rows = spark.createDataFrame([(-1 - i, t) for i, (t, _) in enumerate(want)], "doc_id long, text string")
+    got = {r.doc_id: r for r in license_scan.scan(docs.select("doc_id", "text").unionByName(rows)).where("doc_id < 0").collect()}
+    assert [(t, got[-1 - i].family) for i, (t, _) in enumerate(want)] == want
+    assert got[-1].confirmed and got[-7].confirmed and not got[-8].confirmed and not got[-9].confirmed
+
+
 def jaccard(a, b):
     bag = lambda t: collections.Counter(w for w in re.split(r"[ \t\n\x0b\f\r]+", t.lower()) if w)
     x, y = bag(a), bag(b)
