@@ -387,6 +387,19 @@ def traversal(spark, sf_dir):
     return D.reachable(edges, orders.where("o_custkey < 20").select(F.col("o_custkey").alias("url")), 2)
 
 
+@query("""WITH RECURSIVE b AS (SELECT DISTINCT 'customer ' || o_custkey AS c, 'part ' || l_partkey AS p FROM orders JOIN lineitem ON o_orderkey = l_orderkey),
+e AS (SELECT c AS src, p AS dst FROM b UNION ALL SELECT p, c FROM b),
+t AS (SELECT 'customer ' || c_custkey AS url, 0 AS depth FROM customer WHERE c_mktsegment = 'BUILDING' UNION SELECT e.dst, t.depth + 1 FROM t JOIN e ON t.url = e.src WHERE t.depth < 2)
+SELECT url, min(depth) AS depth FROM t GROUP BY url""")
+def traversal_orders(spark, sf_dir):
+    """Customers and parts reached in two steps over what was ordered, from all customers of a segment: edges and seeds grow with the tables."""
+    orders, items, customers = (table(spark, sf_dir, t) for t in ("orders", "lineitem", "customer"))
+    name = lambda kind, c: F.concat(F.lit(f"{kind} "), F.col(c).cast("string"))
+    bought = orders.join(items, F.col("o_orderkey") == F.col("l_orderkey")).select(name("customer", "o_custkey").alias("src"), name("part", "l_partkey").alias("dst")).distinct()
+    edges = bought.unionByName(bought.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    return D.reachable(edges, customers.where("c_mktsegment = 'BUILDING'").select(name("customer", "c_custkey").alias("url")), 2)
+
+
 @query(rf"""SELECT page_id, {s_host("url")} AS host, a.h AS allowed_host FROM pages, (VALUES ('example.com'), ('ththre.example.com'), ('example.net')) AS a(h)
 WHERE {s_host("url")} = a.h OR suffix({s_host("url")}, '.' || a.h)""")
 def host_suffix_join(spark, sf_dir):
