@@ -582,7 +582,7 @@ def article_acceptance(spark, sf_dir):
 
 @query(None)
 def daily_run(spark, sf_dir):
-    """The whole run over the pages: brief rows of accepted articles."""
+    """The run from fetched pages on: brief rows of accepted articles. Discovery and shortlisting aren't part of it."""
     from . import engine
 
     found = engine.articles(dated_pages(spark, sf_dir), registry.fixture(spark), replace(page_config(), max_articles_total=1000, per_source_limit=200))
