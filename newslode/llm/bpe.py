@@ -1,9 +1,11 @@
 """Byte-level BPE encoding and decoding.
 
-A word's merges are a fold of Spark's higher-order functions: the state is the
-places where the word is cut and the rank of each adjacent pair of pieces, a
-step joins the leftmost pair of lowest rank, and ranks are read from a literal map
-(a hash table of two choices, since Spark searches a plain map from end to end).
+A word's merges are a fold of Spark's higher-order functions over its byte array. The state is one
+array of longs, a long for each piece: the rank of the pair that begins there, above the place
+of the piece in the word, above the piece itself. The least long is the leftmost pair of lowest
+rank; a step joins it and looks up the two pairs beside it. Ranks are read from a literal map
+of pairs of pieces, kept as a table in which each left piece has a row, the rows pushed into each
+other's gaps; an entry names the row it belongs to, so no pair is taken for another.
 Only distinct words are folded: first the most frequent words of a sample, FREQUENT at
 most, which every task then knows; of all other words, those of each chunk of documents,
 in the chunk's own row. No shuffle is needed and any words give the same ids.
@@ -19,7 +21,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,8 +33,9 @@ FREQUENT, COUNT_DOCS = 262_144, 30_000
 CHUNK_CHARS = 1_000_000
 #: Bytes of a word beyond which the fold, whose cost grows with their square, gives way to a heap.
 LONG_WORD = 1_000
-SLOT_BITS = 17
-NONE = 2**31 - 1
+#: Bits of a piece, and of its place, in a long of the state.
+PIECE, PLACE = 20, 12
+NO_PAIR = 1 << PIECE
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -41,28 +43,47 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f.read().splitlines())}
 
 
-def two_slots(h: int) -> tuple[int, int]:
-    mask = (1 << SLOT_BITS) - 1
-    return h & mask, (h >> 24) & mask
+def pair_table(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+    """slots and rows: the rank of the pair of pieces a, b stands in slots[rows[a] + b], below a itself. Pieces count from 2 here, 1 is a word's edge and 0 an empty slot.
 
-
-def rank_map(ranks: dict[bytes, int]) -> Column:
-    """The ranks as a literal: slots that hold a piece's 64-bit hash and its rank; each piece lies in one of its two slots."""
-    mask = (1 << SLOT_BITS) - 1
-    keys, values = [0] * (mask + 1), [NONE] * (mask + 1)
+    Rows are laid from the longest to the shortest at the first fitting of some random places.
+    """
+    if max(ranks.values(), default=0) + 2 >= NO_PAIR:
+        raise ValueError("too many pieces")
+    pairs: dict[int, list[tuple[int, int]]] = {}
     for piece, rank in ranks.items():
-        h, r = xxhash.xxh64_intdigest(piece, 42), rank  # as Spark's xxhash64
-        at = two_slots(h)[0]
-        for _ in range(1000):  # who lies there moves to the other slot
-            keys[at], h, values[at], r = h, keys[at], r, values[at]
-            if not h:
+        for k in range(1, len(piece)):
+            a, b = ranks.get(piece[:k]), ranks.get(piece[k:])
+            if a is not None and b is not None:
+                pairs.setdefault(a + 2, []).append((b + 2, rank))
+    width = max(ranks.values(), default=-1) + 3
+    size = 1 << max(10, 2 + (sum(map(len, pairs.values()))).bit_length())
+    slots, rows, g = np.zeros(size + width, np.int64), np.zeros(width, np.int64), np.random.default_rng(1)
+    for a in sorted(pairs, key=lambda a: (-len(pairs[a]), a)):
+        b, rank = np.array(pairs[a], np.int64).T
+        while True:
+            at = g.integers(0, size, 64 if len(b) < 10 else 2048)
+            for part in (b[:6], b[6:]):
+                if len(at) and len(part):
+                    at = at[~slots[at[:, None] + part].any(1)]
+            if len(at):
                 break
-            first, second = two_slots(h)
-            at = second if at == first else first
-        else:
-            raise ValueError("the table is too full")
-    signed = [h - (1 << 64) if h >> 63 else h for h in keys]
-    return F.from_json(F.lit(json.dumps({"h": signed, "r": values}, separators=(",", ":"))), "struct<h:array<bigint>,r:array<int>>")
+        rows[a] = at[0]
+        slots[at[0] + b] = a << PIECE | rank
+    return slots, rows
+
+
+def rank_map(ranks: dict[bytes, int]) -> Column:
+    """The ranks of pairs, and the piece of each byte, as a literal."""
+    slots, rows = pair_table(ranks)
+    data = {"slots": slots.tolist(), "rows": rows.tolist(), "first": [ranks[bytes([x])] + 2 for x in range(256)]}
+    return F.from_json(F.lit(json.dumps(data, separators=(",", ":"))), "struct<slots:array<bigint>,rows:array<int>,first:array<bigint>>")
+
+
+def not_merged(ranks: dict[bytes, int]) -> dict[str, list[int]]:
+    """Pieces that are words and that their own merges do not lead to; as words they have their own id. Trained vocabularies have none."""
+    alone = {p: r for p, r in ranks.items() if len(p) > 1 and merge_long(p, ranks) != [r]}
+    return {w: [r] for p, r in alone.items() if (w := p.decode(errors="ignore")).encode() == p}
 
 
 def let(value: Column, body) -> Column:
@@ -70,47 +91,52 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def encode_word(word: Column, ranks: Column) -> Column:
-    """array<int> of the word's ids."""
-    data = word.cast("binary")
+def long(n: int) -> Column:
+    return F.lit(n).cast("long")
 
-    def rank(x: Column) -> Column:
-        """Equal hashes are taken for equal pieces: by chance one lookup in 10**14 errs, and the word's ids then decode to other bytes."""
-        slot = lambda h, shift: F.shiftrightunsigned(h, shift).bitwiseAND(F.lit((1 << SLOT_BITS) - 1)).cast("int") if shift else h.bitwiseAND(F.lit((1 << SLOT_BITS) - 1)).cast("int")
-        found = lambda h: F.when(F.get(ranks["h"], slot(h, 0)) == h, F.get(ranks["r"], slot(h, 0))).when(F.get(ranks["h"], slot(h, 24)) == h, F.get(ranks["r"], slot(h, 24))).otherwise(F.lit(NONE))
-        return let(F.xxhash64(x), found)
 
-    def piece(b: Column, start: Column, end: Column) -> Column:
-        return F.substring(b, start + 1, end - start)
+def encode_bytes(word: Column, ranks: Column) -> Column:
+    """array<int> of the ids to which the bytes of a word (array<tinyint>) merge."""
 
-    def fold(b: Column) -> Column:
-        n = F.length(b)
-        start = F.struct(F.sequence(F.lit(0), n).alias("cuts"), F.transform(F.sequence(F.lit(0), n - 2), lambda i: rank(piece(b, i, i + 2))).alias("ranks"))
+    def fold(slots: Column, rows: Column, first: Column) -> Column:
+        piece = lambda x: x.bitwiseAND(long(NO_PAIR - 1))
+        # An entry of another row leaves bits above a rank's.
+        rank = lambda a, b: F.least(F.get(slots, F.get(rows, a) + b).bitwiseXOR(F.shiftleft(a, PIECE)), long(NO_PAIR))
+        ranked = lambda a, b: F.shiftleft(rank(a, b), PIECE + PLACE)
+        edge = F.array(long(1))
+        pieces = F.flatten(F.array(edge, F.transform(word, lambda x: F.get(first, x.cast("int").bitwiseAND(F.lit(255)))), edge))
 
-        def join(state: Column, i: Column) -> Column:
-            """Pieces i and i + 1 (from 1) become one; only the pairs beside it get new ranks."""
-            cuts, old = state["cuts"], state["ranks"]
-            cut = lambda k: F.element_at(cuts, k)
-            left = F.when(i > 1, F.array(rank(piece(b, cut(i - 1), cut(i + 2))))).otherwise(F.array().cast("array<int>"))
-            right = F.when(i < F.size(old), F.array(rank(piece(b, cut(i), cut(i + 3))))).otherwise(F.array().cast("array<int>"))
-            ranks_now = F.concat(F.slice(old, F.lit(1), F.greatest(i - 2, F.lit(0))), left, right, F.slice(old, i + 2, F.size(old)))
-            return F.struct(F.concat(F.slice(cuts, F.lit(1), i), F.slice(cuts, i + 2, F.size(cuts))).alias("cuts"), ranks_now.alias("ranks"))
+        def start(p: Column) -> Column:
+            return F.transform(p, lambda x, i: ranked(x, F.coalesce(F.get(p, i + 1), long(1))).bitwiseOR(F.shiftleft(i.cast("long"), PIECE)).bitwiseOR(x))
+
+        def join(state: Column, low: Column, i: Column) -> Column:
+            """The i-th piece (from 1) and the next become one: it and the piece before begin new pairs."""
+            before, after = F.get(state, i - 2), F.get(state, i + 1)
+            made = F.shiftright(low, PIECE + PLACE) + 2
+            left = ranked(piece(before), made).bitwiseOR(before.bitwiseAND(long((1 << PIECE + PLACE) - 1)))
+            own = ranked(made, piece(after)).bitwiseOR(low.bitwiseAND(long((1 << PIECE + PLACE) - NO_PAIR))).bitwiseOR(made)
+            # Removing and inserting cost Spark less than slices. All longs of a state differ, by their places.
+            rest = F.array_remove(F.array_remove(F.array_remove(state, low), F.get(state, i)), before)
+            return F.array_insert(F.array_insert(rest, i - 1, own), i - 1, left)
 
         def step(state: Column, _: Column) -> Column:
-            return let(F.coalesce(F.array_min(state["ranks"]), F.lit(NONE)), lambda low: F.when(low == NONE, state).otherwise(let(F.array_position(state["ranks"], low).cast("int"), lambda i: join(state, i))))
+            return let(F.array_min(state), lambda low: F.when(low >= long(NO_PAIR << PIECE + PLACE), state).otherwise(let(F.array_position(state, low).cast("int"), lambda i: join(state, low, i))))
 
         def ids(state: Column) -> Column:
-            return let(state["cuts"], lambda cuts: F.transform(F.sequence(F.lit(1), F.size(cuts) - 1), lambda i: rank(piece(b, F.element_at(cuts, i), F.element_at(cuts, i + 1)))))
+            return F.transform(F.slice(state, F.lit(2), F.size(state) - 2), lambda x: (piece(x) - 2).cast("int"))
 
-        return F.aggregate(F.sequence(F.lit(1), n - 1), start, step, ids)
+        return let(pieces, lambda p: F.aggregate(F.sequence(F.lit(1), F.size(p) - 3), start(p), step, ids))
 
-    return let(data, lambda b: let(rank(b), lambda whole: F.when(whole != NONE, F.array(whole)).otherwise(fold(b))))
+    return let(ranks["slots"], lambda slots: let(ranks["rows"], lambda rows: fold(slots, rows, ranks["first"])))
 
 
 def encode_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """The same merges by a heap and links, for words too long for the fold."""
-    if word in ranks:
-        return [ranks[word]]
+    """The ids of a word too long for the fold."""
+    return [ranks[word]] if word in ranks else merge_long(word, ranks)
+
+
+def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The same merges by a heap and links."""
     n = len(word)
     end, before = list(range(1, n + 1)), list(range(-1, n - 1))
     alive = [True] * n
@@ -148,9 +174,20 @@ def frequent_words(docs: DataFrame, pattern: str, literal: Column, most: int, co
                 c.clear()
         yield pa.RecordBatch.from_pydict({"word": pa.array(c.keys(), pa.string()), "n": pa.array(c.values(), pa.int64())})
 
+    def spell(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            words = b.column("word").to_pylist()
+            yield pa.RecordBatch.from_arrays([b.column("word"), byte_lists([w.encode() for w in words])], names=["word", "spelt"])
+
     words = sample.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).where(F.octet_length("word") <= 64)
     top = words.orderBy(F.col("n").desc(), "word").limit(most).repartition(max(8, docs.sparkSession.sparkContext.defaultParallelism), "word")
-    return top.select("word", let(literal, lambda ranks: encode_word(F.col("word"), ranks)).alias("ids")).toArrow()
+    return top.select("word").mapInArrow(spell, "word string, spelt array<tinyint>").select("word", let(literal, lambda ranks: encode_bytes(F.col("spelt"), ranks)).alias("ids")).toArrow()
+
+
+def byte_lists(words: list[bytes]) -> pa.ListArray:
+    """The byte arrays of words."""
+    ends = np.cumsum([0, *map(len, words)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(words), np.int8)))
 
 
 def end_to_end(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
@@ -176,18 +213,24 @@ def encode(spark: SparkSession, docs: DataFrame, path: str, pattern: str, freque
     literal = rank_map(ranks)
     words = frequent_words(docs, pattern, literal, frequent, count_docs)
     # Two broadcasts, each for one kind of task: a worker holds no more than it needs.
-    numbers = spark.sparkContext.broadcast({w: i for i, w in enumerate(words.column("word").to_pylist())})
+    odd = not_merged(ranks)
+    number = {w: i for i, w in enumerate([*odd, *words.column("word").to_pylist()])}
+    for i, w in enumerate(odd):  # a frequent word of this kind keeps the number of its own id
+        number[w] = i
     lists = words.column("ids").combine_chunks()
-    known_ids = spark.sparkContext.broadcast((lists.flatten().to_numpy(zero_copy_only=False).astype(np.int32), np.diff(lists.offsets.to_numpy()).astype(np.int64)))
-    del words, lists
+    own_flat, own_size = end_to_end(list(odd.values()))
+    numbers = spark.sparkContext.broadcast(number)
+    known_ids = spark.sparkContext.broadcast((np.concatenate([own_flat, lists.flatten().to_numpy(zero_copy_only=False).astype(np.int32)]), np.concatenate([own_size, np.diff(lists.offsets.to_numpy()).astype(np.int64)])))
+    del words, lists, number
     table = spark.sparkContext.broadcast(ranks)
 
     def split(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, number = words_of(pattern), numbers.value
-        base = len(number)
+        base = len(known_ids.value[1])
 
         def chunk(ids: list, sizes: list, codes: list, rare: dict) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([ids], pa.list_(pa.int64())), pa.array([np.array(sizes, np.int64).tobytes()]), pa.array([np.concatenate([np.zeros(0, np.int32), *codes]).astype(np.int32).tobytes()]), pa.array([list(rare)], pa.list_(pa.string()))], names=["docs", "sizes", "codes", "rare"])
+            spelt = pa.ListArray.from_arrays(pa.array([0, len(rare)], pa.int32()), byte_lists([w.encode() for w in rare]))
+            return pa.RecordBatch.from_arrays([pa.array([ids], pa.list_(pa.int64())), pa.array([np.array(sizes, np.int64).tobytes()]), pa.array([np.concatenate([np.zeros(0, np.int32), *codes]).astype(np.int32).tobytes()]), spelt], names=["docs", "sizes", "codes", "rare"])
 
         ids, sizes, codes, rare, chars = [], [], [], {}, 0
         for b in batches(it, 4_000_000):
@@ -215,7 +258,8 @@ def encode(spark: SparkSession, docs: DataFrame, path: str, pattern: str, freque
                 doc, sizes, codes = (b.column(c)[n].as_py() for c in ("docs", "sizes", "codes"))
                 found = b.column("found")[n].values
                 if found.null_count:
-                    own_flat, own_size = end_to_end([x if x is not None else encode_long(w.encode(), table.value) for w, x in zip(b.column("rare")[n].as_py(), found.to_pylist(), strict=True)])
+                    spelt = b.column("rare")[n].values
+                    own_flat, own_size = end_to_end([x if x is not None else encode_long(spelt[i].values.to_numpy().tobytes(), table.value) for i, x in enumerate(found.to_pylist())])
                 else:
                     own_flat, own_size = found.flatten().to_numpy(zero_copy_only=False).astype(np.int32), np.diff(found.offsets.to_numpy()).astype(np.int64)
                 size, flat = np.concatenate([known_size, own_size]), np.concatenate([known_flat, own_flat])
@@ -225,9 +269,9 @@ def encode(spark: SparkSession, docs: DataFrame, path: str, pattern: str, freque
                 edges = np.concatenate([np.zeros(1, np.int64), np.cumsum(many)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.ListArray.from_arrays(pa.array(edges), pa.array(gather(word, flat, size)))], names=["doc_id", "ids"])
 
-    chunks = text_rows(docs).mapInArrow(split, "docs array<long>, sizes binary, codes binary, rare array<string>")
+    chunks = text_rows(docs).mapInArrow(split, "docs array<long>, sizes binary, codes binary, rare array<array<tinyint>>")
     # The literal is bound once: a plan that repeats it is slow to optimise and to print.
-    folded = chunks.withColumn("found", let(literal, lambda ranks: F.transform("rare", lambda w: F.when(F.octet_length(w) <= LONG_WORD, encode_word(w, ranks)))))
+    folded = chunks.withColumn("found", let(literal, lambda ranks: F.transform("rare", lambda w: F.when(F.size(w) <= LONG_WORD, encode_bytes(w, ranks)))))
     return folded.mapInArrow(assemble, "doc_id long, ids array<int>")
 
 
