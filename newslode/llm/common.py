@@ -28,9 +28,12 @@ _own_dirs: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, by spark.checkpoint.dir; only where a session names none, as in tests, one of our own."""
+    """The folder all executors share, by spark.checkpoint.dir; where a session of one machine names none, as in tests, one of our own."""
     known = spark.conf.get("spark.checkpoint.dir", None)
     if not known:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         app = spark.sparkContext.applicationId
         known = _own_dirs.setdefault(app, "") or "file://" + tempfile.mkdtemp(prefix="spark-newslode-")
         _own_dirs[app] = known

@@ -26,14 +26,14 @@ from pyspark.sql import functions as F
 from .common import partitions_for, stash, text_rows, texts_of
 
 SEED = 42
-#: A name that no input column has.
-GONE = "__newslode_gone"
+#: Names that no input column has.
+GONE, GONE_ROW, ROW = "__newslode_gone", "__newslode_gone_row", "__newslode_row"
 #: Generator polynomials of the binary Golay code (23, 12) and the Hamming code (15, 11) (fixed values).
 GOLAY, HAMMING = 0b110001110101, 0b10011
 BLOCKS = ((0, 23, GOLAY, 11, 3), (23, 23, GOLAY, 11, 3), (46, 15, HAMMING, 4, 1))
 FREE = 3
-#: Rows of an anchor from which on it is split; and as a share of all rows, which bounds how many such anchors there are.
-SPLIT_ROWS, SPLIT_SHARE = 50_000, 20_000
+#: Rows of an anchor beyond which it is split.
+SPLIT_ROWS = 50_000
 
 
 def shingle_hashes(text: str, size: int = 3) -> np.ndarray:
@@ -59,15 +59,15 @@ def fingerprint(text: str | None) -> int:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long), a row for each row of docs."""
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+    """doc_id, row (hash of the text), fp (the 64 bits as a signed long), a row for each row of docs."""
+    schema = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("fp", pa.int64())])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
             fp = np.array([fingerprint(t) for t in texts_of(b.column("text"))], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fp)], schema=schema)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("row"), pa.array(fp)], schema=schema)
 
-    return text_rows(docs).mapInArrow(run, "doc_id long, fp long")
+    return text_rows(docs).withColumn("row", F.xxhash64("text")).mapInArrow(run, "doc_id long, row long, fp long")
 
 
 class Anchors:
@@ -197,16 +197,16 @@ def link_buckets(whole: bool):
 def link_forest(fps: DataFrame) -> DataFrame:
     """Distinct fp in; links (a, b), b < a, whose components are those of all pairs at most two bits apart."""
     rows = stash(fps.mapInArrow(to_anchors, "bucket long, fp long"), "anchors")
-    heavy = rows.groupBy("bucket").count().where(F.col("count") > F.greatest(F.lit(SPLIT_ROWS), F.lit(rows.count() // SPLIT_SHARE))).select("bucket")
-    hot = [r[0] for r in heavy.collect()]  # SPLIT_SHARE at most, by the condition above
+    # A table, since its size grows with the rows: a row for every SPLIT_ROWS of them at most.
+    heavy = rows.groupBy("bucket").count().where(F.col("count") > SPLIT_ROWS).select("bucket")
 
     def at(df: DataFrame, whole: bool) -> DataFrame:
         n = partitions_for(df)
         return df.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(link_buckets(whole), "a long, b long")
 
-    if not hot:
+    if heavy.isEmpty():
         return at(rows, True)
-    split = F.broadcast(rows.sparkSession.createDataFrame([(x,) for x in hot], "bucket long"))
+    split = stash(heavy, "split-anchors")
     return at(rows.join(split, "bucket", "left_anti"), True).unionByName(at(rows.join(split, "bucket", "left_semi").mapInArrow(to_points, "bucket long, fp long"), False))
 
 
@@ -230,7 +230,8 @@ def components(links: DataFrame, name: str = "links", most_rounds: int = 100) ->
 
     Each round links every node's larger neighbours, then the node itself, to its smallest
     neighbour; the rounds grow with the logarithm of the longest path. Aggregates
-    combine before they shuffle, and joins on a node with many links can be split.
+    combine before they shuffle, and joins on a node with many links can be split. Links that
+    are not settled after most_rounds are an error, never a result.
     """
     now = stash(local_forest(links).distinct(), name)
 
@@ -252,11 +253,13 @@ def components(links: DataFrame, name: str = "links", most_rounds: int = 100) ->
         if (after := state(now)) == seen:
             break
         seen = after
+    else:
+        raise RuntimeError(f"links are not settled after {most_rounds} rounds")
     return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, fp, component_id (smallest doc_id reachable by links of at most two bits).
+    """doc_id, row (hash of the text), fp, component_id (smallest doc_id reachable by links of at most two bits).
 
     Null and empty texts have fingerprint 0 and link like any other. Equal
     fingerprints are one node, so a group of copies costs one row. Repeated
@@ -269,10 +272,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rooted = classes.join(found, classes.fp == found.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     final = rooted.join(named, "root").select("fp", "component_id")
-    return prints.join(final, "fp").select("doc_id", "fp", "component_id")
+    return prints.join(final, "fp").select("doc_id", "row", "fp", "component_id")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """docs without all but the smallest doc_id of each component; rows with a null id stay."""
-    gone = near_duplicates(docs).where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(GONE)).distinct()
-    return docs.join(gone.hint("merge"), F.col("doc_id") == F.col(GONE), "left_anti").select(*docs.columns)
+    """docs without all but the smallest doc_id of each component.
+
+    A row goes by its id and its text: where an id stands with two texts, the one that is nobody's near copy stays.
+    Repeated rows of the id that stays are one document and stay; rows with a null id stay; null and empty texts are copies of each other.
+    """
+    gone = near_duplicates(docs).where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(GONE), F.col("row").alias(GONE_ROW)).distinct()
+    own = docs.withColumn(ROW, F.xxhash64(F.col("text").cast("string")))
+    return own.join(gone.hint("merge"), (F.col("doc_id") == F.col(GONE)) & (F.col(ROW) == F.col(GONE_ROW)), "left_anti").select(*docs.columns)

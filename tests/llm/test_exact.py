@@ -56,6 +56,39 @@ def test_bpe_empty(spark, empty, vocabulary):
     assert bpe.round_trip(spark, empty, vocabulary.path("byte_bpe_multi_50k.tiktoken"), vocabulary.PATTERN).count() == 0
 
 
+def test_pair_table_holds_every_pair_and_no_other(vocabulary):
+    ranks = bpe.load_ranks(vocabulary.path("byte_bpe_multi_50k.tiktoken"))
+    slots, rows = bpe.pair_table(ranks)
+    pieces = {r: p for p, r in ranks.items()}
+    found = lambda a, b: int(slots[rows[a + 2] + b + 2]) ^ (a + 2) << bpe.PIECE
+    assert all(found(ranks[p[:k]], ranks[p[k:]]) == r for p, r in ranks.items() for k in range(1, len(p)) if p[:k] in ranks and p[k:] in ranks)
+    g = np.random.default_rng(0)
+    for a, b in g.integers(0, len(pieces), (20_000, 2)).tolist():
+        assert min(found(a, b), bpe.NO_PAIR) == ranks.get(pieces[a] + pieces[b], bpe.NO_PAIR)
+    # At a word's edge there is no pair.
+    assert (np.minimum(slots[rows[1] + np.arange(len(rows))] ^ 1 << bpe.PIECE, bpe.NO_PAIR) == bpe.NO_PAIR).all()
+    assert (np.minimum(slots[rows + 1] ^ np.arange(len(rows)) << bpe.PIECE, bpe.NO_PAIR) == bpe.NO_PAIR)[1:].all()
+    assert bpe.not_merged(ranks) == {}
+
+
+def test_words_that_their_merges_do_not_reach(spark, tmp_path):
+    """A vocabulary by hand: a word that is a piece has its own id even where its merges end elsewhere; ties go to the left."""
+    import base64
+
+    import tiktoken
+
+    pieces = [bytes([i]) for i in range(256)] + [b"bc", b"ab", b"abc", b"aba", b"ba", b"xyz"]
+    path = tmp_path / "own.tiktoken"
+    path.write_text("".join(f"{base64.b64encode(p).decode()} {i}\n" for i, p in enumerate(pieces)))
+    enc = tiktoken.Encoding("own", pat_str=r"\S+|\s+", mergeable_ranks=bpe.load_ranks(str(path)), special_tokens={})
+    words = ["abc", "xyz", "xyzz", "ababa", "aabababab", "bcbcabc", "cab", "a"]
+    assert list(bpe.not_merged(bpe.load_ranks(str(path)))) == ["xyz"]
+    df = spark.createDataFrame([(i, w) for i, w in enumerate(words)], "doc_id long, text string")
+    for frequent in (1, 100):
+        got = {r.doc_id: r.ids for r in bpe.encode(spark, df, str(path), r"\S+|\s+", frequent=frequent).collect()}
+        assert got == {i: enc.encode_ordinary(w) for i, w in enumerate(words)}
+
+
 def test_long_words_by_heap(vocabulary):
     tiktoken = pytest.importorskip("tiktoken")
     ranks = bpe.load_ranks(vocabulary.path("byte_bpe_multi_50k.tiktoken"))
@@ -173,11 +206,25 @@ def test_simhash(spark, odd, docs, empty, data):
     assert one.columns == odd.columns and {r.doc_id for r in one.collect()} >= {1, 2, 6, None, 8, 9, 10}
 
 
+def test_near_copies_go_by_id_and_text(spark):
+    """An id with two texts loses the one that is a copy of another document, not the other."""
+    copy, own = "one two three four five six seven", "red green blue black white brown grey pink"
+    rows = [(1, copy), (5, copy), (5, own), (7, own), (1, copy), (None, copy)]
+    kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted([(1, copy), (1, copy), (5, own), (None, copy)], key=str)
+
+
+def test_unsettled_links_are_an_error(spark):
+    chain = spark.createDataFrame([(i + 1, i) for i in range(40)], "a long, b long").repartition(20)
+    assert {r.root for r in simhash.components(chain).collect()} == {0}
+    with pytest.raises(RuntimeError):
+        simhash.components(chain, most_rounds=1)
+
+
 @pytest.mark.parametrize("split", [50_000, 3])
 def test_links_lose_none(spark, monkeypatch, split):
     """Chains and clouds of near fingerprints; also when every anchor counts as hot."""
     monkeypatch.setattr(simhash, "SPLIT_ROWS", split)
-    monkeypatch.setattr(simhash, "SPLIT_SHARE", 10**9)
     g = np.random.default_rng(3)
     base = g.integers(0, 2**63, 40, dtype=np.uint64)
     fps = set(base.tolist())
