@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import SPACE, batches, buffer_of, byte_table, held_out, spans, word_hashes
-from .labels import labelled_sample
+from .labels import labelled_sample, trained
 
 #: Labelled rows of each class, and characters of each, from which the field is trained.
 TRAIN_ROWS, TRAIN_CHARS = 1_500, 20_000
@@ -203,7 +203,7 @@ def score(docs: DataFrame, labels: DataFrame, held: tuple[int, int] = (4, 2), th
     class alone, all get a constant; repeated rows each return; ids may be null.
     """
     spark = docs.sparkSession
-    field = spark.sparkContext.broadcast(train(labelled_sample(docs, labels, "quality", held, train_rows, TRAIN_CHARS)))
+    field = spark.sparkContext.broadcast(trained(labelled_sample(docs, labels, "quality", held, train_rows, TRAIN_CHARS), train))
     names = ["doc_id", "held_out", "score", "predicted", "n_lines", "n_bad"]
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import batches, buffer_of, byte_table, held_out, rows_of, spans, word_hashes
-from .labels import labelled_sample
+from .labels import labelled_sample, trained
 
 WINDOW, STRIDE = 32, 16
 HIDDEN, WIDTH = 8, 8  # states of a direction; numbers of a word's and of an n-gram's vector
@@ -236,7 +236,7 @@ def score(docs: DataFrame, labels: DataFrame, held: tuple[int, int] = (5, 0), th
     with one class alone, all get a constant; repeated rows each return; ids may be null.
     """
     spark = docs.sparkSession
-    network = spark.sparkContext.broadcast(train(labelled_sample(docs, labels, "toxic", held, train_rows, TRAIN_CHARS)))
+    network = spark.sparkContext.broadcast(trained(labelled_sample(docs, labels, "toxic", held, train_rows, TRAIN_CHARS), train))
     names = ["doc_id", "held_out", "score", "predicted", "n_windows"]
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,7 +256,7 @@ def score(docs: DataFrame, labels: DataFrame, held: tuple[int, int] = (5, 0), th
 def clean(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """docs without the rows scored toxic. Scoring runs inside the rows' own tasks: no join, no shuffle."""
     spark, columns = docs.sparkSession, docs.columns
-    network = spark.sparkContext.broadcast(train(labelled_sample(docs, labels, "toxic", (5, 0), TRAIN_ROWS, TRAIN_CHARS)))
+    network = spark.sparkContext.broadcast(trained(labelled_sample(docs, labels, "toxic", (5, 0), TRAIN_ROWS, TRAIN_CHARS), train))
     at = columns.index("text")
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
