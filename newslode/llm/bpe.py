@@ -203,12 +203,21 @@ def gather(codes: np.ndarray, flat: np.ndarray, size: np.ndarray) -> np.ndarray:
     return flat[at]
 
 
+ENCODED = "doc_id long, ids array<int>"
+
+
 def encode(spark: SparkSession, docs: DataFrame, path: str, pattern: str, frequent: int = FREQUENT, count_docs: int = COUNT_DOCS) -> DataFrame:
     """doc_id, ids (array<int>) for each row of docs.
 
     Null and empty texts have no ids; a vocabulary holds every single byte, so any text
     has ids; repeated rows each return; a null doc_id stays null.
     """
+    folded, assemble = chunks(spark, docs, path, pattern, frequent, count_docs)
+    return folded.mapInArrow(assemble, ENCODED)
+
+
+def chunks(spark: SparkSession, docs: DataFrame, path: str, pattern: str, frequent: int = FREQUENT, count_docs: int = COUNT_DOCS):
+    """Chunks of documents with the ids of their rare words, and the function that makes of their batches those of ENCODED."""
     ranks = load_ranks(path)
     literal = rank_map(ranks)
     words = frequent_words(docs, pattern, literal, frequent, count_docs)
@@ -272,7 +281,7 @@ def encode(spark: SparkSession, docs: DataFrame, path: str, pattern: str, freque
     chunks = text_rows(docs).mapInArrow(split, "docs array<long>, sizes binary, codes binary, rare array<array<tinyint>>")
     # The literal is bound once: a plan that repeats it is slow to optimise and to print.
     folded = chunks.withColumn("found", let(literal, lambda ranks: F.transform("rare", lambda w: F.when(F.size(w) <= LONG_WORD, encode_bytes(w, ranks)))))
-    return folded.mapInArrow(assemble, "doc_id long, ids array<int>")
+    return folded, assemble
 
 
 def pieces_of(path: str) -> list[bytes]:
@@ -308,16 +317,22 @@ def decode(spark: SparkSession, encoded: DataFrame, path: str) -> DataFrame:
     return encoded.mapInArrow(run, schema)
 
 
-def round_trip(spark: SparkSession, docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """Encode and decode every row of docs: doc_id, n_tokens, ids_sha256, decoded_sha256."""
+ROUND_TRIP = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
+
+
+def round_trip(spark: SparkSession, docs: DataFrame, path: str, pattern: str, with_ids: bool = False) -> DataFrame:
+    """Encode and decode every row of docs: doc_id, n_tokens, ids_sha256, decoded_sha256, and ids if they are asked for.
+
+    A null or empty text has no tokens and decodes to no bytes; repeated rows each return; a null doc_id stays null.
+    """
     pieces = spark.sparkContext.broadcast(pieces_of(path))
-    kinds = [pa.int64(), pa.string(), pa.string()]
+    folded, assemble = chunks(spark, docs, path, pattern)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shown = [str(i) for i in range(len(pieces.value))].__getitem__
-        for b in it:
+        for b in assemble(it):  # in the same worker: ids need not pass through Spark to be decoded
             found = [(len(ids), hex_digest(",".join(map(shown, ids)).encode()), hex_digest(data)) for ids, data in decoded_rows(b, 1, pieces.value)]
-            cols = [pa.array([x[i] for x in found], t) for i, t in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([b.column(0), *cols], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            cols = [pa.array([x[i] for x in found], f.type) for i, f in enumerate(list(ROUND_TRIP)[1:])]
+            yield pa.RecordBatch.from_arrays([b.column(0), *cols, *([b.column(1)] if with_ids else [])], names=[*ROUND_TRIP.names, *(["ids"] if with_ids else [])])
 
-    return encode(spark, docs, path, pattern).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return folded.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if with_ids else ""))
