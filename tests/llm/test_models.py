@@ -135,12 +135,33 @@ def test_licence_wordings(spark, docs):
     want = [
         ("MIT License", "mit"), ("Available under the MIT licence terms", "mit"), ("# SPDX-License-Identifier: MIT", "mit"), ("// SPDX-License-Identifier: Apache-2.0", "apache"), ("This project uses the Apache 2 license", "apache"),
         ("GNU GENERAL PUBLIC LICENSE", "gpl"), ("Licensed under the GPLv3", "gpl"), ("Licensed under GPL version 2", "gpl"), ("Licensed under the Foobar Public License 1.3.", "unknown"), ("This library is licensed under the Sleepycat License.", "unknown"),
+        ("the GNU Affero General Public License as published by the Free Software Foundation, either version 3", "agpl"), ("GNU Lesser General Public License for more details, as published by the Free Software Foundation", "lgpl"),
+        ("Licensed under CC BY-ND 4.0.", "cc-by-nd"), ("Licensed under the Eclipse Public License 2.0.", "epl"), ("Released under the GPL.", "gpl"), ("SPDX-License-Identifier: Apache-2.0", "apache"), ("ISC License", "isc"), ("The Unlicense", "unlicense"),
+        ("Licensed under the Mulan PSL v2.", "unknown"), ("SPDX-License-Identifier: OFL-1.1", "unknown"),
         ("Keit mit das enge und mit der aubezu.", "none"), ("MIT is a university.", "none"),
     ]
     rows = spark.createDataFrame([(-1 - i, t) for i, (t, _) in enumerate(want)], "doc_id long, text string")
     got = {r.doc_id: r for r in license_scan.scan(docs.select("doc_id", "text").unionByName(rows)).where("doc_id < 0").collect()}
     assert [(t, got[-1 - i].family) for i, (t, _) in enumerate(want)] == want
     assert got[-1].confirmed and got[-7].confirmed and not got[-8].confirmed and not got[-9].confirmed
+    # Families that share most words are told apart by the best template of all.
+    assert all(got[-1 - i].confirmed for i, (_, family) in enumerate(want) if family in ("cc-by-nd", "epl", "isc", "unlicense"))
+
+
+def test_licence_levels_come_from_data():
+    """The level of a licence lies above the plain paragraphs held out; that of a family makes unlisted licences unknown."""
+    plain = [f"the {a} {b} went to the {c}" for a in ("old", "small", "red") for b in ("dog", "general", "public", "file") for c in ("house", "license office", "store", "library")]
+    c = license_scan.Classifier(plain)
+    probabilities = lambda texts: np.array([c.one(license_scan.words_of(t)) for t in texts])
+    assert 0 < c.level < 1 and (1 - probabilities(plain)[:, -1] < c.level).mean() > 0.95
+    kind, _ = c.judge(probabilities(license_scan.UNLISTED[1::2]))
+    assert np.mean([c.classes[k] in ("unknown", "none") for k in kind]) > 0.7
+    strict = probabilities(["Licensed under the MIT license."])
+    assert c.classes[c.judge(strict)[0][0]] == "mit"
+    c.sure, c.level = 1.1, 0.0
+    assert c.classes[c.judge(strict)[0][0]] == "unknown"
+    c.level = 1.1
+    assert c.classes[c.judge(strict)[0][0]] == "none"
 
 
 def jaccard(a, b):
