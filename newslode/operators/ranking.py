@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.text import normalize_space, text
+from ..functions.text import distinct_by, let, normalize_space, text
 
 
 def best_by(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -64,12 +64,14 @@ def prefilter_floor(df: DataFrame, floor: int = 6, rescue: int = 6) -> DataFrame
     """Keep accepted candidates, and rejected ones of score `rescue` while fewer than `floor` are kept.
 
     The running count is a recurrence, but a closed form exists: before the floor is reached every accepted
-    and every rescuable row is kept, so the floor is reached at the floor-th of them.
+    and every rescuable row is kept, so the floor is reached at the floor-th of them. Only that row of each source
+    is looked for, so a source with very many candidates isn't sorted in one task.
     """
     eligible = F.col("accepted") | (F.col("score") >= rescue)
-    w = Window.partitionBy("source_name").orderBy("candidate_rank").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum(eligible.cast("int")).over(w), F.lit(0))
-    return df.withColumn("kept_before", before).where(F.col("accepted") | ((F.col("score") >= rescue) & (F.col("kept_before") < floor))).drop("kept_before")
+    places = df.where(eligible).select(F.col("source_name").alias("__source"), F.col("candidate_rank").alias("__last"))
+    last = top_per(places, ["__source"], [F.col("__last")], floor, "__place").where(F.col("__place") == floor).drop("__place")
+    near = F.col("__last").isNull() | (F.col("candidate_rank") <= F.col("__last"))
+    return df.join(last, F.col("source_name").eqNullSafe(F.col("__source")), "left").where(F.col("accepted") | ((F.col("score") >= rescue) & near)).select(*df.columns)
 
 
 def html_first(df: DataFrame, max_articles: int) -> DataFrame:
@@ -84,15 +86,15 @@ def shortlist(df: DataFrame, score: Column, cap: int, limit: int, threshold: int
 
     df has source_name, url, is_pdf, is_report, ord and only rows that may be listed.
     """
-    ranked = df.withColumn("list_score", score)
+    ranked = df.withColumn("list_score", score).withColumn("strong", F.col("list_score") >= threshold)
+    pool = ~F.col("strong") & ((F.col("list_score") >= backfill) | F.col("is_report"))
+    # Of each kind no more rows than the cap and the limit can count, so that no source is sorted whole in one task.
+    ranked = top_per(ranked.where(F.col("strong") | pool), ["source_name", "strong", "is_pdf"], [F.col("list_score").desc(), F.col("ord")], max(cap, limit), "turn")
     order = Window.partitionBy("source_name").orderBy(F.col("is_pdf"), F.col("list_score").desc(), F.col("ord"))
-    ranked = ranked.withColumn("place", F.row_number().over(order)).withColumn("strong", F.col("list_score") >= threshold)
+    ranked = ranked.withColumn("place", F.row_number().over(order))
     ranked = ranked.withColumn("strong_before", F.coalesce(F.sum(F.col("strong").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     seen = ranked.where(F.col("strong_before") < cap)  # the walk ends when the cap is reached
-    pool = ~F.col("strong") & ((F.col("list_score") >= backfill) | F.col("is_report"))
     preferred = max(6, limit // 2)
-    in_kind = Window.partitionBy("source_name", "strong", "is_pdf").orderBy("place")
-    seen = seen.where(F.col("strong") | pool).withColumn("turn", F.row_number().over(in_kind))
     html = F.sum((F.col("strong") & ~F.col("is_pdf")).cast("int")).over(Window.partitionBy("source_name"))
     bucket = F.when(F.col("strong") & ~F.col("is_pdf") & (F.col("turn") <= preferred), 1).when(~F.col("strong") & ~F.col("is_pdf"), 2).when(F.col("strong") & F.col("is_pdf") & (html < preferred), 3).when(~F.col("strong") & F.col("is_pdf"), 4)
     listed = seen.withColumn("bucket", bucket).where("bucket IS NOT NULL")
@@ -106,8 +108,9 @@ def count_by(df: DataFrame, key: str) -> DataFrame:
 
 def first_paragraphs(body, most: int = 4) -> Column:
     """All paragraphs if there are few, else the first two and last two, the first of equals."""
-    from ..functions.text import distinct_by
 
-    ps = F.filter(F.transform(F.split(text(body), r"\n+"), normalize_space), lambda p: p != "")
-    few = distinct_by(F.concat(F.slice(ps, 1, 2), F.slice(ps, F.greatest(F.size(ps) - 1, F.lit(1)), 2)), F.lower)
-    return F.when(F.size(ps) <= most, ps).otherwise(F.slice(few, 1, most))
+    def told(ps: Column) -> Column:
+        few = distinct_by(F.concat(F.slice(ps, 1, 2), F.slice(ps, F.greatest(F.size(ps) - 1, F.lit(1)), 2)), F.lower)
+        return F.when(F.size(ps) <= most, ps).otherwise(F.slice(few, 1, most))
+
+    return let(F.filter(F.transform(F.split(text(body), r"\n+"), normalize_space), lambda p: p != ""), told)

@@ -9,25 +9,35 @@ from pyspark.sql.window import Window
 from .. import config as C
 from ..config import Config
 from ..functions import lexicon as L
-from ..functions.text import any_of, distinct_by, escape_html, let, normalize_space, sentences, stable_key, structured_points, text, truncate
+from ..functions.text import any_of, escape_html, let, normalize_space, sentences, stable_key, structured_points, text, truncate
 
 #: Term lists of evidence: direct 3, broad 2, analysis 1, supply 1.
 EVIDENCE = (C.EVIDENCE_DIRECT, C.EVIDENCE_BROAD, C.EVIDENCE_ANALYSIS, C.EVIDENCE_SUPPLY)
 FIXTURE_EVIDENCE = (("thor", "erin"), ("ontion", "retion", "thble"), ("with", "from"), ("edtion", "hation"))
 SECTIONS = ("price", "drivers", "inventory", "outlook")
+#: Flags of a summary by the terms that raise them (fixed values).
+RISKS = ((("uncertain",), "Article highlights uncertainty"), (("tariff", "trade"), "Trade-policy sensitivity"), (("china",), "China demand/supply dependence"), (("inventory", "stocks"), "Inventory trend sensitivity"))
+WATCHES = ((("supply",), "Monitor supply-side developments"), (("demand",), "Monitor demand-side commentary"), (("premium", "inventory"), "Monitor inventories and premiums"))
+NO_RISK, NO_WATCH = "No explicit risk flag extracted", "Monitor follow-up analyst notes"
 GROUP_ORDER = ("Copper", "Aluminium", "Copper & Aluminium", "Broad Metals", "Market")
 
 
 def evidence_score(sentence: Column, lists=EVIDENCE) -> Column:
-    low = F.lower(sentence)
+    return lowered_score(F.lower(sentence), lists)
+
+
+def lowered_score(low: Column, lists=EVIDENCE) -> Column:
     return L.contains_sum(low, lists[0], 3) + L.contains_sum(low, lists[1], 2) + L.contains_sum(low, lists[2]) + L.contains_sum(low, lists[3])
 
 
 def evidence_sentences(body, most: int = 8, lists=EVIDENCE) -> Column:
     """Sentences with a score, the highest first, of equals the earlier, the first of each regardless of case."""
-    scored = F.transform(sentences(body), lambda s, i: F.struct((-evidence_score(s, lists)).alias("k"), i.alias("i"), s.alias("s")))
+    scored = F.transform(sentences(body), lambda s, i: let(F.lower(s), lambda low: F.struct((-lowered_score(low, lists)).alias("k"), i.alias("i"), s.alias("s"), low.alias("low"))))
     kept = F.array_sort(F.filter(scored, lambda x: x["k"] < 0))
-    return F.slice(distinct_by(F.transform(kept, lambda x: x["s"]), F.lower), 1, most)
+    none = F.array().cast("array<struct<s:string,low:string>>")
+    # No more than `most` are ever kept, so a sentence is compared with few.
+    first = F.aggregate(kept, none, lambda got, x: F.when((F.size(got) >= most) | F.exists(got, lambda g: g["low"] == x["low"]), got).otherwise(F.concat(got, F.array(F.struct(x["s"].alias("s"), x["low"].alias("low"))))))
+    return F.transform(first, lambda x: x["s"])
 
 
 def evidence_rows(df: DataFrame, key: str, body: str, most: int = 8, lists=EVIDENCE) -> DataFrame:
@@ -42,8 +52,7 @@ def rule_summary(title, body, lists=EVIDENCE) -> Column:
     """struct(theme, stance, synopsis, key_points, risk_flags, watch_items)."""
     low = F.lower(text(body))
     flags = lambda rules, none: (lambda got: F.when(F.size(got) > 0, F.slice(got, 1, 3)).otherwise(F.array(F.lit(none))))(F.array_compact(F.array(*[F.when(any_of(low, t), F.lit(n)) for t, n in rules])))
-    risk = flags([(("uncertain",), "Article highlights uncertainty"), (("tariff", "trade"), "Trade-policy sensitivity"), (("china",), "China demand/supply dependence"), (("inventory", "stocks"), "Inventory trend sensitivity")], "No explicit risk flag extracted")
-    watch = flags([(("supply",), "Monitor supply-side developments"), (("demand",), "Monitor demand-side commentary"), (("premium", "inventory"), "Monitor inventories and premiums")], "Monitor follow-up analyst notes")
+    risk, watch = flags(RISKS, NO_RISK), flags(WATCHES, NO_WATCH)
 
     def told(best: Column) -> Column:
         chosen = F.when(F.size(best) > 0, best).otherwise(F.slice(sentences(body), 1, 4))
@@ -121,17 +130,20 @@ def digest_points(rows: DataFrame, ord_: str = "ord") -> DataFrame:
 
 def digest_groups(rows: DataFrame, ord_: str = "ord", most: int = 4) -> DataFrame:
     """label, section, place, text, source, url: four points of a section at most; an empty section takes the first two of
-    drivers, price, inventory and outlook together."""
+    drivers, price, inventory and outlook together. After the cut a label has a handful of points, so the rest happens in its own row."""
     points = digest_points(rows, ord_)
     own = points.withColumn("place", F.row_number().over(Window.partitionBy("label", "section").orderBy("row_ord", "point_ord"))).where(F.col("place") <= most)
     turn = F.array_position(F.array(*[F.lit(s) for s in ("drivers", "price", "inventory", "outlook")]), F.col("section"))
-    pool = own.withColumn("turn", F.row_number().over(Window.partitionBy("label").orderBy(turn, "place"))).where("turn <= 2")
-    held = own.select("label", "section").distinct()
-    wanted = own.select("label").distinct().select("label", F.explode(F.array(*[F.lit(s) for s in SECTIONS])).alias("section"))
-    empty = wanted.join(held, ["label", "section"], "left_anti")
-    lent = empty.join(pool.select("label", F.col("turn").alias("place"), "text", "source", "url"), "label")
-    columns = ["label", "section", "place", "text", "source", "url"]
-    return own.select(*columns).unionByName(lent.select(*columns))
+    held = own.groupBy("label").agg(F.array_sort(F.collect_list(F.struct(turn.alias("turn"), "place", "section", "text", "source", "url"))).alias("points"))
+    told = lambda x, section, place: F.struct(section.alias("section"), place.alias("place"), x["text"].alias("text"), x["source"].alias("source"), x["url"].alias("url"))
+
+    def of(section: str) -> Column:
+        mine = F.filter("points", lambda x: x["section"] == section)
+        lent = F.transform(F.slice("points", 1, 2), lambda x, i: told(x, F.lit(section), i + 1))
+        return F.when(F.size(mine) > 0, F.transform(mine, lambda x: told(x, F.lit(section), x["place"]))).otherwise(lent)
+
+    shown = F.explode(F.flatten(F.array(*[of(s) for s in SECTIONS]))).alias("x")
+    return held.select("label", shown).select("label", "x.*")
 
 
 def chip(source, url) -> Column:

@@ -9,7 +9,6 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..config import FIXTURE, Config
 from ..functions import dates as T
@@ -365,8 +364,7 @@ k AS (SELECT *, coalesce(sum(CAST(ok OR score >= 6 AS INT)) OVER (PARTITION BY s
 SELECT source AS source_name, doc_id, ok AS accepted FROM k WHERE ok OR (score >= 6 AND before < 6)""")
 def prefilter_floor(spark, sf_dir):
     rows = docs(spark, sf_dir).select(F.col("source").alias("source_name"), "doc_id", L.relevance("title", "body", FIXTURE).alias("score"))
-    rows = rows.withColumn("accepted", F.col("score") >= 10).withColumn("candidate_rank", F.row_number().over(Window.partitionBy("source_name").orderBy("doc_id")))
-    return R.prefilter_floor(rows).select("source_name", "doc_id", "accepted")
+    return R.prefilter_floor(rows.withColumn("accepted", F.col("score") >= 10).withColumn("candidate_rank", F.col("doc_id"))).select("source_name", "doc_id", "accepted")
 
 
 @query(rf"""WITH {DOCS}, s AS (SELECT doc_id, source, {s_relevance("title", "body")} AS score, doc_id % 5 = 0 AS is_pdf FROM docs_t), a AS (SELECT *, score >= 14 AS ok FROM s),
@@ -447,11 +445,34 @@ def evidence_synopsis(spark, sf_dir):
     SELECT doc_id, p, list_reduce(list_prepend(CAST([] AS VARCHAR[]), list_transform(list_concat(p[1:2], p[-2:]), lambda x: [x])), lambda a, b: CASE WHEN list_contains(list_transform(a, lambda y: lower(y)), lower(b[1])) THEN a ELSE list_concat(a, b) END) AS k
     FROM (SELECT doc_id, list_filter(list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: {s_space("x")}), lambda x: x <> '') AS p FROM documents))""")
 def key_paragraphs(spark, sf_dir):
-    ps = F.filter(F.transform(F.split(X.text("text"), "\n"), X.normalize_space), lambda p: p != "")
-    return table(spark, sf_dir, "documents").select("doc_id", F.size(ps).alias("n_all"), F.array_join(R.first_paragraphs("text"), "\n").alias("kept"))
+    n_all = F.size(F.filter(F.transform(F.split(X.text("text"), "\n"), X.normalize_space), lambda p: p != ""))
+    return table(spark, sf_dir, "documents").select("doc_id", n_all.alias("n_all"), F.array_join(R.first_paragraphs("text"), "\n").alias("kept"))
 
 
-@query(None)
+def s_cut(x: str, most: int) -> str:
+    return rf"CASE WHEN length({x}) <= {most} THEN {x} ELSE regexp_replace(left({x}, {most}), '\s+$', '') || '...' END"
+
+
+def s_flags(x: str, rules, none: str) -> str:
+    found = ", ".join(f"CASE WHEN {s_any(x, t)} THEN {q(n)} END" for t, n in rules)
+    return f"CASE WHEN len(list_filter([{found}], lambda v: v IS NOT NULL)) > 0 THEN list_filter([{found}], lambda v: v IS NOT NULL)[1:3] ELSE [{q(none)}] END"
+
+
+SUMMARY = rf"""
+split_t AS (SELECT *, list_filter(list_transform(string_split(regexp_replace(body, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)), lambda x: {s_space("x")}), lambda x: x <> '') AS s FROM docs_t),
+each_t AS (SELECT doc_id, i AS pos, s[i] AS sentence, {s_sum("lower(s[i])", _E[0], 3)} + {s_sum("lower(s[i])", _E[1], 2)} + {s_sum("lower(s[i])", _E[2])} + {s_sum("lower(s[i])", _E[3])} AS score FROM split_t, unnest(generate_series(1, len(s))) AS u(i)),
+first_t AS (SELECT doc_id, max(score) AS score, min(pos) AS pos, arg_min(sentence, pos) AS sentence FROM each_t WHERE score > 0 GROUP BY doc_id, lower(sentence)),
+five_t AS (SELECT doc_id, list(sentence ORDER BY rank) AS best FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, pos) AS rank FROM first_t) WHERE rank <= 5 GROUP BY doc_id),
+chosen_t AS (SELECT d.*, coalesce(f.best, d.s[1:4]) AS chosen FROM split_t d LEFT JOIN five_t f ON d.doc_id = f.doc_id),
+sum_t AS (SELECT *, CASE {" ".join(f"WHEN {s_any('lower(title || chr(32) || body)', t)} THEN {q(n)}" for t, n in L.C.THEMES)} ELSE {q(L.C.THEME_DEFAULT)} END AS theme,
+    CASE WHEN u > d THEN 'Bullish' WHEN d > u THEN 'Bearish' WHEN u > 0 THEN 'Mixed' ELSE 'Neutral' END AS stance,
+    CASE WHEN trim(array_to_string(chosen, ' ')) <> '' THEN trim(array_to_string(chosen, ' ')) ELSE {s_cut("body", 400)} END AS synopsis,
+    CASE WHEN len(chosen) > 0 THEN chosen[1:3] ELSE ['Relevant commentary detected but extraction was thin.'] END AS key_points,
+    {s_flags("lower(body)", S.RISKS, S.NO_RISK)} AS risk_flags, {s_flags("lower(body)", S.WATCHES, S.NO_WATCH)} AS watch_items
+    FROM (SELECT *, {s_sum("lower(title || chr(10) || body)", L.C.STANCE_BULL)} AS u, {s_sum("lower(title || chr(10) || body)", L.C.STANCE_BEAR)} AS d FROM chosen_t))"""
+
+
+@query(rf"""WITH {DOCS}, {SUMMARY} SELECT doc_id, theme, stance, length(synopsis) AS n_synopsis, len(key_points) AS n_points, array_to_string(risk_flags, ';') AS risks, array_to_string(watch_items, ';') AS watch FROM sum_t""")
 def rule_summary(spark, sf_dir):
     rows = docs(spark, sf_dir).select("doc_id", S.rule_summary("title", "body", _E).alias("s"))
     return rows.select("doc_id", "s.theme", "s.stance", F.length("s.synopsis").alias("n_synopsis"), F.size("s.key_points").alias("n_points"), F.array_join("s.risk_flags", ";").alias("risks"), F.array_join("s.watch_items", ";").alias("watch"))
@@ -470,12 +491,20 @@ def brief_table(spark, sf_dir) -> DataFrame:
     return S.brief_rows(rows, "run-1", "2026-04-07T06:00:00+00:00", CFG)
 
 
-@query(rf"""WITH {DOCS} SELECT CASE WHEN title = '' THEN coalesce(source, '') || ' Analyst Brief' WHEN length(title) <= 250 THEN title ELSE regexp_replace(left(title, 250), '\s+$', '') || '...' END AS Title, '2026-04-07' AS BriefDate,
-    'https://example.com/' || doc_id AS SourceUrl, {s_scope("lower(title || chr(10) || body)")} AS Metal,
-    CASE WHEN length(body) <= 12000 THEN body ELSE regexp_replace(left(body, 12000), '\s+$', '') || '...' END AS RawExcerpt,
-    left(sha256(lower(trim('https://example.com/' || doc_id)) || '||' || lower(trim(title)) || '||' || '2026-04-07t00:00:00+00:00'), 40) AS UniqueKey FROM docs_t""")
+def s_bullets(points: str, most: int) -> str:
+    return s_cut(f"array_to_string(list_transform(list_filter({points}, lambda p: p <> ''), lambda p: '- ' || p), chr(10))", most)
+
+
+BRIEF = rf"""
+brief_t AS (SELECT {s_cut("CASE WHEN title = '' THEN coalesce(source, '') || ' Analyst Brief' ELSE title END", 250)} AS Title, '2026-04-07' AS BriefDate, source AS SourceName, 'https://example.com/' || doc_id AS SourceUrl, '2026-04-07T00:00:00+00:00' AS PublishedAt,
+    '' AS ArticleAuthor, {s_scope("lower(title || chr(10) || body)")} AS Metal, theme AS Theme, stance AS Stance, {s_cut(s_space("synopsis"), 6000)} AS Synopsis, {s_bullets("key_points", 6000)} AS KeyPoints, {s_bullets("risk_flags", 4000)} AS RiskFlags, {s_bullets("watch_items", 4000)} AS WatchItems,
+    '2026-04-07T06:00:00+00:00' AS GeneratedAt, 'rule' AS GenerationMode, coalesce('lang:' || lang, '') AS Warnings, {s_cut("body", 12000)} AS RawExcerpt, 'run-1' AS RunId,
+    left(sha256(lower(trim('https://example.com/' || doc_id)) || '||' || lower(trim(title)) || '||' || '2026-04-07t00:00:00+00:00'), 40) AS UniqueKey FROM sum_t)"""
+
+
+@query(rf"""WITH {DOCS}, {SUMMARY}, {BRIEF} SELECT * FROM brief_t""")
 def brief_rows(spark, sf_dir):
-    return brief_table(spark, sf_dir).select("Title", "BriefDate", "SourceUrl", "Metal", "RawExcerpt", "UniqueKey")
+    return brief_table(spark, sf_dir)
 
 
 KEYED = "keyed AS (SELECT doc_id, left(sha256(lower(trim(coalesce(source, ''))) || '||' || lower(trim(coalesce(lang, '')))), 40) AS k, lang FROM documents), held AS (SELECT DISTINCT k FROM keyed WHERE lang = 'en'), firsts AS (SELECT k, min(doc_id) AS doc_id FROM keyed GROUP BY k)"
@@ -502,10 +531,29 @@ def sink_counters(spark, sf_dir):
     return sinks.counters(sinks.new_rows(rows, existing), sinks.duplicate_rows(rows, existing))
 
 
-@query(None)
+def s_points(x: str) -> str:
+    """Lines without bullets, the first of each; one line alone goes by semicolons only if it is empty, so these texts have none."""
+    lines = rf"list_filter(list_transform(string_split({x}, chr(10)), lambda v: {s_space("regexp_replace(v, '^[-*•· ]+', '')")}), lambda v: v <> '')"
+    return f"list_filter({lines}, lambda v, i: list_position({lines}, v) = i)"
+
+
+def s_section(x: str) -> str:
+    low = f"lower(Theme || ' ' || Stance || ' ' || {x})"
+    return f"CASE WHEN {s_any(low, L.C.DIGEST_INVENTORY)} THEN 'inventory' WHEN {s_any(low, L.C.DIGEST_PRICE)} THEN 'price' WHEN {s_any(low, L.C.DIGEST_OUTLOOK)} THEN 'outlook' ELSE 'drivers' END"
+
+
+@query(rf"""WITH {DOCS}, {SUMMARY}, {BRIEF},
+label_t AS (SELECT *, CASE Metal WHEN 'Copper, Aluminum' THEN 'Copper & Aluminium' WHEN 'Aluminum' THEN 'Aluminium' ELSE Metal END AS label, {s_space("SourceName")} AS source, {s_space("Synopsis")} AS syn FROM brief_t),
+list_t AS (SELECT label, source, SourceUrl AS url, UniqueKey AS row_ord, list_concat(list_concat([{{'t': syn, 's': {s_section("syn")}}}], list_transform({s_points("KeyPoints")}, lambda p: {{'t': p, 's': {s_section("p")}}})),
+    list_transform(list_concat(list_concat({s_points("WatchItems")}, {s_points("RiskFlags")}), ['Analyst tone remains ' || lower(Stance) || ' around ' || lower(Theme) || '.']), lambda p: {{'t': p, 's': 'outlook'}})) AS ps FROM label_t),
+point_t AS (SELECT label, ps[i].s AS section, ps[i].t AS text, source, url, row_ord, i - 1 AS point_ord FROM list_t, unnest(generate_series(1, len(ps))) AS u(i) WHERE length(ps[i].t) >= 18),
+once_t AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY label, section, lower(text) ORDER BY row_ord, point_ord) AS n FROM point_t) WHERE n = 1),
+own_t AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY label, section ORDER BY row_ord, point_ord) AS place FROM once_t) WHERE place <= 4),
+pool_t AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY list_position(['drivers', 'price', 'inventory', 'outlook'], section), place) AS turn FROM own_t),
+need_t AS (SELECT l.label, v.section FROM (SELECT DISTINCT label FROM own_t) l, (VALUES ('price'), ('drivers'), ('inventory'), ('outlook')) AS v(section) WHERE NOT EXISTS (SELECT 1 FROM own_t o WHERE o.label = l.label AND o.section = v.section))
+SELECT label, section, place, text, source, url FROM own_t UNION ALL SELECT n.label, n.section, p.turn, p.text, p.source, p.url FROM need_t n JOIN pool_t p ON p.label = n.label AND p.turn <= 2""")
 def digest_groups(spark, sf_dir):
-    rows = brief_table(spark, sf_dir).withColumn("ord", F.xxhash64("UniqueKey"))
-    return S.digest_groups(rows).select("label", "section", "place", "text", "source", "url")
+    return S.digest_groups(brief_table(spark, sf_dir), "UniqueKey").select("label", "section", "place", "text", "source", "url")
 
 
 @query(rf"""WITH {DOCS}, s AS (SELECT doc_id, {s_relevance("title", "body")} AS score, doc_id % 3 = 0 AS dated FROM docs_t)
