@@ -106,11 +106,12 @@ def provider_alias(x) -> Column:
     return F.when(low.isin("ddg", "duckduckgo", "duck"), "duckduckgo").when(low.isin("bing", "msn"), "bing").otherwise("google")
 
 
-def search_requests(providers: DataFrame, hosts: DataFrame, terms: DataFrame, day: str) -> DataFrame:
-    """Every provider with every host and term: three fixed lists, so the product is small."""
+def search_requests(hosts: DataFrame, providers: tuple[str, ...], terms: tuple[str, ...], day: str) -> DataFrame:
+    """Every host with each of the given providers and terms."""
     from ..functions.dates import query_tokens
 
-    rows = providers.crossJoin(hosts).crossJoin(terms)
+    each = lambda values: F.explode(F.array(*[F.lit(v) for v in values]))
+    rows = hosts.withColumn("provider", each(providers)).withColumn("term", each(terms))
     query = F.concat(F.lit("site:"), F.col("host"), F.lit(" "), F.col("term"), F.lit(" "), F.element_at(query_tokens(day), 2))
     base = F.lit(None).cast("string")
     for name, url in PROVIDERS.items():

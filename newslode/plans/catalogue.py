@@ -97,20 +97,22 @@ def s_scope(blob: str, lex=FIXTURE) -> str:
     return f"CASE WHEN {a} AND {b} THEN 'Copper, Aluminum' WHEN {a} THEN 'Copper' WHEN {b} THEN 'Aluminum' WHEN {s_any(blob, lex.broad)} THEN 'Broad Metals' ELSE 'Unknown' END"
 
 
-# Spark, RE2 and Python agree on what a word's edge is only between ASCII letters; the queries that need
-# words use this form in both engines.
-EDGE = "(^|[^a-z0-9_])({0})($|[^a-z0-9_])"
+# A word's edge as Java has it: letters of any script belong to words.
+EDGE = r"(^|[^\p{{L}}\p{{Nd}}_])({0})($|[^\p{{L}}\p{{Nd}}_])"
 
 
 def s_target(x: str, lex=FIXTURE) -> str:
     return "(" + " OR ".join(f"regexp_matches({x}, {q(EDGE.format(w))})" for w in lex.primary) + ")"
 
 
-def target(x):
-    out = F.lit(False)
-    for w in FIXTURE.primary:
-        out = out | F.regexp_like(x, F.lit(EDGE.format(w)))
-    return out
+def s_day(u: str) -> str:
+    part = lambda i: rf"regexp_extract({u}, '/(20\d{{2}})/(\d{{1,2}})/(\d{{1,2}})/', {i})"
+    return f"TRY_CAST({part(1)} || '-' || lpad({part(2)}, 2, '0') || '-' || lpad({part(3)}, 2, '0') AS DATE)"
+
+
+def s_section_page(u: str) -> str:
+    parts = f"list_filter(string_split({s_path(u)}, '/'), lambda p: p <> '')"
+    return f"(len({parts}) <= 2 AND coalesce({parts}[-1], 'news') IN ({', '.join(q(w) for w in U.SECTION_WORDS)}))"
 
 
 PAGES = rf"""
@@ -193,7 +195,17 @@ def structured_points(spark, sf_dir):
     return docs(spark, sf_dir).select("doc_id", F.size(p).alias("n_points"), F.coalesce(F.get(p, F.lit(0)), F.lit("")).alias("first_point")).where("n_points > 0")
 
 
-@query(None)
+def s_merge(step: str) -> str:
+    blocks = f"list_filter([{s_space('title')}, {s_space('body')}, {s_space('split_part(body, chr(10), 1)')}], lambda v: v <> '')"
+    joined = f"array_to_string(list_reduce(list_prepend(CAST([] AS VARCHAR[]), list_transform({blocks}, lambda v: [v])), lambda a, b: {step}), chr(10) || chr(10))"
+    return f"length(CASE WHEN length({joined}) <= 16000 THEN {joined} ELSE trim(regexp_replace(left({joined}, 16000), ' [^ ]*$', '')) END)"
+
+
+_INSIDE, _HOLDS = "contains(lower(k), lower(b[1]))", "contains(lower(b[1]), lower(k))"
+
+
+@query(rf"""WITH {DOCS} SELECT doc_id, {s_merge(f"CASE WHEN len(list_filter(a, lambda k: {_INSIDE} OR {_HOLDS})) > 0 THEN a ELSE list_concat(a, b) END")} AS first_wins,
+    {s_merge(f"CASE WHEN len(list_filter(a, lambda k: {_INSIDE})) > 0 THEN a ELSE list_concat(list_filter(a, lambda k: NOT {_HOLDS}), b) END")} AS longest_wins FROM docs_t""")
 def merged_blocks(spark, sf_dir):
     """Both ways of merging title, body and first paragraph."""
     rows = docs(spark, sf_dir)
@@ -235,15 +247,14 @@ def doc_relevance_score(spark, sf_dir):
 @query(rf"""WITH {DOCS} SELECT scope, count(*) AS n, count_if(named) AS n_named FROM (
     SELECT {s_scope("lower(title || chr(10) || body)")} AS scope, {s_target("lower(title || chr(10) || body)")} AS named FROM docs_t) GROUP BY scope""")
 def doc_scope(spark, sf_dir):
-    blob = F.lower(F.concat("title", F.lit("\n"), "body"))
-    return docs(spark, sf_dir).select(L.scope("title", "body", FIXTURE).alias("scope"), target(blob).alias("named")).groupBy("scope").agg(F.count("*").alias("n"), F.count_if("named").alias("n_named"))
+    named = L.has_target(F.concat("title", F.lit("\n"), "body"), FIXTURE)
+    return docs(spark, sf_dir).select(L.scope("title", "body", FIXTURE).alias("scope"), named.alias("named")).groupBy("scope").agg(F.count("*").alias("n"), F.count_if("named").alias("n_named"))
 
 
 @query(rf"""WITH {DOCS} SELECT doc_id, c AS has_context, c AND t AS strong FROM (
     SELECT doc_id, {s_any(f"lower({s_space('body')})", FIXTURE.intelligence + FIXTURE.structure)} AS c, {s_target(f"lower({s_space('body')})")} AS t FROM docs_t)""")
 def doc_market_context(spark, sf_dir):
-    c, t = L.market_context("body", FIXTURE), target(F.lower(X.normalize_space("body")))
-    return docs(spark, sf_dir).select("doc_id", c.alias("has_context"), (c & t).alias("strong"))
+    return docs(spark, sf_dir).select("doc_id", L.market_context("body", FIXTURE).alias("has_context"), L.strong_signal("body", FIXTURE).alias("strong"))
 
 
 BULL, BEAR = ("the", "eren"), ("and", "tion", "wh")
@@ -258,7 +269,17 @@ def doc_stance_theme(spark, sf_dir):
     return docs(spark, sf_dir).select("doc_id", L.stance("body", BULL, BEAR).alias("stance"), L.theme("title", "body", RULES).alias("theme"), L.digest_section("body", F.lit(""), F.lit("")).alias("section"))
 
 
-@query(None)
+_CONTEXT = FIXTURE.intelligence + FIXTURE.structure
+
+
+@query(rf"""WITH {DOCS}, t_t AS (SELECT *, {s_space("title")} AS t, {s_space("body")} AS b, {s_scope("lower(title || chr(10) || body)")} AS scope, lower(title || chr(10) || body || chr(10)) AS blob FROM docs_t),
+h_t AS (SELECT *, t || chr(10) AS head, t || chr(10) || chr(10) || b AS whole FROM t_t),
+f_t AS (SELECT *, {s_any("lower(head)", _CONTEXT)} AS context_head, {s_any("lower(whole)", _CONTEXT)} AS context_all, {s_target("lower(head)")} AS target_head, {s_target("lower(whole)")} AS target_all, {s_any("lower(whole)", FIXTURE.company)} AS company,
+    {s_any("lower(head)", FIXTURE.priority)} AS priority, {s_relevance("t", "''")} >= {CFG.topic_threshold} AS head_ok, {s_relevance("t", "chr(10) || b")} >= 3 AS all_ok, scope IN ('Copper', 'Aluminum', 'Copper, Aluminum') AS scoped,
+    {s_sum("lower(title)", FIXTURE.direct, 4)} + {s_sum("lower(body)", FIXTURE.direct, 2)} + {s_sum("lower(title || chr(10) || body)", FIXTURE.analysis)} - {s_sum("lower(title || chr(10) || body)", FIXTURE.negative, 5)} AS legacy FROM h_t)
+SELECT doc_id, target_all AND NOT (company AND NOT ((target_head AND context_head) OR context_all)) AND ((context_head AND head_ok) OR (scoped AND all_ok) OR (context_all AND all_ok) OR (target_head AND priority AND head_ok)) AS topic,
+    {s_target("blob")} AND ({s_any("blob", _CONTEXT)} OR (length(body) >= {CFG.rescue_body_chars} AND {s_relevance("title", "body")} >= {CFG.rescue_score})) AS content,
+    CASE WHEN scoped THEN legacy >= 3 WHEN scope = 'Broad Metals' THEN legacy >= 5 ELSE false END AS topic_legacy FROM f_t""")
 def doc_topic_match(spark, sf_dir):
     rows = docs(spark, sf_dir).withColumn("scope", L.scope("title", "body", FIXTURE)).withColumn("hint", F.lit(""))
     return rows.select("doc_id", L.topic_matches("title", F.lit(""), "body", "hint", "scope", CFG).alias("topic"), L.content_matches("title", "body", F.lit(""), F.lit("html"), CFG).alias("content"), L.topic_matches_legacy("title", "body", "scope", FIXTURE).alias("topic_legacy"))
@@ -344,7 +365,12 @@ def shortlist(spark, sf_dir):
     return R.shortlist(rows, F.col("score"), cap=12, limit=18, threshold=8, backfill=4).select("source_name", "doc_id", "bucket", "list_rank", "score")
 
 
-@query(None)
+@query(rf"""WITH {LINKS}, b AS (SELECT *, lower(anchor || chr(10) || chr(10) || url) AS low, coalesce({s_day("url")} = DATE '{CFG.target_date}', false) AS on_day FROM links_u),
+f AS (SELECT *, {s_target("low")} AS target, {s_any("low", FIXTURE.priority)} AS priority,
+    coalesce({s_day("url")} <> DATE '{CFG.target_date}' AND (contains(lower({s_norm("url")}), '/archive/') OR contains({s_host("url")}, 'reuters.com') OR {s_day("url")} < DATE '{CFG.target_date}'), false) AS old FROM b)
+SELECT listing_url, listing_url || '#' || lpad(CAST(ord AS VARCHAR), 6, '0') AS ord_text, NOT old AND NOT ({s_any("low", FIXTURE.company)} AND NOT priority AND NOT on_day) AND (target OR {s_any("low", FIXTURE.structure)} OR priority OR on_day) AS listed,
+    {s_candidate("anchor", "url")} - CASE WHEN {s_section_page("url")} THEN 10 ELSE 0 END + CASE WHEN target THEN 7 ELSE -{CFG.shortlist_non_target_penalty} END + {s_sum("low", FIXTURE.priority, 3)} + CASE WHEN on_day THEN 10 ELSE 0 END
+    - CASE WHEN contains(lower(url), '/archive/') THEN 8 ELSE 0 END + CASE WHEN target AND priority THEN 7 ELSE 0 END + CASE WHEN suffix({s_path("url")}, '.pdf') THEN -{CFG.shortlist_pdf_penalty} ELSE {CFG.shortlist_html_bonus} + CASE WHEN {s_any(s_path("url"), U.REPORT_PATHS)} THEN 1 ELSE 0 END END AS score FROM f""")
 def shortlist_scores(spark, sf_dir):
     listed, score = A.shortlist_score(CFG)
     return link_candidates(spark, sf_dir).select("listing_url", "ord_text", listed.alias("listed"), score.alias("score"))
@@ -375,14 +401,15 @@ def html_first_phase(spark, sf_dir):
     return R.html_first(rows, 6).select("source_name", "doc_id", "is_pdf")
 
 
-@query(rf"""WITH RECURSIVE e AS (SELECT DISTINCT o_custkey AS src, CAST(o_custkey * 7 % 1500 + 1 AS BIGINT) AS dst FROM orders),
-t AS (SELECT DISTINCT o_custkey AS url, 0 AS depth FROM orders WHERE o_custkey < 20 UNION SELECT e.dst, t.depth + 1 FROM t JOIN e ON t.url = e.src WHERE t.depth < 2)
+@query(rf"""WITH RECURSIVE {LINKS}, e AS (SELECT DISTINCT listing_url AS src, 'host ' || {s_host("url")} AS dst FROM links_u UNION SELECT DISTINCT 'host ' || {s_host("url")}, url FROM pages),
+t AS (SELECT DISTINCT url, 0 AS depth FROM pages WHERE contains(url, '?page=') UNION SELECT e.dst, t.depth + 1 FROM t JOIN e ON t.url = e.src WHERE t.depth < 2)
 SELECT url, min(depth) AS depth FROM t GROUP BY url""")
 def traversal(spark, sf_dir):
-    """Pages reached in two steps; customers stand for pages, since the test pages don't link to each other."""
-    orders = table(spark, sf_dir, "orders")
-    edges = orders.select(F.col("o_custkey").alias("src"), (F.col("o_custkey") * 7 % 1500 + 1).alias("dst")).distinct()
-    return D.reachable(edges, orders.where("o_custkey < 20").select(F.col("o_custkey").alias("url")), 2)
+    """What is reached in two steps from all paged listings: the hosts that they link to, and the pages of these hosts."""
+    pages = table(spark, sf_dir, "pages")
+    host = lambda c: F.concat(F.lit("host "), U.host_of(c))
+    edges = D.links(pages).select(F.col("listing_url").alias("src"), host("url").alias("dst")).unionByName(pages.select(host("url").alias("src"), F.col("url").alias("dst"))).distinct()
+    return D.reachable(edges, pages.where(F.contains("url", F.lit("?page="))).select("url"), 2)
 
 
 @query("""WITH RECURSIVE b AS (SELECT DISTINCT 'customer ' || o_custkey AS c, 'part ' || l_partkey AS p FROM orders JOIN lineitem ON o_orderkey = l_orderkey),
@@ -405,18 +432,18 @@ def host_suffix_join(spark, sf_dir):
     return D.host_join(table(spark, sf_dir, "pages"), hosts).select("page_id", U.host_of("url").alias("host"), "allowed_host")
 
 
-@query("""SELECT n_name AS name, v.k AS key FROM nation, (VALUES ('IN'), ('united'), ('an'), ('FRANCE and more')) AS v(k) WHERE contains(lower(n_name), lower(v.k)) OR contains(lower(v.k), lower(n_name))""")
+@query("""SELECT c_name AS name, v.k AS key FROM customer, (VALUES ('R#00000000'), ('00012'), ('77'), ('CUSTOMER#000000003 and more')) AS v(k) WHERE contains(lower(c_name), lower(v.k)) OR contains(lower(v.k), lower(c_name))""")
 def alias_join(spark, sf_dir):
-    terms = spark.createDataFrame([("IN",), ("united",), ("an",), ("FRANCE and more",)], "key string")
-    return D.alias_join(table(spark, sf_dir, "nation").select(F.col("n_name").alias("name")), terms)
+    terms = spark.createDataFrame([("R#00000000",), ("00012",), ("77",), ("CUSTOMER#000000003 and more",)], "key string")
+    return D.alias_join(table(spark, sf_dir, "customer").select(F.col("c_name").alias("name")), terms)
 
 
-@query(rf"""WITH h AS (SELECT DISTINCT {s_host("url")} AS host FROM pages) SELECT provider, host, term, 'site:' || host || ' ' || term || ' April 7, 2026' AS query
-FROM h, (VALUES ('google'), ('bing')) AS p(provider), (VALUES ('thor'), ('erin')) AS t(term)""")
+@query(rf"""WITH h AS (SELECT DISTINCT {s_host("url")} AS host FROM pages), r AS (SELECT provider, host, term, base, 'site:' || host || ' ' || term || ' April 7, 2026' AS query
+    FROM h, (VALUES ('google', 'https://www.google.com/search?q='), ('bing', 'https://www.bing.com/search?q=')) AS p(provider, base), (VALUES ('thor'), ('erin')) AS t(term))
+SELECT provider, host, term, query, base || replace(url_encode(query), '%20', '+') AS request_url FROM r""")
 def search_requests(spark, sf_dir):
     hosts = table(spark, sf_dir, "pages").select(U.host_of("url").alias("host")).distinct()
-    two = lambda c, *v: spark.createDataFrame([(x,) for x in v], f"{c} string")
-    return D.search_requests(two("provider", "google", "bing"), hosts, two("term", "thor", "erin"), "2026-04-07").select("provider", "host", "term", "query")
+    return D.search_requests(hosts, ("google", "bing"), ("thor", "erin"), "2026-04-07").select("provider", "host", "term", "query", "request_url")
 
 
 # --- Evidence and summaries ------------------------------------------------------------------------------------------
