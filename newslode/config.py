@@ -92,6 +92,9 @@ REPORT_PATHS = (".pdf", "/report", "/reports", "/research", "/whitepaper", "/out
 SECTION_WORDS = ("news", "analysis", "markets", "market", "insights", "insight", "commentary", "outlook", "reports", "report", "articles", "latest", "metals", "commodities", "updates", "alerts")
 RELATIVE_DAYS = ("today", "just now", "hour ago", "hours ago", "minute ago", "minutes ago")
 QUOTE_URLS = ("/prices/", "/price/", "/future/", "/futures/", "/quotes/", "/quote/", "/spot/", "/symbol/", "/ticker/", "/lme/", "/shfe/", "/comex/")
+OLD_PAGE_HOSTS = ("reuters.com",)
+DYNAMIC_METHODS = ("dynamic_card", "dynamic_listing", "dynamic_second_hop", "dynamic_scrapy")
+ALLOWED_SCOPES = ("Copper", "Aluminum", "Copper, Aluminum", "Broad Metals", "Not Relevant")
 BLOCK_PHRASES = ("checking your browser", "cf-browser-verification", "attention required", "access denied", "captcha", "verify you are human")
 HARD_REJECTS = (
     "date_mismatch_after_full_page_check", "missing_date_after_full_page_check", "missing_target_metal_after_page_check", "missing_market_context_after_page_check",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html as entities
 import json
+import re
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -17,7 +18,7 @@ from .text import any_of, first_nonempty, let, normalize_space, text
 # Types are spelt out: a worker that imports this module has no session to parse them with.
 JSONLD = T.StructType([T.StructField(n, T.StringType()) for n in ("title", "author", "published", "url", "body")])
 METRICS = T.StructType([T.StructField("narrative_chars", T.IntegerType()), T.StructField("narrative_paragraphs", T.IntegerType()), T.StructField("table_density", T.DoubleType())])
-ANCHOR = T.StructType([T.StructField("ord", T.IntegerType()), *(T.StructField(n, T.StringType()) for n in ("href", "anchor", "snippet", "published"))])
+ANCHOR = T.StructType([T.StructField("ord", T.IntegerType()), *(T.StructField(n, T.StringType()) for n in ("href", "anchor", "snippet", "published")), T.StructField("box", T.IntegerType())])
 
 #: Elements whose text nobody reads.
 SILENT = ("script", "style", "noscript", "template")
@@ -90,13 +91,17 @@ def jsonld_fields(blocks: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([walk(b) for b in blocks], columns=["title", "author", "published", "url", "body"])
 
 
+#: Text of mere numbers (fixed value).
+NUMBERS = re.compile(r"[\d\s,.\-+/%:$]+")
+
+
 class _Reader(HTMLParser):
     """Paragraph and item texts outside tables, table texts, all visible text."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.silent = self.tables = 0
-        self.open: list[list[str]] = []
+        self.open: list[tuple[str, list[str]]] = []
         self.blocks: list[str] = []
         self.nodes: list[list[str]] = []
         self.stack: list[tuple[str, int]] = []
@@ -110,8 +115,9 @@ class _Reader(HTMLParser):
             self.nodes.append([])
             self.stack.append((tag, len(self.nodes) - 1))
         elif tag in ("p", "li") and not self.tables:
-            self.close_block()
-            self.open.append([])
+            if self.open and self.open[-1][0] == tag:  # a paragraph or item ends where the next begins
+                self.close_last()
+            self.open.append((tag, []))
 
     def handle_endtag(self, tag):
         if tag in SILENT:
@@ -122,8 +128,10 @@ class _Reader(HTMLParser):
                 if self.stack[i][0] == tag:
                     del self.stack[i:]
                     break
-        elif tag in ("p", "li"):
-            self.close_block()
+        elif tag in ("p", "li") and any(t == tag for t, _ in self.open):
+            while self.open[-1][0] != tag:
+                self.close_last()
+            self.close_last()
 
     def handle_data(self, data):
         if self.silent:
@@ -131,26 +139,28 @@ class _Reader(HTMLParser):
         self.visible.append(data)
         for _, i in self.stack:
             self.nodes[i].append(data)
-        if self.open and not self.tables:
-            self.open[-1].append(data)
+        if not self.tables:
+            for _, told in self.open:
+                told.append(data)
 
-    def close_block(self):
-        if self.open:
-            self.blocks.append(" ".join(" ".join(self.open.pop()).split()))
+    def close_last(self):
+        self.blocks.append(" ".join(" ".join(self.open.pop()[1]).split()))
 
 
 @F.pandas_udf(METRICS)
 def narrative_metrics(html: pd.Series) -> pd.DataFrame:
-    """Characters and number of paragraphs of 40 characters and more outside tables that aren't mere numbers, and the share of table text (of 80 table nodes at most, nested ones again) in all text."""
+    """Characters and number of paragraphs and items of 40 characters and more outside tables that aren't mere numbers, one inside another counting again, and the share
+    of table text (of 80 table nodes at most, nested ones again) in the first 20,000 characters of all text."""
     out = []
     for raw in html:
         r = _Reader()
         r.feed(raw or "")
         r.close()
-        r.close_block()
-        told = [b for b in r.blocks if len(b) >= 40 and any(c.isalpha() for c in b)]
-        tables = sum(len(" ".join(" ".join(n).split())) for n in r.nodes[:80])
-        seen = len(" ".join(" ".join(r.visible).split()))
+        while r.open:
+            r.close_last()
+        told = [b for b in r.blocks if len(b) >= 40 and not NUMBERS.fullmatch(b)]
+        tables = len(" ".join(" ".join(" ".join(n).split()) for n in r.nodes[:80]))
+        seen = min(len(" ".join(" ".join(r.visible).split())), 20_000)
         out.append((sum(map(len, told)), len(told), round(min(1.0, tables / seen), 3) if seen else 0.0))
     return pd.DataFrame(out, columns=["narrative_chars", "narrative_paragraphs", "table_density"])
 
@@ -163,14 +173,15 @@ class _Anchors(HTMLParser):
         self.found: list[dict] = []
         self.boxes: list[dict] = []
         self.now: dict | None = None
-        self.silent = 0
+        self.silent = self.count = 0
 
     def handle_starttag(self, tag, attrs):
         a = dict(attrs)
         if tag in SILENT:
             self.silent += 1
         elif tag in ("article", "li", "div", "section"):
-            self.boxes.append({"tag": tag, "text": [], "time": ""})
+            self.count += 1
+            self.boxes.append({"tag": tag, "text": [], "time": "", "ord": self.count})
         elif tag == "time" and self.boxes:
             self.boxes[-1]["time"] = self.boxes[-1]["time"] or a.get("datetime") or ""
         elif tag == "a" and a.get("href"):
@@ -196,14 +207,14 @@ class _Anchors(HTMLParser):
 
 @F.pandas_udf(T.ArrayType(ANCHOR))
 def anchors(html: pd.Series) -> pd.Series:
-    """Every anchor with its place, text, the text around it (360 characters at most) and the time beside it."""
+    """Every anchor with its place, text, the text around it (360 characters at most), the time beside it and the number of the container (0: none)."""
     clean = lambda parts: " ".join(" ".join(parts).split())
 
     def read(raw):
         p = _Anchors()
         p.feed(raw or "")
         p.close()
-        return [{"ord": a["ord"], "href": a["href"], "anchor": clean(a["anchor"]), "snippet": clean(a["box"]["text"])[:360] if a["box"] else "", "published": a["box"]["time"] if a["box"] else ""} for a in p.found]
+        return [{"ord": a["ord"], "href": a["href"], "anchor": clean(a["anchor"]), "snippet": clean(a["box"]["text"])[:360] if a["box"] else "", "published": a["box"]["time"] if a["box"] else "", "box": a["box"]["ord"] if a["box"] else 0} for a in p.found]
 
     return html.map(read)
 
@@ -215,8 +226,11 @@ def unescape(x: pd.Series) -> pd.Series:
 
 def page_title(html) -> Column:
     """Title by JSON-LD, then meta, then heading, then title element."""
-    h1 = strip_tags(F.regexp_extract(text(html), r"(?is)<h1\b[^>]*>(.*?)</h1>", 1))
-    return first_nonempty(jsonld_fields(jsonld_blocks(html))["title"], meta_content(html, "og:title", "twitter:title"), h1, title_tag(html))
+    return first_nonempty(jsonld_fields(jsonld_blocks(html))["title"], meta_content(html, "og:title", "twitter:title", "headline"), heading(html), title_tag(html))
+
+
+def heading(html) -> Column:
+    return strip_tags(F.regexp_extract(text(html), r"(?is)<h1\b[^>]*>(.*?)</h1>", 1))
 
 
 def main_text(html, least: int) -> Column:

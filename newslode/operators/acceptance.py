@@ -10,7 +10,7 @@ from ..config import Config
 from ..functions import html as H
 from ..functions import lexicon as L
 from ..functions import url as U
-from ..functions.dates import article_same_day, candidate_same_day, days_from, hint_matches, relative_hint
+from ..functions.dates import article_same_day, candidate_same_day, days_from, hint_matches, parse_iso, relative_hint
 from ..functions.text import any_of, as_col, let, merge_blocks, normalize_space, text
 
 EMPTY = lambda: F.array().cast("array<string>")
@@ -120,11 +120,12 @@ def shortlist_score(cfg: Config) -> tuple[Column, Column]:
     outside = F.startswith(text("method"), F.lit("external"))
     w = lambda c, n: F.when(c, n).otherwise(0)
     listed = ~U.old_archive("url", cfg.target_date) & ~(any_of(low, lex.company) & ~priority & ~day_url) & (target | any_of(low, lex.structure) | priority | relative | day_url | outside)
-    exact = F.coalesce(F.substring(text("published_hint"), 1, 10) == cfg.target_date, F.lit(False))
+    exact = F.substring(parse_iso("published_hint"), 1, 10) == cfg.target_date
+    kept_old = any_of(U.host_of("url"), C.OLD_PAGE_HOSTS) & ~day_url
     score = (
         F.col("score") - w(U.section_page("url"), 10) + F.when(target, 7).otherwise(-cfg.shortlist_non_target_penalty) + L.contains_sum(low, lex.priority, 3)
-        + F.when(exact, 9).when(hint_matches("published_hint", cfg.target_date, cfg.run_date), 8).otherwise(0) + w(day_url, 10) - w(F.contains(F.lower(text("url")), F.lit("/archive/")), 8)
-        + w(target & priority, 7) + w(F.col("method").isin("dynamic_card", "dynamic_listing", "dynamic_second_hop"), 1) + w(outside, 3)
+        + F.when(exact, 9).when(hint_matches("published_hint", cfg.target_date, cfg.run_date), 8).otherwise(0) + w(day_url, 10) - w(F.contains(F.lower(text("url")), F.lit("/archive/")), 8) - w(kept_old, 8)
+        + w(target & priority, 7) + w(F.col("method").isin(*C.DYNAMIC_METHODS), 1) + w(outside, 3)
         + F.when(U.looks_like_pdf("url"), -cfg.shortlist_pdf_penalty).otherwise(cfg.shortlist_html_bonus + w(U.looks_like_report("url"), 1))
     )
     return listed, score
@@ -182,13 +183,13 @@ def research_allowed(v: Column, cfg: Config, reportish: Column) -> Column:
     return (v["page_type"].isin("analyst_article", "market_news", "report") | reportish) & (v["narrative_chars"] >= cfg.research_chars) & (v["narrative_paragraphs"] >= cfg.narrative_paragraphs)
 
 
-def verification(title, body, url, evidence: Column, metrics: Column, cfg: Config, role: Column | None = None, context=None) -> Column:
+def verification(title, body, url, evidence: Column, metrics: Column, cfg: Config, role: Column | None = None, context: tuple = ()) -> Column:
     """struct of what a page shows: targets, context, date, type, reject reasons, score, confidence.
 
-    evidence: dates.date_evidence; metrics: html.narrative_metrics; context: more text of the page.
+    evidence: dates.date_evidence; metrics: html.narrative_metrics; context: more texts of the page and of what led to it.
     """
     lex = cfg.lexicon
-    blob = merge_blocks(title, body, *([context] if context is not None else []), url, mode=cfg.merge_mode)
+    blob = merge_blocks(title, body, *context, url, mode=cfg.merge_mode)
     day = evidence["same_day"] | (F.substring(evidence["published_at"], 1, 10) == cfg.target_date)
     shown = lambda b: F.struct(L.mentions(b, lex).alias("found"), L.market_context(b, lex).alias("context"), H.quote_signal(title, body, url).alias("quote"))
     base = lambda x: F.struct(
@@ -280,9 +281,27 @@ def relevance_rule(cfg: Config) -> Column:
 
 
 def finalize_relevance(model: Column, cfg: Config) -> Column:
-    """A model's answer, held to what was verified: it may only narrow."""
-    rule = relevance_rule(cfg)
-    return F.struct((rule["is_relevant"] & model["is_relevant"]).alias("is_relevant"), (rule["should_summarize"] & model["should_summarize"]).alias("should_summarize"), rule["target_metals"].alias("target_metals"), rule["scope"].alias("scope"), F.coalesce(model["reason"], rule["reason"]).alias("reason"))
+    """A model's answer (struct is_relevant, should_summarize, target_metals, same_day_valid, market_context, scope, reason; null for no say) beside what was verified.
+
+    Either may vouch for the day and the context; a summary needs targets, day, context and a page of a fit type,
+    whatever the model says; and what has them, or targets and context on a fit page, is relevant.
+    """
+    v = F.col("verification")
+    said = lambda c: F.coalesce(model[c], F.lit(False))
+    targets = L.canonical_targets(F.when(F.size(model["target_metals"]) > 0, model["target_metals"]).otherwise(v["verified_metals"]))
+    day, context = said("same_day_valid") | v["has_valid_same_day_date"], said("market_context") | v["has_market_context"]
+    fit = ~v["page_type"].isin(*C.EXCLUDED_PAGES)
+    over = v["page_type"].isin(*C.EXCLUDED_PAGES) & (F.size(targets) > 0) & context & day & (v["narrative_chars"] >= cfg.override_chars) & (v["quote_signal"] != "high")
+    known = F.struct(targets.alias("targets"), (F.size(targets) > 0).alias("has"), day.alias("day"), context.alias("context"), fit.alias("fit"), over.alias("over"))
+
+    def told(k: Column) -> Column:
+        summarize = said("should_summarize") & k["has"] & k["day"] & k["context"] & (k["fit"] | k["over"])
+        relevant = said("is_relevant") | summarize | (k["has"] & k["context"] & k["fit"])
+        scope = F.when(model["scope"].isin(*C.ALLOWED_SCOPES), model["scope"]).otherwise(L.scope_of_targets(k["targets"], "scope"))
+        reason = F.coalesce(F.nullif(model["reason"], F.lit("")), F.when(summarize, "Structured relevance accepted").otherwise("Structured relevance rejected"))
+        return F.struct(relevant.alias("is_relevant"), summarize.alias("should_summarize"), k["targets"].alias("target_metals"), k["day"].alias("same_day_valid"), k["context"].alias("market_context"), v["page_type"].alias("page_type"), scope.alias("scope"), reason.alias("reason"))
+
+    return let(known, told)
 
 
 def page_quality(status, html, body, title, kind: str, floor: int) -> Column:
@@ -291,7 +310,7 @@ def page_quality(status, html, body, title, kind: str, floor: int) -> Column:
     base = F.when(status.between(200, 399), 4).when(status < 500, 1).otherwise(0) + F.when(text(title) != "", 3).otherwise(0)
     base = base + F.least(F.lit(4), F.floor(F.length(text(html)) / 1200)) + F.least(F.lit(4), F.floor(F.length(text(body)) / 600))
     if kind == "listing":
-        base = base + F.least(F.lit(4), F.floor(F.regexp_count(text(html), F.lit("<a ")) / 8))
+        base = base + F.least(F.lit(4), F.floor(F.regexp_count(F.lower(text(html)), F.lit("<a ")) / 8))
     else:
         base = base + F.when(F.length(text(body)) >= floor, 2).otherwise(0)
     return (base - F.when(H.block_page(html), 6).otherwise(0)).cast("int")

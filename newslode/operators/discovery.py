@@ -27,7 +27,7 @@ def links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
 def parsed_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """The same by a parser, with the text and time around each anchor."""
     rows = pages.select(F.col(url).alias("listing_url"), F.explode(H.anchors(F.col(html))).alias("a"))
-    return rows.select("listing_url", "a.ord", U.join_url("listing_url", F.col("a.href")).alias("url"), "a.anchor", "a.snippet", "a.published")
+    return rows.select("listing_url", "a.ord", U.join_url("listing_url", F.col("a.href")).alias("url"), "a.anchor", "a.snippet", "a.published", "a.box")
 
 
 def listing_candidates(found: DataFrame, sources: DataFrame, cfg: Config, method: str = "listing", most: int | None = None) -> DataFrame:
@@ -41,9 +41,9 @@ def listing_candidates(found: DataFrame, sources: DataFrame, cfg: Config, method
 
 
 def cards(found: DataFrame) -> DataFrame:
-    """Of each container its best anchor: two more for a report or PDF, one for a title of 14 characters."""
+    """Of each container its best anchor, of equals the first: two more for a report or PDF, one for a title of 14 characters."""
     score = F.when(U.looks_like_pdf("url") | U.looks_like_report("url"), 2).otherwise(0) + F.when(F.length("anchor") >= 14, 1).otherwise(0)
-    return found.withColumn("card_score", score + 2).groupBy("listing_url", "snippet").agg(F.max_by(F.struct("url", "anchor", "published", "card_score"), F.struct(F.col("card_score"), -F.col("ord"))).alias("c")).select("listing_url", "snippet", "c.*")
+    return found.withColumn("card_score", score + 2).groupBy("listing_url", "box").agg(F.max_by(F.struct("snippet", "url", "anchor", "published", "card_score"), F.struct(F.col("card_score"), -F.col("ord"))).alias("c")).select("listing_url", "box", "c.*")
 
 
 def section_pages(found: DataFrame, most: int = 4) -> DataFrame:

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.text import distinct_by, let, normalize_space, text
+from ..config import Config
+from ..functions.text import any_of, distinct_by, let, normalize_space, text
 
 
 def best_by(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -74,8 +75,14 @@ def prefilter_floor(df: DataFrame, floor: int = 6, rescue: int = 6) -> DataFrame
     return df.join(last, F.col("source_name").eqNullSafe(F.col("__source")), "left").where(F.col("accepted") | ((F.col("score") >= rescue) & near)).select(*df.columns)
 
 
-def html_first(df: DataFrame, max_articles: int) -> DataFrame:
-    """PDF rows only for sources whose accepted HTML rows are fewer than min(max_articles, 2)."""
+def html_first(df: DataFrame, max_articles: int, bounded: bool = False) -> DataFrame:
+    """PDF rows only for sources whose accepted HTML rows are fewer than min(max_articles, 2).
+
+    bounded: a source has few rows, so they may be counted side by side and df is computed once.
+    """
+    if bounded:
+        n = F.sum((~F.col("is_pdf") & F.col("accepted")).cast("int")).over(Window.partitionBy("source_name"))
+        return df.withColumn("n_html", n).where(~F.col("is_pdf") | (F.col("n_html") < min(max_articles, 2))).drop("n_html")
     html = df.where(~F.col("is_pdf") & F.col("accepted")).groupBy("source_name").agg(F.count("*").alias("n_html"))
     return df.join(html, "source_name", "left").where(~F.col("is_pdf") | (F.coalesce("n_html", F.lit(0)) < min(max_articles, 2))).drop("n_html")
 
@@ -106,6 +113,17 @@ def count_by(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count("*").alias("n"))
 
 
+def shortlist_counters(df: DataFrame, cfg: Config) -> DataFrame:
+    """Of listed candidates, by method: how many, with a target and a priority term in title or snippet, with a hint of the day, with the day in the url."""
+    from ..functions import lexicon as L
+    from ..functions import url as U
+    from ..functions.dates import hint_matches
+
+    told = F.concat_ws("\n", text("title_hint"), text("snippet_hint"), text("url"))
+    strong = L.has_target(told, cfg.lexicon) & any_of(F.lower(told), cfg.lexicon.priority)
+    return df.groupBy("method").agg(F.count("*").alias("n_listed"), F.count_if(strong).alias("n_title_snippet"), F.count_if(hint_matches("published_hint", cfg.target_date, cfg.run_date)).alias("n_date_hint"), F.count_if(U.same_day_url("url", cfg.target_date)).alias("n_url_date"))
+
+
 def first_paragraphs(body, most: int = 4) -> Column:
     """All paragraphs if there are few, else the first two and last two, the first of equals."""
 

@@ -370,7 +370,7 @@ f AS (SELECT *, {s_target("low")} AS target, {s_any("low", FIXTURE.priority)} AS
     coalesce({s_day("url")} <> DATE '{CFG.target_date}' AND (contains(lower({s_norm("url")}), '/archive/') OR contains({s_host("url")}, 'reuters.com') OR {s_day("url")} < DATE '{CFG.target_date}'), false) AS old FROM b)
 SELECT listing_url, listing_url || '#' || lpad(CAST(ord AS VARCHAR), 6, '0') AS ord_text, NOT old AND NOT ({s_any("low", FIXTURE.company)} AND NOT priority AND NOT on_day) AND (target OR {s_any("low", FIXTURE.structure)} OR priority OR on_day) AS listed,
     {s_candidate("anchor", "url")} - CASE WHEN {s_section_page("url")} THEN 10 ELSE 0 END + CASE WHEN target THEN 7 ELSE -{CFG.shortlist_non_target_penalty} END + {s_sum("low", FIXTURE.priority, 3)} + CASE WHEN on_day THEN 10 ELSE 0 END
-    - CASE WHEN contains(lower(url), '/archive/') THEN 8 ELSE 0 END + CASE WHEN target AND priority THEN 7 ELSE 0 END + CASE WHEN suffix({s_path("url")}, '.pdf') THEN -{CFG.shortlist_pdf_penalty} ELSE {CFG.shortlist_html_bonus} + CASE WHEN {s_any(s_path("url"), U.REPORT_PATHS)} THEN 1 ELSE 0 END END AS score FROM f""")
+    - CASE WHEN contains(lower(url), '/archive/') THEN 8 ELSE 0 END - CASE WHEN contains({s_host("url")}, 'reuters.com') AND NOT on_day THEN 8 ELSE 0 END + CASE WHEN target AND priority THEN 7 ELSE 0 END + CASE WHEN suffix({s_path("url")}, '.pdf') THEN -{CFG.shortlist_pdf_penalty} ELSE {CFG.shortlist_html_bonus} + CASE WHEN {s_any(s_path("url"), U.REPORT_PATHS)} THEN 1 ELSE 0 END END AS score FROM f""")
 def shortlist_scores(spark, sf_dir):
     listed, score = A.shortlist_score(CFG)
     return link_candidates(spark, sf_dir).select("listing_url", "ord_text", listed.alias("listed"), score.alias("score"))
@@ -664,6 +664,35 @@ def daily_run(spark, sf_dir):
     return engine.briefs(found, page_config(), "run-1", "2026-04-07T06:00:00+00:00", _E).select("UniqueKey", "Title", "SourceName", "SourceUrl", "Metal", "Theme", "Stance")
 
 
+def found_stages(spark, sf_dir) -> dict[str, DataFrame]:
+    """Candidates of two stages: the pages as a feed tells of them, two thirds as of the day, and the links between pages."""
+    told = pages(spark, sf_dir).select("url", U.host_of("url").alias("listing_url"), F.col("title").alias("title_hint"), X.truncate_text("body", 200).alias("snippet_hint"), F.when(F.col("page_id") % 3 > 0, "2 hours ago").otherwise("").alias("published_hint"), F.lit("rss").alias("method"), F.col("page_id").alias("ord"))
+    feed = told.withColumn("score", L.candidate_score("title_hint", "url", "snippet_hint", page_config()) + 4)
+    return {"rss": feed, "traversal": link_candidates(spark, sf_dir).withColumn("ord", F.shiftright(F.xxhash64("ord_text"), 20)).drop("ord_text")}
+
+
+@query(None)
+def full_run(spark, sf_dir):
+    """The run from discovery on: candidates of all pages and links, short list, fast filter, pages, acceptance, budgets, brief rows."""
+    from . import engine
+
+    cfg = replace(page_config(), max_articles_total=1000, per_source_limit=200, max_candidates=1200)
+    found = engine.collect(found_stages(spark, sf_dir), table(spark, sf_dir, "pages"), registry.fixture(spark), cfg)
+    return engine.briefs(found, cfg, "run-1", "2026-04-07T06:00:00+00:00", _E).select("UniqueKey", "Title", "SourceName", "SourceUrl", "Metal", "Theme", "Stance")
+
+
+@query(None)
+def run_counters(spark, sf_dir):
+    """Candidates by source and method, and of those worth fetching how many name a target or a day."""
+    from . import engine
+
+    stages = found_stages(spark, sf_dir)
+    wanted = engine.candidates(stages, registry.fixture(spark), page_config())
+    by_method = D.union_stages(stages).groupBy("stage", "method").agg(F.count("*").alias("n_found"))
+    kept = R.shortlist_counters(wanted, page_config())
+    return by_method.join(kept, "method", "left").fillna(0)
+
+
 # --- Events: the batch form of the streams ----------------------------------------------------------------------------
 
 

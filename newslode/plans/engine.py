@@ -29,13 +29,13 @@ class Result:
     digest: DataFrame
 
 
-def extract(pages: DataFrame, cfg: Config) -> DataFrame:
-    """Articles of pages (url, html, and candidate hints if there are any)."""
+def extract(pages: DataFrame, cfg: Config, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Articles of pages (url, html, and candidate hints if there are any); keep: more columns of pages that stay."""
     for c in ("title_hint", "published_hint", "snippet_hint", "fetch_method"):
         if c not in pages.columns:
             pages = pages.withColumn(c, F.lit("table" if c == "fetch_method" else ""))
     rows = pages.withColumn("ld", H.jsonld_fields(H.jsonld_blocks("html"))).withColumn("metrics", H.narrative_metrics("html"))
-    rows = bind(rows, title=first_nonempty(F.col("ld.title"), H.meta_content("html", "og:title", "twitter:title"), H.title_tag("html"), "title_hint"), own=H.main_text("html", cfg.min_body_chars), visible=H.visible_text("html"), jsonld_body=F.col("ld.body"))
+    rows = bind(rows, title=first_nonempty(F.col("ld.title"), H.meta_content("html", "og:title", "twitter:title", "headline"), H.heading("html"), H.title_tag("html"), "title_hint"), described=H.meta_content("html", "description", "og:description"), own=H.main_text("html", cfg.min_body_chars), visible=H.visible_text("html"), jsonld_body=F.col("ld.body"))
     meta = H.meta_content("html", "article:published_time", "datePublished", "pubdate", "date", "dc.date")
     time = F.regexp_extract("html", r"(?is)<time[^>]+datetime=[\"']([^\"']*)[\"']", 1)
     published = first_nonempty(F.col("ld.published"), meta)
@@ -43,14 +43,14 @@ def extract(pages: DataFrame, cfg: Config) -> DataFrame:
     rows = bind(rows, body_text=body, author=first_nonempty(F.col("ld.author"), H.meta_content("html", "author", "article:author")), published_at=parse_iso(published), evidence=date_evidence([("jsonld", F.col("ld.published")), ("meta", meta), ("time", time), ("candidate", F.col("published_hint")), ("url", F.coalesce(F.date_format(U.url_date("url"), "yyyy-MM-dd"), F.lit("")))], cfg.target_date, cfg.run_date))
     rows = bind(rows, scope=L.scope("title", "body_text", cfg.lexicon), score=L.relevance("title", "body_text", cfg.lexicon))
     return rows.select(
-        F.col("url").alias("source_url"), "title", "author", "published_at", "body_text", "scope", "fetch_method", F.lit("html").alias("extraction_method"), F.col("published_hint").alias("discovery_published_hint"), F.col("snippet_hint").alias("discovery_snippet"), "score", "evidence", "metrics", "visible",
+        F.col("url").alias("source_url"), "title", "author", "published_at", "body_text", "scope", "fetch_method", F.lit("html").alias("extraction_method"), F.col("published_hint").alias("discovery_published_hint"), F.col("snippet_hint").alias("discovery_snippet"), F.col("title_hint").alias("discovery_title"), "score", "evidence", "metrics", "visible", "described", *keep,
     )
 
 
 def verified(articles: DataFrame, cfg: Config) -> DataFrame:
     """Articles beside their source with the verification, and what it changes."""
-    v = A.verification("title", "body_text", F.col("source_url"), F.col("evidence"), F.col("metrics"), cfg, F.col("source_role"), F.col("visible"))
-    rows = bind(articles, verification=v).drop("evidence", "metrics", "visible")
+    v = A.verification("title", "body_text", F.col("source_url"), F.col("evidence"), F.col("metrics"), cfg, F.col("source_role"), ("discovery_snippet", "described", "visible", "discovery_title"))
+    rows = bind(articles, verification=v).drop("evidence", "metrics", "visible", "described", "discovery_title")
     found = F.col("verification")
     published = F.when((found["published_at"] != "") & ((F.col("published_at") == "") | found["has_valid_same_day_date"]), found["published_at"]).otherwise(F.col("published_at"))
     rows = bind(rows, published_at=published, scope=F.when(F.col("scope") == "Unknown", L.scope_of_targets(found["verified_metals"], F.col("scope"))).otherwise(F.col("scope")))
@@ -65,19 +65,59 @@ def with_source(rows: DataFrame, sources: DataFrame, url: str = "source_url") ->
     return own.join(F.broadcast(hosts), F.col("suffix") == F.col("allowed_host")).drop("suffix", "allowed_host").dropDuplicates([url, "source_name"])
 
 
-def judge(pages: DataFrame, sources: DataFrame, cfg: Config) -> DataFrame:
-    rows = verified(with_source(extract(pages, cfg), sources), cfg)
+def judge(pages: DataFrame, sources: DataFrame, cfg: Config, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Articles of pages with verification, acceptance and relevance. Pages that name their source (source_name among keep) go by it, others by host."""
+    found = extract(pages, cfg, keep)
+    rows = verified(found.join(sources, "source_name") if "source_name" in keep else with_source(found, sources), cfg)
     return bind(rows, acceptance=A.acceptance(cfg), relevance=A.relevance_rule(cfg))
 
 
-def articles(pages: DataFrame, sources: DataFrame, cfg: Config, scope: str = "All") -> DataFrame:
-    """Accepted articles: the best of each url, gated, in scope, capped by source, in order. The cap counts only what may be published."""
-    rows = judge(pages, sources, cfg).where("acceptance.accepted").withColumn("score", F.col("acceptance.score")).withColumn("norm_url", U.normalize_url("source_url"))
+def publishable(judged: DataFrame, cfg: Config, scope: str) -> DataFrame:
+    """Of judged articles the accepted ones: the best of each url, gated and in scope."""
+    rows = judged.where("acceptance.accepted").withColumn("score", F.col("acceptance.score")).withColumn("norm_url", U.normalize_url("source_url"))
     rows = R.top_per(rows, ["norm_url"], [F.col("score").desc(), F.col("source_url"), F.col("source_name")], 1, "ord").drop("ord")
     gate = F.col("relevance.should_summarize")
-    rows = rows.where(F.coalesce(gate, F.lit(cfg.on_error == "keep"))).where(L.scope_matches(F.lit(scope), "scope"))
-    rows = R.top_per(rows, ["source_name"], [F.col("score").desc(), F.col("source_url")], cfg.per_source_limit * cfg.headroom, "ord")
-    return R.final_order(rows, cfg.max_articles_total)
+    return rows.where(F.coalesce(gate, F.lit(cfg.on_error == "keep"))).where(L.scope_matches(F.lit(scope), "scope"))
+
+
+def capped(rows: DataFrame, cfg: Config) -> DataFrame:
+    """Capped by source, in order. The cap counts only what may be published."""
+    return R.final_order(R.top_per(rows, ["source_name"], [F.col("score").desc(), F.col("source_url")], cfg.per_source_limit * cfg.headroom, "ord"), cfg.max_articles_total)
+
+
+def articles(pages: DataFrame, sources: DataFrame, cfg: Config, scope: str = "All") -> DataFrame:
+    """Accepted articles of fetched pages."""
+    return capped(publishable(judge(pages, sources, cfg), cfg, scope), cfg)
+
+
+def candidates(stages: dict[str, DataFrame], sources: DataFrame, cfg: Config, outside: DataFrame | None = None) -> DataFrame:
+    """What is worth fetching, in order (candidate_rank) of each source: found by the stages, merged by url, short-listed, and passed by the
+    fast filter, which keeps a floor of its best rejects."""
+    found = with_source(D.discover(stages, cfg, outside), sources, "url")
+    listed, points = A.shortlist_score(cfg)
+    rows = bind(found.withColumn("is_pdf", U.looks_like_pdf("url")).withColumn("is_report", U.looks_like_report("url")), listed=listed, points=points).where("listed")
+    cap = cfg.max_candidates // 2
+    short = R.shortlist(rows, F.col("points"), cap, max(18, cap), cfg.shortlist_threshold, cfg.backfill_threshold)
+    judged = bind(short, prefilter=A.fast_prefilter(cfg))
+    ranked = judged.withColumn("accepted", F.col("prefilter.accepted")).withColumn("score", F.col("prefilter.score")).withColumn("candidate_rank", F.col("list_rank"))
+    return R.prefilter_floor(ranked, cfg.prefilter_floor)
+
+
+def fetched(wanted: DataFrame, pages: DataFrame) -> DataFrame:
+    """Candidates beside their pages (url, html); of several copies of a page the longest."""
+    own = R.best_by(pages.select(U.normalize_url("url").alias("norm_url"), F.col("url").alias("page_url"), "html"), ["norm_url"], [F.length("html"), F.col("page_url")])
+    found = wanted.withColumn("norm_url", U.normalize_url("url")).drop("url").join(own, "norm_url")
+    return found.select(F.col("page_url").alias("url"), "html", "title_hint", "published_hint", "snippet_hint", "source_name", "candidate_rank", "is_pdf")
+
+
+def collect(stages: dict[str, DataFrame], pages: DataFrame, sources: DataFrame, cfg: Config, scope: str = "All", outside: DataFrame | None = None, attempts: int | None = None) -> DataFrame:
+    """The whole way: candidates, their pages, HTML before PDF, the first accepted ones of each source among its first attempts, publishable and capped."""
+    wanted = fetched(candidates(stages, sources, cfg, outside), pages)
+    tried = judge(wanted, sources, cfg, ("source_name", "candidate_rank", "is_pdf")).withColumn("accepted", F.col("acceptance.accepted"))
+    # The short list has bounded each source's rows.
+    first = R.html_first(tried, cfg.per_source_limit, bounded=True)
+    taken = R.capped_accepted(first, cfg.per_source_limit * cfg.headroom, attempts or cfg.max_candidates)
+    return capped(publishable(taken, cfg, scope), cfg)
 
 
 def briefs(rows: DataFrame, cfg: Config, run_id: str, generated_at: str, lists=S.EVIDENCE) -> DataFrame:
@@ -85,11 +125,13 @@ def briefs(rows: DataFrame, cfg: Config, run_id: str, generated_at: str, lists=S
     return S.brief_rows(ready, run_id, generated_at, cfg)
 
 
-def run(pages: DataFrame, sources: DataFrame, existing: DataFrame, cfg: Config, run_id: str, scope: str = "All", selected: DataFrame | None = None, fallback: DataFrame | None = None, alert_mode: str = "created_only") -> Result:
-    """Articles of the selected sources; where they give none, those of the fallback. existing: UniqueKey of the sink."""
-    found = articles(pages, selected if selected is not None else sources, cfg, scope)
+def run(pages: DataFrame, sources: DataFrame, existing: DataFrame, cfg: Config, run_id: str, scope: str = "All", selected: DataFrame | None = None, fallback: DataFrame | None = None, alert_mode: str = "created_only", stages: dict[str, DataFrame] | None = None) -> Result:
+    """Articles of the selected sources; where they give none, those of the fallback. existing: UniqueKey of the sink. With stages the run
+    begins with discovery, else with fetched pages."""
+    of = lambda chosen: articles(pages, chosen, cfg, scope) if stages is None else collect(stages, pages, chosen, cfg, scope)
+    found = of(selected if selected is not None else sources)
     if fallback is not None and found.isEmpty():
-        found = articles(pages, D.fallback_sources(sources, selected if selected is not None else sources.limit(0), fallback), cfg, scope)
+        found = of(D.fallback_sources(sources, selected if selected is not None else sources.limit(0), fallback))
     rows = briefs(found, cfg, run_id, cfg.run_date).withColumn("ord", F.xxhash64("UniqueKey", "SourceUrl"))
     created, again = sinks.new_rows(rows, existing), sinks.duplicate_rows(rows, existing)
     return Result(found, rows, created, again, S.digest_groups(sinks.alert_rows(created, again, rows, alert_mode)))

@@ -67,8 +67,8 @@ def normalize_external(payload: Column) -> Column:
 
 
 def external_candidates(spark: SparkSession, path: str, method: str = "external_search") -> DataFrame:
-    """Items of JSON files, one object a line, as candidates: the first of each url."""
-    rows = spark.read.text(path).where(F.trim("value") != "").select(normalize_external(F.col("value")).alias("c"), F.monotonically_increasing_id().alias("ord")).select("c.*", "ord", F.lit(method).alias("method"))
+    """Items of JSON files, one object a line, as candidates: one of each url, chosen by a hash of the line, which no split of the files changes."""
+    rows = spark.read.text(path).where(F.trim("value") != "").select(normalize_external(F.col("value")).alias("c"), F.shiftright(F.xxhash64("value"), 1).alias("ord")).select("c.*", "ord", F.lit(method).alias("method"))
     from ..operators.ranking import best_by
 
     return best_by(rows.where(F.col("url") != ""), ["url"], [-F.col("ord")])

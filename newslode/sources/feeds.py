@@ -49,19 +49,22 @@ def sitemap_entries(maps: DataFrame) -> DataFrame:
 
 
 def sitemap_urls(maps: DataFrame, roots: DataFrame, depth: int = 3, most_maps: int = 12, most_urls: int = 600) -> DataFrame:
-    """Page urls reached from the root maps through indexes: the first maps and urls, in order of depth and place.
+    """Page urls of each source reached from its root maps through indexes: its first maps and urls, in order of depth and place.
 
-    roots: map_url. Each step is a join with the fetched maps; the limits are the source's budget.
+    roots: map_url, and source_name if there are several sources. Each step is a join with the fetched maps; the limits are a source's budget.
     """
+    from ..operators.ranking import top_per
+
     entries = sitemap_entries(maps)
-    front = roots.select("map_url").distinct()
+    front = roots.withColumn("source_name", F.col("source_name") if "source_name" in roots.columns else F.lit("")).select("source_name", "map_url").distinct()
     seen = front.withColumn("depth", F.lit(0))
     for step in range(1, depth + 1):
-        found = entries.where("kind = 'index'").join(front, "map_url").select(F.col("loc").alias("map_url")).distinct().join(seen, "map_url", "left_anti")
+        found = entries.where("kind = 'index'").join(front, "map_url").select("source_name", F.col("loc").alias("map_url")).distinct().join(seen, ["source_name", "map_url"], "left_anti")
         seen = seen.unionByName(found.withColumn("depth", F.lit(step)))
         front = found
-    used = seen.orderBy("depth", "map_url").limit(most_maps)
-    return entries.where("kind = 'urlset'").join(used, "map_url").orderBy("depth", "map_url", "ord").limit(most_urls).select(F.col("loc").alias("url"), "lastmod", "map_url", "ord")
+    used = top_per(seen, ["source_name"], [F.col("depth"), F.col("map_url")], most_maps, "turn")
+    urls = entries.where("kind = 'urlset'").join(used, "map_url")
+    return top_per(urls, ["source_name"], [F.col("depth"), F.col("map_url"), F.col("ord")], most_urls, "turn_url").select("source_name", F.col("loc").alias("url"), "lastmod", "map_url", "ord")
 
 
 def sitemap_candidates(urls: DataFrame, cfg: Config) -> DataFrame:
