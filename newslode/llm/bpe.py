@@ -223,19 +223,20 @@ def chunks(spark: SparkSession, docs: DataFrame, path: str, pattern: str, freque
     words = frequent_words(docs, pattern, literal, frequent, count_docs)
     # Two broadcasts, each for one kind of task: a worker holds no more than it needs.
     odd = not_merged(ranks)
-    number = {w: i for i, w in enumerate([*odd, *words.column("word").to_pylist()])}
-    for i, w in enumerate(odd):  # a frequent word of this kind keeps the number of its own id
-        number[w] = i
     lists = words.column("ids").combine_chunks()
     own_flat, own_size = end_to_end(list(odd.values()))
-    numbers = spark.sparkContext.broadcast(number)
+    # The words go out as an Arrow column; each task makes its table of numbers of them, the driver none.
+    numbers = spark.sparkContext.broadcast((list(odd), words.column("word").combine_chunks()))
     known_ids = spark.sparkContext.broadcast((np.concatenate([own_flat, lists.flatten().to_numpy(zero_copy_only=False).astype(np.int32)]), np.concatenate([own_size, np.diff(lists.offsets.to_numpy()).astype(np.int64)])))
-    del words, lists, number
+    del words, lists
     table = spark.sparkContext.broadcast(ranks)
 
     def split(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, number = words_of(pattern), numbers.value
-        base = len(known_ids.value[1])
+        words, number = words_of(pattern), {}
+        special, frequent_ones = numbers.value
+        for i, w in enumerate([*special, *frequent_ones.to_pylist()]):
+            number.setdefault(w, i)  # a frequent word that has an id of its own keeps that
+        base = len(special) + len(frequent_ones)
 
         def chunk(ids: list, sizes: list, codes: list, rare: dict) -> pa.RecordBatch:
             spelt = pa.ListArray.from_arrays(pa.array([0, len(rare)], pa.int32()), byte_lists([w.encode() for w in rare]))
