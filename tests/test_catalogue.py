@@ -5,7 +5,7 @@ from compare import rows, sql_rows
 
 from newslode.plans import catalogue as C
 
-SLOW = {"daily_run", "article_acceptance", "page_verification"}  # test_engine runs their parts
+SLOW = {"article_acceptance", "page_verification"}  # parts of daily_run and full_run
 
 
 @pytest.mark.parametrize("name", sorted(C.ORACLE_SQL))
