@@ -110,7 +110,10 @@ class _Reader(HTMLParser):
     def handle_starttag(self, tag, attrs):
         if tag in SILENT:
             self.silent += 1
-        elif tag in ("table", "tr", "td", "th"):
+            return
+        if tag in ("table", "li") and self.open and self.open[-1][0] == "p":  # these end a paragraph that was left open
+            self.close_last()
+        if tag in ("table", "tr", "td", "th"):
             self.tables += tag == "table"
             self.nodes.append([])
             self.stack.append((tag, len(self.nodes) - 1))
