@@ -333,3 +333,30 @@ def test_fm_index():
             for w, a, b in zip(words, low, high):
                 want = [i for i in range(n - size + 1) if (seq[i : i + size] == w).all()]
                 assert sorted(index.locate(np.arange(a, b)).tolist()) == want
+
+
+# --- pipeline ---
+
+
+def test_pipeline_rows(spark, data, docs, labels, vocabulary):
+    """Every stage's rows against brute force over what the stage before kept; the toxic ones as the model scores them."""
+    import corpus_pipeline
+
+    from newslode.llm import toxicity
+    from newslode.llm.common import stash
+
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "simhash_near_dedup", "decontamination", "byte_bpe"]
+    kept = [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        kept.append(stash(stage(spark, kept[-1], data), f"test-{name}"))
+    before, clean, lines, single, own = (texts(x) for x in kept[:5])
+    toxic = {r.doc_id for r in toxicity.score(docs, labels).where("predicted = 1").collect()}
+    assert sorted(clean, key=str) == sorted(((i, t) for i, t in before if i not in toxic), key=str)
+    assert sorted((i, sha(t or "")) for i, t in lines) == sorted((i, s) for i, _, _, s in lines_expected(clean))
+    named = brute_components([(i, brute_fingerprint(t)) for i, t in lines])
+    assert sorted(i for i, _ in single) == sorted(i for i, c in named if i == c) and set(single) <= set(lines)
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{data}/benchmark.parquet").collect()]
+    hit = {r[0] for r in contamination_expected(single, items) if r[-1]}
+    assert sorted(own, key=str) == sorted(((i, t) for i, t in single if i not in hit), key=str)
+    got = sorted(((r.doc_id, r.n_tokens, sha(",".join(map(str, r.ids))), r.decoded_sha256) for r in kept[5].collect()), key=str)
+    assert got == bpe_expected(vocabulary, own)
