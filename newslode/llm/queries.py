@@ -7,8 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, language, license_scan, line_dedup, quality_crf, simhash, token_count, toxicity, weighted_sampling
-from .common import table
+from . import bpe, conversation_trie, decontaminate, language, license_scan, line_dedup, quality_crf, simhash, token_count, toxicity, weighted_sampling
+from .common import stash, table
 
 
 def tokenizer_path(name: str) -> str:
@@ -69,6 +69,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = stash(conversation_trie.numbered(table(spark, sf_dir, "conversations")), "turns")
+    return conversation_trie.prefix_trie(conversation_trie.rebuilt(turns))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_toxicity": op2_toxicity,
@@ -80,6 +85,7 @@ QUERIES = {
     "op8_token_count": op8_token_count,
     "op9_simhash": op9_simhash,
     "op10_decontamination": op10_decontamination,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 
 _BLANK = r"chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -115,4 +121,26 @@ ORACLE_SQL = {
         SELECT dw.doc_id, len(w) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(its.n, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
                coalesce(hit.n, 0) > 0 AND 20 * coalesce(hit.n, 0) >= len(w) AS contaminated
         FROM dw LEFT JOIN hit ON dw.doc_id = hit.doc_id LEFT JOIN its ON dw.doc_id = its.doc_id""",
+    "op13_conversation_trie": """
+        WITH t AS (
+            SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos
+            FROM conversations WHERE conv_id IS NOT NULL
+        ), c AS (
+            SELECT conv_id, conv_id - conv_id % 100 AS first_id,
+                   xor(list_reduce(list_concat([4294967295], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+                       lambda a, b: list_reduce(list_concat([xor(a, b)], range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 6 AS h
+            FROM (SELECT DISTINCT conv_id FROM t)
+        ), r AS (
+            SELECT c.conv_id, 0 AS part, pos, role, text FROM c JOIN t ON t.conv_id = c.first_id AND pos <= h
+            UNION ALL SELECT c.conv_id, 1, pos, role, text FROM c JOIN t ON t.conv_id = c.conv_id AND pos > h
+        ), p AS (
+            SELECT c.conv_id, coalesce(list({'r': role, 'x': text} ORDER BY part, pos) FILTER (WHERE role IS NOT NULL), []) AS path FROM c LEFT JOIN r ON r.conv_id = c.conv_id GROUP BY c.conv_id
+        ), m AS (SELECT conv_id, d, path[1:d] AS k, len(path) AS n FROM p, unnest(range(len(path) + 1)) AS s(d)),
+        n AS (SELECT k, d, min(conv_id) AS conv_id, count(*) AS n_convs, coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE n = d), '') AS ends FROM m GROUP BY k, d),
+        kids AS (SELECT k[1:d - 1] AS k, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1),
+        f AS (SELECT n.*, coalesce(n_children, 0) AS n_children, CASE WHEN d = 0 THEN 0 ELSE (n_convs - 1) * length(k[d].x) END AS own FROM n LEFT JOIN kids USING (k)),
+        sums AS (SELECT v.conv_id, v.d, sum(u.own) AS saved_tokens, count(*) FILTER (WHERE u.n_children = 0) AS n_leaves FROM f v JOIN f u ON u.d >= v.d AND u.k[1:v.d] = v.k GROUP BY v.conv_id, v.d)
+        SELECT f.conv_id, f.d AS depth, up.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(f.ends) AS ends_sha256
+        FROM f JOIN sums ON sums.conv_id = f.conv_id AND sums.d = f.d LEFT JOIN f up ON f.d > 0 AND up.d = f.d - 1 AND up.k = f.k[1:f.d - 1]""",
 }
