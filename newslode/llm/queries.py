@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, conversation_trie, decontaminate, language, license_scan, line_dedup, quality_crf, simhash, token_count, toxicity, weighted_sampling
+from . import bpe, conversation_trie, decontaminate, jaccard_join, language, license_scan, line_dedup, quality_crf, simhash, token_count, toxicity, weighted_sampling
 from .common import stash, table
 
 
@@ -69,6 +69,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_sets(table(spark, sf_dir, "documents"), size=5, percent=80)
+
+
 def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = stash(conversation_trie.numbered(table(spark, sf_dir, "conversations")), "turns")
     return conversation_trie.prefix_trie(conversation_trie.rebuilt(turns))
@@ -85,6 +89,7 @@ QUERIES = {
     "op8_token_count": op8_token_count,
     "op9_simhash": op9_simhash,
     "op10_decontamination": op10_decontamination,
+    "op12_jaccard_join": op12_jaccard_join,
     "op13_conversation_trie": op13_conversation_trie,
 }
 
