@@ -101,31 +101,34 @@ def described(docs: DataFrame, size: int, percent: int) -> DataFrame:
     return text_rows(docs).withColumn("row", F.xxhash64("text")).mapInArrow(run, "doc_id long, row long, n long, k1 long, k2 long, prefix binary")
 
 
-def _tokens(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _tokens(many: int):
     """cid, n and prefix in; token, cid, n out. A token's lowest bit is set if many of this buffer have it, and then one row says so where it is clear (cid 0)."""
 
     def flush(cid: list, n: list, prefix: list) -> pa.RecordBatch:
         sizes = np.array([len(x) // 8 for x in prefix], np.int64)
         token = np.frombuffer(b"".join(prefix), np.uint64) & ~np.uint64(1)
         _, where, count = np.unique(token, return_inverse=True, return_counts=True)
-        heavy = count[where] >= HEAVY
+        heavy = count[where] >= many
         marks = np.unique(token[heavy])
         none = np.zeros(len(marks), np.int64)
         token = np.concatenate([token | heavy.astype(np.uint64), marks]).view(np.int64)
         return pa.RecordBatch.from_arrays([pa.array(token), pa.array(np.concatenate([np.repeat(np.array(cid, np.int64), sizes), none])), pa.array(np.concatenate([np.repeat(np.array(n, np.int64), sizes), none]))], names=["token", "cid", "n"])
 
-    held: tuple[list, list, list] = ([], [], [])
-    size = 0
-    for b in it:
-        for row in zip(*(b.column(c).to_pylist() for c in ("cid", "n", "prefix")), strict=True):
-            for to, x in zip(held, row, strict=True):
-                to.append(x)
-            size += len(row[2]) // 8
-            if size > 1_000_000:
-                yield flush(*held)
-                held, size = ([], [], []), 0
-    if size:
-        yield flush(*held)
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: tuple[list, list, list] = ([], [], [])
+        size = 0
+        for b in it:
+            for row in zip(*(b.column(c).to_pylist() for c in ("cid", "n", "prefix")), strict=True):
+                for to, x in zip(held, row, strict=True):
+                    to.append(x)
+                size += len(row[2]) // 8
+                if size > 1_000_000:
+                    yield flush(*held)
+                    held, size = ([], [], []), 0
+        if size:
+            yield flush(*held)
+
+    return run
 
 
 def _shared(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,7 +163,7 @@ def _shared(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def prefixes(described_rows: DataFrame, percent: int) -> DataFrame:
     """token, cid, n: what each class that passes A keeps under B."""
     n = partitions_for(described_rows)
-    tokens = described_rows.where("prefix is not null").select(F.col("k1").alias("cid"), "n", "prefix").mapInArrow(_tokens, "token long, cid long, n long")
+    tokens = described_rows.where("prefix is not null").select(F.col("k1").alias("cid"), "n", "prefix").mapInArrow(_tokens(HEAVY), "token long, cid long, n long")
     # A heavy token's rows are dealt by class as well, so that no task gets them all.
     dealt = tokens.repartition(n, F.when(F.col("token").bitwiseAND(1) == 1, F.xxhash64("token", "cid")).otherwise(F.col("token"))).sortWithinPartitions("token", "cid")
     shared = dealt.mapInArrow(_shared, "cid long, n long, token long, df long").repartition(n, "cid").distinct()

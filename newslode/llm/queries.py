@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, conversation_trie, decontaminate, jaccard_join, language, license_scan, line_dedup, quality_crf, simhash, token_count, toxicity, weighted_sampling
+from . import bpe, conversation_trie, decontaminate, jaccard_join, language, license_scan, line_dedup, phrases, quality_crf, simhash, token_count, toxicity, weighted_sampling
 from .common import stash, table
 
 
@@ -69,6 +69,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"), threshold=100, most=2000)
+
+
 def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_sets(table(spark, sf_dir, "documents"), size=5, percent=80)
 
@@ -89,6 +93,7 @@ QUERIES = {
     "op8_token_count": op8_token_count,
     "op9_simhash": op9_simhash,
     "op10_decontamination": op10_decontamination,
+    "op11_phrases": op11_phrases,
     "op12_jaccard_join": op12_jaccard_join,
     "op13_conversation_trie": op13_conversation_trie,
 }
@@ -126,6 +131,24 @@ ORACLE_SQL = {
         SELECT dw.doc_id, len(w) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(its.n, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
                coalesce(hit.n, 0) > 0 AND 20 * coalesce(hit.n, 0) >= len(w) AS contaminated
         FROM dw LEFT JOIN hit ON dw.doc_id = hit.doc_id LEFT JOIN its ON dw.doc_id = its.doc_id""",
+    "op11_phrases": rf"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, doc_id, p, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+            FROM (SELECT lang, doc_id, unnest(s) AS piece, generate_subscripts(s, 1) AS p FROM (SELECT lang, doc_id, regexp_split_to_array(translate(coalesce(text, ''), {_LOWER}), '[.,;:!?\x0A-\x0D]') AS s FROM documents))
+        ), g AS (
+            SELECT lang, k, w[i:i + k - 1] AS g FROM pieces, unnest([1, 2, 3, 4, 5]) AS s(k), unnest(generate_series(1, len(w) - k + 1)) AS t(i)
+        ), n AS (SELECT lang, CAST(sum(len(w)) AS HUGEINT) AS n FROM pieces GROUP BY lang),
+        f AS (SELECT lang, k, g, CAST(count(*) AS HUGEINT) AS f FROM g GROUP BY lang, k, g HAVING count(*) >= 100),
+        inside AS (SELECT DISTINCT lang, k - 1 AS k, f, unnest([g[1:k - 1], g[2:k]]) AS g FROM f WHERE k > 2),
+        c AS (SELECT f.* FROM f WHERE k > 1 AND NOT EXISTS (SELECT 1 FROM inside x WHERE x.lang = f.lang AND x.k = f.k AND x.g = f.g AND 100 * x.f >= 100 * f.f)),
+        cuts AS (
+            SELECT c.lang, c.g, c.f AS a, l.f AS l, r.f AS r, n.n, cut, 1000 * c.f * n.n // (l.f * r.f) AS score
+            FROM c, unnest(range(1, c.k)) AS s(cut), f l, f r, n
+            WHERE l.lang = c.lang AND l.g = c.g[1:cut] AND r.lang = c.lang AND r.g = c.g[cut + 1:] AND n.lang = c.lang
+        ), best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' ')) AS rank, array_to_string(g, ' ') AS phrase,
+               CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+        FROM best QUALIFY rank <= 2000""",
     "op13_conversation_trie": """
         WITH t AS (
             SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
