@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -120,15 +121,19 @@ def _at(key: np.ndarray, bits: int) -> tuple[np.ndarray, list[np.ndarray]]:
 
 
 class Filters:
-    """Bloom filters of keys, by number."""
+    """Bloom filters of keys, by number. Packed where it travels."""
 
     def __init__(self, bits: int, slices: list) -> None:
-        self.bits, n = bits, min(SLICE_BITS, bits)
-        self.tables = [np.zeros((max(1, bits // SLICE_BITS), n // 8), np.uint8) for _ in range(2)]
-        for r in slices:
-            self.tables[r.which][r.slice] = np.frombuffer(zlib.decompress(bytes(r.data)), np.uint8)
+        self.bits, self.slices, self.tables = bits, [(r.which, r.slice, bytes(r.data)) for r in slices], None
+
+    def __getstate__(self) -> dict:
+        return {"bits": self.bits, "slices": self.slices, "tables": None}
 
     def has(self, which: int, key: np.ndarray) -> np.ndarray:
+        if self.tables is None:
+            self.tables = [np.zeros((max(1, self.bits // SLICE_BITS), min(SLICE_BITS, self.bits) // 8), np.uint8) for _ in range(2)]
+            for w, s, data in self.slices:
+                self.tables[w][s] = np.frombuffer(zlib.decompress(data), np.uint8)
         found, (at, places) = np.ones(len(key), bool), _at(key, self.bits)
         for b in places:
             found &= self.tables[which][at, (b >> np.uint64(3)).astype(np.int64)] >> (b & np.uint64(7)).astype(np.uint8) & 1 == 1
@@ -203,9 +208,8 @@ def _active(lang: str, h: np.ndarray, known: Filters | None, words_too: bool, al
             yield size, at[fresh], one[fresh], _key2(two[fresh], size)
 
 
-def counted(shard: DataFrame, known: Filters | None, words_too: bool) -> DataFrame:
-    """k1, k2, n: occurrences of the active phrases in a part of a shard."""
-    spread = None if known is None else shard.sparkSession.sparkContext.broadcast(known)
+def counted(shard: DataFrame, spread: Broadcast | None, words_too: bool) -> DataFrame:
+    """k1, k2, n: occurrences of the active phrases in a part of a shard. spread: the filters of what is known."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[bytes]] = {}
@@ -236,9 +240,8 @@ def counted(shard: DataFrame, known: Filters | None, words_too: bool) -> DataFra
     return shard.select("lang", "words").mapInArrow(run, "k1 long, k2 long, n long")
 
 
-def passing(rows: DataFrame, known: Filters) -> DataFrame:
+def passing(rows: DataFrame, spread: Broadcast) -> DataFrame:
     """The rows whose key is in filter 0."""
-    spread = rows.sparkSession.sparkContext.broadcast(known)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
@@ -252,21 +255,27 @@ def frequent(rows: DataFrame, threshold: int, shards: int, bits: int = BITS) ->
     cycle: list[DataFrame] = []
     reached: DataFrame | None = None
     known, scan = None, 0
+    spread = rows.sparkSession.sparkContext.broadcast
     while scan < shards or known is not None:
         new = counted(rows.where(F.col("shard") == scan % shards), known, scan < shards).groupBy("k1", "k2").agg(F.sum("n").alias("n"))
         cycle = [*cycle, stash(new, "phrase-counts")][-shards:]
+        if known is not None:
+            known.destroy()
         counts = cycle[0]
         for c in cycle[1:]:
             counts = counts.unionByName(c)
         share = -(-threshold // shards)
         hopeful = filters(counts.where(F.col("n") >= share).select("k1", F.lit(True).alias("new")), bits)
         if hopeful is not None:
+            hopeful = spread(hopeful)
             found = passing(counts, hopeful).groupBy("k1", "k2").agg(F.sum("n").alias("f")).where(F.col("f") >= threshold).withColumn("reach", F.lit(scan))
             if reached is not None:
                 found = found.unionByName(reached).groupBy("k1", "k2").agg(F.max("f").alias("f"), F.min("reach").alias("reach"))
             reached = stash(found, "phrases")
+            hopeful.destroy()
         scan += 1
-        known = None if reached is None else filters(reached.where(f"k2 & 7 < {LONGEST}").select("k1", (F.col("reach") >= scan - shards).alias("new")), bits)
+        found = None if reached is None else filters(reached.where(f"k2 & 7 < {LONGEST}").select("k1", (F.col("reach") >= scan - shards).alias("new")), bits)
+        known = None if found is None else spread(found)
     if reached is None:
         return rows.sparkSession.createDataFrame([], "k1 long, k2 long, f long")
     return reached.select("k1", "k2", "f")
