@@ -37,7 +37,7 @@ from .simhash import components
 #: A buffer's classes with a token from which on the token counts as heavy: last in order B, its rows dealt by class.
 HEAVY = 32
 #: Classes of a token up to which all their pairs are looked at; beyond, a leader and blocks.
-SMALL, BLOCK = 32, 1024
+SMALL, BLOCK = 32, 2048
 #: Tokens of a block.
 BLOCK_TOKENS = 500_000
 LAST = 2**31 - 1

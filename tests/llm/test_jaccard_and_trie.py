@@ -66,7 +66,7 @@ def copies(spark):
     return spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(5)
 
 
-@pytest.mark.parametrize("small, block, heavy", [(32, 1024, 32), (2, 7, 3), (1, 1024, 10**9)])
+@pytest.mark.parametrize("small, block, heavy", [(32, 2048, 32), (2, 7, 3), (1, 1024, 10**9)])
 def test_links_by_brute_force(copies, monkeypatch, small, block, heavy):
     """With the usual limits, with groups cut to pieces, and with every token going to leaders and blocks."""
     for name, value in (("SMALL", small), ("BLOCK", block), ("HEAVY", heavy)):
