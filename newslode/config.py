@@ -142,7 +142,10 @@ class Config:
     max_articles_total: int = 12
     headroom: int = 3
     prefilter_floor: int = 6
-    external_threshold: int = 14
+    search_threshold: int = 14
+    outside_threshold: int = 12
+    outside_floor: int = 12
+    outside_cap_ratio: float = 0.9
     merge_mode: str = "longest_wins"
     on_error: str = "keep"
     extra: dict = field(default_factory=dict)

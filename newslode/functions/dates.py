@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..config import RELATIVE_DAYS
-from .text import any_of, normalize_space, text
+from .text import let, any_of, normalize_space, text
 from .url import same_day_url
 
 FORMATS = ("yyyy-MM-dd'T'HH:mm:ssXXX", "yyyy-MM-dd'T'HH:mm:ss.SSSXXX", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mmXXX", "yyyy-MM-dd HH:mm", "yyyy-MM-dd", "yyyy/MM/dd", "MMMM d, yyyy", "MMM d, yyyy", "d MMMM yyyy", "d MMM yyyy", "d MMM yyyy HH:mm:ss Z", "d MMM yyyy HH:mm:ss z")
@@ -66,14 +66,26 @@ def query_tokens(target_date: str) -> Column:
 
 
 def date_evidence(found: list[tuple[str, Column]], target_date: str, run_date: str) -> Column:
+    """ranked_evidence of (label, value) columns in order of trust."""
+    return ranked_evidence(F.array(*[F.struct(F.lit(k).alias("label"), text(v).alias("value")) for k, v in found]), target_date, run_date)
+
+
+def ranked_evidence(found: Column, target_date: str, run_date: str, visible: Column | None = None) -> Column:
     """The first value that is on the day, else the first that is a date.
 
-    found: (label, value) in order of trust. Returns struct(published_at, same_day, checked): checked are the labels
-    up to the match.
+    found: array of struct(label, value) in order of trust. visible: all text of the page, whose relative words count
+    when nothing else is on the day. Returns struct(published_at, same_day, checked): checked are the labels up to the match.
     """
-    items = F.filter(F.array(*[F.struct(F.lit(k).alias("label"), text(v).alias("value"), parse_date(v).alias("ts"), hint_matches(v, target_date, run_date).alias("hit")) for k, v in found]), lambda s: s["value"] != "")
-    hits = F.filter(items, lambda s: s["hit"])
-    dated = F.filter(items, lambda s: s["ts"].isNotNull())
-    at = F.coalesce(F.try_element_at(F.filter(F.transform(items, lambda s, i: F.when(s["hit"], i)), lambda i: i.isNotNull()), F.lit(1)), F.size(items) - 1)
-    best = F.when(F.size(hits) > 0, F.coalesce(F.get(hits, F.lit(0))["ts"], F.lit(target_date).cast("timestamp"))).otherwise(F.get(dated, F.lit(0))["ts"])
-    return F.struct(iso(best).alias("published_at"), (F.size(hits) > 0).alias("same_day"), F.transform(F.slice(items, F.lit(1), at + 1), lambda s: s["label"]).alias("checked"))
+    judged = F.transform(F.filter(found, lambda s: s["value"] != ""), lambda s: F.struct(s["label"].alias("label"), parse_date(s["value"]).alias("ts"), hint_matches(s["value"], target_date, run_date).alias("hit")))
+
+    def pick(items: Column) -> Column:
+        at = F.array_position(F.transform(items, lambda s: s["hit"]), F.lit(True)).cast("int")
+        dated = F.get(F.filter(items, lambda s: s["ts"].isNotNull()), F.lit(0))["ts"]
+        hit = F.get(items, at - 1)
+        best = F.when(at > 0, F.coalesce(hit["ts"], F.lit(target_date).cast("timestamp"))).otherwise(dated)
+        told = hint_matches(visible, target_date, run_date) if visible is not None else F.lit(False)
+        last = F.when((at == 0) & told, F.array(F.lit("visible_relative_text"))).otherwise(F.array().cast("array<string>"))
+        checked = F.concat(F.transform(F.slice(items, F.lit(1), F.when(at > 0, at).otherwise(F.size(items))), lambda s: s["label"]), last)
+        return F.struct(iso(best).alias("published_at"), ((at > 0) | told).alias("same_day"), checked.alias("checked"))
+
+    return let(judged, pick)

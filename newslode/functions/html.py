@@ -91,6 +91,30 @@ def jsonld_fields(blocks: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([walk(b) for b in blocks], columns=["title", "author", "published", "url", "body"])
 
 
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def jsonld_dates(blocks: pd.Series) -> pd.Series:
+    """Dates of publication and of change of all objects in JSON-LD blocks; of a list the last object first."""
+
+    def walk(raw) -> list:
+        out = []
+        for b in raw if raw is not None else ():
+            try:
+                stack = [json.loads(b)]
+            except ValueError:
+                continue
+            while stack:
+                x = stack.pop()
+                if isinstance(x, list):
+                    stack.extend(x)
+                elif isinstance(x, dict):
+                    if "@graph" in x:
+                        stack.append(x["@graph"])
+                    out += [" ".join(v.split()) for k in ("datePublished", "dateModified") if isinstance(v := x.get(k), str) and v.strip()]
+        return out
+
+    return blocks.map(walk)
+
+
 #: Text of mere numbers (fixed value).
 NUMBERS = re.compile(r"[\d\s,.\-+/%:$]+")
 
@@ -236,23 +260,19 @@ def heading(html) -> Column:
     return strip_tags(F.regexp_extract(text(html), r"(?is)<h1\b[^>]*>(.*?)</h1>", 1))
 
 
-def main_text(html, least: int) -> Column:
-    """The first of article, main, content blocks and all paragraphs that is long enough, else the longest of them."""
-    clean = without_noise(html)
-    scopes = [F.regexp_extract(clean, rf"(?is){p}", 1) for p in (r"<article\b[^>]*>(.*)</article>", r"<main\b[^>]*>(.*)</main>", r"<div[^>]+class=[\"'][^\"']*(?:article|content|story|post)[^\"']*[\"'][^>]*>(.*)</div>")]
-    paragraphs = F.array_join(F.regexp_extract_all(clean, F.lit(r"(?is)<p\b[^>]*>(.*?)(?=</p>|<p\b|$)"), F.lit(1)), " ")
-    found = F.array(*[strip_tags(s) for s in (*scopes, paragraphs)])
-    longest = F.get(F.array_sort(found, lambda a, b: F.length(b) - F.length(a)), F.lit(0))
-    return let(found, lambda fs: F.coalesce(F.get(F.filter(fs, lambda s: F.length(s) >= least), F.lit(0)), longest))
-
-
 def block_page(html) -> Column:
     return any_of(F.lower(normalize_space(html)), C.BLOCK_PHRASES)
 
 
 def decode_bytes(data, charset: str | None) -> Column:
-    """Bytes as text: by the header's charset, else UTF-8."""
-    return F.decode(data, F.lit(charset or "UTF-8"))
+    """Bytes as text: by the header's charset if it is known and fits, else UTF-8, else Latin-1, which every byte fits."""
+    known = F.lit(None).cast("string") if not charset or charset.upper() not in ("US-ASCII", "ISO-8859-1", "UTF-8", "UTF-16BE", "UTF-16LE", "UTF-16", "UTF-32") else charset.upper()
+    data = F.col(data) if isinstance(data, str) else data
+    utf8 = F.when(F.is_valid_utf8(data.cast("string")), data.cast("string"))
+    latin = F.decode(data, F.lit("ISO-8859-1"))
+    if isinstance(known, str) and known not in ("UTF-8", "US-ASCII"):
+        return F.decode(data, F.lit(known))
+    return F.coalesce(utf8, latin)
 
 
 def pdf_post(x) -> Column:

@@ -74,7 +74,8 @@ def merge_blocks(*xs, most: int = 16_000, mode: str = "longest_wins") -> Column:
 
 def distinct_by(array: Column, key) -> Column:
     """First of each key, in order."""
-    return F.aggregate(array, F.array().cast("array<string>"), lambda kept, x: F.when(F.exists(kept, lambda k: key(k) == key(x)), kept).otherwise(F.concat(kept, F.array(x))))
+    keys = F.transform(array, key)
+    return F.filter(array, lambda x, i: F.array_position(keys, key(x)) == i + 1)
 
 
 def collect_text(nodes: Column, min_len: int = 30, boilerplate: tuple[str, ...] = BOILERPLATE) -> Column:

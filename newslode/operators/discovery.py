@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..config import Config
 from ..functions import html as H
@@ -64,12 +65,43 @@ def union_stages(stages: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def discover(stages: dict[str, DataFrame], cfg: Config, outside: DataFrame | None = None) -> DataFrame:
-    """Merged candidates; an outside stage is asked only if the others find fewer than the threshold."""
-    base = union_stages(stages)
-    if outside is not None and base.select("url").distinct().limit(cfg.external_threshold).count() < cfg.external_threshold:
-        base = base.unionByName(union_stages({"external": outside}), allowMissingColumns=True)
-    return merge_candidates(base.withColumn("ord", F.col("stage_ord").cast("long") * 1_000_000_000 + F.col("ord").cast("long")))
+def with_source(rows: DataFrame, sources: DataFrame, url: str = "source_url") -> DataFrame:
+    """Each row beside its source: the one whose allowed host is the longest that holds the url's, of equals the first by name.
+
+    Hosts are matched once each, so no row is doubled and no pick depends on the order of rows.
+    """
+    hosts = sources.select("source_name", F.explode("allowed_hosts").alias("allowed_host"))
+    seen = rows.select(F.col(url).alias("any_url")).withColumn("row_host", U.host_of("any_url")).groupBy("row_host").agg(F.min("any_url").alias("any_url"))
+    found = seen.withColumn("suffix", F.explode(U.host_suffixes("any_url"))).join(hosts, F.col("suffix") == F.col("allowed_host"))
+    owner = found.groupBy("row_host").agg(F.min_by("source_name", F.struct(-F.length("suffix"), "source_name")).alias("owner"))
+    own = rows.withColumn("row_host", U.host_of(url)).join(owner, "row_host").withColumnRenamed("owner", "source_name").drop("row_host")
+    return own.join(sources, "source_name")
+
+
+def short_of(found: DataFrame, sources: DataFrame, threshold: int) -> DataFrame:
+    """Names of the sources with fewer different urls than the threshold, those without any included."""
+    n = found.groupBy("source_name").agg(F.countDistinct("url").alias("n_urls"))
+    return sources.join(n, "source_name", "left").where(F.coalesce("n_urls", F.lit(0)) < threshold).select("source_name", "source_role")
+
+
+def gated(base: DataFrame, sources: DataFrame, cfg: Config, search: DataFrame | None = None, outside: DataFrame | None = None) -> DataFrame:
+    """Candidates (source_name, url, ...) of the ready stages, and for each source that they leave short the results of the search
+    engines, if its role is one they serve, then, if it still is short, the outside ones. Each source goes by its own count."""
+    out = base
+    for more, stage, threshold, roles in ((search, "search", cfg.search_threshold, ("narrative_news", "market_data")), (outside, "external", cfg.outside_threshold, None)):
+        if more is None:
+            continue
+        few = short_of(out, sources, threshold)
+        few = few.where(F.col("source_role").isin(*roles)) if roles else few
+        out = out.unionByName(union_stages({stage: more.join(few.select("source_name"), "source_name", "left_semi")}), allowMissingColumns=True)
+    return out
+
+
+def discover(stages: dict[str, DataFrame], sources: DataFrame, cfg: Config, outside: DataFrame | None = None, search: DataFrame | None = None) -> DataFrame:
+    """Candidates merged by source and url, beside their source. Stages give urls, whose host tells the source; search and outside rows name their source."""
+    base = with_source(union_stages(stages), sources, "url").select("source_name", *union_stages(stages).columns)
+    found = gated(base, sources, cfg, search, outside)
+    return merge_candidates(found, ("source_name", "url")).join(sources, "source_name")
 
 
 def reachable(edges: DataFrame, seeds: DataFrame, depth: int = 2) -> DataFrame:
@@ -83,6 +115,28 @@ def reachable(edges: DataFrame, seeds: DataFrame, depth: int = 2) -> DataFrame:
     return reached
 
 
+def budgeted_traversal(edges: DataFrame, seeds: DataFrame, depth: int = 2, budget: int = 30, follow: int = 20, keep=lambda df, name: df) -> DataFrame:
+    """source_name, url, depth, place: the pages a source's walk visits, in the order of a queue.
+
+    edges: source_name, src, dst, rank (the order of a page's links), only those that may be visited; seeds: source_name, url, ord.
+    A page gives its first links, each page is visited once, and a source's walk ends with its budget. A level
+    of the queue is one round: its order is that of the pages it comes from, then that of their links; what was
+    seen before is taken out by an anti join. keep(df, name) writes the visited pages between the rounds.
+    """
+    by_source = lambda *order: F.row_number().over(Window.partitionBy("source_name").orderBy(*order))
+    links = top_per(edges, ["source_name", "src"], [F.col("rank"), F.col("dst")], follow, "turn").select("source_name", F.col("src").alias("at"), "dst", "turn")
+    first = seeds.groupBy("source_name", "url").agg(F.min("ord").alias("ord")).withColumn("place", by_source("ord", "url")).where(F.col("place") <= budget)
+    visited = keep(first.select("source_name", "url", F.lit(0).alias("depth"), "place"), "visited")
+    for step in range(1, depth + 1):
+        front = visited.where(F.col("depth") == step - 1).select("source_name", F.col("url").alias("at"), F.col("place").alias("from_place"))
+        new = front.join(links, ["source_name", "at"]).groupBy("source_name", F.col("dst").alias("url")).agg(F.min(F.struct("from_place", "turn")).alias("turn"))
+        new = new.join(visited.select("source_name", "url"), ["source_name", "url"], "left_anti")
+        spent = visited.groupBy("source_name").agg(F.max("place").alias("spent"))
+        new = new.join(spent, "source_name").withColumn("place", by_source("turn", "url") + F.col("spent")).where(F.col("place") <= budget)
+        visited = keep(visited.unionByName(new.select("source_name", "url", F.lit(step).alias("depth"), "place")), "visited")
+    return visited
+
+
 def follow_links(found: DataFrame, cfg: Config, keywords: Column, most: int = 20) -> DataFrame:
     """Of each page the links most worth following; found carries the source's columns."""
     score = A.traversal_score(F.col("url"), F.col("anchor"), cfg, keywords, F.col("include_hints"), A.source_accepts(F.col("url"), cfg))

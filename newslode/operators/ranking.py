@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -21,13 +23,13 @@ def dedupe_by_url(df: DataFrame, url: str = "norm_url", score: str = "score", or
     return best_by(df, [url], [F.col(score), -F.col(ord_)])
 
 
-def merge_candidates(df: DataFrame) -> DataFrame:
-    """One row for each url: that of the highest score (the earlier of equals), with the longest of each hint."""
-    early = -F.col("ord")
+def merge_candidates(df: DataFrame, keys: tuple[str, ...] = ("url",)) -> DataFrame:
+    """One row for each key: that of the highest score (the earlier of equals, by stage if there are any, then ord), with the longest of each hint."""
+    early = F.struct(*[(-F.col(c)).alias(c) for c in ("stage_ord", "ord") if c in df.columns])
     hints = [F.max_by(c, F.struct(F.length(text(c)).alias("n"), early.alias("e"))).alias(c) for c in ("title_hint", "snippet_hint", "published_hint")]
-    rest = [c for c in df.columns if c not in ("url", "title_hint", "snippet_hint", "published_hint")]
+    rest = [c for c in df.columns if c not in (*keys, "title_hint", "snippet_hint", "published_hint")]
     best = F.max_by(F.struct(*rest), F.struct(F.col("score"), early.alias("e"))).alias("best")
-    return df.groupBy("url").agg(best, *hints).select("url", "title_hint", "snippet_hint", "published_hint", "best.*")
+    return df.groupBy(*keys).agg(best, *hints).select(*keys, "title_hint", "snippet_hint", "published_hint", "best.*")
 
 
 def top_per(df: DataFrame, keys: list[str], order: list[Column], most: int, rank: str = "rank") -> DataFrame:
@@ -56,8 +58,8 @@ def better_page(df: DataFrame, url: str, rank: Column, attempt: str = "attempt")
 
 
 def capped_accepted(df: DataFrame, most: int, attempts: int) -> DataFrame:
-    """Of each source's candidates, in order, the first accepted ones among its first attempts."""
-    tried = top_per(df, ["source_name"], [F.col("candidate_rank")], attempts, "attempt")
+    """Of each source's candidates, HTML before PDF, then in order, the first accepted ones among its first attempts."""
+    tried = top_per(df, ["source_name"], [F.col("is_pdf"), F.col("candidate_rank")], attempts, "attempt")
     return top_per(tried.where("accepted"), ["source_name"], [F.col("attempt")], most, "accepted_rank")
 
 
@@ -87,26 +89,63 @@ def html_first(df: DataFrame, max_articles: int, bounded: bool = False) -> DataF
     return df.join(html, "source_name", "left").where(~F.col("is_pdf") | (F.coalesce("n_html", F.lit(0)) < min(max_articles, 2))).drop("n_html")
 
 
-def shortlist(df: DataFrame, score: Column, cap: int, limit: int, threshold: int, backfill: int) -> DataFrame:
+@dataclass(frozen=True)
+class Outside:
+    """What changes for a source with candidates from outside: is_outside and signal (a reason to keep a candidate) of a row, the cap, the limit, and how many are kept at least."""
+
+    is_outside: Column
+    signal: Column
+    cap: int
+    limit: int
+    floor: int = 12
+
+
+def shortlist(df: DataFrame, score: Column, cap: int, limit: int, threshold: int, backfill: int, outside: Outside | None = None) -> DataFrame:
     """Of each source: HTML before PDF by score; `cap` rows at the threshold, HTML of them first up to half the limit (six at least),
     then backfill HTML, then those PDFs if HTML is short, then backfill PDF, and the rest of the limit from the pool.
 
-    df has source_name, url, is_pdf, is_report, ord and only rows that may be listed.
+    df has source_name, url, is_pdf, is_report, ord and only rows that may be listed. With outside candidates a source's threshold
+    is 0 at most and its cap and limit are the higher ones; if the walk lists fewer than the floor, the first rows with a signal that
+    it left out are listed after its own. Both counters have a closed form: the walk ends with the cap-th row at the threshold, and
+    of the others so many are taken as are missing.
     """
-    ranked = df.withColumn("list_score", score).withColumn("strong", F.col("list_score") >= threshold)
-    pool = ~F.col("strong") & ((F.col("list_score") >= backfill) | F.col("is_report"))
+    ranked = df.withColumn("list_score", score)
+    if outside is None:
+        has, signal = F.lit(False), F.lit(False)
+        most = max(cap, limit)
+    else:
+        ranked = ranked.withColumn("signal", outside.signal)
+        has_outside = ranked.where(outside.is_outside).select("source_name").distinct().withColumn("has_outside", F.lit(True))
+        ranked = ranked.join(has_outside, "source_name", "left").withColumn("has_outside", F.coalesce("has_outside", F.lit(False)))
+        has, signal = F.col("has_outside"), F.col("has_outside") & F.col("signal")
+        most = max(cap, limit, outside.cap, outside.limit)
+    own_cap = F.when(has, max(cap, outside.cap if outside else 0)).otherwise(cap)
+    own_limit = F.when(has, max(limit, outside.limit if outside else 0)).otherwise(limit)
+    floor = F.least(own_limit, F.lit(outside.floor if outside else 0))
+    preferred = F.when(has, F.greatest(F.lit(6), F.floor(own_limit / 2), floor)).otherwise(max(6, limit // 2))
+    ranked = ranked.withColumn("strong", F.col("list_score") >= F.when(has, min(threshold, 0)).otherwise(threshold))
+    ranked = ranked.withColumn("pool", ~F.col("strong") & ((F.col("list_score") >= backfill) | F.col("is_report"))).withColumn("extra", signal)
     # Of each kind no more rows than the cap and the limit can count, so that no source is sorted whole in one task.
-    ranked = top_per(ranked.where(F.col("strong") | pool), ["source_name", "strong", "is_pdf"], [F.col("list_score").desc(), F.col("ord")], max(cap, limit), "turn")
+    ranked = top_per(ranked.where("strong OR pool OR extra"), ["source_name", "strong", "pool", "extra", "is_pdf"], [F.col("list_score").desc(), F.col("ord")], most, "kind_turn").drop("kind_turn")
     order = Window.partitionBy("source_name").orderBy(F.col("is_pdf"), F.col("list_score").desc(), F.col("ord"))
-    ranked = ranked.withColumn("place", F.row_number().over(order))
-    ranked = ranked.withColumn("strong_before", F.coalesce(F.sum(F.col("strong").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    seen = ranked.where(F.col("strong_before") < cap)  # the walk ends when the cap is reached
-    preferred = max(6, limit // 2)
-    html = F.sum((F.col("strong") & ~F.col("is_pdf")).cast("int")).over(Window.partitionBy("source_name"))
-    bucket = F.when(F.col("strong") & ~F.col("is_pdf") & (F.col("turn") <= preferred), 1).when(~F.col("strong") & ~F.col("is_pdf"), 2).when(F.col("strong") & F.col("is_pdf") & (html < preferred), 3).when(~F.col("strong") & F.col("is_pdf"), 4)
-    listed = seen.withColumn("bucket", bucket).where("bucket IS NOT NULL")
-    listed = top_per(listed, ["source_name"], [F.col("bucket"), F.col("place")], limit, "list_rank")
-    return best_by(listed, ["source_name", "url"], [-F.col("list_rank")]).drop("strong_before", "turn", "place", "strong")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("source_name")
+    counted = lambda test, over: F.coalesce(F.sum(test.cast("int")).over(over), F.lit(0))
+    ranked = ranked.withColumn("place", F.row_number().over(order)).withColumn("strong_before", counted(F.col("strong"), before))
+    # The walk ends when the cap is reached; so many it has listed itself.
+    ranked = ranked.withColumn("seen", F.col("strong_before") < own_cap).withColumn("listed", F.col("strong") & F.col("seen"))
+    left = F.col("extra") & ~F.col("listed")
+    missing = floor - F.least(own_cap, counted(F.col("strong"), whole))
+    ranked = ranked.withColumn("added", left & (counted(left, before) < missing))
+    ranked = ranked.withColumn("is_listed", F.col("listed") | F.col("added")).withColumn("turn", F.sum((F.col("is_listed") & ~F.col("is_pdf")).cast("int")).over(Window.partitionBy("source_name").orderBy("added", "place")))
+    ranked = ranked.withColumn("html", counted(F.col("is_listed") & ~F.col("is_pdf"), whole))
+    as_listed = F.when(F.col("is_listed") & ~F.col("is_pdf") & (F.col("turn") <= preferred), 1).when(F.col("is_listed") & F.col("is_pdf") & (F.col("html") < preferred), 3)
+    as_pool = F.when(F.col("pool") & F.col("seen"), F.when(F.col("is_pdf"), 4).otherwise(2))
+    # A row that was added may stand in the pool as well; it counts twice for the limit and is returned once.
+    roles = F.explode(F.filter(F.array(as_listed, as_pool), lambda b: b.isNotNull()))
+    listed = ranked.withColumn("own_limit", own_limit).withColumn("bucket", roles)
+    listed = top_per(listed, ["source_name"], [F.col("bucket"), F.col("added"), F.col("place")], most, "list_rank").where(F.col("list_rank") <= F.col("own_limit"))
+    return best_by(listed, ["source_name", "url"], [-F.col("list_rank")]).drop("strong_before", "turn", "place", "strong", "pool", "extra", "seen", "listed", "added", "is_listed", "html", "own_limit", "has_outside", "signal")
 
 
 def count_by(df: DataFrame, key: str) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..config import FIXTURE, Config
 from ..functions import dates as T
+from ..functions import dom as N
 from ..functions import html as H
 from ..functions import lexicon as L
 from ..functions import text as X
@@ -605,6 +606,79 @@ def warnings_map(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", sinks.warning_value(w, "k").cast("long").alias("k"), sinks.warning_value(w, "kind").alias("first_kind"))
 
 
+# --- Pages: main text, profiles, dates -------------------------------------------------------------------------------
+
+
+def s_escaped(x: str) -> str:
+    return f"replace(replace(replace({x}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+
+
+def nested_pages(spark, sf_dir) -> DataFrame:
+    """The documents as pages: every line a paragraph in a box of its own, odd ones on the left, even ones on the right, all in one article box beside a menu."""
+    lines = F.split(F.replace(F.replace(F.replace(X.text("text"), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;")), "\n")
+    boxes = F.transform(lines, lambda x, i: F.concat(F.when(i % 2 == 0, "<div class='box left'><div><p>").otherwise("<div class='box right'><div><p>"), x, F.lit("</div></div>")))
+    return table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("<nav><p>A menu that is long enough to be taken for a paragraph</p></nav><div><div class='wide article-content'>"), F.array_join(boxes, ""), F.lit("</div></div><footer><ul><li>A footer that is long enough to be taken for an item</ul></footer>")).alias("html"))
+
+
+def s_told(lines: str, least: int = 30) -> str:
+    """Lines long enough and without boilerplate, the first of each, one a line."""
+    clean = f"list_filter(list_transform({lines}, lambda v: {s_space('v')}), lambda v: length(v) >= {least} AND NOT ({s_any('lower(v)', X.BOILERPLATE)}))"
+    lows = f"list_transform({clean}, lambda v: lower(v))"
+    return f"array_to_string(list_filter({clean}, lambda v, i: list_position({lows}, lower(v)) = i), chr(10))"
+
+
+@query(rf"""WITH l AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+t AS (SELECT doc_id, {s_told("ls")} AS own, {s_told("list_concat(['A menu that is long enough to be taken for a paragraph'], ls)", 40)} AS rest FROM l)
+SELECT doc_id, CASE WHEN length(own) >= 200 THEN 'css:.article-content' ELSE 'paragraphs' END AS method, length(CASE WHEN length(own) >= 200 THEN own ELSE rest END) AS n_chars, md5(CASE WHEN length(own) >= 200 THEN own ELSE rest END) AS text_md5 FROM t""")
+def main_text(spark, sf_dir):
+    """Main text of nested pages by the first scope with enough."""
+    rows = X.bind(nested_pages(spark, sf_dir).withColumn("dom", N.tree("html")), body=N.main_text(F.col("dom"), 200))
+    return rows.select("doc_id", "body.method", F.length("body.text").alias("n_chars"), F.md5("body.text").alias("text_md5"))
+
+
+@query(rf"""WITH l AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+t AS (SELECT doc_id, {s_told("list_filter(ls, lambda v, i: i % 2 = 1)")} AS one, {s_told("list_filter(ls, lambda v, i: i % 2 = 0)")} AS two, {s_told("ls")} AS every FROM l),
+p AS (SELECT doc_id, 'left' AS source_name, CASE WHEN length(one) >= 100 THEN 'profile:div.left' WHEN length(every) >= 100 THEN 'profile:.article-content' ELSE '' END AS method, CASE WHEN length(one) >= 100 THEN one WHEN length(every) >= 100 THEN every ELSE '' END AS x FROM t
+      UNION ALL SELECT doc_id, 'right', CASE WHEN length(two) >= 100 THEN 'profile:.wide > .right' ELSE '' END, CASE WHEN length(two) >= 100 THEN two ELSE '' END FROM t)
+SELECT doc_id, source_name, method, length(x) AS n_chars, md5(x) AS text_md5 FROM p""")
+def profile_bodies(spark, sf_dir):
+    """Bodies of the same pages by the selectors of two sources."""
+    profiles = registry.from_specs(spark, [{"source_name": "left", "article_body_selectors": ["div.left", "p[", ".article-content"]}, {"source_name": "right", "article_body_selectors": [".wide > .right"]}])
+    # Every page stands once for each of the two sources.
+    both = nested_pages(spark, sf_dir).withColumn("source_name", F.explode(F.array(F.lit("left"), F.lit("right")))).join(profiles.select("source_name", "article_body_selectors", "body_steps"), "source_name")
+    rows = X.bind(both.withColumn("dom", N.tree("html")), body=N.profile_text(F.col("dom"), F.col("article_body_selectors"), F.col("body_steps"), F.lit(100)))
+    return rows.select("doc_id", "source_name", "body.method", F.length("body.text").alias("n_chars"), F.md5("body.text").alias("text_md5"))
+
+
+def shown_dates(spark, sf_dir) -> DataFrame:
+    """The pages with dates in the head, in a header, in a byline (of every second) and in a hint (of two thirds)."""
+    day = lambda n: (F.col("page_id") % n + 1).cast("string")
+    head = F.concat(F.lit("<meta property='article:published_time' content='2026-04-0"), day(9), F.lit("'><header><time datetime='2026-03-0"), day(7), F.lit("'>then</time></header>"))
+    byline = F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("<p class='post-date'>April <b>"), day(9), F.lit("</b>, 2026</p>"))).otherwise("")
+    return dated_pages(spark, sf_dir).withColumn("html", F.concat(head, byline, X.text("html")))
+
+
+_EVIDENCE = r"""shown AS (SELECT page_id, '2026-04-0' || (page_id % 9 + 1) AS meta, '2026-03-0' || (page_id % 7 + 1) AS t, CASE WHEN page_id % 2 = 0 THEN 'April ' || (page_id % 9 + 1) || ' , 2026' ELSE '' END AS byline, CASE WHEN page_id % 3 > 0 THEN '2 hours ago' ELSE '' END AS hint, html NOT LIKE '%<article%' AND html NOT LIKE '%<main%' AS bare FROM pages),
+ranked AS (SELECT page_id, list_filter([{'l': 'meta:article:published_time', 'v': meta}, {'l': 'visible_date_selector', 'v': t}, {'l': 'visible_date_selector', 'v': t}, {'l': 'visible_date_selector', 'v': byline}, {'l': 'node_time_tags', 'v': CASE WHEN bare THEN t ELSE '' END}, {'l': 'candidate_published_hint', 'v': hint}], lambda x: x.v <> '') AS e FROM shown)"""
+
+
+@query(rf"""WITH {_EVIDENCE} SELECT page_id, i AS place, e[i].l AS label, e[i].v AS value FROM ranked, unnest(generate_series(1, len(e))) AS s(i)""")
+def date_evidence(spark, sf_dir):
+    """All that pages say of their dates, in order of trust."""
+    rows = X.bind(shown_dates(spark, sf_dir).withColumn("dom", N.tree("html")), found=N.page_evidence(F.col("dom"), H.jsonld_dates(H.jsonld_blocks("html")), F.col("published_hint"), F.coalesce(F.date_format(U.url_date("url"), "yyyy-MM-dd"), F.lit(""))))
+    return rows.select("page_id", F.posexplode("found").alias("at", "e")).select("page_id", (F.col("at") + 1).alias("place"), "e.label", "e.value")
+
+
+@query(rf"""WITH {_EVIDENCE}, hit AS (SELECT page_id, e, coalesce(list_position(list_transform(e, lambda x: x.v IN ('2026-04-07', '2 hours ago')), true), 0) AS place FROM ranked)
+SELECT page_id, place > 0 AS same_day, array_to_string(list_transform(CASE WHEN place > 0 THEN e[1:place] ELSE e END, lambda x: x.l), ',') AS checked FROM hit""")
+def date_match(spark, sf_dir):
+    """Whether a page is of the day, and what was looked at up to the first date that says so."""
+    cfg = page_config()
+    rows = X.bind(shown_dates(spark, sf_dir).withColumn("dom", N.tree("html")), found=N.page_evidence(F.col("dom"), H.jsonld_dates(H.jsonld_blocks("html")), F.col("published_hint"), F.coalesce(F.date_format(U.url_date("url"), "yyyy-MM-dd"), F.lit(""))))
+    rows = X.bind(rows, e=T.ranked_evidence(F.col("found"), cfg.target_date, cfg.run_date))
+    return rows.select("page_id", "e.same_day", F.array_join("e.checked", ",").alias("checked"))
+
+
 # --- Pages: quality, type, verification, acceptance ------------------------------------------------------------------
 
 
@@ -642,7 +716,9 @@ def dated_pages(spark, sf_dir) -> DataFrame:
 def page_verification(spark, sf_dir):
     from . import engine
 
-    rows = engine.verified(engine.with_source(engine.extract(dated_pages(spark, sf_dir), page_config()), registry.fixture(spark)), page_config())
+    sources = registry.fixture(spark)
+    own = engine.with_source(engine.one_of_each(dated_pages(spark, sf_dir)), sources, "url")
+    rows = engine.verified(engine.extract(own, page_config(), tuple(sources.columns)), page_config())
     v = "verification"
     return rows.select("source_url", "source_name", f"{v}.has_target_metal", f"{v}.has_market_context", f"{v}.has_valid_same_day_date", f"{v}.page_type", f"{v}.score", f"{v}.confidence", F.array_join(f"{v}.reject_reasons", ",").alias("rejects"))
 

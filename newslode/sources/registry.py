@@ -6,11 +6,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import url as U
-from ..functions.text import dedupe_lower, text
+from ..functions.dom import PROFILE_BODY, compiled, valid_selectors
+from ..functions.text import dedupe_lower, normalize_space, text
 
-SCHEMA = "source_name string, seed_urls array<string>, allowed_hosts array<string>, sitemap_urls array<string>, rss_urls array<string>, include_hints array<string>, exclude_hints array<string>, category_terms array<string>, search_terms array<string>, report_terms array<string>, js_heavy boolean, paywalled_preview_ok boolean, min_body_chars int, pdf_report_ok boolean, source_role string"
+SCHEMA = "source_name string, seed_urls array<string>, allowed_hosts array<string>, sitemap_urls array<string>, rss_urls array<string>, include_hints array<string>, exclude_hints array<string>, category_terms array<string>, search_terms array<string>, report_terms array<string>, js_heavy boolean, paywalled_preview_ok boolean, min_body_chars int, pdf_report_ok boolean, source_role string, article_body_selectors array<string>"
 LISTS = ("seed_urls", "allowed_hosts", "sitemap_urls", "rss_urls", "include_hints", "exclude_hints", "category_terms", "search_terms", "report_terms")
 
+#: Selectors of an article's body for sources whose name holds a word (fixed values; the first that fits).
+PROFILES = (
+    ("reuters", ("main article", "article", "[data-testid*='article-body']", "main", ".article-body")),
+    ("capital.com", ("article", "main", ".article-content", ".post-content", ".rich-text")),
+    ("argus", ("article", ".article-content", ".content", "main")),
+    ("fitch", ("article", ".article-content", ".entry-content", "main")),
+    ("ainvest", ("article", ".article-content", ".rich-text", "main")),
+    ("discovery", ("article", ".entry-content", ".article-content", "main")),
+    ("metal.com", ("article", ".article-content", ".news-content", ".content", "main")),
+    ("smm", ("article", ".article-content", ".news-content", ".content", "main")),
+    ("lme", ("article", ".article-content", ".rich-text", "main")),
+)
+
 
 def with_defaults(specs: DataFrame) -> DataFrame:
     """Empty lists for null, hosts inferred from seeds, terms lower-cased, a floor for the body, a known role."""
@@ -23,6 +37,12 @@ def with_defaults(specs: DataFrame) -> DataFrame:
         out = out.withColumn(c, dedupe_lower(F.col(c)))
     out = out.withColumn("allowed_hosts", F.when(F.size("allowed_hosts") > 0, F.transform("allowed_hosts", F.lower)).otherwise(U.inferred_hosts(F.col("seed_urls"))))
     out = out.withColumn("min_body_chars", min_body_chars(F.coalesce("min_body_chars", F.lit(120)))).withColumn("source_role", role_of("source_role"))
+    by_name = F.lit(None).cast("array<string>")
+    for part, selectors in reversed(PROFILES):
+        by_name = F.when(F.contains(F.lower("source_name"), F.lit(part)), F.array(*map(F.lit, selectors))).otherwise(by_name)
+    given = F.filter("article_body_selectors", lambda x: normalize_space(x) != "")
+    out = out.withColumn("article_body_selectors", F.coalesce(given, by_name, F.array(*map(F.lit, PROFILE_BODY))))
+    out = out.withColumn("body_steps", compiled("article_body_selectors")).withColumn("article_body_selectors", valid_selectors("article_body_selectors"))
     for c, default in (("js_heavy", False), ("paywalled_preview_ok", False), ("pdf_report_ok", True)):
         out = out.withColumn(c, F.coalesce(c, F.lit(default)))
     return out

@@ -66,8 +66,8 @@ def test_html_before_pdf_and_caps(spark):
     want = [("a", "h1"), ("a", "h2"), ("b", "h1"), ("b", "h2"), ("b", "p1")]
     for bounded in (False, True):
         assert sorted((r.source_name, r.url) for r in ranking.html_first(df, 6, bounded).collect()) == want
-    assert sorted((r.source_name, r.url) for r in ranking.capped_accepted(df, 1, 2).collect()) == [("a", "p1"), ("b", "p1")]
-    assert sorted((r.source_name, r.url) for r in ranking.capped_accepted(df, 3, 2).collect()) == [("a", "h1"), ("a", "p1"), ("b", "h1"), ("b", "p1")]
+    assert sorted((r.source_name, r.url) for r in ranking.capped_accepted(df, 1, 2).collect()) == [("a", "h1"), ("b", "h1")]
+    assert sorted((r.source_name, r.url) for r in ranking.capped_accepted(df, 3, 3).collect()) == [("a", "h1"), ("a", "h2"), ("a", "p1"), ("b", "h1"), ("b", "p1")]
 
 
 def test_floor_equals_the_walk(spark):
