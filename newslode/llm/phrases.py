@@ -35,10 +35,12 @@ from pyspark.sql import functions as F
 from .common import batches, buffer_of, partitions_for, rows_of, spans, stash, word_hashes
 
 LONGEST = 5
-SHARDS = 3
-#: Bits of a filter (16 MB), and how many of them a phrase sets, all in one slice.
+SHARDS = 2
+#: Bits of a filter (16 MB), and how many of them a phrase sets, all in one block (a line of the cache).
 BITS, HASHES = 2**27, 3
-SLICE_BITS = 2**19
+SLICE_BITS, BLOCK_BITS = 2**19, 512
+#: Bytes of text of a batch, and of hashes of a buffer.
+BATCH, BUFFER = 2_000_000, 12_000_000
 SPACE, END = b" \t", b".,;:!?\n\x0b\x0c\r"
 ONE, TWO = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F))
 
@@ -67,7 +69,7 @@ class Words:
         self.row = rows_of(self.start, offsets)
         ends = np.zeros(256, bool)
         ends[np.frombuffer(END, np.uint8)] = True
-        breaks = np.cumsum(ends[data])[self.start] if len(self.start) else self.start
+        breaks = np.searchsorted(np.flatnonzero(ends[data]), self.start)
         self.new = np.ones(len(self.start), bool)
         self.new[1:] = (self.row[1:] != self.row[:-1]) | (breaks[1:] != breaks[:-1])
         kinds, lang = np.unique(np.array(b.column("lang").to_pylist(), object).astype(str), return_inverse=True)
@@ -79,7 +81,7 @@ def tokens(docs: DataFrame, shards: int, seed: int) -> DataFrame:
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = 0
-        for b in batches(it, 8_000_000):
+        for b in batches(it, BATCH):
             w = Words(b, seed)
             group = w.lang * shards + (row + w.row) % shards
             row += b.num_rows
@@ -112,12 +114,12 @@ def _key2(x: np.ndarray, size: int) -> np.ndarray:
     return (x ^ (x >> np.uint64(29))) << np.uint64(3) | np.uint64(size)
 
 
-def _at(key: np.ndarray, bits: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    """A key's slice of a filter, and the bits it sets there."""
+def _at(key: np.ndarray, bits: int) -> tuple[np.ndarray, Iterator[np.ndarray]]:
+    """The first bit of a key's block in a filter, and the bits it sets there."""
     x = key * np.uint64(0xD6E8FEB86659FD93)
     x ^= x >> np.uint64(32)
-    n = min(SLICE_BITS, bits)
-    return ((x >> np.uint64(40)) % np.uint64(max(1, bits // SLICE_BITS))).astype(np.int64), [((x * np.uint64(2 * i + 3)) >> np.uint64(7)) % np.uint64(n) for i in range(HASHES)]
+    base = ((x >> np.uint64(32)) % np.uint64(max(1, bits // BLOCK_BITS))).astype(np.int64) * BLOCK_BITS
+    return base, (((x >> np.uint64(9 * i)) & np.uint64(min(bits, BLOCK_BITS) - 1)).astype(np.int64) for i in range(HASHES))
 
 
 class Filters:
@@ -130,13 +132,21 @@ class Filters:
         return {"bits": self.bits, "slices": self.slices, "tables": None}
 
     def has(self, which: int, key: np.ndarray) -> np.ndarray:
+        """Whether each key may be known; bits after the first are looked up for what is left only."""
         if self.tables is None:
-            self.tables = [np.zeros((max(1, self.bits // SLICE_BITS), min(SLICE_BITS, self.bits) // 8), np.uint8) for _ in range(2)]
+            self.tables = [np.zeros(max(1, self.bits // 8), np.uint8) for _ in range(2)]
             for w, s, data in self.slices:
-                self.tables[w][s] = np.frombuffer(zlib.decompress(data), np.uint8)
-        found, (at, places) = np.ones(len(key), bool), _at(key, self.bits)
+                part = np.frombuffer(zlib.decompress(data), np.uint8)
+                self.tables[w][s * SLICE_BITS // 8 :][: len(part)] = part
+        table = self.tables[which]
+        left = None
+        base, places = _at(key, self.bits)
         for b in places:
-            found &= self.tables[which][at, (b >> np.uint64(3)).astype(np.int64)] >> (b & np.uint64(7)).astype(np.uint8) & 1 == 1
+            at = base + b if left is None else base[left] + b[left]
+            hit = table[at >> 3] >> (at & 7).astype(np.uint8) & 1 == 1
+            left = np.flatnonzero(hit) if left is None else left[hit]
+        found = np.zeros(len(key), bool)
+        found[left] = True
         return found
 
 
@@ -147,7 +157,7 @@ def filters(keys: DataFrame, bits: int) -> Filters | None:
     def deal(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
             key = b.column("k1").to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([pa.array(_at(key.view(np.uint64), bits)[0].astype(np.int32)), pa.array(key), b.column("new")], names=["slice", "k1", "new"])
+            yield pa.RecordBatch.from_arrays([pa.array((_at(key.view(np.uint64), bits)[0] // SLICE_BITS).astype(np.int32)), pa.array(key), b.column("new")], names=["slice", "k1", "new"])
 
     def make(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables: dict[tuple[int, int], np.ndarray] = {}
@@ -157,8 +167,9 @@ def filters(keys: DataFrame, bits: int) -> Filters | None:
                 for which, own in ((0, at == s), (1, (at == s) & new)):
                     if own.any():
                         table = tables.setdefault((which, s), np.zeros(min(SLICE_BITS, bits), bool))
-                        for places in _at(key[own].view(np.uint64), bits)[1]:
-                            table[places.astype(np.int64)] = True
+                        base, places = _at(key[own].view(np.uint64), bits)
+                        for place in places:
+                            table[base % SLICE_BITS + place] = True
             while len(tables) > 64:  # sorted by slice: what came first is over
                 (which, s), table = next(iter(tables.items()))
                 if s == at[-1]:
@@ -184,15 +195,20 @@ def filters(keys: DataFrame, bits: int) -> Filters | None:
 def _active(lang: str, h: np.ndarray, known: Filters | None, words_too: bool, all_of: bool = False) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """Of a sequence of words its active phrases: their size, starts and keys. all_of: the known phrases themselves."""
     at = np.flatnonzero(h)
-    one, two = (_mixed(np.full(len(at), x), h[at], by) for x, by in zip(_begin(lang), (ONE, TWO), strict=True))
+    first, second = (_mixed(np.full(1, x), np.zeros(1, np.uint64), by)[0] for x, by in zip(_begin(lang), (ONE, TWO), strict=True))
+    one = h[at] * TWO ^ first
     if words_too:
-        yield 1, at, one, _key2(two, 1)
+        yield 1, at, one, _key2(h[at] * ONE ^ second, 1)
     if known is None:
         return
+    keep = known.has(0, one)
+    at, one = at[keep], one[keep]
+    two = h[at] * ONE ^ second
     padded = np.append(h, np.uint64(0))
     for size in range(2, LONGEST + 2):
-        keep = known.has(0, one)
-        at, one, two = at[keep], one[keep], two[keep]
+        if size > 2:
+            keep = known.has(0, one)
+            at, one, two = at[keep], one[keep], two[keep]
         if all_of and len(at):
             yield size - 1, at, one, _key2(two, size - 1)
         if not len(at) or size > LONGEST:
@@ -232,7 +248,7 @@ def counted(shard: DataFrame, spread: Broadcast | None, words_too: bool) -> Data
             for lang, words in zip(b.column("lang").to_pylist(), b.column("words").to_pylist(), strict=True):
                 held.setdefault(lang, []).append(words)
                 size += len(words)
-                if size > 32_000_000:
+                if size > BUFFER:
                     yield from flush()
                     held, size = {}, 0
         yield from flush()
@@ -298,7 +314,7 @@ def spelled(docs: DataFrame, found: DataFrame, seed: int, bits: int) -> DataFram
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
-        for b in batches(it, 8_000_000):
+        for b in batches(it, BATCH):
             w = Words(b, seed)
             other = word_hashes(w.low, w.start, w.end, seed + 1)
             out = []
