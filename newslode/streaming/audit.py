@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 EVENT = "stage string, ts string, run_id string, source_name string, url string, title string, unique_key string, reason string, score int, accepted boolean, rows_total int, created_count int, skipped_count int"
-BREAKER = "host string, ts timestamp, failures int, blocked_until timestamp, allowed boolean"
 
 
 def replay(spark: SparkSession, path: str) -> DataFrame:
@@ -26,53 +23,11 @@ def dedup_stream(events: DataFrame, key: str, ts: str = "ts", delay: str = "1 da
     return events.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
 
 
-def idempotent_sink(path: str, key: str = "UniqueKey"):
-    """foreachBatch function: appends the rows whose key isn't in the sink yet."""
-
-    def write(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        rows = batch.dropDuplicates([key])
-        try:
-            rows = rows.join(spark.read.parquet(path).select(key), key, "left_anti")
-        except Exception as e:  # only a sink that doesn't exist yet is empty
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-        rows.write.mode("append").parquet(path)
-
-    return write
-
-
 def sessions(events: DataFrame, user: str, ts: str, gap: str = "30 minutes") -> DataFrame:
     w = F.session_window(ts, gap)
     return events.groupBy(w.alias("w"), user).agg(F.count("*").alias("n")).select(user, F.col("w.start").alias("started"), F.col("w.end").alias("ended"), "n")
 
 
-def step(failures: int, status: int, ts, most_minutes: int = 20):
-    """Failures and end of the pause after one response: 401, 403 and 429 pause the host for two minutes a failure."""
-    if status in (401, 403, 429):
-        failures += 1
-        return failures, ts + pd.Timedelta(minutes=min(most_minutes, 2 * failures))
-    return 0, None
-
-
-def circuit_breaker(responses: DataFrame) -> DataFrame:
-    """Stream of (host, ts, status) to whether each was allowed, with state by host."""
-
-    def run(key, batches, state: GroupState):
-        failures, until = state.get if state.exists else (0, None)
-        for pdf in batches:
-            out = []
-            for r in pdf.sort_values("ts").itertuples():
-                allowed = until is None or r.ts >= pd.Timestamp(until)
-                if allowed:
-                    failures, until = step(failures, r.status, r.ts)
-                out.append((key[0], r.ts, failures, until, allowed))
-            state.update((failures, None if until is None else pd.Timestamp(until).to_pydatetime()))
-            yield pd.DataFrame(out, columns=["host", "ts", "failures", "blocked_until", "allowed"])
-
-    return responses.groupBy("host").applyInPandasWithState(run, BREAKER, "failures int, until timestamp", "append", GroupStateTimeout.NoTimeout)
-
-
 def rate_gaps(requests: DataFrame, seconds: float) -> DataFrame:
     """Requests that came sooner after the one before on their host than the limit allows."""
     from pyspark.sql.window import Window

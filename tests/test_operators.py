@@ -7,7 +7,6 @@ from newslode.config import HARD_REJECTS, PRODUCTION, Config
 from newslode.operators import acceptance, discovery, ranking, sinks, summary
 from newslode.plans import engine
 from newslode.sources import connectors, feeds, registry
-from newslode.streaming import audit
 
 
 def test_argmax_ties_keep_the_first(spark):
@@ -138,24 +137,6 @@ def test_variants_of_one_url_take_one_place(spark):
     assert sorted(r.source_url.split("/")[-1] for r in got.collect()) == ["a-story?x=00", "b-story"]
 
 
-def test_breaker_steps():
-    import pandas as pd
-
-    t = pd.Timestamp("2026-04-07")
-    n, until = audit.step(0, 403, t)
-    assert (n, until) == (1, t + pd.Timedelta(minutes=2)) and audit.step(30, 429, t)[1] == t + pd.Timedelta(minutes=20) and audit.step(3, 200, t) == (0, None)
-
-
-def test_stream_replay(spark, tmp_path):
-    log, out = tmp_path / "log", tmp_path / "out"
-    log.mkdir()
-    (log / "a.json").write_text('{"stage":"run_started","ts":"2026-04-07T01:00:00Z","unique_key":"k"}\n{"stage":"unknown","ts":"2026-04-07T02:00:00Z","unique_key":"k"}\n')
-    q = audit.replay(spark, f"file://{log}").select("stage", F.col("unique_key").alias("UniqueKey")).writeStream.foreachBatch(audit.idempotent_sink(f"file://{out}")).option("checkpointLocation", f"file://{tmp_path}/c").start()
-    q.processAllAvailable()
-    q.stop()
-    assert spark.read.parquet(f"file://{out}").count() == 1
-
-
 def test_page_quality(spark):
     q = acceptance.page_quality(F.lit(200), F.lit("x" * 5000), F.lit("y" * 700), F.lit("t"), "article", 120)
     b = acceptance.page_quality(F.lit(403), F.lit("captcha"), F.lit(""), F.lit(""), "article", 120)
