@@ -302,7 +302,7 @@ def spelled(docs: DataFrame, found: DataFrame, seed: int, bits: int) -> DataFram
     rest; cut 0: all but the last word and all but the first)."""
     known = filters(found.select("k1", F.lit(True).alias("new")), bits)
     if known is None:
-        return docs.sparkSession.createDataFrame([], "k1 long, k2 long, lang string, size int, phrase string, parts array<struct<cut: int, right: boolean, p1: long, p2: long>>")
+        return docs.sparkSession.createDataFrame([], "k1 long, k2 long, lang string, size int, phrase string, parts array<struct<cut: int, right: boolean, p1: long, p2: long>>, f long")
     spread = docs.sparkSession.sparkContext.broadcast(known)
     kind = pa.list_(pa.struct([("cut", pa.int32()), ("right", pa.bool_()), ("p1", pa.int64()), ("p2", pa.int64())]))
 
