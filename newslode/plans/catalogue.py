@@ -606,6 +606,79 @@ def warnings_map(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", sinks.warning_value(w, "k").cast("long").alias("k"), sinks.warning_value(w, "kind").alias("first_kind"))
 
 
+# --- Walks with budgets, gates, fetching ------------------------------------------------------------------------------
+
+_WALK = """bought AS (SELECT DISTINCT c_mktsegment AS source_name, c_custkey AS c, l_partkey AS p FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey),
+e AS (SELECT source_name, 'customer ' || c AS src, 'part ' || p AS dst, p AS rank FROM bought UNION ALL SELECT source_name, 'part ' || p, 'customer ' || c, c FROM bought),
+links AS (SELECT source_name, src, dst, row_number() OVER (PARTITION BY source_name, src ORDER BY rank, dst) AS turn FROM e QUALIFY turn <= 20),
+v0 AS (SELECT c_mktsegment AS source_name, 'customer ' || c_custkey AS url, 0 AS depth, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) AS place FROM customer QUALIFY place <= 3)"""
+
+
+def s_walk(step: int) -> str:
+    """The next level of the queue, by SQL."""
+    old = f"v{step - 1}"
+    return f"""n{step} AS (SELECT source_name, dst AS url, v.place AS from_place, turn FROM {old} v JOIN links USING (source_name) WHERE v.depth = {step - 1} AND links.src = v.url
+    QUALIFY row_number() OVER (PARTITION BY source_name, dst ORDER BY v.place, turn) = 1),
+m{step} AS (SELECT n.*, row_number() OVER (PARTITION BY source_name ORDER BY from_place, turn, url) + (SELECT max(place) FROM {old} o WHERE o.source_name = n.source_name) AS place
+    FROM n{step} n WHERE NOT EXISTS (SELECT 1 FROM {old} o WHERE o.source_name = n.source_name AND o.url = n.url)),
+v{step} AS (SELECT * FROM {old} UNION ALL SELECT source_name, url, {step}, place FROM m{step} WHERE place <= 30)"""
+
+
+@query(f"WITH {_WALK}, {s_walk(1)}, {s_walk(2)} SELECT source_name, url, depth, place FROM v2")
+def budgeted_traversal(spark, sf_dir):
+    """Walks from three customers of each segment over all that was bought: twenty links a node, thirty nodes a segment, two steps."""
+    from .persist import written
+
+    orders, items, customers = (table(spark, sf_dir, t) for t in ("orders", "lineitem", "customer"))
+    name = lambda kind, c: F.concat(F.lit(f"{kind} "), F.col(c).cast("string"))
+    own = customers.select(F.col("c_mktsegment").alias("source_name"), "c_custkey")
+    bought = orders.join(items, F.col("o_orderkey") == F.col("l_orderkey")).join(own, F.col("o_custkey") == F.col("c_custkey")).select("source_name", "c_custkey", "l_partkey").distinct()
+    there = bought.select("source_name", name("customer", "c_custkey").alias("src"), name("part", "l_partkey").alias("dst"), F.col("l_partkey").alias("rank"))
+    back = bought.select("source_name", name("part", "l_partkey").alias("src"), name("customer", "c_custkey").alias("dst"), F.col("c_custkey").alias("rank"))
+    seeds = R.top_per(own.select("source_name", name("customer", "c_custkey").alias("url"), F.col("c_custkey").alias("ord")), ["source_name"], [F.col("ord")], 3)
+    return D.budgeted_traversal(there.unionByName(back), seeds.drop("rank"), 2, 30, 20, written)
+
+
+@query(rf"""WITH {DOCS}, s AS (SELECT source, CAST(doc_id AS VARCHAR) AS url, {s_relevance("title", "body")} AS score FROM docs_t),
+k AS (SELECT source, length(source) % 2 = 0 AS news, count(*) FILTER (WHERE score >= 12) AS b, count(*) FILTER (WHERE score BETWEEN 8 AND 11) AS m, count(*) FILTER (WHERE score BETWEEN 5 AND 7) AS o FROM s GROUP BY source),
+g AS (SELECT *, CASE WHEN news AND b < 14 THEN m ELSE 0 END AS more FROM k)
+SELECT source AS source_name, stage, n FROM (SELECT source, 'rss' AS stage, b AS n FROM g UNION ALL SELECT source, 'search', more FROM g UNION ALL SELECT source, 'external', CASE WHEN b + more < 12 THEN o ELSE 0 END FROM g) WHERE n > 0""")
+def stage_gates(spark, sf_dir):
+    """Which stages each source's candidates come from: the search engines and outside providers serve only the sources left short."""
+    rows = docs(spark, sf_dir).select(F.col("source").alias("source_name"), F.col("doc_id").cast("string").alias("url"), L.relevance("title", "body", FIXTURE).alias("score"))
+    sources = rows.select("source_name").distinct().withColumn("source_role", F.when(F.length("source_name") % 2 == 0, "narrative_news").otherwise("market_research"))
+    found = D.gated(D.union_stages({"rss": rows.where("score >= 12")}), sources, CFG, rows.where("score BETWEEN 8 AND 11"), rows.where("score BETWEEN 5 AND 7"))
+    return found.groupBy("source_name", "stage").agg(F.count("*").alias("n"))
+
+
+_ATTEMPTS = rf"""ways AS (SELECT page_id, page_id % 11 <> 5 AS robots_ok, page_id % 13 = 6 AS paused, w.way AS way,
+        CASE w.way WHEN 'http' THEN CASE WHEN page_id % 5 = 0 THEN 403 WHEN page_id % 7 = 3 THEN NULL ELSE 200 END ELSE 200 END AS code,
+        CASE w.way WHEN 'http' THEN CASE WHEN page_id % 3 = 0 THEN substr(html, 1, 900) ELSE html END WHEN 'dynamic' THEN html ELSE html || html END AS html
+    FROM pages, (VALUES ('http'), ('dynamic'), ('stealthy')) AS w(way)),
+got AS (SELECT page_id, way, robots_ok AND NOT paused AS asked, CASE WHEN NOT robots_ok THEN 'robots_blocked' WHEN paused THEN 'host_paused' WHEN code IS NULL THEN 'failed' ELSE way END AS answer,
+        CASE WHEN NOT robots_ok THEN 999 WHEN paused THEN 429 ELSE coalesce(code, 599) END AS status, CASE WHEN robots_ok AND NOT paused THEN html ELSE '' END AS html FROM ways),
+told AS (SELECT *, {s_space("regexp_extract(html, '<title>([^<]*)</title>', 1)")} AS title, {s_space("regexp_replace(regexp_extract(html, '<article>((?s:.)*)</article>', 1), '<[^>]*>', ' ', 'g')")} AS body, {s_any(f"lower({s_space('html')})", L.C.BLOCK_PHRASES)} AS block FROM got),
+points AS (SELECT *, CASE WHEN status BETWEEN 200 AND 399 THEN 4 WHEN status < 500 THEN 1 ELSE 0 END + CASE WHEN title <> '' THEN 3 ELSE 0 END + least(4, length(html) // 1200) + least(4, length(body) // 600) + CASE WHEN length(body) >= 120 THEN 2 ELSE 0 END - CASE WHEN block THEN 6 ELSE 0 END AS quality,
+        status >= 400 OR html = '' OR block OR title = '' OR length(body) < 120 OR length(html) < 1500 AS weak FROM told),
+two AS (SELECT h.page_id, h.weak AS rendered, CASE WHEN h.weak AND d.quality > h.quality THEN d ELSE h END AS b FROM points h JOIN points d ON d.page_id = h.page_id WHERE h.way = 'http' AND d.way = 'dynamic')"""
+
+
+@query(rf"""WITH {_ATTEMPTS}, three AS (SELECT two.page_id, rendered, b.weak OR b.block OR b.status IN (401, 403, 429) AS stealth, b, s FROM two JOIN points s ON s.page_id = two.page_id AND s.way = 'stealthy'),
+best AS (SELECT page_id, CASE WHEN stealth AND s.quality > b.quality THEN s ELSE b END AS x, 1 + CAST(rendered AS INT) + CAST(stealth AS INT) AS n_tried FROM three)
+SELECT page_id, x.answer AS answer, x.status AS status, x.quality AS quality, n_tried FROM best""")
+def fetch_escalation(spark, sf_dir):
+    """The pages as three ways of fetching give them, some cut short, refused, paused or unanswered, and the page that is taken."""
+    from ..sources import connectors
+
+    p = table(spark, sf_dir, "pages").withColumn("robots_ok", F.col("page_id") % 11 != 5).withColumn("paused", F.col("page_id") % 13 == 6)
+    code = F.when(F.col("page_id") % 5 == 0, 403).when(F.col("page_id") % 7 == 3, F.lit(None).cast("int")).otherwise(200)
+    plain = F.when(F.col("page_id") % 3 == 0, F.substring("html", 1, 900)).otherwise(F.col("html"))
+    ways = [("http", code, plain), ("dynamic", F.lit(200), F.col("html")), ("stealthy", F.lit(200), F.concat("html", "html"))]
+    rows = p.select("page_id", "robots_ok", "paused", F.explode(F.array(*[F.struct(F.lit(w).alias("method"), c.alias("status_code"), h.alias("html")) for w, c, h in ways])).alias("w")).select("page_id", "robots_ok", "paused", "w.*")
+    rows = connectors.answered(rows.withColumn("title", H.title_tag("html")).withColumn("body", H.article_text("html")).withColumnRenamed("page_id", "requested_url"))
+    return connectors.escalated(rows, "article", 120, js_heavy=True).select(F.col("requested_url").alias("page_id"), "answer", "status", "quality", "n_tried")
+
+
 # --- Pages: main text, profiles, dates -------------------------------------------------------------------------------
 
 
@@ -759,11 +832,11 @@ def full_run(spark, sf_dir):
 
 @query(None)
 def run_counters(spark, sf_dir):
-    """Candidates by source and method, and of those worth fetching how many name a target or a day."""
+    """Candidates by stage and method, and of the short list how many name a target or a day."""
     from . import engine
 
     stages = found_stages(spark, sf_dir)
-    wanted = engine.candidates(stages, registry.fixture(spark), page_config())
+    wanted = engine.short_listed(stages, registry.fixture(spark), page_config())
     by_method = D.union_stages(stages).groupBy("stage", "method").agg(F.count("*").alias("n_found"))
     kept = R.shortlist_counters(wanted, page_config())
     return by_method.join(kept, "method", "left").fillna(0)

@@ -100,16 +100,20 @@ def kept_signal(cfg: Config):
     return L.has_target(told, cfg.lexicon) | any_of(told, cfg.lexicon.priority) | hint_matches("published_hint", cfg.target_date, cfg.run_date) | U.same_day_url("url", cfg.target_date)
 
 
-def candidates(stages: dict[str, DataFrame], sources: DataFrame, cfg: Config, outside: DataFrame | None = None, search: DataFrame | None = None) -> DataFrame:
-    """What is worth fetching, in order (candidate_rank) of each source: found by the stages, merged by url, short-listed, and passed by the
-    fast filter, which keeps a floor of its best rejects. search and outside (with source_name) are asked only for sources the stages leave short."""
+def short_listed(stages: dict[str, DataFrame], sources: DataFrame, cfg: Config, outside: DataFrame | None = None, search: DataFrame | None = None) -> DataFrame:
+    """The short list of each source: what the stages found, merged by url. search and outside (with source_name) are asked only for sources the stages leave short."""
     found = written(D.discover(stages, sources, cfg, outside, search), "candidates")
     listed, points = A.shortlist_score(cfg)
     rows = bind(found.withColumn("is_pdf", U.looks_like_pdf("url")).withColumn("is_report", U.looks_like_report("url")), listed=listed, points=points).where("listed")
     cap = cfg.max_candidates // 2
     more = int(cfg.max_candidates * cfg.outside_cap_ratio)
     quota = R.Outside(F.col("stage") == "external", kept_signal(cfg), more, max(15, more), cfg.outside_floor) if outside is not None else None
-    short = R.shortlist(rows, F.col("points"), cap, max(18, cap), cfg.shortlist_threshold, cfg.backfill_threshold, quota)
+    return R.shortlist(rows, F.col("points"), cap, max(18, cap), cfg.shortlist_threshold, cfg.backfill_threshold, quota)
+
+
+def candidates(stages: dict[str, DataFrame], sources: DataFrame, cfg: Config, outside: DataFrame | None = None, search: DataFrame | None = None) -> DataFrame:
+    """What is worth fetching, in order (candidate_rank) of each source: of the short list what the fast filter passes, which keeps a floor of its best rejects."""
+    short = short_listed(stages, sources, cfg, outside, search)
     judged = bind(short, prefilter=A.fast_prefilter(cfg))
     ranked = judged.withColumn("accepted", F.col("prefilter.accepted")).withColumn("score", F.col("prefilter.score")).withColumn("candidate_rank", F.col("list_rank"))
     return R.prefilter_floor(ranked, cfg.prefilter_floor)

@@ -46,14 +46,47 @@ class TableModel:
         return prompts.select("key").join(self.responses, "key", "left")
 
 
-def best_attempt(raw: DataFrame, kind: str, floor: int) -> DataFrame:
-    """Of each requested url the attempt of strictly highest quality, the earlier of equals."""
-    from ..functions.html import title_tag, visible_text
-    from ..operators.acceptance import page_quality
-    from ..operators.ranking import best_by
-
-    seen = raw.withColumn("quality", page_quality("status_code", "html", visible_text("html"), title_tag("html"), kind, floor))
-    return best_by(seen, ["requested_url"], [F.col("quality"), -F.col("attempt")])
+#: Statuses that stand for what was never asked or never answered (fixed values).
+ROBOTS_STATUS, PAUSED_STATUS, FAILED_STATUS = 999, 429, 599
+#: Ways of fetching in the order in which they are tried.
+WAYS = ("http", "dynamic", "stealthy")
+
+
+def answered(attempts: DataFrame) -> DataFrame:
+    """Attempts with a status for those that were not made or not answered: robots (robots_ok false) before a paused host (paused true) before no answer (null status)."""
+    robots, paused = F.coalesce("robots_ok", F.lit(True)), F.coalesce("paused", F.lit(False))
+    asked = robots & ~paused
+    status = F.when(~robots, ROBOTS_STATUS).when(paused, PAUSED_STATUS).otherwise(F.coalesce("status_code", F.lit(FAILED_STATUS)))
+    method = F.when(~robots, "robots_blocked").when(paused, "host_paused").when(F.col("status_code").isNull(), "failed").otherwise(F.col("method"))
+    return attempts.withColumns({"answer": method, "status": status.cast("int"), "html": F.when(asked, text("html")).otherwise(""), "body": F.when(asked, text("body")).otherwise(""), "title": F.when(asked, text("title")).otherwise("")})
+
+
+def escalated(attempts: DataFrame, kind: str, floor: int, allow_dynamic: bool = True, js_heavy: Column | bool = False) -> DataFrame:
+    """The page of each requested_url: the plain fetch; a rendered one if the plain is weak and the source or the kind asks
+    for it; a stealthy one if the better of the two is blocked or weak. A later page is taken only if it is strictly better.
+
+    attempts: requested_url, method, status, html, title, body, answer (see answered()), what each way gives or would give. A way
+    without a row is a failed one. Adds quality and n_tried. Of several rows of a way the one of the greatest hash counts.
+    """
+    from ..functions.html import block_page
+    from ..operators.acceptance import page_quality, should_go_stealthy, should_render
+
+    seen = attempts.withColumns({
+        "quality": page_quality("status", "html", "body", "title", kind, floor),
+        "wants_render": should_render("status", "html", "body", "title", kind, floor, allow_dynamic, js_heavy),
+        "wants_stealth": should_go_stealthy("status", "html", "body", "title", kind, floor, allow_dynamic),
+        "blocked": block_page("html"),
+    })
+    fields = ["answer", "status", "html", "title", "body", "quality", "wants_render", "wants_stealth", "blocked"]
+    row = F.struct(*[F.col(c) for c in fields])
+    ways = [F.max_by(F.when(F.col("method") == w, row), F.when(F.col("method") == w, F.xxhash64(*fields))).alias(w) for w in WAYS]
+    rows = seen.groupBy("requested_url").agg(*ways)
+    none = F.struct(F.lit("failed").alias("answer"), F.lit(FAILED_STATUS).alias("status"), *[F.lit("").alias(c) for c in ("html", "title", "body")], F.lit(0).alias("quality"), F.lit(allow_dynamic).alias("wants_render"), F.lit(allow_dynamic).alias("wants_stealth"), F.lit(False).alias("blocked"))
+    rows = rows.select("requested_url", F.coalesce("http", none).alias("first"), "dynamic", "stealthy").withColumn("rendered", F.col("first.wants_render"))
+    better = lambda new, old, tried: F.when(tried & F.coalesce(F.col(f"{new}.quality") > F.col(f"{old}.quality"), F.lit(False)), F.col(new)).otherwise(F.col(old))
+    rows = rows.withColumn("second", better("dynamic", "first", F.col("rendered"))).withColumn("stealth", F.col("second.wants_stealth"))
+    rows = rows.withColumn("best", better("stealthy", "second", F.col("stealth")))
+    return rows.select("requested_url", *[f"best.{c}" for c in ("answer", "status", "html", "title", "body", "quality", "blocked")], (1 + F.col("rendered").cast("int") + F.col("stealth").cast("int")).alias("n_tried"))
 
 
 def backoff_seconds(attempt: Column) -> Column:
