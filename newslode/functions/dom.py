@@ -16,7 +16,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .text import collect_text, first_nonempty, let, merge_blocks, normalize_space, text
+from .text import BOILERPLATE, collect_text, first_nonempty, let, merge_blocks, normalize_space, text
 
 _S, _I = T.StringType(), T.IntegerType()
 NODE = T.StructType(
@@ -96,6 +96,77 @@ def tree(html: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([read(x) for x in html], columns=["nodes", "pieces"])
 
 
+# --- Anchors ---------------------------------------------------------------------------------------------------------
+
+ANCHOR = T.StructType([T.StructField("ord", _I), *(T.StructField(n, _S) for n in ("href", "anchor", "title", "snippet", "published")), T.StructField("box", _I)])
+#: Containers of an anchor, its own descriptions, classes and marks of a container's summary, and how much of it is taken (fixed values).
+BOXES = frozenset(("article", "li", "div", "section"))
+TITLES, DESCRIPTIONS = ("data-title", "title", "aria-label"), ("data-description", "data-summary", "aria-description")
+SUMMARY_CLASSES, SUMMARY_MARKS = ("summary", "excerpt", "description", "dek", "subhead", "lead", "standfirst"), ("summary", "excerpt", "description")
+SNIPPET_CHARS = 360
+
+
+@F.pandas_udf(T.ArrayType(ANCHOR))
+def anchors(html: pd.Series) -> pd.Series:
+    """Every anchor with an href: its place, text (or, where it has none, the heading of its container), title, the snippet and
+    the first time of its container, and the container's number (0: none). The container is the nearest one around it.
+
+    title: what the anchor says of itself, else the container's heading, else the text. snippet: the anchor's and the container's
+    descriptions and the container's paragraphs, else its whole text.
+    """
+    clean = lambda x: " ".join((x or "").split())
+
+    def cut(x: str) -> str:
+        return x if len(x) <= SNIPPET_CHARS else (x[:SNIPPET_CHARS].rsplit(" ", 1)[0] if " " in x[:SNIPPET_CHARS] else x[:SNIPPET_CHARS]).rstrip() + "..."
+
+    def read(raw):
+        t = _Tree()
+        t.feed(raw or "")
+        t.close()
+        t.close_to(0)
+        told = lambda n: " ".join(t.pieces[n["first"] : n["next"]])
+        boxes: dict[int, dict] = {}
+
+        def box_of(n: int) -> dict:
+            """What a container tells, read once for all its anchors."""
+            if n not in boxes:
+                top = t.nodes[n]
+                inside = t.nodes[n + 1 : top["last"] + 1]
+                first = lambda test: next((x for x in inside if test(x)), None)
+                head = first(lambda x: x["tag"] in ("h1", "h2", "h3", "h4", "h5"))
+                when = first(lambda x: x["tag"] == "time")
+                marks = [first(lambda x, c=c: c in x["classes"]) for c in SUMMARY_CLASSES] + [first(lambda x, c=c: c in x["attrs"].get("data-testid", "")) for c in SUMMARY_MARKS]
+                lines, seen = [], set()
+                for x in inside:
+                    if x["tag"] in ("p", "li") and len(y := told(x)) >= 18 and y.lower() not in seen and not any(b in y.lower() for b in BOILERPLATE):
+                        seen.add(y.lower())
+                        lines.append(y)
+                boxes[n] = {"heading": (clean(head["attrs"].get("aria-label")) or told(head)) if head else "", "plain": told(head) if head else "", "time": (clean(when["attrs"].get("datetime")) or told(when)) if when else "", "parts": [told(x) for x in marks if x and told(x)] + (["\n".join(lines)] if lines else []), "text": told(top)}
+            return boxes[n]
+
+        out = []
+        for a in t.nodes:
+            href = a["attrs"].get("href")
+            if a["tag"] != "a" or not href:
+                continue
+            up = a["parent"]
+            while up >= 0 and t.nodes[up]["tag"] not in BOXES:
+                up = t.nodes[up]["parent"]
+            box = box_of(up) if up >= 0 else None
+            text = told(a)
+            own = [clean(a["attrs"].get(k)) for k in DESCRIPTIONS if clean(a["attrs"].get(k))]
+            blocks: list[str] = []
+            for x in map(clean, own + (box["parts"] if box else [])):
+                if not any(x.lower() in k.lower() for k in blocks):
+                    blocks = [k for k in blocks if k.lower() not in x.lower()] + [x]
+            title = next((v for k in TITLES if (v := clean(a["attrs"].get(k)))), "") or (box["heading"] if box else "") or text
+            snippet = cut(clean(" ".join(blocks))) if blocks else cut(box["text"]) if box else ""
+            out.append({"ord": len(out), "href": href, "anchor": text or (box["plain"] if box else ""), "title": title, "snippet": snippet, "published": box["time"] if box else "", "box": up + 1 if up >= 0 else 0})
+        return out
+
+    return html.map(read)
+
+
 # --- Selectors -------------------------------------------------------------------------------------------------------
 
 _PART = re.compile(r"(?P<tag>[\w-]+|\*)|\.(?P<class>[\w-]+)|#(?P<id>[\w-]+)|\[\s*(?P<name>[\w:-]+)\s*(?:(?P<op>[*^$~|]?=)\s*(?P<q>['\"]?)(?P<value>.*?)(?P=q)\s*)?\]")

@@ -18,7 +18,6 @@ from .text import any_of, first_nonempty, let, normalize_space, text
 # Types are spelt out: a worker that imports this module has no session to parse them with.
 JSONLD = T.StructType([T.StructField(n, T.StringType()) for n in ("title", "author", "published", "url", "body")])
 METRICS = T.StructType([T.StructField("narrative_chars", T.IntegerType()), T.StructField("narrative_paragraphs", T.IntegerType()), T.StructField("table_density", T.DoubleType())])
-ANCHOR = T.StructType([T.StructField("ord", T.IntegerType()), *(T.StructField(n, T.StringType()) for n in ("href", "anchor", "snippet", "published")), T.StructField("box", T.IntegerType())])
 
 #: Elements whose text nobody reads.
 SILENT = ("script", "style", "noscript", "template")
@@ -192,60 +191,6 @@ def narrative_metrics(html: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["narrative_chars", "narrative_paragraphs", "table_density"])
 
 
-class _Anchors(HTMLParser):
-    """Anchors with their text and the text of the container around them."""
-
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.found: list[dict] = []
-        self.boxes: list[dict] = []
-        self.now: dict | None = None
-        self.silent = self.count = 0
-
-    def handle_starttag(self, tag, attrs):
-        a = dict(attrs)
-        if tag in SILENT:
-            self.silent += 1
-        elif tag in ("article", "li", "div", "section"):
-            self.count += 1
-            self.boxes.append({"tag": tag, "text": [], "time": "", "ord": self.count})
-        elif tag == "time" and self.boxes:
-            self.boxes[-1]["time"] = self.boxes[-1]["time"] or a.get("datetime") or ""
-        elif tag == "a" and a.get("href"):
-            self.now = {"href": a["href"], "anchor": [], "box": self.boxes[-1] if self.boxes else None, "ord": len(self.found)}
-            self.found.append(self.now)
-
-    def handle_endtag(self, tag):
-        if tag in SILENT:
-            self.silent = max(0, self.silent - 1)
-        elif tag == "a":
-            self.now = None
-        elif self.boxes and tag == self.boxes[-1]["tag"]:
-            self.boxes.pop()
-
-    def handle_data(self, data):
-        if self.silent:
-            return
-        if self.now is not None:
-            self.now["anchor"].append(data)
-        for b in self.boxes:
-            b["text"].append(data)
-
-
-@F.pandas_udf(T.ArrayType(ANCHOR))
-def anchors(html: pd.Series) -> pd.Series:
-    """Every anchor with its place, text, the text around it (360 characters at most), the time beside it and the number of the container (0: none)."""
-    clean = lambda parts: " ".join(" ".join(parts).split())
-
-    def read(raw):
-        p = _Anchors()
-        p.feed(raw or "")
-        p.close()
-        return [{"ord": a["ord"], "href": a["href"], "anchor": clean(a["anchor"]), "snippet": clean(a["box"]["text"])[:360] if a["box"] else "", "published": a["box"]["time"] if a["box"] else "", "box": a["box"]["ord"] if a["box"] else 0} for a in p.found]
-
-    return html.map(read)
-
-
 @F.pandas_udf(T.StringType())
 def unescape(x: pd.Series) -> pd.Series:
     return x.map(lambda v: entities.unescape(v or ""))

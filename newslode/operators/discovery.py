@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..config import Config
-from ..functions import html as H
+from ..functions import dom as N
 from ..functions import url as U
 from ..functions.text import normalize_space, text
 from . import acceptance as A
@@ -27,8 +27,8 @@ def links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
 
 def parsed_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """The same by a parser, with the text and time around each anchor."""
-    rows = pages.select(F.col(url).alias("listing_url"), F.explode(H.anchors(F.col(html))).alias("a"))
-    return rows.select("listing_url", "a.ord", U.join_url("listing_url", F.col("a.href")).alias("url"), "a.anchor", "a.snippet", "a.published", "a.box")
+    rows = pages.select(F.col(url).alias("listing_url"), F.explode(N.anchors(F.col(html))).alias("a"))
+    return rows.select("listing_url", "a.ord", U.join_url("listing_url", F.col("a.href")).alias("url"), "a.anchor", "a.title", "a.snippet", "a.published", "a.box")
 
 
 def listing_candidates(found: DataFrame, sources: DataFrame, cfg: Config, method: str = "listing", most: int | None = None) -> DataFrame:

@@ -170,3 +170,19 @@ def test_dates(spark):
     assert (none.published_at[:10], none.same_day, none.checked[-1]) == ("2026-01-01", True, "visible_relative_text")
     blocks = F.array(F.lit('[{"datePublished": "a"}, {"dateModified": "b", "@graph": [{"datePublished": "c"}]}]'), F.lit("{no json"))
     assert list(df.select(html.jsonld_dates(blocks).alias("d")).first().d) == ["b", "c", "a"]
+
+
+def test_anchors(spark):
+    """Titles by the anchor's own words, then the container's heading, then the text; snippets of the container; the nearest container."""
+    page = """<a href='/top'>Top</a><div><h2 aria-label='Said aloud'>Box heading</h2><span><a href='/empty'><img></a></span><p>A paragraph of the box that is read.</p><p>a paragraph of the box that is READ.</p><p>Subscribe to our newsletter today</p>
+    <section><a href='/inner' title='Own title' data-summary='Own words of it'>inner</a><b class='dek'>A dek</b><time>April 7, 2026</time></section></div>
+    <li><a href='/plain'>Only a text</a> and more <time datetime='2026-04-07'>x</time></li><a>no href</a><li><a href='/long'>x</a>""" + " word" * 200 + "</li>"
+    got = [tuple(a)[1:6] for a in spark.createDataFrame([(page,)], "h string").select(dom.anchors("h").alias("a")).first().a]
+    told = "A paragraph of the box that is read."
+    assert got[0] == ("/top", "Top", "Top", "", "")
+    assert got[1] == ("/empty", "Box heading", "Said aloud", "A dek " + told, "April 7, 2026")
+    assert got[2] == ("/inner", "inner", "Own title", "Own words of it A dek", "April 7, 2026")
+    assert got[3] == ("/plain", "Only a text", "Only a text", "Only a text and more x", "2026-04-07")
+    assert got[4][:3] == ("/long", "x", "x") and len(got[4][3]) <= 363 and got[4][3].endswith(" word...")
+    assert [a.box for a in spark.createDataFrame([(page,)], "h string").select(dom.anchors("h").alias("a")).first().a][0] == 0
+    assert spark.createDataFrame([(None,), ("",)], "h string").select(dom.anchors("h").alias("a")).collect() == [([],), ([],)]

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from newslode.config import FIXTURE, PRODUCTION, Config
-from newslode.functions import dates, html, json_repair, lexicon, text, url
+from newslode.functions import dom, dates, html, json_repair, lexicon, text, url
 
 
 def one(spark, *cols):
@@ -71,7 +71,7 @@ def test_html(spark):
     page = f'<html><head><title>T &amp; t</title><meta property="og:title" content="OG">{ld}</head><body><script>var t="</p>";</script><!-- x --><p>{"word " * 20}<p><b>{"other " * 20}<table><tr><td>1</td><td>2</td></tr></table><li>12345</li><a href="/x">go</a></body></html>'
     fields = html.jsonld_fields(html.jsonld_blocks(F.col("h")))
     df = spark.createDataFrame([(page,), (None,), ("",)], "h string")
-    rows = df.select(fields.alias("f"), html.page_title("h").alias("t"), html.meta_content("h", "og:title").alias("m"), html.narrative_metrics("h").alias("n"), html.anchors("h").alias("a")).collect()
+    rows = df.select(fields.alias("f"), html.page_title("h").alias("t"), html.meta_content("h", "og:title").alias("m"), html.narrative_metrics("h").alias("n"), dom.anchors("h").alias("a")).collect()
     r = rows[0]
     assert (r.f.title, r.f.author, r.f.published, r.f.body, r.t, r.m) == ("H", "A", "2026-04-07", "long body", "H", "OG")
     assert (r.n.narrative_chars, r.n.narrative_paragraphs) == (99 + 119, 2) and r.n.table_density > 0
