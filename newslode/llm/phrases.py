@@ -40,7 +40,7 @@ SHARDS = 2
 BITS, HASHES = 2**27, 3
 SLICE_BITS, BLOCK_BITS = 2**19, 512
 #: Bytes of text of a batch, and of hashes of a buffer.
-BATCH, BUFFER = 2_000_000, 12_000_000
+BATCH, BUFFER = 2_000_000, 5_000_000
 SPACE, END = b" \t", b".,;:!?\n\x0b\x0c\r"
 ONE, TWO = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F))
 
@@ -245,7 +245,8 @@ def counted(shard: DataFrame, spread: Broadcast | None, words_too: bool) -> Data
                         yield pa.RecordBatch.from_arrays([pa.array(one[first[p]].view(np.int64)), pa.array(two[first[p]].view(np.int64)), pa.array(n[p])], names=["k1", "k2", "n"])
 
         for b in it:
-            for lang, words in zip(b.column("lang").to_pylist(), b.column("words").to_pylist(), strict=True):
+            for i in range(b.num_rows):
+                lang, words = b.column("lang")[i].as_py(), b.column("words")[i].as_py()
                 held.setdefault(lang, []).append(words)
                 size += len(words)
                 if size > BUFFER:
