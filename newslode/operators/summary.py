@@ -19,6 +19,7 @@ SECTIONS = ("price", "drivers", "inventory", "outlook")
 RISKS = ((("uncertain",), "Article highlights uncertainty"), (("tariff", "trade"), "Trade-policy sensitivity"), (("china",), "China demand/supply dependence"), (("inventory", "stocks"), "Inventory trend sensitivity"))
 WATCHES = ((("supply",), "Monitor supply-side developments"), (("demand",), "Monitor demand-side commentary"), (("premium", "inventory"), "Monitor inventories and premiums"))
 NO_RISK, NO_WATCH = "No explicit risk flag extracted", "Monitor follow-up analyst notes"
+NO_SIGNAL = "No clear signal in today's sources."
 GROUP_ORDER = ("Copper", "Aluminium", "Copper & Aluminium", "Broad Metals", "Market")
 
 
@@ -95,14 +96,52 @@ def excerpt(most: int = 5000) -> Column:
 
 
 def evidence_packet(cfg: Config, lists=EVIDENCE) -> Column:
+    """What a model is told of an article: where it is from, how it was read, and the parts of it that carry evidence."""
     from .ranking import first_paragraphs
 
-    return F.struct(text("title").alias("title"), text("source_url").alias("url"), text("published_at").alias("published_at"), F.col("scope"), evidence_sentences("body_text", 8, lists).alias("evidence_sentences"), first_paragraphs("body_text").alias("key_paragraphs"), excerpt().alias("excerpt"))
+    paragraphs = F.transform(first_paragraphs("body_text"), lambda p: truncate(p, 800))
+    return F.struct(
+        text("source_name").alias("source_name"), F.when(text("source_role") != "", text("source_role")).otherwise("market commentary").alias("source_role"), text("source_url").alias("source_url"), text("title").alias("title"), text("author").alias("author"), text("published_at").alias("published_at"),
+        F.col("scope").alias("scope_hint"), text("fetch_method").alias("fetch_method"), text("extraction_method").alias("extraction_method"), F.col("score"), F.coalesce("warnings", F.array().cast("array<string>")).alias("warnings"),
+        evidence_sentences("body_text", 8, lists).alias("evidence_sentences"), paragraphs.alias("key_paragraphs"), excerpt().alias("excerpt_for_model"),
+    )
+
+
+def relevance_packet(cfg: Config, lists=EVIDENCE) -> Column:
+    """What the relevance gate is told: the article, what the page was verified to show, how it was accepted. Needs judged articles."""
+    from .acceptance import override_allowed_for_article
+
+    v, a, told = F.col("verification"), F.col("acceptance"), evidence_packet(cfg, lists)
+    return F.struct(
+        *[told[c].alias(c) for c in ("title", "source_name", "source_url", "source_role")], F.lit(cfg.target_date).alias("target_date"), told["published_at"].alias("published_at"), told["scope_hint"].alias("scope_hint"),
+        v["page_type"].alias("page_type"), v["verified_metals"].alias("target_metals"), v["has_valid_same_day_date"].alias("same_day_valid"), v["has_market_context"].alias("market_context"), v["narrative_chars"].alias("narrative_chars"), v["quote_signal"].alias("quote_signal"), v["date_sources_checked"].alias("date_sources_checked"),
+        a["score"].alias("acceptance_score"), a["reasons"].alias("acceptance_reasons"), F.concat(v["reject_reasons"], a["reject_reasons"]).alias("reject_reasons"), told["evidence_sentences"].alias("evidence_sentences"), told["key_paragraphs"].alias("key_paragraphs"),
+        excerpt(2600).alias("excerpt_for_model"), override_allowed_for_article(v, cfg).alias("structure_override_possible"),
+    )
+
+
+#: What the relevance gate is asked and held to.
+RELEVANCE_TASK = "Say whether this page, which was opened and verified, goes on to the day's synopsis."
+VALID_SCOPES = ("Copper", "Aluminum", "Copper, Aluminum", "Broad Metals", "Not Relevant")
+RELEVANCE_RULES = (
+    "should_summarize is true only for pages of the target day.",
+    "The page has to be about copper or aluminium; metals in general are not enough.",
+    "Listings, archives, quote screens, price tables and data pages are refused unless the evidence shows plenty of prose of the day.",
+    "A page of mostly figures, tables or widgets with little prose gets should_summarize=false.",
+    "A page that is relevant as background only gets is_relevant=true and should_summarize=false.",
+    "Go by the verified signals and the excerpt together, and add no facts.",
+)
+
+
+def relevance_prompt(cfg: Config, lists=EVIDENCE) -> Column:
+    return F.to_json(F.struct(F.lit(RELEVANCE_TASK).alias("task"), F.array(*map(F.lit, VALID_SCOPES)).alias("valid_scopes"), F.array(*map(F.lit, RELEVANCE_RULES)).alias("rules"), relevance_packet(cfg, lists).alias("packet")))
 
 
-def relevance_packet(cfg: Config) -> Column:
-    v = F.col("verification")
-    return F.struct(text("title").alias("title"), text("source_url").alias("url"), text("published_at").alias("published_at"), F.lit(cfg.target_date).alias("target_date"), F.col("scope"), v["verified_metals"].alias("target_metals"), v["has_valid_same_day_date"].alias("same_day_valid"), v["has_market_context"].alias("market_context"), v["page_type"].alias("page_type"), v["narrative_chars"].alias("narrative_chars"), v["quote_signal"].alias("quote_signal"))
+def sources_used(rows: DataFrame, ord_: str = "ord", most: int = 8) -> DataFrame:
+    """source, place: the first sources of the rows, each once, in the rows' order; empty names left out."""
+    named = rows.select(normalize_space("SourceName").alias("source"), F.col(ord_).alias("row_ord")).where("source <> ''")
+    first = named.groupBy("source").agg(F.min("row_ord").alias("row_ord")).orderBy("row_ord", "source").limit(most)
+    return first.select("source", F.row_number().over(Window.orderBy("row_ord", "source")).cast("long").alias("place"))
 
 
 def prompt(task: str, packet: Column, rules: tuple[str, ...]) -> Column:
@@ -155,7 +194,10 @@ def digest_html(groups: DataFrame, subject: str) -> DataFrame:
     """One row, html: the sections of each label, labels in their fixed order, then by name."""
     item = F.concat(F.lit("<li>"), escape_html("text"), F.lit(" "), chip("source", "url"), F.lit("</li>"))
     items = F.transform(F.array_sort(F.collect_list(F.struct("place", item.alias("li")))), lambda x: x["li"])
-    sections = groups.groupBy("label", "section").agg(F.concat(F.lit("<h3>"), F.initcap(F.first("section")), F.lit("</h3><ul>"), F.array_join(items, ""), F.lit("</ul>")).alias("html"))
+    told = groups.groupBy("label", "section").agg(F.array_join(items, "").alias("items"))
+    # Every label shows every section; one without points says so.
+    every = groups.select("label").distinct().withColumn("section", F.explode(F.array(*[F.lit(x) for x in SECTIONS]))).join(told, ["label", "section"], "left")
+    sections = every.select("label", "section", F.concat(F.lit("<h3>"), F.initcap("section"), F.lit("</h3><ul>"), F.coalesce("items", F.lit(f"<li>{NO_SIGNAL}</li>")), F.lit("</ul>")).alias("html"))
     order = F.array_position(F.array(*[F.lit(s) for s in SECTIONS]), F.col("section"))
     labels = sections.groupBy("label").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order.alias("k"), "html"))), lambda x: x["html"]), "").alias("html"))
     rank = F.array_position(F.array(*[F.lit(g) for g in GROUP_ORDER]), F.col("label"))

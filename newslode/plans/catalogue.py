@@ -606,6 +606,12 @@ def warnings_map(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", sinks.warning_value(w, "k").cast("long").alias("k"), sinks.warning_value(w, "kind").alias("first_kind"))
 
 
+@query(rf"""WITH f AS (SELECT {s_space("source")} AS source, min(doc_id) AS d FROM documents GROUP BY 1) SELECT source, row_number() OVER (ORDER BY d, source) AS place FROM f WHERE source <> '' QUALIFY place <= 8""")
+def sources_used(spark, sf_dir):
+    """The first eight sources in the order of the documents."""
+    return S.sources_used(table(spark, sf_dir, "documents").select(F.col("source").alias("SourceName"), "doc_id"), "doc_id")
+
+
 # --- Walks with budgets, gates, fetching ------------------------------------------------------------------------------
 
 _WALK = """bought AS (SELECT DISTINCT c_mktsegment AS source_name, c_custkey AS c, l_partkey AS p FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey),

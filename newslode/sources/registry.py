@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import url as U
 from ..functions.dom import PROFILE_BODY, compiled, valid_selectors
-from ..functions.text import dedupe_lower, normalize_space, text
+from ..functions.text import any_of, dedupe_lower, normalize_space, text
 
 SCHEMA = "source_name string, seed_urls array<string>, allowed_hosts array<string>, sitemap_urls array<string>, rss_urls array<string>, include_hints array<string>, exclude_hints array<string>, category_terms array<string>, search_terms array<string>, report_terms array<string>, js_heavy boolean, paywalled_preview_ok boolean, min_body_chars int, pdf_report_ok boolean, source_role string, article_body_selectors array<string>"
 LISTS = ("seed_urls", "allowed_hosts", "sitemap_urls", "rss_urls", "include_hints", "exclude_hints", "category_terms", "search_terms", "report_terms")
@@ -25,12 +25,43 @@ PROFILES = (
     ("lme", ("article", ".article-content", ".rich-text", "main")),
 )
 
+#: Terms of categories and of searches: of every source, and of those whose name or urls hold a word (fixed values).
+EVERY_CATEGORY = ("copper", "aluminum", "aluminium", "base metals", "industrial metals", "market", "analysis")
+EVERY_SEARCH = ("copper", "aluminum", "aluminium", "base metals", "market analysis", "analyst review")
+TERMS = (
+    (("lme",), ("lme", "stocks", "warehousing", "non-ferrous", "market data"), ("lme copper", "lme aluminium", "warehousing", "non-ferrous")),
+    (("reuters",), (), ("industrial metals analysis", "andy home")),
+    (("argus",), ("latest market news",), ("latest market news", "base metals")),
+    (("capital",), ("commodity", "commodities"), ("commodities", "commodity outlook")),
+    (("fitch",), ("commodities", "metals", "mining", "insights"), ("metals mining", "commodities")),
+    (("metal.com", "smm"), ("news", "smm analysis", "physical market"), ("copper news", "aluminum news", "SMM analysis")),
+    (("ainvest",), ("materials",), ("materials", "market")),
+    (("discoveryalert", "discovery alert"), ("volatility", "market commentary"), ("market commentary", "base metals")),
+    (("brecorder",), ("commodities", "markets", "news"), ("commodities market", "copper news", "aluminum news")),
+    (("investing",), ("commodities", "market data", "price", "futures"), ("copper commodity price", "copper futures", "commodity market data")),
+    (("tradingeconomics",), ("commodity", "market data", "forecast", "historical data"), ("copper commodity forecast", "aluminum commodity forecast", "commodity data")),
+    (("businessinsider",), ("commodities", "price", "market data"), ("aluminum price", "commodity price")),
+    (("mordor",), ("industry reports", "market analysis", "outlook"), ("aluminum market outlook", "market analysis", "industry report")),
+    (("fortunebusinessinsights", "fortune business insights"), ("industry reports", "forecast", "market size"), ("metals and minerals industry report", "market outlook", "industry forecast")),
+)
+
+
+def default_terms(name, urls: Column) -> tuple[Column, Column]:
+    """Terms of categories and of searches for a source by its name and urls, the first of each regardless of case, lower-cased."""
+    label = F.lower(F.concat_ws(" ", text(name), F.array_join(F.coalesce(urls, F.array().cast("array<string>")), " ")))
+    parts = [[F.array(*map(F.lit, e)) for e in (EVERY_CATEGORY, EVERY_SEARCH)]]
+    for words, *lists in TERMS:
+        parts.append([F.when(any_of(label, words), F.array(*map(F.lit, x))).otherwise(F.array().cast("array<string>")) if x else F.array().cast("array<string>") for x in lists])
+    return tuple(dedupe_lower(F.concat(*[p[i] for p in parts])) for i in (0, 1))
+
 
 def with_defaults(specs: DataFrame) -> DataFrame:
-    """Empty lists for null, hosts inferred from seeds, terms lower-cased, a floor for the body, a known role."""
+    """Terms by name and urls where none are given, empty lists for other nulls, hosts inferred from seeds, terms lower-cased, a floor for the body, a known role."""
     from ..operators.acceptance import min_body_chars, role_of
 
     out = specs
+    categories, searches = default_terms("source_name", F.col("seed_urls"))
+    out = out.withColumn("category_terms", F.coalesce("category_terms", categories)).withColumn("search_terms", F.coalesce("search_terms", searches))
     for c in LISTS:
         out = out.withColumn(c, F.coalesce(c, F.array().cast("array<string>")))
     for c in ("include_hints", "exclude_hints", "category_terms", "search_terms", "report_terms"):
