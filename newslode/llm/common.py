@@ -10,6 +10,7 @@ import os
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -148,6 +149,21 @@ def batches(it: Iterator[pa.RecordBatch], most: int = 16_000_000) -> Iterator[pa
             yield b.slice(i, rows)
 
 
+@contextmanager
+def batch_bytes(spark: SparkSession, most: str) -> Iterator[None]:
+    """Arrow batches of no more than so many bytes for what runs inside; the session's own setting comes back afterwards."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, most)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def one_thread() -> None:
     """Numpy in a task uses the task's own core."""
     for k in ("OMP_NUM_THREADS", "OPENBLAS_NUM_THREADS", "MKL_NUM_THREADS"):

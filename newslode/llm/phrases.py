@@ -32,15 +32,15 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batches, buffer_of, partitions_for, rows_of, spans, stash, word_hashes
+from .common import batch_bytes, batches, buffer_of, partitions_for, rows_of, spans, stash, word_hashes
 
 LONGEST = 5
 SHARDS = 2
-#: Bits of a filter (16 MB), and how many of them a phrase sets, all in one block (a line of the cache).
-BITS, HASHES = 2**27, 3
+#: Bits of a filter (8 MB), and how many of them a phrase sets, all in one block (a line of the cache).
+BITS, HASHES = 2**26, 3
 SLICE_BITS, BLOCK_BITS = 2**19, 512
 #: Bytes of text of a batch, and of hashes of a buffer.
-BATCH, BUFFER = 2_000_000, 5_000_000
+BATCH, BUFFER = 1_000_000, 2_500_000
 SPACE, END = b" \t", b".,;:!?\n\x0b\x0c\r"
 ONE, TWO = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F))
 
@@ -367,14 +367,16 @@ def collocations(docs: DataFrame, threshold: int = 100, most: int = 2000, closed
     that fails as well it is an error, never a wrong count.
     """
     for seed in seeds:
-        rows = stash(tokens(docs, shards, seed), "phrase-tokens")
-        found = frequent(rows, threshold, shards, bits)
-        try:
-            named = spelled(docs, found, seed, bits)
-            break
-        except HashClash:
-            if seed == seeds[-1]:
-                raise
+        # Rows of tokens are large: batches of the usual size would take much memory outside the heap.
+        with batch_bytes(docs.sparkSession, "4m"):
+            rows = stash(tokens(docs, shards, seed), "phrase-tokens")
+            found = frequent(rows, threshold, shards, bits)
+            try:
+                named = spelled(docs, found, seed, bits)
+                break
+            except HashClash:
+                if seed == seeds[-1]:
+                    raise
     f = found.select(F.col("k1").alias("p1"), F.col("k2").alias("p2"), F.col("f").alias("part_f"))
     parts = stash(named.where("size > 1").select("k1", "k2", F.explode("parts").alias("p")).select("k1", "k2", "p.*").join(f, ["p1", "p2"]), "phrase-parts")
     # A longer phrase's inner ones.
