@@ -63,3 +63,15 @@ def test_phrases_of_few_or_no_rows(told, odd, empty):
     for rows in (empty, odd.where("doc_id = 7"), df.limit(3)):
         assert phrases.collocations(rows, 100, 10).count() == 0
     assert phrases.collocations(odd, 100, 10).count() == len(by_brute_force([(r.lang, r.text) for r in odd.collect()], 100, 10)) > 0
+
+
+def test_query_gives_the_rows_of_its_sql(spark, data):
+    from compare import rows, sql_rows
+
+    from newslode.llm import queries
+
+    for name in ("op11_phrases", "op13_conversation_trie"):
+        df = queries.QUERIES[name](spark, data)
+        names, want = sql_rows(queries.ORACLE_SQL[name], data)
+        assert sorted(df.columns) == names
+        assert rows(df) == want
