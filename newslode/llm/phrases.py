@@ -16,8 +16,10 @@ A false hit costs work and never a result: a phrase that is counted without need
 too few occurrences, and a cycle of scans has each shard once.
 
 Phrases are told apart by 125 bits of their words' 64-bit hashes. At the end the
-frequent ones are spelled out from the texts; a second hash of each word shows if
-any two of them were taken for one.
+hashes of the words of the frequent ones are looked up in the shards, and those of the words
+themselves in the texts, where a second hash of every occurrence shows if two words were taken for
+one. (Two phrases of different words and one key of 125 bits would be noticed where they are looked up.)
+Only what is returned is put into words.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,6 +43,10 @@ BITS, HASHES = 2**26, 3
 SLICE_BITS, BLOCK_BITS = 2**19, 512
 #: Bytes of text of a batch, and of hashes of a buffer.
 BATCH, BUFFER = 1_000_000, 2_500_000
+#: Names a task remembers (16 MB), and one task in how many looks for a phrase first.
+REMEMBERED, TURNS = 2_000_000, 8
+HASHED = [f"h{i + 1}" for i in range(LONGEST)]
+RESULT = "lang string, rank long, phrase string, a long, l long, r long, n long, score long"
 SPACE, END = b" \t", b".,;:!?\n\x0b\x0c\r"
 ONE, TWO = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F))
 
@@ -213,9 +219,10 @@ def _active(lang: str, h: np.ndarray, known: Filters | None, words_too: bool, al
             yield size - 1, at, one, _key2(two, size - 1)
         if not len(at) or size > LONGEST:
             return
-        new = known.has(1, one)
         both = np.flatnonzero(at[1:] == at[:-1] + 1)
-        fresh = new[both] | new[both + 1]
+        if not all_of:
+            new = known.has(1, one)
+            fresh = new[both] | new[both + 1]
         at = at[both]
         last = padded[at + size - 1]
         one, two = _mixed(one[both], last, ONE), _mixed(two[both], last, TWO)
@@ -224,35 +231,36 @@ def _active(lang: str, h: np.ndarray, known: Filters | None, words_too: bool, al
             yield size, at[fresh], one[fresh], _key2(two[fresh], size)
 
 
+def buffers(it: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, np.ndarray]]:
+    """Rows of tokens() put together, those of a language, up to BUFFER bytes."""
+    held: dict[str, list[bytes]] = {}
+    size = 0
+    for b in it:
+        for i in range(b.num_rows):
+            lang, words = b.column("lang")[i].as_py(), b.column("words")[i].as_py()
+            held.setdefault(lang, []).append(words)
+            size += len(words)
+            if size > BUFFER:
+                yield from ((g, np.frombuffer(b"".join(parts), np.uint64)) for g, parts in held.items())
+                held, size = {}, 0
+    yield from ((g, np.frombuffer(b"".join(parts), np.uint64)) for g, parts in held.items())
+
+
 def counted(shard: DataFrame, spread: Broadcast | None, words_too: bool) -> DataFrame:
     """k1, k2, n: occurrences of the active phrases in a part of a shard. spread: the filters of what is known."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list[bytes]] = {}
-        size = 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            for lang, parts in held.items():
-                for _, _, one, two in _active(lang, np.frombuffer(b"".join(parts), np.uint64), spread and spread.value, words_too):
-                    order = np.argsort(one)
-                    one, two = one[order], two[order]
-                    new = np.ones(len(one), bool)
-                    new[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
-                    first = np.flatnonzero(new)
-                    n = np.diff(np.append(first, len(one)))
-                    for s in range(0, len(n), 200_000):
-                        p = slice(s, s + 200_000)
-                        yield pa.RecordBatch.from_arrays([pa.array(one[first[p]].view(np.int64)), pa.array(two[first[p]].view(np.int64)), pa.array(n[p])], names=["k1", "k2", "n"])
-
-        for b in it:
-            for i in range(b.num_rows):
-                lang, words = b.column("lang")[i].as_py(), b.column("words")[i].as_py()
-                held.setdefault(lang, []).append(words)
-                size += len(words)
-                if size > BUFFER:
-                    yield from flush()
-                    held, size = {}, 0
-        yield from flush()
+        for lang, h in buffers(it):
+            for _, _, one, two in _active(lang, h, spread and spread.value, words_too):
+                order = np.argsort(one)
+                one, two = one[order], two[order]
+                new = np.ones(len(one), bool)
+                new[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
+                first = np.flatnonzero(new)
+                n = np.diff(np.append(first, len(one)))
+                for s in range(0, len(n), 200_000):
+                    p = slice(s, s + 200_000)
+                    yield pa.RecordBatch.from_arrays([pa.array(one[first[p]].view(np.int64)), pa.array(two[first[p]].view(np.int64)), pa.array(n[p])], names=["k1", "k2", "n"])
 
     return shard.select("lang", "words").mapInArrow(run, "k1 long, k2 long, n long")
 
@@ -298,64 +306,120 @@ def frequent(rows: DataFrame, threshold: int, shards: int, bits: int = BITS) ->
     return reached.select("k1", "k2", "f")
 
 
-def spelled(docs: DataFrame, found: DataFrame, seed: int, bits: int) -> DataFrame:
-    """k1, k2, lang, size, phrase, parts: the frequent phrases in words, and the keys of their parts (cut: the first and the
-    rest; cut 0: all but the last word and all but the first)."""
-    known = filters(found.select("k1", F.lit(True).alias("new")), bits)
-    if known is None:
-        return docs.sparkSession.createDataFrame([], "k1 long, k2 long, lang string, size int, phrase string, parts array<struct<cut: int, right: boolean, p1: long, p2: long>>, f long")
-    spread = docs.sparkSession.sparkContext.broadcast(known)
-    kind = pa.list_(pa.struct([("cut", pa.int32()), ("right", pa.bool_()), ("p1", pa.int64()), ("p2", pa.int64())]))
+def sequences(rows: DataFrame, spread: Broadcast, turns: int) -> DataFrame:
+    """k1, k2, lang, check, h1 to h5: the words' hashes of known phrases, each at most once from a task as long as it remembers.
+
+    turns: a task gives the phrases whose turn it is by their key and its number, one in so many; with 0, each gives those in filter 1."""
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        turn = np.uint64(TaskContext.get().partitionId() % max(1, turns))
+        seen = np.zeros(0, np.uint64)
+        for lang, h in buffers(it):
+            padded = np.append(h, np.zeros(LONGEST, np.uint64))
+            for size, at, one, two in _active(lang, h, spread.value, False, all_of=True):
+                own = np.flatnonzero((one >> np.uint64(7)) % np.uint64(turns) == turn if turns else spread.value.has(1, one))
+                at, one, two = at[own], one[own], two[own]
+                words = [padded[at + i] if i < size else np.zeros(len(at), np.uint64) for i in range(LONGEST)]
+                check = np.zeros(len(at), np.uint64)
+                for w in words:
+                    check = _mixed(check, w * ONE, ONE)
+                name, first = np.unique(one ^ (check * TWO), return_index=True)
+                if len(seen):
+                    fresh = seen[np.minimum(np.searchsorted(seen, name), len(seen) - 1)] != name
+                    name, first = name[fresh], first[fresh]
+                seen = np.sort(np.concatenate([seen, name])) if len(seen) < REMEMBERED else name
+                for s in range(0, len(first), 100_000):
+                    own = first[s : s + 100_000]
+                    columns = [x[own].view(np.int64) for x in (one, two, check, *words)]
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(own), pa.string()), *map(pa.array, columns)], names=["lang", "k1", "k2", "check", *HASHED])
+
+    kind = "lang string, k1 long, k2 long, check long, " + ", ".join(f"{x} long" for x in HASHED)
+    return rows.select("lang", "words").mapInArrow(run, kind)
+
+
+def identified(rows: DataFrame, found: DataFrame, bits: int) -> DataFrame | None:
+    """k1, k2, f, lang, h1 to h5: the frequent phrases as sequences of words' hashes; None if there is no phrase.
+
+    A phrase is looked for by one task in TURNS first; what those tasks do not hold is looked for by all."""
+    spread = rows.sparkSession.sparkContext.broadcast
+    done: DataFrame | None = None
+    for turns in (TURNS, 0):
+        keys = found.select("k1", "k2", F.lit(True).alias("new"))
+        if done is not None:
+            keys = found.join(done.select("k1", "k2", F.lit(False).alias("new")), ["k1", "k2"], "left").select("k1", F.coalesce("new", F.lit(True)).alias("new"))
+        known = filters(keys, bits)
+        if known is None:
+            break
+        known = spread(known)
+        each = sequences(rows, known, turns).groupBy("k1", "k2", "lang").agg(F.min("check").alias("low"), F.max("check").alias("high"), *(F.first(x).alias(x) for x in HASHED))
+        more = stash(each.join(found, ["k1", "k2"]), "phrases-identified")
+        known.destroy()
+        # With a false hit in filter 1 a phrase comes a second time.
+        done = more if done is None else done.unionByName(more.join(done.select("k1", "k2"), ["k1", "k2"], "left_anti"))
+    if done is not None and not done.where("low <> high").isEmpty():
+        raise HashClash("two phrases have one key")
+    return None if done is None else done.drop("low", "high")
 
-    def key(lang: str, h: np.ndarray) -> tuple[int, int]:
-        one, two = (np.full(1, x) for x in _begin(lang))
-        for i in range(len(h)):
-            one, two = _mixed(one, h[i : i + 1], ONE), _mixed(two, h[i : i + 1], TWO)
-        return int(one.view(np.int64)[0]), int(_key2(two, len(h)).view(np.int64)[0])
+
+def spelled(docs: DataFrame, hashes: DataFrame, seed: int, bits: int) -> DataFrame:
+    """h, word: the words with the hashes h."""
+    known = docs.sparkSession.sparkContext.broadcast(filters(hashes.select(F.col("h").alias("k1"), F.lit(True).alias("new")), bits))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
         for b in batches(it, BATCH):
             w = Words(b, seed)
-            other = word_hashes(w.low, w.start, w.end, seed + 1)
-            out = []
-            for g, lang in enumerate(w.langs):
-                own = np.flatnonzero(w.lang == g)
-                piece = np.flatnonzero(w.new[own])
-                h, place = np.insert(w.hash[own], piece, 0), np.insert(own, piece, -1)
-                for size, at, one, two in _active(lang, h, spread.value, False, all_of=True):
-                    check = np.zeros(len(at), np.uint64)
-                    for i in range(size):
-                        check = _mixed(check, other[place[at + i]], ONE)
-                    _, first = np.unique(one ^ (check * TWO), return_index=True)
-                    for i in first.tolist():
-                        name = int(one[i]), int(check[i])
-                        if name in seen:
-                            continue
-                        seen.add(name)
-                        words = place[at[i] : at[i] + size]
-                        text = b" ".join(w.low[w.start[x] : w.end[x]].tobytes() for x in words.tolist()).replace(b"\xff", b"\x00").decode()
-                        parts = []
-                        hs = h[at[i] : at[i] + size]
-                        for cut in range(1, size):
-                            parts += [(cut, right, *key(lang, x)) for right, x in ((False, hs[:cut]), (True, hs[cut:]))]
-                        if size > 2:
-                            parts += [(0, right, *key(lang, x)) for right, x in ((False, hs[:-1]), (True, hs[1:]))]
-                        out.append((int(one[i : i + 1].view(np.int64)[0]), int(two[i : i + 1].view(np.int64)[0]), lang, size, text, [dict(zip(("cut", "right", "p1", "p2"), x, strict=True)) for x in parts]))
-            if len(seen) > 2_000_000:
+            own = np.flatnonzero(known.value.has(0, w.hash))
+            other = word_hashes(w.low, w.start[own], w.end[own], seed + 1)
+            _, first = np.unique(w.hash[own] ^ (other * TWO), return_index=True)
+            names = zip(w.hash[own[first]].view(np.int64).tolist(), other[first].tolist(), own[first].tolist(), strict=True)
+            new = [(h, o, i) for h, o, i in names if (h, o) not in seen]
+            seen.update((h, o) for h, o, _ in new)
+            if len(seen) > REMEMBERED:
                 seen.clear()
-            if out:
-                kinds = (pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.string(), kind)
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=["k1", "k2", "lang", "size", "phrase", "parts"])
+            words = [w.low[w.start[i] : w.end[i]].tobytes().replace(b"\xff", b"\x00").decode() for _, _, i in new]
+            yield pa.RecordBatch.from_arrays([pa.array([h for h, _, _ in new], pa.int64()), pa.array(words, pa.string())], names=["h", "word"])
 
-    rows = _texts(docs).mapInArrow(run, "k1 long, k2 long, lang string, size int, phrase string, parts array<struct<cut: int, right: boolean, p1: long, p2: long>>")
-    each = rows.groupBy("k1", "k2").agg(F.min("lang").alias("lang"), F.min("size").alias("size"), F.min("phrase").alias("phrase"), F.max("phrase").alias("other"), F.first("parts").alias("parts"))
-    named = stash(each.join(found, ["k1", "k2"]), "phrases-spelled")
-    if not named.where("phrase <> other").isEmpty():
-        raise HashClash("two phrases have one key")
+    each = _texts(docs).mapInArrow(run, "h long, word string").groupBy("h").agg(F.min("word").alias("word"), F.max("word").alias("other"))
+    named = stash(each.join(hashes, "h"), "phrase-words")
+    if not named.where("word <> other").isEmpty():
+        raise HashClash("two words have one hash")
     return named.drop("other")
 
 
+def _keys(lang: str, words: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    one, two = (np.full(len(words[0]), x) for x in _begin(lang))
+    zero = np.zeros(1, np.uint64)
+    one, two = _mixed(one, zero, ONE) ^ words[0] * TWO, _mixed(two, zero, TWO) ^ words[0] * ONE
+    for w in words[1:]:
+        one, two = _mixed(one, w, ONE), _mixed(two, w, TWO)
+    return one.view(np.int64), _key2(two, len(words)).view(np.int64)
+
+
+def parts_of(phrases: DataFrame) -> DataFrame:
+    """k1, k2, cut, right, p1, p2: the keys of the parts of each phrase (cut: the first and the rest; cut 0: all but the last word and all but the first)."""
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            k1, k2, *h = (b.column(x).to_numpy(zero_copy_only=False) for x in ("k1", "k2", *HASHED))
+            kinds, lang = np.unique(np.array(b.column("lang").to_pylist(), object).astype(str), return_inverse=True)
+            for g, name in enumerate(kinds.tolist()):
+                for size in range(2, LONGEST + 1):
+                    own = np.flatnonzero((lang == g) & (k2 & 7 == size))
+                    if not len(own):
+                        continue
+                    words = [x[own].view(np.uint64) for x in h[:size]]
+                    cuts = [(cut, right, words[cut:] if right else words[:cut]) for cut in range(1, size) for right in (False, True)]
+                    if size > 2:
+                        cuts += [(0, False, words[:-1]), (0, True, words[1:])]
+                    for cut, right, part in cuts:
+                        p1, p2 = _keys(name, part)
+                        columns = [k1[own], k2[own], np.full(len(own), cut, np.int32), np.full(len(own), right), p1, p2]
+                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["k1", "k2", "cut", "right", "p1", "p2"])
+
+    return phrases.select("k1", "k2", "lang", *HASHED).mapInArrow(run, "k1 long, k2 long, cut int, right boolean, p1 long, p2 long")
+
+
 def collocations(docs: DataFrame, threshold: int = 100, most: int = 2000, closed_percent: int = 100, shards: int = SHARDS, bits: int = BITS, seeds: tuple[int, ...] = (0, 2)) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: of each language the phrases of two to five words whose words belong together most.
 
@@ -372,23 +436,30 @@ def collocations(docs: DataFrame, threshold: int = 100, most: int = 2000, closed
             rows = stash(tokens(docs, shards, seed), "phrase-tokens")
             found = frequent(rows, threshold, shards, bits)
             try:
-                named = spelled(docs, found, seed, bits)
+                named = identified(rows, found, bits)
+                if named is None:
+                    return docs.sparkSession.createDataFrame([], RESULT)
+                words = spelled(docs, named.where("k2 & 7 = 1").select(F.col("h1").alias("h")).distinct(), seed, bits)
                 break
             except HashClash:
                 if seed == seeds[-1]:
                     raise
     f = found.select(F.col("k1").alias("p1"), F.col("k2").alias("p2"), F.col("f").alias("part_f"))
-    parts = stash(named.where("size > 1").select("k1", "k2", F.explode("parts").alias("p")).select("k1", "k2", "p.*").join(f, ["p1", "p2"]), "phrase-parts")
+    longer = named.where("k2 & 7 > 1")
+    parts = stash(parts_of(longer).join(f, ["p1", "p2"]), "phrase-parts")
     # A longer phrase's inner ones.
     inner = parts.where("cut = 0").join(found, ["k1", "k2"]).groupBy(F.col("p1").alias("k1"), F.col("p2").alias("k2")).agg(F.max("f").alias("longer"))
-    kept = named.where("size > 1").drop("parts").join(inner, ["k1", "k2"], "left").where(f"longer is null or 100 * longer < {closed_percent} * f")
+    kept = longer.join(inner, ["k1", "k2"], "left").where(f"longer is null or 100 * longer < {closed_percent} * f")
     sides = parts.where("cut > 0").groupBy("k1", "k2", "cut").agg(F.max(F.when(~F.col("right"), F.col("part_f"))).alias("l"), F.max(F.when(F.col("right"), F.col("part_f"))).alias("r"))
     total = rows.groupBy("lang").agg(F.sum("n").alias("n"))
     scored = kept.join(sides, ["k1", "k2"]).join(total, "lang").withColumn(
         "score", F.expr("(cast(1000 as decimal(38, 0)) * cast(f as decimal(20, 0)) * cast(n as decimal(20, 0))) div (cast(l as decimal(19, 0)) * cast(r as decimal(19, 0)))")
     )
-    best = scored.groupBy("k1", "k2", "lang", "phrase", F.col("f").alias("a"), "n").agg(F.min(F.struct("score", "cut", "l", "r")).alias("best"))
-    return top(best.select("lang", "phrase", "a", "best.l", "best.r", "n", "best.score"), most)
+    best = scored.groupBy("k1", "k2", "lang", F.col("f").alias("a"), "n", *HASHED).agg(F.min(F.struct("score", "cut", "l", "r")).alias("best"))
+    best = best.select("k1", "k2", "lang", "a", "n", "best.*", F.posexplode(F.slice(F.array(*HASHED), 1, F.expr("cast(k2 & 7 as int)"))).alias("at", "h"))
+    phrase = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "word"))), lambda x: x["word"]), " ")
+    named = best.join(words, "h").groupBy("k1", "k2", "lang", "a", "l", "r", "n", "score").agg(phrase.alias("phrase"))
+    return top(named.select("lang", "phrase", "a", "l", "r", "n", "score"), most)
 
 
 def top(scored: DataFrame, most: int) -> DataFrame:
