@@ -361,30 +361,55 @@ def identified(rows: DataFrame, found: DataFrame, bits: int) -> DataFrame | None
     return None if done is None else done.drop("low", "high")
 
 
-def spelled(docs: DataFrame, hashes: DataFrame, seed: int, bits: int) -> DataFrame:
-    """h, word: the words with the hashes h."""
-    known = docs.sparkSession.sparkContext.broadcast(filters(hashes.select(F.col("h").alias("k1"), F.lit(True).alias("new")), bits))
+def _named(h: np.ndarray, other: np.ndarray) -> np.ndarray:
+    return h ^ (other * TWO)
 
-    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[tuple[int, int]] = set()
-        for b in batches(it, BATCH):
-            w = Words(b, seed)
-            own = np.flatnonzero(known.value.has(0, w.hash))
-            other = word_hashes(w.low, w.start[own], w.end[own], seed + 1)
-            _, first = np.unique(w.hash[own] ^ (other * TWO), return_index=True)
-            names = zip(w.hash[own[first]].view(np.int64).tolist(), other[first].tolist(), own[first].tolist(), strict=True)
-            new = [(h, o, i) for h, o, i in names if (h, o) not in seen]
-            seen.update((h, o) for h, o, _ in new)
-            if len(seen) > REMEMBERED:
-                seen.clear()
-            words = [w.low[w.start[i] : w.end[i]].tobytes().replace(b"\xff", b"\x00").decode() for _, _, i in new]
-            yield pa.RecordBatch.from_arrays([pa.array([h for h, _, _ in new], pa.int64()), pa.array(words, pa.string())], names=["h", "word"])
-
-    each = _texts(docs).mapInArrow(run, "h long, word string").groupBy("h").agg(F.min("word").alias("word"), F.max("word").alias("other"))
-    named = stash(each.join(hashes, "h"), "phrase-words")
-    if not named.where("word <> other").isEmpty():
+
+def spelled(docs: DataFrame, hashes: DataFrame, seed: int, bits: int) -> DataFrame:
+    """h, word: the words with the hashes h.
+
+    A word is looked for by one task in TURNS first. Then all tasks give what those did not hold: words not found so far, and
+    words of a known hash whose second hash is another. A false hit of the filter of what is missing costs a row; one of the filter
+    of what has been found could only hide such a clash, never a word."""
+
+    def spread(keys: DataFrame, name: str) -> Broadcast | None:
+        made = filters(keys.select(F.col(name).alias("k1"), F.lit(True).alias("new")), bits)
+        return None if made is None else docs.sparkSession.sparkContext.broadcast(made)
+
+    known = spread(hashes, "h")
+
+    def words(turns: int, have: Broadcast | None, missing: Broadcast | None) -> DataFrame:
+        def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            turn = np.uint64(TaskContext.get().partitionId() % max(1, turns))
+            seen = np.zeros(0, np.uint64)
+            for b in batches(it, BATCH):
+                w = Words(b, seed)
+                own = np.flatnonzero((w.hash >> np.uint64(7)) % np.uint64(turns) == turn) if turns else np.arange(len(w.hash))
+                own = own[known.value.has(0, w.hash[own])]
+                other = word_hashes(w.low, w.start[own], w.end[own], seed + 1)
+                name, first = np.unique(_named(w.hash[own], other), return_index=True)
+                fresh = np.ones(len(name), bool) if have is None else ~have.value.has(0, name)
+                if missing is not None:
+                    fresh |= missing.value.has(0, w.hash[own[first]])
+                if len(seen):
+                    fresh &= seen[np.minimum(np.searchsorted(seen, name), len(seen) - 1)] != name
+                name, first = name[fresh], first[fresh]
+                seen = np.sort(np.concatenate([seen, name])) if len(seen) < REMEMBERED else name
+                texts = [w.low[w.start[i] : w.end[i]].tobytes().replace(b"\xff", b"\x00").decode() for i in own[first].tolist()]
+                columns = (pa.array(w.hash[own[first]].view(np.int64)), pa.array(name.view(np.int64)), pa.array(texts, pa.string()))
+                yield pa.RecordBatch.from_arrays(list(columns), names=["h", "name", "word"])
+
+        return _texts(docs).mapInArrow(run, "h long, name long, word string").groupBy("h", "name").agg(F.first("word").alias("word"))
+
+    first = stash(words(TURNS, None, None).join(hashes, "h"), "phrase-words")
+    have, missing = spread(first, "name"), spread(hashes.join(first, "h", "left_anti"), "h")
+    found = stash(first.unionByName(words(0, have, missing).join(hashes, "h")).groupBy("h", "name").agg(F.first("word").alias("word")), "phrase-words")
+    for x in (known, have, missing):
+        if x is not None:
+            x.destroy()
+    if not found.groupBy("h").count().where("count > 1").isEmpty():
         raise HashClash("two words have one hash")
-    return named.drop("other")
+    return found.select("h", "word")
 
 
 def _keys(lang: str, words: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -397,11 +422,11 @@ def _keys(lang: str, words: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def parts_of(phrases: DataFrame) -> DataFrame:
-    """k1, k2, cut, right, p1, p2: the keys of the parts of each phrase (cut: the first and the rest; cut 0: all but the last word and all but the first)."""
+    """k1, k2, f, cut, right, p1, p2: the keys of the parts of each phrase (cut: the first and the rest; cut 0: all but the last word and all but the first)."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
-            k1, k2, *h = (b.column(x).to_numpy(zero_copy_only=False) for x in ("k1", "k2", *HASHED))
+            k1, k2, f, *h = (b.column(x).to_numpy(zero_copy_only=False) for x in ("k1", "k2", "f", *HASHED))
             kinds, lang = np.unique(np.array(b.column("lang").to_pylist(), object).astype(str), return_inverse=True)
             for g, name in enumerate(kinds.tolist()):
                 for size in range(2, LONGEST + 1):
@@ -414,10 +439,10 @@ def parts_of(phrases: DataFrame) -> DataFrame:
                         cuts += [(0, False, words[:-1]), (0, True, words[1:])]
                     for cut, right, part in cuts:
                         p1, p2 = _keys(name, part)
-                        columns = [k1[own], k2[own], np.full(len(own), cut, np.int32), np.full(len(own), right), p1, p2]
-                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["k1", "k2", "cut", "right", "p1", "p2"])
+                        columns = [k1[own], k2[own], f[own], np.full(len(own), cut, np.int32), np.full(len(own), right), p1, p2]
+                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["k1", "k2", "f", "cut", "right", "p1", "p2"])
 
-    return phrases.select("k1", "k2", "lang", *HASHED).mapInArrow(run, "k1 long, k2 long, cut int, right boolean, p1 long, p2 long")
+    return phrases.select("k1", "k2", "f", "lang", *HASHED).mapInArrow(run, "k1 long, k2 long, f long, cut int, right boolean, p1 long, p2 long")
 
 
 def collocations(docs: DataFrame, threshold: int = 100, most: int = 2000, closed_percent: int = 100, shards: int = SHARDS, bits: int = BITS, seeds: tuple[int, ...] = (0, 2)) -> DataFrame:
@@ -448,7 +473,7 @@ def collocations(docs: DataFrame, threshold: int = 100, most: int = 2000, closed
     longer = named.where("k2 & 7 > 1")
     parts = stash(parts_of(longer).join(f, ["p1", "p2"]), "phrase-parts")
     # A longer phrase's inner ones.
-    inner = parts.where("cut = 0").join(found, ["k1", "k2"]).groupBy(F.col("p1").alias("k1"), F.col("p2").alias("k2")).agg(F.max("f").alias("longer"))
+    inner = parts.where("cut = 0").groupBy(F.col("p1").alias("k1"), F.col("p2").alias("k2")).agg(F.max("f").alias("longer"))
     kept = longer.join(inner, ["k1", "k2"], "left").where(f"longer is null or 100 * longer < {closed_percent} * f")
     sides = parts.where("cut > 0").groupBy("k1", "k2", "cut").agg(F.max(F.when(~F.col("right"), F.col("part_f"))).alias("l"), F.max(F.when(F.col("right"), F.col("part_f"))).alias("r"))
     total = rows.groupBy("lang").agg(F.sum("n").alias("n"))
