@@ -452,8 +452,8 @@ def collocations(docs: DataFrame, threshold: int = 100, most: int = 2000, closed
     floor(1000 a n / (l r)). Phrases inside a longer one that is as frequent (closed_percent of a) are left out. Null
     languages are "und"; null and empty texts have no words; repeated rows count as often as they come; doc_id is not read.
 
-    Should a frequent phrase's key stand for another one too, all is done again with the next seed, and if
-    that fails as well it is an error, never a wrong count.
+    Should a word of a frequent phrase share its hash with another word, or a phrase its key with another phrase that is looked up with it,
+    all is done again with the next seed, and if that fails as well it is an error. Of words all occurrences are compared, by a Bloom filter.
     """
     for seed in seeds:
         # Rows of tokens are large: batches of the usual size would take much memory outside the heap.
