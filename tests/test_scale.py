@@ -2,9 +2,10 @@
 
 import time
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from newslode.functions import dates, text
+from newslode.functions import dates, dom, text
 
 
 def test_many_lines_of_one_page(spark):
@@ -21,6 +22,17 @@ def test_first_of_each_key_in_order(spark):
     assert [r[0] for r in rows.select(text.distinct_by(F.col("xs"), F.lower)).collect()] == [["b", "A", "c"], [], None]
 
 
+def test_trees_leave_the_parser_in_small_batches():
+    """All trees of a batch, of ten thousand pages at most, were held at once."""
+    page = "<div>" + "<p class='a b' id=x>word</p>" * 99 + "</div>"
+    got = list(dom.tree.func(iter([pa.array([page] * 900 + [None])])))
+    assert len(got) == 5 and sum(map(len, got)) == 901
+    assert max(sum(len(r["nodes"]) for r in b.to_pylist()) for b in got) <= dom.BATCH_NODES
+    one = got[0][0].as_py()
+    assert one["pieces"] == ["word"] * 99 and one["nodes"][1]["classes"] == ["a", "b"] and dict(one["nodes"][1]["attrs"]) == {"class": "a b", "id": "x"}
+    assert got[-1][-1].as_py() == {"nodes": [], "pieces": []}
+
+
 def test_no_date_is_looked_for_where_none_can_be(spark):
     rows = spark.createDataFrame([("Tue, 7 April 2026",), ("no digit",), ("7 April 2026 " + "x" * 200,), (None,)], "x string")
     assert [str(r[0]) if r[0] else None for r in rows.select(dates.parse_date("x")).collect()] == ["2026-04-07 00:00:00", None, None, None]
