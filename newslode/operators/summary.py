@@ -33,8 +33,13 @@ def lowered_score(low: Column, lists=EVIDENCE) -> Column:
 
 def evidence_sentences(body, most: int = 8, lists=EVIDENCE) -> Column:
     """Sentences with a score, the highest first, of equals the earlier, the first of each regardless of case."""
-    scored = F.transform(sentences(body), lambda s, i: let(F.lower(s), lambda low: F.struct((-lowered_score(low, lists)).alias("k"), i.alias("i"), s.alias("s"), low.alias("low"))))
-    kept = F.array_sort(F.filter(scored, lambda x: x["k"] < 0))
+    return evidence_among(sentences(body), most, lists)
+
+
+def evidence_among(found: Column, most: int, lists=EVIDENCE) -> Column:
+    """The same of sentences."""
+    scored = F.transform(found, lambda s, i: let(F.lower(s), lambda low: F.struct((-lowered_score(low, lists)).alias("k"), i.alias("i"), s.alias("s"), low.alias("low"))))
+    kept = F.sort_array(F.filter(scored, lambda x: x["k"] < 0))
     none = F.array().cast("array<struct<s:string,low:string>>")
     # No more than `most` are ever kept, so a sentence is compared with few.
     first = F.aggregate(kept, none, lambda got, x: F.when((F.size(got) >= most) | F.exists(got, lambda g: g["low"] == x["low"]), got).otherwise(F.concat(got, F.array(F.struct(x["s"].alias("s"), x["low"].alias("low"))))))
@@ -50,18 +55,22 @@ def evidence_rows(df: DataFrame, key: str, body: str, most: int = 8, lists=EVIDE
 
 
 def rule_summary(title, body, lists=EVIDENCE) -> Column:
-    """struct(theme, stance, synopsis, key_points, risk_flags, watch_items)."""
-    low = F.lower(text(body))
-    flags = lambda rules, none: (lambda got: F.when(F.size(got) > 0, F.slice(got, 1, 3)).otherwise(F.array(F.lit(none))))(F.array_compact(F.array(*[F.when(any_of(low, t), F.lit(n)) for t, n in rules])))
-    risk, watch = flags(RISKS, NO_RISK), flags(WATCHES, NO_WATCH)
-
-    def told(best: Column) -> Column:
-        chosen = F.when(F.size(best) > 0, best).otherwise(F.slice(sentences(body), 1, 4))
-        synopsis = F.trim(F.array_join(chosen, " "))
-        points = F.when(F.size(chosen) > 0, F.slice(chosen, 1, 3)).otherwise(F.array(F.lit("Relevant commentary detected but extraction was thin.")))
-        return F.struct(L.theme(title, body).alias("theme"), L.stance(F.concat_ws("\n", text(title), text(body))).alias("stance"), F.when(synopsis != "", synopsis).otherwise(truncate(body, 400)).alias("synopsis"), points.alias("key_points"), risk.alias("risk_flags"), watch.alias("watch_items"))
-
-    return let(evidence_sentences(body, 5, lists), told)
+    """struct(theme, stance, synopsis, key_points, risk_flags, watch_items). The body is split and lower-cased once for all that read it."""
+
+    def flags(low: Column, rules, none: str) -> Column:
+        named = F.array_compact(F.array(*[F.when(any_of(low, t), F.lit(n)) for t, n in rules]))
+        return let(named, lambda got: F.when(F.size(got) > 0, F.slice(got, 1, 3)).otherwise(F.array(F.lit(none))))
+
+    def told(x: Column) -> Column:
+        return F.struct(x["chosen"].alias("chosen"), F.trim(F.array_join(x["chosen"], " ")).alias("synopsis"), flags(x["low"], RISKS, NO_RISK).alias("risk_flags"), flags(x["low"], WATCHES, NO_WATCH).alias("watch_items"))
+
+    def shown(x: Column) -> Column:
+        points = F.when(F.size(x["chosen"]) > 0, F.slice(x["chosen"], 1, 3)).otherwise(F.array(F.lit("Relevant commentary detected but extraction was thin.")))
+        synopsis = F.when(x["synopsis"] != "", x["synopsis"]).otherwise(truncate(body, 400))
+        return F.struct(L.theme(title, body).alias("theme"), L.stance(F.concat_ws("\n", text(title), text(body))).alias("stance"), synopsis.alias("synopsis"), points.alias("key_points"), x["risk_flags"].alias("risk_flags"), x["watch_items"].alias("watch_items"))
+
+    chosen = let(sentences(body), lambda found: let(evidence_among(found, 5, lists), lambda best: F.when(F.size(best) > 0, best).otherwise(F.slice(found, 1, 4))))
+    return let(F.struct(chosen.alias("chosen"), F.lower(text(body)).alias("low")), lambda x: let(told(x), shown))
 
 
 def summary_or_rule(model: Column, rule: Column) -> tuple[Column, Column]:

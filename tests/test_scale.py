@@ -36,3 +36,20 @@ def test_trees_leave_the_parser_in_small_batches():
 def test_no_date_is_looked_for_where_none_can_be(spark):
     rows = spark.createDataFrame([("Tue, 7 April 2026",), ("no digit",), ("7 April 2026 " + "x" * 200,), (None,)], "x string")
     assert [str(r[0]) if r[0] else None for r in rows.select(dates.parse_date("x")).collect()] == ["2026-04-07 00:00:00", None, None, None]
+
+
+def test_a_summary_splits_its_body_once(spark):
+    """The body was split anew for each part of a summary, and lower-cased for each term."""
+    from newslode.operators import summary
+
+    rows = spark.createDataFrame([("t", "b")], "title string, body string").select(summary.rule_summary("title", "body").alias("s"))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1 and plan.count("lower(") <= 5
+
+
+def test_white_space_is_made_alike(spark):
+    rows = ["a b", " a  b ", "a\tb", "a \tb", "a\t b  c", "\n a\n", "", None, "a　 b"]
+    import re
+
+    got = [r[0] for r in spark.createDataFrame([(x,) for x in rows], "x string").select(text.normalize_space("x")).collect()]
+    assert got == [re.sub(r"\s+", " ", x or "").strip(" ") for x in rows]
