@@ -9,7 +9,7 @@ from pyspark.sql.window import Window
 from .. import config as C
 from ..config import Config
 from ..functions import lexicon as L
-from ..functions.text import any_of, escape_html, let, normalize_space, sentences, stable_key, structured_points, text, truncate
+from ..functions.text import any_of, bind, escape_html, let, normalize_space, sentences, stable_key, structured_points, text, truncate
 
 #: Term lists of evidence: direct 3, broad 2, analysis 1, supply 1.
 EVIDENCE = (C.EVIDENCE_DIRECT, C.EVIDENCE_BROAD, C.EVIDENCE_ANALYSIS, C.EVIDENCE_SUPPLY)
@@ -164,13 +164,14 @@ def repair_prompt(raw, schema: str) -> Column:
 
 def digest_points(rows: DataFrame, ord_: str = "ord") -> DataFrame:
     """label, section, text, source, url, row and point order of brief rows; the first of equal points in a label's section."""
-    theme, stance, synopsis = normalize_space("Theme"), normalize_space("Stance"), normalize_space("Synopsis")
+    rows = bind(rows.withColumn("row_ord", F.col(ord_)), Theme=normalize_space("Theme"), Stance=normalize_space("Stance"), Synopsis=normalize_space("Synopsis"))
+    theme, stance, synopsis = F.col("Theme"), F.col("Stance"), F.col("Synopsis")
     point = lambda p, section: F.struct(normalize_space(p).alias("text"), section.alias("section"))
     by_text = lambda p: point(p, L.digest_section(p, theme, stance))
     tone = F.when((stance != "") & (theme != ""), F.concat(F.lit("Analyst tone remains "), F.lower(stance), F.lit(" around "), F.lower(theme), F.lit("."))).when((stance != "") & (synopsis != ""), F.concat(F.lit("Analyst tone remains "), F.lower(stance), F.lit(" based on the latest readable update.")))
     outlook = lambda p: point(p, F.lit("outlook"))
     points = F.concat(F.array(by_text(synopsis)), F.transform(structured_points("KeyPoints"), by_text), F.transform(structured_points("WatchItems"), outlook), F.transform(structured_points("RiskFlags"), outlook), F.array(outlook(F.coalesce(tone, F.lit("")))))
-    rows = rows.select(F.col(ord_).alias("row_ord"), L.digest_label("Metal").alias("label"), normalize_space("SourceName").alias("source"), text("SourceUrl").alias("url"), F.posexplode(points).alias("point_ord", "p"))
+    rows = rows.select("row_ord", L.digest_label("Metal").alias("label"), normalize_space("SourceName").alias("source"), text("SourceUrl").alias("url"), F.posexplode(points).alias("point_ord", "p"))
     rows = rows.select("label", F.col("p.section").alias("section"), F.col("p.text").alias("text"), "source", "url", "row_ord", "point_ord").where(F.length("text") >= 18)
     row = F.struct("row_ord", "point_ord", "text", "source", "url")
     return rows.groupBy("label", "section", F.lower("text").alias("low")).agg(F.min(row).alias("r")).select("label", "section", "r.*")
