@@ -128,3 +128,16 @@ def test_page_and_source_do_not_depend_on_order(spark):
         found.append([tuple(r) for r in judged])
     assert found[0] == found[1] and len(found[0]) == 1
     assert found[0][0][1:] == ("near", "css:article")
+
+
+def test_a_round_orders_only_the_links_it_begins_at(spark):
+    """The links of all pages were ordered and cut in every round."""
+    plans = []
+
+    def keep(df, name):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return df
+
+    edges = spark.createDataFrame([("a", "u1", "u2", 0)], EDGES)
+    discovery.budgeted_traversal(edges, spark.createDataFrame([("a", "u1", 0)], "source_name string, url string, ord int"), 1, 5, 2, keep)
+    assert "LeftSemi" in plans[1]
