@@ -18,6 +18,9 @@ component. Tokens whose classes are not all of one component by then are gone th
 square blocks of classes, sets and all, where only classes of different components
 are compared. So a group of thousands of near copies is never written as pairs, and
 no link between components is lost.
+
+Whole sets travel only to pairs and blocks that pass order A in small first: the first r + l tokens
+of each set, cut to 31 bits, share l. Cutting can only make more tokens equal, so nothing is lost.
 """
 
 from __future__ import annotations
@@ -32,6 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import SPACE, batches, buffer_of, byte_table, partitions_for, rows_of, spans, stash, text_rows, word_hashes
+from .phrases import BITS, filters
 from .simhash import components
 
 #: A buffer's classes with a token from which on the token counts as heavy: last in order B, its rows dealt by class.
@@ -174,55 +178,44 @@ def prefixes(described_rows: DataFrame, percent: int) -> DataFrame:
     return ranked.where(F.col("rank") <= F.col("shared") - need + 1).select("token", "cid", "n")
 
 
-def _links_across(percent: int):
-    """Rows of blocks, sorted by block, in; links between classes of different components out.
+NAMES = ["token", "i", "j", "own", "cid", "n", "need", "cls", "label"]
+HOPEFUL = ["token", "i", "j", "own", "cid", "label"]
+
+
+def _comparable(x: dict, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Of a block each row that is held against others, and those: of other components, and of a size that allows it. Labels are read anew for each."""
+    other = x["own"] != x["i"] if x["i"][0] != x["j"][0] else np.ones(len(x["n"]), bool)
+    for k in np.flatnonzero(x["own"] == x["i"]).tolist():
+        near = other & (x["label"] != x["label"][k]) & (100 * np.minimum(x["n"], x["n"][k]) >= percent * np.maximum(x["n"], x["n"][k]))
+        if near.any():
+            yield k, near
 
-    A class is held against all others of its block at once, unless none is left in another component: what is
-    linked already, here or before, is not compared again.
-    """
 
-    def linked(x: dict, tokens: np.ndarray, at: np.ndarray) -> list[tuple[int, int]]:
-        n, cls, label, found = x["n"], x["cls"], x["label"].copy(), []
-        if (label == label[0]).all():
-            return found
-        _, ids = np.unique(tokens, return_inverse=True)
-        flag = np.zeros(ids.max(initial=0) + 1, np.int64)
-        other = x["own"] != x["i"] if x["i"][0] != x["j"][0] else np.ones(len(n), bool)
-        for k in np.flatnonzero(x["own"] == x["i"]).tolist():
-            near = other & (label != label[k]) & (100 * np.minimum(n, n[k]) >= percent * np.maximum(n, n[k]))
-            if not near.any():
-                continue
-            mine = ids[at[k] : at[k + 1]]
-            flag[mine] = 1
-            both = np.add.reduceat(flag[ids], at[:-1])
-            flag[mine] = 0
-            for y in np.flatnonzero(near & (100 * both >= percent * (n + n[k] - both))).tolist():
-                if label[y] != label[k]:
-                    found.append((int(cls[k]), int(cls[y])))
-                    label[label == label[y]] = label[k]
-        return found
-
-    names = ["token", "i", "j", "own", "n", "cls", "label"]
+def _in_blocks(percent: int, wanted: list[str], told):
+    """Rows of NAMES and a list `tokens`, sorted by block, in; what told(x, ids, at, percent) says of each block out, as columns."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: dict[str, np.ndarray] = {c: np.zeros(0, np.int64) for c in names}
+        rest: dict[str, np.ndarray] = {c: np.zeros(0, np.int64) for c in NAMES}
         sets: list[np.ndarray] = []
 
         def done(upto: int) -> pa.RecordBatch:
-            """The links of the blocks that end before a row."""
-            edge = np.flatnonzero(np.any([rest[c][1:upto] != rest[c][: upto - 1] for c in names[:3]], axis=0)) + 1
+            """What is said of the blocks that end before a row."""
+            edge = np.flatnonzero(np.any([rest[c][1:upto] != rest[c][: upto - 1] for c in NAMES[:3]], axis=0)) + 1
             found = []
             for s, e in itertools.pairwise([0, *edge.tolist(), upto]):
-                at = np.concatenate([[0], np.cumsum([len(x) for x in sets[s:e]])])
-                found += linked({c: v[s:e] for c, v in rest.items()}, np.concatenate(sets[s:e]), at)
-            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
+                x = {c: v[s:e].copy() for c, v in rest.items()}
+                if (x["label"] != x["label"][0]).any():
+                    at = np.concatenate([[0], np.cumsum([len(y) for y in sets[s:e]])])
+                    found += told(x, np.unique(np.concatenate(sets[s:e]), return_inverse=True)[1], at, percent)
+            columns = zip(*found, strict=True) if found else [()] * len(wanted)
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=wanted)
 
         for b in it:
-            rest = {c: np.concatenate([rest[c], b.column(c).to_numpy(zero_copy_only=False)]) for c in names}
+            rest = {c: np.concatenate([rest[c], b.column(c).to_numpy(zero_copy_only=False)]) for c in NAMES}
             lists = b.column("tokens")
             at, flat = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
             sets += [flat[s:e] for s, e in itertools.pairwise(at.tolist())]
-            last = np.flatnonzero(np.any([rest[c] != rest[c][-1:] for c in names[:3]], axis=0))
+            last = np.flatnonzero(np.any([rest[c] != rest[c][-1:] for c in NAMES[:3]], axis=0))
             if len(last):
                 cut = int(last[-1]) + 1
                 yield done(cut)
@@ -233,8 +226,47 @@ def _links_across(percent: int):
     return run
 
 
+def _shared_with(k: int, ids: np.ndarray, at: np.ndarray, flag: np.ndarray) -> np.ndarray:
+    """How many tokens each row of a block shares with the k-th."""
+    mine = ids[at[k] : at[k + 1]]
+    flag[mine] = 1
+    both = np.add.reduceat(flag[ids], at[:-1])
+    flag[mine] = 0
+    return both
+
+
+def _hopeful(x: dict, ids: np.ndarray, at: np.ndarray, percent: int) -> list[tuple]:
+    """Rows that may have a partner of another component in their block, by the small sets; no more than came in."""
+    flag, may = np.zeros(ids.max(initial=0) + 1, np.int64), np.zeros(len(x["n"]), bool)
+    for k, near in _comparable(x, percent):
+        partners = near & (_shared_with(k, ids, at, flag) >= np.minimum(x["need"], x["need"][k]))
+        may |= partners
+        may[k] |= partners.any()
+    return list(zip(*(x[c][may].tolist() for c in HOPEFUL), strict=True))
+
+
+def _links_across(x: dict, ids: np.ndarray, at: np.ndarray, percent: int) -> list[tuple]:
+    """Links between classes of different components of a block.
+
+    A class is held against all others of its block at once, unless none is left in another component: what is
+    linked already, here or before, is not compared again.
+    """
+    n, cls, label, found = x["n"], x["cls"], x["label"], []
+    flag = np.zeros(ids.max(initial=0) + 1, np.int64)
+    for k, near in _comparable(x, percent):
+        both = _shared_with(k, ids, at, flag)
+        for y in np.flatnonzero(near & (100 * both >= percent * (n + n[k] - both))).tolist():
+            if label[y] != label[k]:
+                found.append((int(cls[k]), int(cls[y])))
+                label[label == label[y]] = label[k]
+    return found
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of cid in; a, b out: classes whose sets are alike enough. Orders A and C are looked at before the sets are intersected."""
+    """Pairs of cid in; a, b out: classes whose sets are alike enough. The small sets, then orders A and C are looked at before the sets are intersected."""
+    one, two = (sets.select(F.col("cid").alias(s), F.col("need").alias(f"need_{s}"), F.col("low").alias(f"low_{s}")) for s in "ab")
+    share = F.size(F.array_intersect("low_a", "low_b")) >= F.least("need_a", "need_b")
+    pairs = pairs.join(two, "b").join(one, "a").where(share).select("a", "b")
     one, two = (sets.select(F.col("cid").alias(s), F.col("cls").alias(f"cls_{s}"), F.col("n").alias(f"n_{s}"), F.col("tokens").alias(f"tokens_{s}")) for s in "ab")
     more = {s: F.expr(f"n_{s} - (n_{s} * {percent} + 99) div 100 + 1").cast("int") for s in "ab"}
     first = F.arrays_overlap(*(F.slice(f"tokens_{s}", 1, more[s]) for s in "ab"))
@@ -243,9 +275,26 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(two, "b").join(one, "a").where(first & last).where(100 * both >= percent * (F.col("n_a") + F.col("n_b") - both)).select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b"))
 
 
-def token_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """cls, cid, n, tokens of the wanted rows (doc_id, row, cls, cid)."""
-    schema = pa.schema([("cls", pa.int64()), ("cid", pa.int64()), ("n", pa.int64()), ("tokens", pa.list_(pa.int64()))])
+def small_set(s: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
+    """What order A takes of a set, cut to 31 bits, and how many of it a partner shares at least."""
+    first = s[: allowed(len(s), percent) + extra(len(s), percent)]
+    low = np.unique(first & np.uint64(2**31 - 1)).astype(np.int32)
+    return low, extra(len(s), percent) - (len(first) - len(low))
+
+
+def token_sets(docs: DataFrame, wanted: DataFrame, size: int, percent: int) -> DataFrame:
+    """cls, cid, n, tokens, low, need (small_set) of the wanted rows (doc_id, row, cls, cid). A Bloom filter of these lets few other texts be shuffled."""
+    schema = pa.schema([("cls", pa.int64()), ("cid", pa.int64()), ("n", pa.int64()), ("tokens", pa.list_(pa.int64())), ("low", pa.list_(pa.int32())), ("need", pa.int64())])
+    made = filters(wanted.select(F.xxhash64("doc_id", "row").alias("k1"), F.lit(True).alias("new")), BITS)
+    known = None if made is None else docs.sparkSession.sparkContext.broadcast(made)
+
+    def some(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            found = known.value.has(0, b.column("k").to_numpy(zero_copy_only=False).view(np.uint64)) if known else np.zeros(b.num_rows, bool)
+            yield b.drop_columns(["k"]).filter(pa.array(found))
+
+    def lists(found: list[np.ndarray], kind) -> pa.ListArray:
+        return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, found)]), pa.int32()), pa.array(np.concatenate([*found, np.zeros(0, found[0].dtype if found else kind)]).view(kind)))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -253,13 +302,14 @@ def token_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
             new = [i for i, c in enumerate(b.column("cls").to_pylist()) if not (c in seen or seen.add(c))]
             b = b.take(pa.array(new, pa.int64()))
             found = list(shingle_sets(b.column("text"), size))
-            sizes = np.array([len(s) for s in found], np.int64)
-            tokens = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(np.concatenate([*found, np.zeros(0, np.uint64)]).view(np.int64)))
-            yield pa.RecordBatch.from_arrays([b.column("cls"), b.column("cid"), pa.array(sizes), tokens], schema=schema)
+            small = [small_set(s, percent) for s in found]
+            columns = [pa.array([len(s) for s in found], pa.int64()), lists(found, np.int64), lists([low for low, _ in small], np.int32), pa.array([need for _, need in small], pa.int64())]
+            yield pa.RecordBatch.from_arrays([b.column("cls"), b.column("cid"), *columns], schema=schema)
 
-    texts = text_rows(docs).withColumn("row", F.xxhash64("text"))
+    row = F.xxhash64("text")
+    texts = text_rows(docs).withColumn("row", row).withColumn("k", F.xxhash64("doc_id", "row")).mapInArrow(some, "doc_id long, text string, row long")
     w = wanted.select(F.col("doc_id").alias("d"), F.col("row").alias("r"), "cls", "cid")
-    return texts.join(w, texts.doc_id.eqNullSafe(w.d) & (texts.row == w.r)).select("cls", "cid", "text").mapInArrow(run, "cls long, cid long, n long, tokens array<long>")
+    return texts.join(w, texts.doc_id.eqNullSafe(w.d) & (texts.row == w.r)).select("cls", "cid", "text").mapInArrow(run, "cls long, cid long, n long, tokens array<long>, low array<int>, need long")
 
 
 def links_of(docs: DataFrame, rows: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
@@ -269,7 +319,7 @@ def links_of(docs: DataFrame, rows: DataFrame, classes: DataFrame, size: int, pe
     buckets = prefix.groupBy("token").agg(F.count("*").alias("many"), F.sum("n").alias("all_tokens"), F.min_by(F.struct("cid", "n"), F.xxhash64("token", "cid")).alias("leader")).where("many > 1")
     in_bucket = stash(prefix.join(buckets, "token"), "jaccard-buckets")
     wanted = classes.join(in_bucket.select(F.col("cid").alias("k1")).distinct(), "k1", "left_semi").withColumnRenamed("k1", "cid")
-    sets = stash(token_sets(docs, wanted, size), "jaccard-sets")
+    sets = stash(token_sets(docs, wanted, size, percent), "jaccard-sets")
 
     near = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
     small = in_bucket.where(F.col("many") <= SMALL)
@@ -283,16 +333,23 @@ def links_of(docs: DataFrame, rows: DataFrame, classes: DataFrame, size: int, pe
         return links
     rooted = sets.select("cls", "cid").join(components(links).withColumnRenamed("node", "cls"), "cls", "left").select("cid", F.coalesce("root", "cls").alias("label"))
     labelled = stash(large.select("token", "many", "all_tokens", "cid").join(rooted, "cid"), "jaccard-labelled")
-    split = labelled.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("token")
+    # Of tokens that the same classes have, as those of one passage, one is enough.
+    same = {"x": F.bit_xor(F.xxhash64("cid")), "y": F.bit_xor(F.xxhash64("cid", F.lit(1))), "many": F.count("*")}
+    split = labelled.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"), *(v.alias(k) for k, v in same.items())).where("low <> high").groupBy(*same).agg(F.min("token").alias("token")).select("token")
     blocks = F.ceil(F.greatest(F.col("many") / BLOCK, F.col("all_tokens") / BLOCK_TOKENS)).cast("long")
     dealt = (
         labelled.join(split, "token").withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("cid"), F.col("blocks")))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         .select("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "cid", "label")
-        .join(sets, "cid")
     )
-    parts = dealt.repartition(partitions_for(dealt), "token", "i", "j").sortWithinPartitions("token", "i", "j")
-    return links.unionByName(parts.mapInArrow(_links_across(percent), "a long, b long"))
+
+    def compared(rows: DataFrame, tokens: str, wanted: list[str], told) -> DataFrame:
+        rows = rows.join(sets.select("cid", "n", "need", "cls", F.col(tokens).alias("tokens")), "cid").select(*NAMES, "tokens")
+        parts = rows.repartition(partitions_for(rows), "token", "i", "j").sortWithinPartitions("token", "i", "j")
+        return parts.mapInArrow(_in_blocks(percent, wanted, told), ", ".join(f"{c} long" for c in wanted))
+
+    hopeful = compared(dealt, "low", HOPEFUL, _hopeful)
+    return links.unionByName(compared(hopeful, "tokens", ["a", "b"], _links_across))
 
 
 def near_sets(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:

@@ -128,3 +128,20 @@ def test_trie_of_odd_conversations(spark, monkeypatch):
 
     assert run(table) == trie_by_brute_force(paths_of(rows))
     assert run(table.limit(0)) == []
+
+
+def test_small_sets_lose_no_partner():
+    """Whole sets went to every pair and block; now small ones go first, and a near pair always passes them, even where its tokens collide when they are cut."""
+    import numpy as np
+
+    rng = np.random.default_rng(7)
+    for n in (1, 4, 5, 30, 200):
+        for bits in (63, 12):
+            high = rng.choice(2**20, 2 * n, False).astype(np.uint64) << np.uint64(40)
+            tokens = np.unique(high | rng.integers(0, 2 ** min(bits, 30), 2 * n).astype(np.uint64))
+            for lost in range(n):
+                a, b = tokens[:n], np.sort(np.delete(tokens, rng.choice(n, lost, False)))[: n + lost]
+                both = len(np.intersect1d(a, b))
+                if 100 * both >= 80 * (len(a) + len(b) - both):
+                    (x, need_x), (y, need_y) = jaccard_join.small_set(a, 80), jaccard_join.small_set(b, 80)
+                    assert len(np.intersect1d(x, y)) >= min(need_x, need_y)
