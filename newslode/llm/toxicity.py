@@ -26,7 +26,7 @@ WORD_BITS, GRAM_BITS, GRAMS = 13, 14, (3, 4, 5)
 #: Labelled rows of each class, and characters of each, for training; rounds and windows of a step.
 TRAIN_ROWS, TRAIN_CHARS, ROUNDS, STEP = 2_000, 20_000, 12, 64
 #: Bytes of text, and windows, that a task holds at once.
-SLICE_BYTES, SLICE_WINDOWS = 4_000_000, 2_048
+SLICE_BYTES, SLICE_WINDOWS = 1_000_000, 2_048
 #: Words are what stands between ASCII white space and punctuation.
 SEPARATORS = bytes([*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)])
 TABLE = byte_table(SEPARATORS)
