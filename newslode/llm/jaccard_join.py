@@ -19,8 +19,9 @@ square blocks of classes, sets and all, where only classes of different componen
 are compared. So a group of thousands of near copies is never written as pairs, and
 no link between components is lost.
 
-Whole sets travel only to pairs and blocks that pass order A in small first: the first r + l tokens
-of each set, cut to 31 bits, share l. Cutting can only make more tokens equal, so nothing is lost.
+Whole sets travel only to pairs and blocks whose sketches pass first: a sketch has a bit for each remainder of
+the tokens, set if an odd number of them has it. Sketches differ in no more bits than the sets differ in
+tokens, so nothing is lost; halves of a sketch laid upon each other (XOR) are the sketch of half the bits.
 """
 
 from __future__ import annotations
@@ -41,9 +42,9 @@ from .simhash import components
 #: A buffer's classes with a token from which on the token counts as heavy: last in order B, its rows dealt by class.
 HEAVY = 32
 #: Classes of a token up to which all their pairs are looked at; beyond, a leader and blocks.
-SMALL, BLOCK = 32, 2048
+SMALL, BLOCK = 32, 4096
 #: Tokens of a block.
-BLOCK_TOKENS = 500_000
+BLOCK_TOKENS = 1_000_000
 LAST = 2**31 - 1
 
 
@@ -52,6 +53,11 @@ def allowed(n, percent: int):
     return n - -(-n * percent // 100)
 
 
+def apart(m, n, percent: int, whole=np.floor):
+    """In how many tokens partners of m and n tokens may differ: of m + n the shared ones, at least percent of the union, twice less."""
+    return m + n + 2 * whole(-percent * (m + n) / (100 + percent))
+
+
 def extra(n, percent: int):
     """l of order A for a set of n tokens."""
     return allowed(n, percent) // 3 + 1
@@ -178,7 +184,7 @@ def prefixes(described_rows: DataFrame, percent: int) -> DataFrame:
     return ranked.where(F.col("rank") <= F.col("shared") - need + 1).select("token", "cid", "n")
 
 
-NAMES = ["token", "i", "j", "own", "cid", "n", "need", "cls", "label"]
+NAMES = ["token", "i", "j", "own", "cid", "n", "cls", "label"]
 HOPEFUL = ["token", "i", "j", "own", "cid", "label"]
 
 
@@ -192,7 +198,7 @@ def _comparable(x: dict, percent: int) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def _in_blocks(percent: int, wanted: list[str], told):
-    """Rows of NAMES and a list `tokens`, sorted by block, in; what told(x, ids, at, percent) says of each block out, as columns."""
+    """Rows of NAMES and a list `tokens`, sorted by block, in; what told(x, lists, at, percent) says of each block out, as columns. lists: those of the block end to end, at: where each begins."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: dict[str, np.ndarray] = {c: np.zeros(0, np.int64) for c in NAMES}
@@ -206,7 +212,7 @@ def _in_blocks(percent: int, wanted: list[str], told):
                 x = {c: v[s:e].copy() for c, v in rest.items()}
                 if (x["label"] != x["label"][0]).any():
                     at = np.concatenate([[0], np.cumsum([len(y) for y in sets[s:e]])])
-                    found += told(x, np.unique(np.concatenate(sets[s:e]), return_inverse=True)[1], at, percent)
+                    found += told(x, np.concatenate(sets[s:e]), at, percent)
             columns = zip(*found, strict=True) if found else [()] * len(wanted)
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=wanted)
 
@@ -226,35 +232,39 @@ def _in_blocks(percent: int, wanted: list[str], told):
     return run
 
 
-def _shared_with(k: int, ids: np.ndarray, at: np.ndarray, flag: np.ndarray) -> np.ndarray:
-    """How many tokens each row of a block shares with the k-th."""
-    mine = ids[at[k] : at[k + 1]]
-    flag[mine] = 1
-    both = np.add.reduceat(flag[ids], at[:-1])
-    flag[mine] = 0
-    return both
-
-
-def _hopeful(x: dict, ids: np.ndarray, at: np.ndarray, percent: int) -> list[tuple]:
-    """Rows that may have a partner of another component in their block, by the small sets; no more than came in."""
-    flag, may = np.zeros(ids.max(initial=0) + 1, np.int64), np.zeros(len(x["n"]), bool)
+def _hopeful(x: dict, sketches: np.ndarray, at: np.ndarray, percent: int) -> list[tuple]:
+    """Rows that may have a partner of another component in their block, by the sketches; no more than came in."""
+    n, width, may = x["n"], np.diff(at), np.zeros(len(x["n"]), bool)
+    sketches = sketches.view(np.uint64)  # of signed numbers numpy counts the bits of the absolute value
+    own = {w: np.flatnonzero(width == w) for w in np.unique(width).tolist()}
+    table = {w: sketches[at[rows][:, None] + np.arange(w)] for w, rows in own.items()}
+    half = {w: t[:, : w // 2] ^ t[:, w // 2 :] for w, t in table.items()}
     for k, near in _comparable(x, percent):
-        partners = near & (_shared_with(k, ids, at, flag) >= np.minimum(x["need"], x["need"][k]))
+        w, mine = int(width[k]), sketches[at[k] : at[k + 1]]
+        differ = np.zeros(len(n), np.int64)
+        for v, one, others in ((w, mine, table), (2 * w, mine, half), (w // 2, mine[: w // 2] ^ mine[w // 2 :] if w > 1 else None, table)):
+            if v in own and one is not None:
+                differ[own[v]] = np.bitwise_count(others[v] ^ one).sum(1, dtype=np.int64)
+        partners = near & (differ <= apart(n, n[k], percent))
         may |= partners
         may[k] |= partners.any()
     return list(zip(*(x[c][may].tolist() for c in HOPEFUL), strict=True))
 
 
-def _links_across(x: dict, ids: np.ndarray, at: np.ndarray, percent: int) -> list[tuple]:
+def _links_across(x: dict, tokens: np.ndarray, at: np.ndarray, percent: int) -> list[tuple]:
     """Links between classes of different components of a block.
 
     A class is held against all others of its block at once, unless none is left in another component: what is
     linked already, here or before, is not compared again.
     """
     n, cls, label, found = x["n"], x["cls"], x["label"], []
+    ids = np.unique(tokens, return_inverse=True)[1]
     flag = np.zeros(ids.max(initial=0) + 1, np.int64)
     for k, near in _comparable(x, percent):
-        both = _shared_with(k, ids, at, flag)
+        mine = ids[at[k] : at[k + 1]]
+        flag[mine] = 1
+        both = np.add.reduceat(flag[ids], at[:-1])
+        flag[mine] = 0
         for y in np.flatnonzero(near & (100 * both >= percent * (n + n[k] - both))).tolist():
             if label[y] != label[k]:
                 found.append((int(cls[k]), int(cls[y])))
@@ -263,10 +273,17 @@ def _links_across(x: dict, ids: np.ndarray, at: np.ndarray, percent: int) -> lis
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of cid in; a, b out: classes whose sets are alike enough. The small sets, then orders A and C are looked at before the sets are intersected."""
-    one, two = (sets.select(F.col("cid").alias(s), F.col("need").alias(f"need_{s}"), F.col("low").alias(f"low_{s}")) for s in "ab")
-    share = F.size(F.array_intersect("low_a", "low_b")) >= F.least("need_a", "need_b")
-    pairs = pairs.join(two, "b").join(one, "a").where(share).select("a", "b")
+    """Pairs of cid in; a, b out: classes whose sets are alike enough. The sketches, then orders A and C are looked at before the sets are intersected."""
+    one, two = (sets.select(F.col("cid").alias(s), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}")) for s in "ab")
+    many = F.least(F.size("sketch_a"), F.size("sketch_b"))
+
+    def cut(c: str):
+        """The sketch in as many numbers as the other has; sketches of more than twice as many are not folded, and tell nothing."""
+        return F.when(F.size(c) == many, F.col(c)).otherwise(F.transform(F.slice(c, 1, many), lambda v, i: v.bitwiseXOR(F.get(c, i + many))))
+
+    differ = F.aggregate(F.zip_with(cut("sketch_a"), cut("sketch_b"), lambda v, w: F.bit_count(v.bitwiseXOR(w))), F.lit(0), lambda v, w: v + w)
+    alike = (F.greatest(F.size("sketch_a"), F.size("sketch_b")) > 2 * many) | (differ <= apart(F.col("n_a"), F.col("n_b"), percent, F.floor))
+    pairs = pairs.join(two, "b").join(one, "a").where(alike).select("a", "b")
     one, two = (sets.select(F.col("cid").alias(s), F.col("cls").alias(f"cls_{s}"), F.col("n").alias(f"n_{s}"), F.col("tokens").alias(f"tokens_{s}")) for s in "ab")
     more = {s: F.expr(f"n_{s} - (n_{s} * {percent} + 99) div 100 + 1").cast("int") for s in "ab"}
     first = F.arrays_overlap(*(F.slice(f"tokens_{s}", 1, more[s]) for s in "ab"))
@@ -275,6 +292,13 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(two, "b").join(one, "a").where(first & last).where(100 * both >= percent * (F.col("n_a") + F.col("n_b") - both)).select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b"))
 
 
+def sketch(s: np.ndarray) -> np.ndarray:
+    """A bit for each remainder of the tokens by a power of two, at least as large as the set, set if an odd number of tokens has it."""
+    bits = max(64, 1 << (len(s) - 1).bit_length() if len(s) else 0)
+    odd = np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits).astype(np.uint8) & 1
+    return np.packbits(odd, bitorder="little").view(np.int64)
+
+
 def small_set(s: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
     """What order A takes of a set, cut to 31 bits, and how many of it a partner shares at least."""
     first = s[: allowed(len(s), percent) + extra(len(s), percent)]
@@ -283,8 +307,8 @@ def small_set(s: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
 
 
 def token_sets(docs: DataFrame, wanted: DataFrame, size: int, percent: int) -> DataFrame:
-    """cls, cid, n, tokens, low, need (small_set) of the wanted rows (doc_id, row, cls, cid). A Bloom filter of these lets few other texts be shuffled."""
-    schema = pa.schema([("cls", pa.int64()), ("cid", pa.int64()), ("n", pa.int64()), ("tokens", pa.list_(pa.int64())), ("low", pa.list_(pa.int32())), ("need", pa.int64())])
+    """cls, cid, n, tokens, sketch of the wanted rows (doc_id, row, cls, cid). A Bloom filter of these lets few other texts be shuffled."""
+    schema = pa.schema([("cls", pa.int64()), ("cid", pa.int64()), ("n", pa.int64()), ("tokens", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64()))])
     made = filters(wanted.select(F.xxhash64("doc_id", "row").alias("k1"), F.lit(True).alias("new")), BITS)
     known = None if made is None else docs.sparkSession.sparkContext.broadcast(made)
 
@@ -293,8 +317,8 @@ def token_sets(docs: DataFrame, wanted: DataFrame, size: int, percent: int) -> D
             found = known.value.has(0, b.column("k").to_numpy(zero_copy_only=False).view(np.uint64)) if known else np.zeros(b.num_rows, bool)
             yield b.drop_columns(["k"]).filter(pa.array(found))
 
-    def lists(found: list[np.ndarray], kind) -> pa.ListArray:
-        return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, found)]), pa.int32()), pa.array(np.concatenate([*found, np.zeros(0, found[0].dtype if found else kind)]).view(kind)))
+    def lists(found: list[np.ndarray]) -> pa.ListArray:
+        return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, found)]), pa.int32()), pa.array(np.concatenate([*(x.view(np.int64) for x in found), np.zeros(0, np.int64)])))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -302,14 +326,13 @@ def token_sets(docs: DataFrame, wanted: DataFrame, size: int, percent: int) -> D
             new = [i for i, c in enumerate(b.column("cls").to_pylist()) if not (c in seen or seen.add(c))]
             b = b.take(pa.array(new, pa.int64()))
             found = list(shingle_sets(b.column("text"), size))
-            small = [small_set(s, percent) for s in found]
-            columns = [pa.array([len(s) for s in found], pa.int64()), lists(found, np.int64), lists([low for low, _ in small], np.int32), pa.array([need for _, need in small], pa.int64())]
+            columns = [pa.array([len(s) for s in found], pa.int64()), lists(found), lists([sketch(s) for s in found])]
             yield pa.RecordBatch.from_arrays([b.column("cls"), b.column("cid"), *columns], schema=schema)
 
     row = F.xxhash64("text")
     texts = text_rows(docs).withColumn("row", row).withColumn("k", F.xxhash64("doc_id", "row")).mapInArrow(some, "doc_id long, text string, row long")
     w = wanted.select(F.col("doc_id").alias("d"), F.col("row").alias("r"), "cls", "cid")
-    return texts.join(w, texts.doc_id.eqNullSafe(w.d) & (texts.row == w.r)).select("cls", "cid", "text").mapInArrow(run, "cls long, cid long, n long, tokens array<long>, low array<int>, need long")
+    return texts.join(w, texts.doc_id.eqNullSafe(w.d) & (texts.row == w.r)).select("cls", "cid", "text").mapInArrow(run, "cls long, cid long, n long, tokens array<long>, sketch array<long>")
 
 
 def links_of(docs: DataFrame, rows: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
@@ -332,23 +355,25 @@ def links_of(docs: DataFrame, rows: DataFrame, classes: DataFrame, size: int, pe
     if large.isEmpty():
         return links
     rooted = sets.select("cls", "cid").join(components(links).withColumnRenamed("node", "cls"), "cls", "left").select("cid", F.coalesce("root", "cls").alias("label"))
-    labelled = stash(large.select("token", "many", "all_tokens", "cid").join(rooted, "cid"), "jaccard-labelled")
+    # A row for each class, with its tokens: labels need not be joined to every token of it.
+    labelled = stash(large.groupBy("cid", "n").agg(F.collect_list("token").alias("tokens")).join(rooted, "cid"), "jaccard-labelled")
+    each = labelled.select("cid", "n", "label", F.explode("tokens").alias("token"))
     # Of tokens that the same classes have, as those of one passage, one is enough.
-    same = {"x": F.bit_xor(F.xxhash64("cid")), "y": F.bit_xor(F.xxhash64("cid", F.lit(1))), "many": F.count("*")}
-    split = labelled.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"), *(v.alias(k) for k, v in same.items())).where("low <> high").groupBy(*same).agg(F.min("token").alias("token")).select("token")
+    same = {"x": F.bit_xor(F.xxhash64("cid")), "y": F.bit_xor(F.xxhash64("cid", F.lit(1))), "many": F.count("*"), "all_tokens": F.sum("n")}
+    split = each.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"), *(v.alias(k) for k, v in same.items())).where("low <> high").groupBy(*same).agg(F.min("token").alias("token"))
     blocks = F.ceil(F.greatest(F.col("many") / BLOCK, F.col("all_tokens") / BLOCK_TOKENS)).cast("long")
     dealt = (
-        labelled.join(split, "token").withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("cid"), F.col("blocks")))
+        each.drop("n").join(split.select("token", blocks.alias("blocks")), "token").withColumn("own", F.pmod(F.xxhash64("cid"), F.col("blocks")))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         .select("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "cid", "label")
     )
 
     def compared(rows: DataFrame, tokens: str, wanted: list[str], told) -> DataFrame:
-        rows = rows.join(sets.select("cid", "n", "need", "cls", F.col(tokens).alias("tokens")), "cid").select(*NAMES, "tokens")
+        rows = rows.join(sets.select("cid", "n", "cls", F.col(tokens).alias("tokens")), "cid").select(*NAMES, "tokens")
         parts = rows.repartition(partitions_for(rows), "token", "i", "j").sortWithinPartitions("token", "i", "j")
         return parts.mapInArrow(_in_blocks(percent, wanted, told), ", ".join(f"{c} long" for c in wanted))
 
-    hopeful = compared(dealt, "low", HOPEFUL, _hopeful)
+    hopeful = compared(dealt, "sketch", HOPEFUL, _hopeful)
     return links.unionByName(compared(hopeful, "tokens", ["a", "b"], _links_across))
 
 

@@ -145,3 +145,35 @@ def test_small_sets_lose_no_partner():
                 if 100 * both >= 80 * (len(a) + len(b) - both):
                     (x, need_x), (y, need_y) = jaccard_join.small_set(a, 80), jaccard_join.small_set(b, 80)
                     assert len(np.intersect1d(x, y)) >= min(need_x, need_y)
+
+
+def test_sketches_lose_no_partner_and_are_small():
+    """Sketches of sets, of one size or folded, differ in no more bits than the sets in tokens; unlike sets of a hundred tokens or more are told apart."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    new = lambda n: rng.integers(0, 2**63, n, dtype=np.uint64)
+    for n in (1, 2, 5, 63, 64, 65, 100, 128, 500, 513, 2000):
+        for lost in (0, n // 20, n // 10, n // 5):
+            base = new(n)
+            a, b = np.unique(base), np.unique(np.concatenate([base[lost:], new(lost // 2)]))
+            both = len(np.intersect1d(a, b))
+            x, y = (jaccard_join.sketch(v).view(np.uint64) for v in (a, b))
+            assert 8 * len(x) < 4 * n + 16 and max(len(x), len(y)) <= 2 * min(len(x), len(y))
+            x, y = (v[: len(v) // 2] ^ v[len(v) // 2 :] if len(v) > min(len(x), len(y)) else v for v in (x, y))
+            differ = int(np.bitwise_count(x ^ y).sum())
+            assert differ <= len(a) + len(b) - 2 * both
+            if 100 * both >= 80 * (len(a) + len(b) - both):
+                assert differ <= jaccard_join.apart(len(a), len(b), 80)
+        if n >= 100:
+            assert int(np.bitwise_count((jaccard_join.sketch(new(n)) ^ jaccard_join.sketch(new(n))).view(np.uint64)).sum()) > jaccard_join.apart(n, n, 80)
+
+
+def test_labels_are_joined_to_classes_not_to_tokens(copies, monkeypatch):
+    """A row for each class went with each of its tokens through the join with labels and sets."""
+    monkeypatch.setattr(jaccard_join, "SMALL", 2)
+    kept, real = {}, jaccard_join.stash
+    monkeypatch.setattr(jaccard_join, "stash", lambda df, name: kept.setdefault(name, real(df, name)))
+    found(copies)
+    labelled = kept["jaccard-labelled"]
+    assert labelled.count() == labelled.select("cid").distinct().count() > 0
