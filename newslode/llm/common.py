@@ -41,13 +41,21 @@ def shared_dir(spark: SparkSession) -> str:
     return known.rstrip("/")
 
 
-def stash(df: DataFrame, name: str) -> DataFrame:
+def stash(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Cut the lineage: write df to the shared folder and read it again."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(stashed: DataFrame) -> None:
+    """Delete what stash wrote, once all that is made of it has been written."""
+    spark = stashed.sparkSession
+    for folder in {f.rpartition("/")[0] for f in stashed.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def text_rows(docs: DataFrame, *more: str) -> DataFrame:
     """doc_id and text alone, so that no other column of the input can clash."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *more)

@@ -75,3 +75,23 @@ def test_query_gives_the_rows_of_its_sql(spark, data):
         names, want = sql_rows(queries.ORACLE_SQL[name], data)
         assert sorted(df.columns) == names
         assert rows(df) == want
+
+
+def test_counts_of_scans_before_the_last_cycle_are_deleted(spark, docs, monkeypatch):
+    """All scans' tables of counts lay on the disk until the end, though a cycle of them is all that is read."""
+    import os
+    import urllib.parse
+
+    there, most, real = set(), [], phrases.stash
+
+    def kept(df, name, *more):
+        out = real(df, name, *more)
+        if name == "phrase-counts":
+            there.add(urllib.parse.urlparse(out.inputFiles()[0]).path.rpartition("/")[0])
+            most.append(sum(map(os.path.isdir, there)))
+        return out
+
+    monkeypatch.setattr(phrases, "stash", kept)
+    assert phrases.collocations(docs, threshold=20, most=50).count() > 0
+    assert len(most) > phrases.SHARDS + 1 and max(most) <= phrases.SHARDS + 1
+    assert not any(map(os.path.isdir, there))
