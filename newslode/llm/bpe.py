@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import batches, hex_digest, text_rows, texts_of
+from .common import batches, hex_digest, stash, text_rows, texts_of
 from .pretokens import words_of
 
 #: Words that every task knows, and documents (about) in which they are counted. They change the cost, never the result.
@@ -216,8 +216,10 @@ def encode(spark: SparkSession, docs: DataFrame, path: str, pattern: str, freque
     return folded.mapInArrow(assemble, ENCODED)
 
 
-def chunks(spark: SparkSession, docs: DataFrame, path: str, pattern: str, frequent: int = FREQUENT, count_docs: int = COUNT_DOCS):
-    """Chunks of documents with the ids of their rare words, and the function that makes of their batches those of ENCODED."""
+def chunks(spark: SparkSession, docs: DataFrame, path: str, pattern: str, frequent: int = FREQUENT, count_docs: int = COUNT_DOCS, apart: bool = False):
+    """Chunks of documents with the ids of their rare words, and the function that makes of their batches those of ENCODED.
+
+    apart: chunks are written before they are folded, so that a task has one Python worker and not two; executors keep all workers they had."""
     ranks = load_ranks(path)
     literal = rank_map(ranks)
     words = frequent_words(docs, pattern, literal, frequent, count_docs)
@@ -280,6 +282,8 @@ def chunks(spark: SparkSession, docs: DataFrame, path: str, pattern: str, freque
                 yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.ListArray.from_arrays(pa.array(edges), pa.array(gather(word, flat, size)))], names=["doc_id", "ids"])
 
     chunks = text_rows(docs).mapInArrow(split, "docs array<long>, sizes binary, codes binary, rare array<array<tinyint>>")
+    if apart:
+        chunks = stash(chunks, "chunks", "zstd")
     # The literal is bound once: a plan that repeats it is slow to optimise and to print.
     folded = chunks.withColumn("found", let(literal, lambda ranks: F.transform("rare", lambda w: F.when(F.size(w) <= LONG_WORD, encode_bytes(w, ranks)))))
     return folded, assemble
@@ -321,13 +325,13 @@ def decode(spark: SparkSession, encoded: DataFrame, path: str) -> DataFrame:
 ROUND_TRIP = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 
 
-def round_trip(spark: SparkSession, docs: DataFrame, path: str, pattern: str, with_ids: bool = False) -> DataFrame:
-    """Encode and decode every row of docs: doc_id, n_tokens, ids_sha256, decoded_sha256, and ids if they are asked for.
+def round_trip(spark: SparkSession, docs: DataFrame, path: str, pattern: str, with_ids: bool = False, apart: bool = False) -> DataFrame:
+    """Encode and decode every row of docs: doc_id, n_tokens, ids_sha256, decoded_sha256, and ids if they are asked for. apart: as in chunks().
 
     A null or empty text has no tokens and decodes to no bytes; repeated rows each return; a null doc_id stays null.
     """
     pieces = spark.sparkContext.broadcast(pieces_of(path))
-    folded, assemble = chunks(spark, docs, path, pattern)
+    folded, assemble = chunks(spark, docs, path, pattern, apart=apart)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shown = [str(i) for i in range(len(pieces.value))].__getitem__

@@ -10,7 +10,7 @@ import os
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -42,9 +42,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def stash(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
-    """Cut the lineage: write df to the shared folder and read it again."""
+    """Cut the lineage: write df to the shared folder and read it again. What was shuffled for it goes as soon as it is written, not when the driver happens to collect its garbage."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path, compression=compression)
+    with setting(df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -158,11 +159,10 @@ def batches(it: Iterator[pa.RecordBatch], most: int = 16_000_000) -> Iterator[pa
 
 
 @contextmanager
-def batch_bytes(spark: SparkSession, most: str) -> Iterator[None]:
-    """Arrow batches of no more than so many bytes for what runs inside; the session's own setting comes back afterwards."""
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """The session's setting for what runs inside; its own comes back afterwards."""
     before = spark.conf.get(key, None)
-    spark.conf.set(key, most)
+    spark.conf.set(key, value)
     try:
         yield
     finally:
@@ -172,6 +172,11 @@ def batch_bytes(spark: SparkSession, most: str) -> Iterator[None]:
             spark.conf.set(key, before)
 
 
+def batch_bytes(spark: SparkSession, most: str) -> AbstractContextManager[None]:
+    """Arrow batches of no more than so many bytes for what runs inside."""
+    return setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", most)
+
+
 def one_thread() -> None:
     """Numpy in a task uses the task's own core."""
     for k in ("OMP_NUM_THREADS", "OPENBLAS_NUM_THREADS", "MKL_NUM_THREADS"):

@@ -268,7 +268,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     prints = stash(fingerprints(docs), "fingerprints")
     classes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    found = components(link_forest(classes.select("fp")))
+    # Written between, since a task that goes through Python twice leaves its executor two workers.
+    found = components(stash(link_forest(classes.select("fp")), "forest"))
     rooted = classes.join(found, classes.fp == found.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     final = rooted.join(named, "root").select("fp", "component_id")
