@@ -95,3 +95,16 @@ def test_counts_of_scans_before_the_last_cycle_are_deleted(spark, docs, monkeypa
     assert phrases.collocations(docs, threshold=20, most=50).count() > 0
     assert len(most) > phrases.SHARDS + 1 and max(most) <= phrases.SHARDS + 1
     assert not any(map(os.path.isdir, there))
+
+
+def test_last_scans_write_only_what_can_matter(told, spark, monkeypatch):
+    """All counts of a phrase's last scan were written, most of them of phrases that had the share in no scan."""
+    df, _ = told
+    seen, stash = [], phrases.stash
+    monkeypatch.setattr(phrases, "stash", lambda df, name, *a: (made := stash(df, name, *a), name == "phrase-counts" and seen.append({r[:2]: r[2] for r in made.collect()}))[0])
+    found = phrases.frequent(phrases.stash(phrases.tokens(df, 2, 0), "phrase-tokens"), 150, 2)
+    assert found.count() and len(seen) > 2
+    words = [{k: n for k, n in x.items() if k[1] & 7 == 1} for x in seen[:2]]
+    assert min(words[0].values()) < 75
+    assert all(n >= 75 or words[0].get(k, 0) >= 75 for k, n in words[1].items())
+    assert all(n > 0 for x in seen for n in x.values())
