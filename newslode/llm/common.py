@@ -41,11 +41,11 @@ def shared_dir(spark: SparkSession) -> str:
     return known.rstrip("/")
 
 
-def stash(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
-    """Cut the lineage: write df to the shared folder and read it again. What was shuffled for it goes as soon as it is written, not when the driver happens to collect its garbage."""
+def stash(df: DataFrame, name: str, compression: str | None = None, options: dict[str, str] | None = None) -> DataFrame:
+    """Cut the lineage: write df to the shared folder (options: of the Parquet writer) and read it again. What was shuffled for it goes as soon as it is written, not when the driver happens to collect its garbage."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     with setting(df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
-        df.write.parquet(path, compression=compression)
+        df.write.options(**options or {}).parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

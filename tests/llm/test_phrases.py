@@ -108,3 +108,41 @@ def test_last_scans_write_only_what_can_matter(told, spark, monkeypatch):
     assert min(words[0].values()) < 75
     assert all(n >= 75 or words[0].get(k, 0) >= 75 for k, n in words[1].items())
     assert all(n > 0 for x in seen for n in x.values())
+
+
+def test_rows_of_tokens_are_written_and_read_a_few_at_a_time(spark, monkeypatch):
+    """A page of the table of tokens had 100 of its large rows, a file one row group, and a task read all its rows at once."""
+    import urllib.parse
+    from pathlib import Path
+
+    import pyarrow.parquet as pq
+
+    seen, stash = {}, phrases.stash
+
+    def kept(df, name, *more):
+        seen[name, "read"] = int(spark.conf.get("spark.sql.parquet.columnarReaderBatchSize"))
+        out = stash(df, name, *more)
+        if name == "phrase-tokens":
+            files = [pq.ParquetFile(f) for f in Path(urllib.parse.urlparse(out.inputFiles()[0]).path).parent.glob("*.parquet")]
+            seen["rows"], seen["groups"] = sum(f.metadata.num_rows for f in files), [f.metadata.row_group(i).total_byte_size for f in files for i in range(f.num_row_groups)]
+        return out
+
+    monkeypatch.setattr(phrases, "stash", kept)
+    docs = spark.range(0, 24, 1, 1).selectExpr("'en' as lang", "concat(repeat('ab cd ', 20), array_join(transform(sequence(1, 60000), i -> hex(xxhash64(id, i))), ' ')) as text")
+    before = spark.conf.get("spark.sql.parquet.columnarReaderBatchSize")
+    assert phrases.collocations(docs, 100, 10).count() > 0
+    assert seen["rows"] >= 24 and len(seen["groups"]) > 1 and max(seen["groups"]) < 8e6
+    assert seen["phrase-counts", "read"] <= 16 and seen["phrases-identified", "read"] <= 16
+    assert spark.conf.get("spark.sql.parquet.columnarReaderBatchSize") == before
+
+
+def test_filters_keep_their_packed_slices_no_longer_than_needed(spark):
+    """A worker held the filters twice, packed and unpacked."""
+    import pickle
+
+    import numpy as np
+
+    made = phrases.filters(spark.range(1000).selectExpr("id as k1", "id % 2 = 0 as new"), phrases.BITS)
+    there = pickle.loads(pickle.dumps(made))
+    assert there.has(0, np.arange(1000, dtype=np.uint64)).all() and there.has(1, np.arange(0, 1000, 2, dtype=np.uint64)).all()
+    assert made.slices and not there.slices
