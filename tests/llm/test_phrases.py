@@ -111,27 +111,29 @@ def test_last_scans_write_only_what_can_matter(told, spark, monkeypatch):
 
 
 def test_rows_of_tokens_are_written_and_read_a_few_at_a_time(spark, monkeypatch):
-    """A page of the table of tokens had 100 of its large rows, a file one row group, and a task read all its rows at once."""
-    import urllib.parse
-    from pathlib import Path
-
-    import pyarrow.parquet as pq
+    """A page of the table of tokens had 100 of its large rows, and a task read all its rows at once."""
+    seen, stash, jvm = {}, phrases.stash, spark._jvm
 
-    seen, stash = {}, phrases.stash
+    def pages(path):
+        conf = spark._jsc.hadoopConfiguration()
+        reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(jvm.org.apache.hadoop.fs.Path(path), conf))
+        try:
+            return [reader.readOffsetIndex(c).getPageCount() for g in reader.getFooter().getBlocks() for c in g.getColumns() if c.getPath().toDotString() == "words"]
+        finally:
+            reader.close()
 
     def kept(df, name, *more):
         seen[name, "read"] = int(spark.conf.get("spark.sql.parquet.columnarReaderBatchSize"))
         out = stash(df, name, *more)
         if name == "phrase-tokens":
-            files = [pq.ParquetFile(f) for f in Path(urllib.parse.urlparse(out.inputFiles()[0]).path).parent.glob("*.parquet")]
-            seen["rows"], seen["groups"] = sum(f.metadata.num_rows for f in files), [f.metadata.row_group(i).total_byte_size for f in files for i in range(f.num_row_groups)]
+            seen["rows"], seen["pages"] = out.count(), sum(n for f in out.inputFiles() for n in pages(f))
         return out
 
     monkeypatch.setattr(phrases, "stash", kept)
     docs = spark.range(0, 24, 1, 1).selectExpr("'en' as lang", "concat(repeat('ab cd ', 20), array_join(transform(sequence(1, 60000), i -> hex(xxhash64(id, i))), ' ')) as text")
     before = spark.conf.get("spark.sql.parquet.columnarReaderBatchSize")
     assert phrases.collocations(docs, 100, 10).count() > 0
-    assert seen["rows"] >= 24 and len(seen["groups"]) > 1 and max(seen["groups"]) < 8e6
+    assert seen["rows"] >= 24 and seen["pages"] >= 8  # of 1 MB; a row has half of that
     assert seen["phrase-counts", "read"] <= 16 and seen["phrases-identified", "read"] <= 16
     assert spark.conf.get("spark.sql.parquet.columnarReaderBatchSize") == before
 
